@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 
 def _strict(typed: Column, raw: Column, kind: str) -> Column:
-    bad = raw.isNotNull() & typed.isNull()
+    # `typed` appears once, so nesting does not multiply the generated code.
     message = F.concat(F.lit(f"not a valid {kind}: "), raw.cast("string"))
-    return F.when(bad, F.raise_error(message)).otherwise(typed)
+    return F.coalesce(typed, F.when(raw.isNotNull(), F.raise_error(message)))
 
 
 def try_number(c: Column) -> Column:

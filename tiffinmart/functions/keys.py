@@ -19,14 +19,19 @@ def key_text(cols: Sequence[Column | str], mode: str = "safe") -> Column:
     other and NULL stays distinct. `reference` is plain concatenation: ('ab','c') equals
     ('a','bc') and one NULL makes the whole text NULL.
     """
+    if mode not in ("safe", "reference"):
+        raise ValueError(f"unknown key mode {mode!r}")
+    if all(isinstance(c, str) for c in cols):
+        texts = [f"CAST(`{c}` AS STRING)" for c in cols]
+        if mode == "safe":
+            texts = [f"coalesce(concat(CAST(length({t}) AS STRING), ':', {t}), '~')" for t in texts]
+        return F.expr(f"concat({', '.join(texts)})")
     texts = [_as_column(c).cast("string") for c in cols]
     if mode == "reference":
         return F.concat(*texts)
-    if mode == "safe":
-        return F.concat(
-            *[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("~")) for t in texts]
-        )
-    raise ValueError(f"unknown key mode {mode!r}")
+    return F.concat(
+        *[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("~")) for t in texts]
+    )
 
 
 def hash_key(cols: Sequence[Column | str], mode: str = "safe") -> Column:

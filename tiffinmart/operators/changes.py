@@ -16,39 +16,34 @@ def append_changes(stage: DataFrame, last_load_id: int | None, load_col: str = "
 
 
 def change_feed(
-    old: DataFrame, new: DataFrame, key: Sequence[str], compare: Sequence[str] | None = None
+    old: DataFrame | None, new: DataFrame, key: Sequence[str], compare: Sequence[str] | None = None
 ) -> DataFrame:
     """Net change from `old` to `new`: an insert or delete is one row, an update is the old image
-    as DELETE plus the new image as INSERT, both with `_is_update`.
+    as DELETE plus the new image as INSERT, both with `_is_update`. Without `old` all rows are inserts.
 
     `compare` limits the columns that make a row changed; by default all of them do, so a row
     re-sent with new audit values counts as updated. One shuffle per side, on the key.
     """
     cols = new.columns
+    if old is None:
+        return new.select("*", F.lit("INSERT").alias(ACTION), F.lit(False).alias(IS_UPDATE))
     watched = [c for c in (compare if compare is not None else cols) if c not in key]
-    o = old.select(*[F.col(k).alias(f"_o_{k}") for k in key], F.struct(*cols).alias("o"))
-    n = new.select(*[F.col(k).alias(f"_n_{k}") for k in key], F.struct(*cols).alias("n"))
-    on = F.lit(True)
-    for k in key:
-        on = on & (F.col(f"_o_{k}") == F.col(f"_n_{k}"))
-
-    had, has = F.col("o").isNotNull(), F.col("n").isNotNull()
-    same = F.lit(True)
-    for c in watched:
-        same = same & F.col(f"o.{c}").eqNullSafe(F.col(f"n.{c}"))
-    is_update = (had & has).alias(IS_UPDATE)
-
-    def image(action: str, row: str) -> Column:
-        return F.struct(F.lit(action).alias(ACTION), is_update, F.col(row).alias("row"))
-
-    images = F.array_compact(
-        F.array(F.when(had, image("DELETE", "o")), F.when(has, image("INSERT", "n")))
-    )
+    o = old.selectExpr("true AS _had", *[f"`{c}` AS `_o_{c}`" for c in cols])
+    n = new.selectExpr("true AS _has", *[f"`{c}` AS `_n_{c}`" for c in cols])
+    on = " AND ".join(f"`_o_{k}` = `_n_{k}`" for k in key)
+    same = " AND ".join(["true", *[f"`_o_{c}` <=> `_n_{c}`" for c in watched]])
+    # Image 0 is the old row, image 1 the new one. Only these numbers are exploded; the columns
+    # are picked afterwards, which keeps everything in generated code.
+    images = "CASE WHEN _has IS NULL THEN array(0) WHEN _had IS NULL THEN array(1) ELSE array(0, 1) END"
     return (
-        o.join(n, on, "full_outer")
-        .filter(~(had & has & same))
-        .select(F.explode(images).alias("i"))
-        .select("i.row.*", f"i.{ACTION}", f"i.{IS_UPDATE}")
+        o.join(n, F.expr(on), "full_outer")
+        .filter(f"NOT (_had IS NOT NULL AND _has IS NOT NULL AND {same})")
+        .withColumn("_image", F.explode(F.expr(images)))
+        .selectExpr(
+            *[f"if(_image = 0, `_o_{c}`, `_n_{c}`) AS `{c}`" for c in cols],
+            f"if(_image = 0, 'DELETE', 'INSERT') AS {ACTION}",
+            f"_had IS NOT NULL AND _has IS NOT NULL AS {IS_UPDATE}",
+        )
     )
 
 

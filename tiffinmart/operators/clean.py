@@ -194,13 +194,13 @@ EXPRESSIONS: dict[str, Callable[[str], Columns]] = {
 
 def reject_reason(entity: Entity | str) -> Column:
     """First broken rule of a typed row, NULL when there is none."""
-    reason = F.lit(None).cast("string")
-    for f in reversed(entities.get(entity).fields):
-        if f.max_len:
-            reason = F.when(F.length(f.name) > f.max_len, f"{f.name} too long").otherwise(reason)
+    rules = []
+    for f in entities.get(entity).fields:
         if f.required:
-            reason = F.when(F.col(f.name).isNull(), f"{f.name} missing").otherwise(reason)
-    return reason
+            rules.append(f"WHEN {f.name} IS NULL THEN '{f.name} missing'")
+        if f.max_len:
+            rules.append(f"WHEN length({f.name}) > {f.max_len} THEN '{f.name} too long'")
+    return F.expr(f"CASE {' '.join(rules)} END")
 
 
 def clean_all(entity: Entity | str, stage: DataFrame, mode: str = "default") -> DataFrame:

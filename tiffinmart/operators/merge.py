@@ -21,7 +21,7 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> D
     """
     rest = [c for c in df.columns if c not in order]
     best = F.max(F.struct(*order, *rest)).alias("_best")
-    return df.groupBy(*key).agg(best).select(*[F.col(f"_best.{c}").alias(c) for c in df.columns])
+    return df.groupBy(*key).agg(best).select("_best.*").select(*df.columns)
 
 
 def _assignments(spec: Assignments | None) -> dict[str, Column]:
@@ -88,18 +88,12 @@ def merge_upsert(
 
 def changed_reference(columns: Sequence[str]) -> Column:
     """Any column differs, by plain inequality: a NULL on either side never counts as a change."""
-    cond = F.lit(False)
-    for c in columns:
-        cond = cond | (F.col(f"t.{c}") != F.col(f"s.{c}"))
-    return cond
+    return F.expr(" OR ".join(f"t.{c} != s.{c}" for c in columns))
 
 
 def changed_nullsafe(columns: Sequence[str]) -> Column:
     """Any column differs, NULL being a value like any other."""
-    cond = F.lit(False)
-    for c in columns:
-        cond = cond | ~F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}"))
-    return cond
+    return F.expr(" OR ".join(f"NOT (t.{c} <=> s.{c})" for c in columns))
 
 
 def upsert_entity(

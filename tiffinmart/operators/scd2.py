@@ -27,30 +27,56 @@ def dimension_schema(entity: Entity | str) -> T.StructType:
     return T.StructType.fromDDL(", ".join(ddl))
 
 
-def _key(spec: Dimension, row: str, start: Column, mode: str) -> Column:
-    if mode == "reference":
-        return hash_key([F.col(f"{row}.{c}") for c in spec.hash_cols], "reference")
+def _new_key(spec: Dimension, key_mode: str, prefix: str = "") -> Column:
+    """Key of a version that starts at `_ts`."""
+    if key_mode == "reference":
+        return hash_key([prefix + c for c in spec.hash_cols], "reference")
     # The start time keeps two versions with equal attributes (A, B, A again) apart.
-    return hash_key([*[F.col(f"{row}.{c}") for c in spec.attributes], start])
+    return hash_key([*[prefix + c for c in spec.attributes], "_ts"])
 
 
-def _version(spec: Dimension, key: Column, row: str, start: Column, end: Column, flag: Column) -> list[Column]:
-    return [
-        key.alias(spec.key),
-        *[F.col(f"{row}.{a}").alias(a) for a in spec.attributes],
-        start.cast("timestamp").alias(spec.start),
-        end.cast("timestamp").alias(spec.end),
-        flag.cast("boolean").alias(spec.flag),
-    ]
+def _open_versions(spec: Dimension, changes: DataFrame, ts: Column, key_mode: str) -> DataFrame:
+    """First load: every inserted row opens a version."""
+    return (
+        changes.filter(inserted())
+        .withColumn("_ts", ts)
+        .withColumn(spec.key, _new_key(spec, key_mode))
+        .selectExpr(
+            spec.key,
+            *spec.attributes,
+            f"_ts AS {spec.start}",
+            f"CAST(NULL AS TIMESTAMP) AS {spec.end}",
+            f"true AS {spec.flag}",
+        )
+    )
 
 
 def _stored(spec: Dimension, dim: DataFrame) -> DataFrame:
     columns = [spec.key, *spec.attributes, spec.start, spec.end, spec.flag]
-    return dim.select(F.struct(*columns).alias("d"))
+    return dim.selectExpr("true AS _known", *[f"{c} AS _d_{c}" for c in columns])
+
+
+def _pick(spec: Dimension, joined: DataFrame, is_stored: str, close: str, ts: Column, key_mode: str) -> DataFrame:
+    """The stored version, closed at `ts` if so marked, or a new version from the `_n_` columns."""
+    return (
+        joined.withColumn("_ts", ts)
+        .withColumn("_new_key", _new_key(spec, key_mode, "_n_"))
+        .selectExpr(
+            f"if({is_stored}, _d_{spec.key}, _new_key) AS {spec.key}",
+            *[f"if({is_stored}, _d_{a}, _n_{a}) AS {a}" for a in spec.attributes],
+            f"if({is_stored}, _d_{spec.start}, _ts) AS {spec.start}",
+            f"CASE WHEN {is_stored} AND {close} THEN _ts WHEN {is_stored} THEN _d_{spec.end} END AS {spec.end}",
+            f"if({is_stored}, _d_{spec.flag} AND NOT ({close}), true) AS {spec.flag}",
+        )
+    )
 
 
 def scd2_attribute_match(
-    dim: DataFrame, changes: DataFrame, spec: Dimension, batch_ts: datetime | str | Column, key_mode: str = "reference"
+    dim: DataFrame | None,
+    changes: DataFrame,
+    spec: Dimension,
+    batch_ts: datetime | str | Column,
+    key_mode: str = "reference",
 ) -> DataFrame:
     """The reference's rule: a change meets a version when all of `spec.match_cols` are equal.
 
@@ -59,37 +85,23 @@ def scd2_attribute_match(
     Both clauses see the dimension as it was before the merge: one full outer join does it.
     """
     ts = _ts(batch_ts)
-    per_match = changes.groupBy(*spec.match_cols).agg(
-        F.max(closed_by_update()).alias("_close"),
-        F.max(F.when(inserted(), F.struct(*spec.attributes))).alias("n"),
-    )
-    on = F.lit(True)
-    for c in spec.match_cols:
-        on = on & (F.col(f"d.{c}") == F.col(c))
-    joined = _stored(spec, dim).join(per_match, on, "full_outer")
-
-    known = F.col("d").isNotNull()
-    close = known & F.coalesce(F.col("_close"), F.lit(False))
-    kept = F.struct(
-        *_version(
-            spec,
-            F.col(f"d.{spec.key}"),
-            "d",
-            F.col(f"d.{spec.start}"),
-            F.when(close, ts).otherwise(F.col(f"d.{spec.end}")),
-            F.when(close, False).otherwise(F.col(f"d.{spec.flag}")),
-        )
-    )
-    opened = F.struct(*_version(spec, _key(spec, "n", ts, key_mode), "n", ts, F.lit(None), F.lit(True)))
-    return (
-        joined.filter(known | F.col("n").isNotNull())
-        .select(F.when(known, kept).otherwise(opened).alias("v"))
-        .select("v.*")
+    if dim is None:
+        return _open_versions(spec, changes, ts, key_mode)
+    others = [a for a in spec.attributes if a not in spec.match_cols]
+    images = changes.withColumns({"_c": closed_by_update(), "_i": inserted()})
+    per_match = images.selectExpr("_c", "_i", *[f"{a} AS _n_{a}" for a in spec.attributes])
+    per_match = per_match.groupBy(*[f"_n_{m}" for m in spec.match_cols]).agg(
+        F.max("_c").alias("_close"),
+        F.max("_i").alias("_open"),
+        *[F.expr(f"max(if(_i, _n_{a}, NULL)) AS _n_{a}") for a in others],
     )
+    on = " AND ".join(f"_d_{m} = _n_{m}" for m in spec.match_cols)
+    joined = _stored(spec, dim).join(per_match, F.expr(on), "full_outer").filter("_known IS NOT NULL OR _open")
+    return _pick(spec, joined, "_known IS NOT NULL", "coalesce(_close, false)", ts, key_mode)
 
 
 def scd2_keyed(
-    dim: DataFrame,
+    dim: DataFrame | None,
     changes: DataFrame,
     spec: Dimension,
     batch_ts: datetime | str | Column,
@@ -99,43 +111,31 @@ def scd2_keyed(
     """Versioning by business key against the open version, comparing attributes null-safely.
 
     At most one open version per key and no overlapping intervals. Closed versions pass through
-    without a shuffle.
+    without a shuffle. `changes` holds at most one INSERT image per key, as a change feed does.
     """
     ts = _ts(batch_ts)
+    if dim is None:
+        return _open_versions(spec, changes, ts, key_mode)
     business_key = spec.attributes[0]
-    is_open = F.col(spec.flag)
-    history = dim.filter(~is_open)
-    per_key = changes.groupBy(business_key).agg(
-        F.max(F.when(inserted(), F.struct(*spec.attributes))).alias("n"),
-        F.max(purely_deleted()).alias("_gone"),
-    )
-    joined = _stored(spec, dim.filter(is_open)).join(
-        per_key, F.col(f"d.{business_key}") == F.col(business_key), "full_outer"
-    )
-
-    known, fresh = F.col("d").isNotNull(), F.col("n").isNotNull()
-    differs = F.lit(False)
-    for a in spec.attributes:
-        differs = differs | ~F.col(f"d.{a}").eqNullSafe(F.col(f"n.{a}"))
-    replaced = known & fresh & differs
-    gone = known & ~fresh & F.coalesce(F.col("_gone"), F.lit(False)) & F.lit(close_on_delete)
-    close = replaced | gone
-
-    kept = F.struct(
-        *_version(
-            spec,
-            F.col(f"d.{spec.key}"),
-            "d",
-            F.col(f"d.{spec.start}"),
-            F.when(close, ts).otherwise(F.col(f"d.{spec.end}")),
-            ~close,
-        )
+    # Of an update only the new image matters, so each key keeps one row and needs no grouping.
+    news = (
+        changes.filter(inserted() | purely_deleted())
+        .withColumn("_open", inserted())
+        .selectExpr("_open", *[f"{a} AS _n_{a}" for a in spec.attributes])
     )
-    opened = F.struct(*_version(spec, _key(spec, "n", ts, key_mode), "n", ts, F.lit(None), F.lit(True)))
-    versions = F.array_compact(
-        F.array(F.when(known, kept), F.when(replaced | (~known & fresh), opened))
+    same = " AND ".join(f"_d_{a} <=> _n_{a}" for a in spec.attributes)
+    # Version 0 is the stored one, version 1 the new one; see `change_feed` for the explode.
+    versions = """CASE WHEN _replace THEN array(0, 1) WHEN _known IS NOT NULL THEN array(0)
+        WHEN _open THEN array(1) ELSE CAST(array() AS ARRAY<INT>) END"""
+    gone = "coalesce(NOT _open, false)" if close_on_delete else "false"
+    joined = (
+        _stored(spec, dim.filter(spec.flag))
+        .join(news, F.expr(f"_d_{business_key} = _n_{business_key}"), "full_outer")
+        .withColumn("_replace", F.expr(f"_known IS NOT NULL AND coalesce(_open, false) AND NOT ({same})"))
+        .withColumn("_version", F.explode(F.expr(versions)))
     )
-    current = joined.select(F.explode(versions).alias("v")).select("v.*")
+    current = _pick(spec, joined, "_version = 0", f"_replace OR {gone}", ts, key_mode)
+    history = dim.filter(f"NOT {spec.flag}")
     return history.select(*current.columns).unionByName(current)
 
 

@@ -7,6 +7,7 @@ after a failure therefore does its work exactly once.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,12 +18,12 @@ from tiffinmart.entities import DIMENSION_ENTITIES, Entity
 from tiffinmart.operators.changes import append_changes, change_feed
 from tiffinmart.operators.clean import clean_all, split_rejects
 from tiffinmart.operators.merge import upsert_entity
-from tiffinmart.operators.scd2 import dimension_schema, scd2_attribute_match, scd2_keyed
-from tiffinmart.operators.sequence import ensure_checkpoint_dir
+from tiffinmart.operators.scd2 import scd2_attribute_match, scd2_keyed
 from tiffinmart.plans import kpis
 from tiffinmart.plans.date_dim import date_bounds, date_dim
 from tiffinmart.plans.fact import LAYOUT, affected_orders, incremental_fact_changes, merge_fact
 from tiffinmart.sources.csv_stage import copy_into, read_stage
+from tiffinmart.session import empty_frame, materialize
 from tiffinmart.store import SnapshotTable
 
 EVENTS = ("order_item", "orders", "delivery")
@@ -112,7 +113,7 @@ class Warehouse:
             touched = table.touched_slices(accepted)
             target = table.read(slices=touched)
         else:
-            touched, target = None, accepted.limit(0)
+            touched, target = None, empty_frame(self.spark, accepted.schema)
         merged = upsert_entity(e, target, accepted, self.mode)
         return table.commit(merged, load_id, touched)
 
@@ -131,7 +132,7 @@ class Warehouse:
             touched = table.touched_slices(feed)
             dim = table.read(slices=touched)
         else:
-            touched, dim = None, self.spark.createDataFrame([], dimension_schema(e))
+            touched, dim = None, None
         if reference:
             versions = scd2_attribute_match(dim, feed, e.dimension, batch_ts)
         else:
@@ -161,20 +162,28 @@ class Warehouse:
             affected, self.clean("order_item"), self.clean("orders"), self.clean("delivery"), dims, with_layout=True
         )
         # Read twice below, and the result of many joins: keep it.
-        ensure_checkpoint_dir(self.spark)
-        changes = changes.checkpoint()
+        changes = materialize(changes, "fact-changes")
         if table.exists():
             touched = table.touched_slices(changes)
             fact = table.read(slices=touched)
         else:
-            touched, fact = None, changes.limit(0)
+            touched, fact = None, empty_frame(self.spark, changes.schema)
         return table.commit(merge_fact(fact, changes), latest, touched)
 
+    def refresh_dimensions(self, batch_ts: datetime | str) -> None:
+        """All clean tables, then all dimensions. The tables of a layer do not depend on each
+        other, so their jobs run side by side."""
+        with ThreadPoolExecutor(len(entities.ENTITIES)) as pool:
+            loaded = [n for n in entities.ENTITIES if self._has_stage(n)]
+            list(pool.map(self.refresh_clean, loaded))
+            list(pool.map(lambda e: self.refresh_dim(e, batch_ts), DIMENSION_ENTITIES))
+
+    def _has_stage(self, entity: str) -> bool:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.stage_path(entity))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+
     def refresh_all(self, batch_ts: datetime | str, as_of_date: str) -> None:
-        for name in entities.ENTITIES:
-            self.refresh_clean(name)
-        for e in DIMENSION_ENTITIES:
-            self.refresh_dim(e, batch_ts)
+        self.refresh_dimensions(batch_ts)
         self.refresh_dates(as_of_date)
         self.refresh_fact()
 

@@ -6,7 +6,9 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def build_session(app: str = "tiffinmart", master: str | None = None, **conf: str) -> SparkSession:
@@ -16,7 +18,8 @@ def build_session(app: str = "tiffinmart", master: str | None = None, **conf: st
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        # Plans are built from many expressions; recording a call site for each costs more than it tells.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
@@ -36,3 +39,17 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="tiffinmart-")
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex[:12]}")
+
+
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, in a form Catalyst recognises as empty, so joins with it vanish from the plan."""
+    nothing = spark.range(1).filter(F.lit(False))
+    return nothing.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """`df` written to the shared folder and read back: cuts the lineage, survives lost executors
+    and gives later joins the true size."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tiffinmart.session import empty_frame
+
 BUCKET = "_bucket"
 _NULL_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
@@ -124,9 +126,9 @@ class SnapshotTable:
         if slices is not None:
             wanted = {s: wanted[s] for s in slices if s in wanted}
         if not wanted:
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
         paths = [f"{self.root}/data/v={v}/{s}" for s, v in sorted(wanted.items())]
-        full = T.StructType([f for f in schema.fields])
+        full = T.StructType(list(schema.fields))
         if self.buckets:
             full = full.add(BUCKET, T.IntegerType())
         full = full.add("v", T.IntegerType())
@@ -159,9 +161,9 @@ class SnapshotTable:
         a, b = self._entry(old)["slices"], self._entry(new)["slices"]
         return sorted(s for s in a.keys() | b.keys() if a.get(s) != b.get(s))
 
-    def images(self, old: int | None, new: int) -> tuple[DataFrame, DataFrame]:
-        """Both versions, limited to the slices in which they can differ."""
+    def images(self, old: int | None, new: int) -> tuple[DataFrame | None, DataFrame]:
+        """Both versions, limited to the slices in which they can differ; None for no old version."""
+        if old is None:
+            return None, self.read(new)
         slices = self.changed_slices(old, new)
-        after = self.read(new, slices)
-        before = self.spark.createDataFrame([], after.schema) if old is None else self.read(old, slices)
-        return before, after.select(*before.columns)
+        return self.read(old, slices), self.read(new, slices)
