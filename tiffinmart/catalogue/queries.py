@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -715,31 +716,31 @@ def join_fact_date(spark, sf):
     )
 
 
-def _events(spark, sf, item_day=0, delivery_day=0):
-    return (
-        typed(spark, sf, "order_item", item_day),
-        typed(spark, sf, "orders", 0),
-        typed(spark, sf, "delivery", delivery_day),
-    )
+def _side_by_side(jobs: dict[str, Callable[[], DataFrame]], purpose: str) -> dict[str, DataFrame]:
+    """Frames written as tables, the way a later job finds them; independent writes run together."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        stored = pool.map(lambda item: materialize(item[1](), f"{purpose}-{item[0]}"), jobs.items())
+        return dict(zip(jobs, stored, strict=True))
 
 
-def _stored_dims(spark, sf, build) -> dict[str, DataFrame]:
-    """Dimensions as tables, the way the fact job finds them; the independent writes run side by side."""
-    names = [e.name for e in DIMENSION_ENTITIES] + ["date"]
+def _star_inputs(spark, sf, build, events: dict[str, tuple[str, int]]) -> tuple[dict, dict]:
+    """Stored clean events, by name as (entity, day), and stored dimensions."""
+    jobs = {name: partial(typed, spark, sf, entity, day) for name, (entity, day) in events.items()}
+    jobs |= {f"dim_{e.name}": partial(build, spark, sf, e.name) for e in DIMENSION_ENTITIES}
+    jobs["dim_date"] = partial(dates, spark, sf)
+    stored = _side_by_side(jobs, "star")
+    dims = {n.removeprefix("dim_"): df for n, df in stored.items() if n.startswith("dim_")}
+    return {n: stored[n] for n in events}, dims
 
-    def store(name: str) -> DataFrame:
-        frame = dates(spark, sf) if name == "date" else build(spark, sf, name)
-        return materialize(frame, f"dim-{name}")
 
-    with ThreadPoolExecutor(len(names)) as pool:
-        return dict(zip(names, pool.map(store, names), strict=True))
+_DAY_0 = {"items": ("order_item", 0), "orders": ("orders", 0), "deliveries": ("delivery", 0)}
 
 
 @register("star_join_fact", O.star_join_reference_sql())
 def star_join_fact(spark, sf):
     """Every version of every dimension, reported per order."""
-    dims = _stored_dims(spark, sf, reference_dim_after_two_days)
-    rows = fact.build_fact_changes(*_events(spark, sf), dims, "reference")
+    e, dims = _star_inputs(spark, sf, reference_dim_after_two_days, _DAY_0)
+    rows = fact.build_fact_changes(e["items"], e["orders"], e["deliveries"], dims, "reference")
     bounds = [f(k).alias(f"{n}_{k}") for k in fact.DIM_KEYS for n, f in (("min", F.min), ("max", F.max))]
     return rows.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("fact_rows"), F.sum("quantity").alias("quantity"), F.sum("subtotal").alias("subtotal"), *bounds
@@ -748,14 +749,16 @@ def star_join_fact(spark, sf):
 
 @register("star_join_fact_current", O.star_join_current_sql())
 def star_join_fact_current(spark, sf):
-    return fact.build_fact_changes(*_events(spark, sf), _stored_dims(spark, sf, dim_after_two_days))
+    e, dims = _star_inputs(spark, sf, dim_after_two_days, _DAY_0)
+    return fact.build_fact_changes(e["items"], e["orders"], e["deliveries"], dims)
 
 
 @register("merge_fact", O.merge_fact_sql())
 def merge_fact(spark, sf):
-    dims = _stored_dims(spark, sf, dim_after_two_days)
-    before = fact.build_fact_changes(*_events(spark, sf), dims)
-    changes = fact.build_fact_changes(*_events(spark, sf, 1, 1), dims)
+    day_1 = {"new_items": ("order_item", 1), "new_deliveries": ("delivery", 1)}
+    e, dims = _star_inputs(spark, sf, dim_after_two_days, _DAY_0 | day_1)
+    before = fact.build_fact_changes(e["items"], e["orders"], e["deliveries"], dims)
+    changes = fact.build_fact_changes(e["new_items"], e["orders"], e["new_deliveries"], dims)
     return fact.merge_fact(before, changes)
 
 

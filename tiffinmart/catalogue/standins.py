@@ -198,11 +198,15 @@ def delivery(day: int) -> tuple[str, dict[str, str]]:
     }
 
 
+def _cents(expr: str) -> str:
+    return _text(f"CAST(floor({expr} * 100 + 0.5) AS BIGINT)")
+
+
 _LINE_TEXT = " || '|' || ".join(
     [
-        _text("l_orderkey"), _text("l_partkey"), _text("l_suppkey"), _text("l_linenumber"), _money("l_quantity"),
-        _money("l_extendedprice"), _money("l_discount"), _money("l_tax"), "l_returnflag", "l_linestatus",
-        _text("l_shipdate"),
+        _text("l_orderkey"), _text("l_partkey"), _text("l_suppkey"), _text("l_linenumber"), _cents("l_quantity"),
+        _cents("l_extendedprice"), _cents("l_discount"), _cents("l_tax"), "l_returnflag", "l_linestatus",
+        _text("CAST(l_shipdate AS DATE)"),
     ]
 )
 

@@ -16,6 +16,8 @@ class Field:
     required: bool = False
     max_len: int | None = None
     tag: str | None = None
+    # Source column of a strict conversion: NULL there is the only way to NULL here.
+    raw: str | None = None
 
 
 @dataclass(frozen=True)
@@ -63,7 +65,7 @@ LOCATION = Entity(
     name="location",
     source_columns=("locationid", "city", "state", "zipcode", "activeflag", "createddate", "modifieddate"),
     fields=(
-        Field("location_id", "bigint", required=True),
+        Field("location_id", "bigint", required=True, raw="locationid"),
         Field("city", "string", required=True, max_len=100),
         Field("state", "string", required=True, max_len=100),
         Field("state_code", "string", required=True, max_len=2),
@@ -72,7 +74,7 @@ LOCATION = Entity(
         Field("city_tier", "string", max_len=6),
         Field("zip_code", "string", required=True, max_len=10),
         Field("active_flag", "string", required=True, max_len=10),
-        Field("created_ts", "timestamp", required=True),
+        Field("created_ts", "timestamp", required=True, raw="createddate"),
         Field("modified_ts", "timestamp"),
     ),
     key=("location_id",),
@@ -163,7 +165,7 @@ CUSTOMER_ADDRESS = Entity(
         "state", "pincode", "coordinates", "primaryflag", "addresstype", "createddate", "modifieddate",
     ),
     fields=(
-        Field("address_id", "bigint", required=True),
+        Field("address_id", "bigint", required=True, raw="addressid"),
         Field("customer_id_fk", "bigint"),
         Field("flat_no", "string"),
         Field("house_no", "string"),
@@ -246,12 +248,12 @@ DELIVERY = Entity(
         "deliverydate", "createddate", "modifieddate",
     ),
     fields=(
-        Field("delivery_id", "bigint", required=True),
-        Field("order_id_fk", "bigint", required=True),
-        Field("delivery_agent_id_fk", "bigint", required=True),
+        Field("delivery_id", "bigint", required=True, raw="deliveryid"),
+        Field("order_id_fk", "bigint", required=True, raw="orderid"),
+        Field("delivery_agent_id_fk", "bigint", required=True, raw="deliveryagentid"),
         Field("delivery_status", "string"),
         Field("estimated_time", "string"),
-        Field("customer_address_id_fk", "bigint", required=True),
+        Field("customer_address_id_fk", "bigint", required=True, raw="addressid"),
         Field("delivery_date", "timestamp_ntz"),
         Field("created_date", "timestamp_ntz"),
         Field("modified_date", "timestamp_ntz"),
@@ -288,9 +290,9 @@ ORDER_ITEM = Entity(
         "orderitemid", "orderid", "menuid", "quantity", "price", "subtotal", "createddate", "modifieddate",
     ),
     fields=(
-        Field("order_item_id", "bigint", required=True),
-        Field("order_id_fk", "bigint", required=True),
-        Field("menu_id_fk", "bigint", required=True),
+        Field("order_item_id", "bigint", required=True, raw="orderitemid"),
+        Field("order_id_fk", "bigint", required=True, raw="orderid"),
+        Field("menu_id_fk", "bigint", required=True, raw="menuid"),
         Field("quantity", "decimal(10,2)"),
         Field("price", "decimal(10,2)"),
         Field("subtotal", "decimal(10,2)"),

@@ -107,7 +107,8 @@ class Warehouse:
         done = table.batch_id()
         if done is not None and done >= load_id:
             return None
-        accepted, rejected = split_rejects(clean_all(e, stage_rows, self.mode))
+        # Typed once; the rows are then read for the quarantine, the slices and the merge.
+        accepted, rejected = split_rejects(materialize(clean_all(e, stage_rows, self.mode), f"typed-{e.name}"))
         rejected.write.mode("overwrite").parquet(f"{self.root}/quarantine/{e.name}/load_id={load_id}")
         if table.exists():
             touched = table.touched_slices(accepted)

@@ -18,6 +18,8 @@ def build_session(app: str = "tiffinmart", master: str | None = None, **conf: st
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # The JVM never compiles methods above 8000 bytes; wide typed projections do better split up.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # Plans are built from many expressions; recording a call site for each costs more than it tells.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
