@@ -45,7 +45,8 @@ def scan_csv(
 ) -> DataFrame:
     """Rows of one file, a prefix or a list of files as text, columns bound by position.
 
-    One record per line, so a large file is split over many tasks.
+    One record per line, so a large file is split over many tasks. `_corrupt_record` is only
+    reliable when all columns are read, as a stage load does: Spark skips checks on pruned ones.
     """
     return (
         spark.read.schema(csv_schema(entity, strict))

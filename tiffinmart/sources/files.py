@@ -85,7 +85,9 @@ def fingerprints(
 def relative_name(path: str, root: str) -> Column:
     """File path below the landing root, such as initial/location/a.csv."""
     base = root.split(":", 1)[-1].strip("/")
-    return F.regexp_replace(F.url_decode(F.col(path)), "^.*?" + _quote(base) + "/+", "")
+    # Paths come percent-encoded, but with a plain '+', which decoding would turn into a space.
+    decoded = F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^.*?" + _quote(base) + "/+", "")
 
 
 def _quote(text: str) -> str:

@@ -1,6 +1,6 @@
 """Versioned Parquet tables: each commit is a new version, published by one small log file.
 
-    root/data/v=7/_bucket=3/part-*.parquet     the files written by version 7
+    root/data/_version=7/_bucket=3/part-*.parquet     the files written by version 7
     root/_log/00000007.json                    which slice lives in which version's folder
 
 A slice is one value of the partition columns. A commit writes the slices it changed and points
@@ -104,7 +104,7 @@ class SnapshotTable:
         return ["/".join(f"{c}={_NULL_VALUE if r[c] is None else r[c]}" for c in self.slice_columns) for r in rows]
 
     def _written_slices(self, version: int) -> list[str]:
-        base = f"{self.root}/data/v={version}"
+        base = f"{self.root}/data/_version={version}"
         found = self._fs.globStatus(self._path(base + "/*=*" * len(self.slice_columns))) or []
         return ["/".join(s.getPath().toString().split("/")[-len(self.slice_columns):]) for s in found]
 
@@ -127,11 +127,11 @@ class SnapshotTable:
             wanted = {s: wanted[s] for s in slices if s in wanted}
         if not wanted:
             return empty_frame(self.spark, schema)
-        paths = [f"{self.root}/data/v={v}/{s}" for s, v in sorted(wanted.items())]
+        paths = [f"{self.root}/data/_version={v}/{s}" for s, v in sorted(wanted.items())]
         full = T.StructType(list(schema.fields))
         if self.buckets:
             full = full.add(BUCKET, T.IntegerType())
-        full = full.add("v", T.IntegerType())
+        full = full.add("_version", T.IntegerType())
         df = self.spark.read.schema(full).option("basePath", f"{self.root}/data").parquet(*paths)
         return df.select(*schema.fieldNames())
 
@@ -149,7 +149,7 @@ class SnapshotTable:
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy(*self.slice_columns)
-            .parquet(f"{self.root}/data/v={version}")
+            .parquet(f"{self.root}/data/_version={version}")
         )
         kept = {} if replace is None else {s: v for s, v in old["slices"].items() if s not in set(replace)}
         slices = {**kept, **{s: version for s in self._written_slices(version)}}
