@@ -168,3 +168,13 @@ def test_customer_masks_per_mode(spark):
     assert parsed("initial") == [True, False]
     assert parsed("reference") == [False, True]
     assert parsed("default") == [True, True]
+
+
+def test_deduplicated_source_is_shuffled_once(spark, target, source):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = merge_upsert(target, latest_per_key(source, ["id"], ["a"]), ["id"], ["a"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2

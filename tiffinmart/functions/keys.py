@@ -37,7 +37,9 @@ def key_text(cols: Sequence[Column | str], mode: str = "safe") -> Column:
 def hash_key(cols: Sequence[Column | str], mode: str = "safe") -> Column:
     """60-bit key from SHA-1. Fine up to about 10^8 distinct values; use `hash_key_text` beyond."""
     digest = F.sha1(key_text(cols, mode))
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+    key = F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+    # A safe key is never NULL; saying so spares joins a second hash for their NULL filter.
+    return F.coalesce(key, F.lit(0).cast("bigint")) if mode == "safe" else key
 
 
 def hash_key_text(cols: Sequence[Column | str], mode: str = "safe") -> Column:

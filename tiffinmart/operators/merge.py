@@ -21,7 +21,8 @@ def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> D
     """
     rest = [c for c in df.columns if c not in order]
     best = F.max(F.struct(*order, *rest)).alias("_best")
-    return df.groupBy(*key).agg(best).select("_best.*").select(*df.columns)
+    # The key comes from the grouping, so a join on it needs no second shuffle.
+    return df.groupBy(*key).agg(best).select(*[c if c in key else F.col(f"_best.{c}") for c in df.columns])
 
 
 def _assignments(spec: Assignments | None) -> dict[str, Column]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -36,12 +36,8 @@ def add_sequence(df: DataFrame, order: Sequence[str], start: int = 1, name: str
         "_pos", F.col("_id").bitwiseAND((1 << 33) - 1)
     )
     sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per range, so both this self join and the broadcast are bounded by the range count.
-    before = sizes.select(F.col("_range").alias("_r"), F.col("_n").alias("_m"))
-    offsets = (
-        sizes.join(F.broadcast(before), F.col("_r") < F.col("_range"), "left")
-        .groupBy("_range")
-        .agg(F.coalesce(F.sum("_m"), F.lit(0)).alias("_offset"))
-    )
+    # One row per range, so this window without a partition is as small as the number of tasks.
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     number = (F.col("_offset") + F.col("_pos") + F.lit(start)).cast("bigint")
     return placed.join(F.broadcast(offsets), "_range").select(*df.columns, number.alias(name))

@@ -157,7 +157,8 @@ class Warehouse:
             if latest[name] is not None and consumed.get(name) != latest[name]:
                 before, after = self.clean_table(name).images(consumed.get(name), latest[name])
                 feeds[name] = change_feed(before, after, entities.get(name).key)
-        affected = affected_orders(*(feeds.get(name) for name in EVENTS))
+        # Ids only, and needed for each of the three event tables: worked out once.
+        affected = materialize(affected_orders(*(feeds.get(name) for name in EVENTS)), "affected-orders")
         dims = {e.name: self.dim(e) for e in DIMENSION_ENTITIES} | {"date": self.dates()}
         changes = incremental_fact_changes(
             affected, self.clean("order_item"), self.clean("orders"), self.clean("delivery"), dims, with_layout=True
