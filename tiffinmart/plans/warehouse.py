@@ -23,7 +23,7 @@ from tiffinmart.plans import kpis
 from tiffinmart.plans.date_dim import date_bounds, date_dim
 from tiffinmart.plans.fact import LAYOUT, affected_orders, incremental_fact_changes, merge_fact
 from tiffinmart.sources.csv_stage import copy_into, read_stage
-from tiffinmart.session import empty_frame, materialize
+from tiffinmart.session import empty_frame, materialized
 from tiffinmart.store import SnapshotTable
 
 EVENTS = ("order_item", "orders", "delivery")
@@ -108,15 +108,15 @@ class Warehouse:
         if done is not None and done >= load_id:
             return None
         # Typed once; the rows are then read for the quarantine, the slices and the merge.
-        accepted, rejected = split_rejects(materialize(clean_all(e, stage_rows, self.mode), f"typed-{e.name}"))
-        rejected.write.mode("overwrite").parquet(f"{self.root}/quarantine/{e.name}/load_id={load_id}")
-        if table.exists():
-            touched = table.touched_slices(accepted)
-            target = table.read(slices=touched)
-        else:
-            touched, target = None, empty_frame(self.spark, accepted.schema)
-        merged = upsert_entity(e, target, accepted, self.mode)
-        return table.commit(merged, load_id, touched)
+        with materialized(clean_all(e, stage_rows, self.mode), f"typed-{e.name}") as typed:
+            accepted, rejected = split_rejects(typed)
+            rejected.write.mode("overwrite").parquet(f"{self.root}/quarantine/{e.name}/load_id={load_id}")
+            if table.exists():
+                touched = table.touched_slices(accepted)
+                target = table.read(slices=touched)
+            else:
+                touched, target = None, empty_frame(self.spark, accepted.schema)
+            return table.commit(upsert_entity(e, target, accepted, self.mode), load_id, touched)
 
     def refresh_dim(self, entity: Entity | str, batch_ts: datetime | str) -> int | None:
         """Version the net change of the clean table since the last refresh."""
@@ -157,20 +157,20 @@ class Warehouse:
             if latest[name] is not None and consumed.get(name) != latest[name]:
                 before, after = self.clean_table(name).images(consumed.get(name), latest[name])
                 feeds[name] = change_feed(before, after, entities.get(name).key)
-        # Ids only, and needed for each of the three event tables: worked out once.
-        affected = materialize(affected_orders(*(feeds.get(name) for name in EVENTS)), "affected-orders")
+        affected = affected_orders(*(feeds.get(name) for name in EVENTS))
         dims = {e.name: self.dim(e) for e in DIMENSION_ENTITIES} | {"date": self.dates()}
-        changes = incremental_fact_changes(
-            affected, self.clean("order_item"), self.clean("orders"), self.clean("delivery"), dims, with_layout=True
-        )
-        # Read twice below, and the result of many joins: keep it.
-        changes = materialize(changes, "fact-changes")
-        if table.exists():
-            touched = table.touched_slices(changes)
-            fact = table.read(slices=touched)
-        else:
-            touched, fact = None, empty_frame(self.spark, changes.schema)
-        return table.commit(merge_fact(fact, changes), latest, touched)
+        # The ids serve each of the three event tables, the fact rows the slices and the merge.
+        with materialized(affected, "affected-orders") as ids:
+            rows = incremental_fact_changes(
+                ids, self.clean("order_item"), self.clean("orders"), self.clean("delivery"), dims, with_layout=True
+            )
+            with materialized(rows, "fact-changes") as changes:
+                if table.exists():
+                    touched = table.touched_slices(changes)
+                    fact = table.read(slices=touched)
+                else:
+                    touched, fact = None, empty_frame(self.spark, changes.schema)
+                return table.commit(merge_fact(fact, changes), latest, touched)
 
     def refresh_dimensions(self, batch_ts: datetime | str) -> None:
         """All clean tables, then all dimensions. The tables of a layer do not depend on each

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,9 +51,24 @@ def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return nothing.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def _store(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """`df` written to the shared folder and read back: cuts the lineage, survives lost executors
     and gives later joins the true size."""
-    path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _store(df, shared_dir(df.sparkSession, purpose))
+
+
+@contextmanager
+def materialized(df: DataFrame, purpose: str) -> Iterator[DataFrame]:
+    """`materialize` for the time of a block; the folder goes when the block ends."""
+    spark = df.sparkSession
+    path = shared_dir(spark, purpose)
+    try:
+        yield _store(df, path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiffinmart import entities
-from tiffinmart.entities import Entity
+from tiffinmart.entities import AUDIT, Entity
+from tiffinmart.session import materialized
 from tiffinmart.sources.files import fingerprints, relative_name
 from tiffinmart.sources.ledger import pending_files, read_ledger
 
@@ -74,16 +75,23 @@ def load_stage(
     batch_ts: datetime | str | Column,
     root: str | None = None,
     strict: bool = False,
+    prints: DataFrame | None = None,
 ) -> DataFrame:
-    """Stage rows of the files: text columns plus the four audit columns."""
+    """Stage rows of the files: text columns plus the four audit columns.
+
+    `prints` are the files' fingerprints, when the caller has them already.
+    """
     e = entities.get(entity)
     rows = with_lineage(scan_csv(spark, e, path, strict), batch_ts, root)
-    # One row per file; Spark broadcasts it while it is small and shuffles it otherwise.
-    prints = fingerprints(spark, path).select(F.col("path").alias("_path"), F.col("md5").alias("_stg_file_md5"))
-    corrupt = [] if strict else [CORRUPT]
-    return rows.join(prints, "_path", "left").select(
-        *e.source_columns,
-        "_stg_file_name", "_stg_file_load_ts", "_stg_file_md5", "_copy_data_ts", *corrupt,
+    columns = [*e.source_columns, *AUDIT, *([] if strict else [CORRUPT])]
+    return with_fingerprints(rows, fingerprints(spark, path) if prints is None else prints).select(*columns)
+
+
+def with_fingerprints(rows: DataFrame, prints: DataFrame) -> DataFrame:
+    """Adds `_stg_file_md5` by `_path`. One row per file: Spark broadcasts them while they are small
+    and shuffles otherwise."""
+    return rows.join(
+        prints.select(F.col("path").alias("_path"), F.col("md5").alias("_stg_file_md5")), "_path", "left"
     )
 
 
@@ -105,37 +113,37 @@ def copy_into(
     """
     e = entities.get(entity)
     pending = pending_files(fingerprints(spark, path), read_ledger(spark, ledger_path), e.name)
-    # File names only, as many as this load has new files.
-    files = [r.path for r in pending.select("path").toLocalIterator()]
-    if not files:
-        return 0
-    rows = load_stage(spark, e, files, batch_ts, root, strict)
-    target = f"{stage_path}/load_id={load_id}"
-    rows.write.mode("overwrite").parquet(target)
-
-    written = spark.read.parquet(target)
-    bad = F.col(CORRUPT).isNotNull() if not strict else F.lit(False)
-    counts = written.groupBy("_stg_file_name", "_stg_file_md5").agg(
-        F.count(F.lit(1)).alias("row_count"), F.count(F.when(bad, 1)).alias("corrupt_count")
-    )
-    name = relative_name("path", root) if root else F.col("path")
-    loaded = (
-        fingerprints(spark, files)
-        .withColumn("_stg_file_name", name)
-        .join(counts.withColumnRenamed("_stg_file_md5", "md5"), ["_stg_file_name", "md5"], "left")
-        .select(
-            F.lit(e.name).alias("table_name"),
-            "path",
-            "md5",
-            "length",
-            F.lit(load_id).cast("bigint").alias("load_id"),
-            F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"),
-            F.coalesce("corrupt_count", F.lit(0)).cast("bigint").alias("corrupt_count"),
-            F.lit(batch_ts).cast("timestamp").alias("load_ts"),
+    # Content is hashed once; the result serves the file list, the rows and the ledger.
+    with materialized(pending, "pending-files") as prints:
+        # File names only, as many as this load has new files.
+        files = [r.path for r in prints.select("path").toLocalIterator()]
+        if not files:
+            return 0
+        target = f"{stage_path}/load_id={load_id}"
+        load_stage(spark, e, files, batch_ts, root, strict, prints).write.mode("overwrite").parquet(target)
+
+        written = spark.read.parquet(target)
+        bad = F.lit(False) if strict else F.col(CORRUPT).isNotNull()
+        counts = written.groupBy("_stg_file_name", F.col("_stg_file_md5").alias("md5")).agg(
+            F.count(F.lit(1)).alias("row_count"), F.count_if(bad).alias("corrupt_count")
         )
-    )
-    loaded.write.mode("append").parquet(ledger_path)
-    return len(files)
+        name = relative_name("path", root) if root else F.col("path")
+        loaded = (
+            prints.withColumn("_stg_file_name", name)
+            .join(counts, ["_stg_file_name", "md5"], "left")
+            .select(
+                F.lit(e.name).alias("table_name"),
+                "path",
+                "md5",
+                "length",
+                F.lit(load_id).cast("bigint").alias("load_id"),
+                F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"),
+                F.coalesce("corrupt_count", F.lit(0)).cast("bigint").alias("corrupt_count"),
+                F.lit(batch_ts).cast("timestamp").alias("load_ts"),
+            )
+        )
+        loaded.write.mode("append").parquet(ledger_path)
+        return len(files)
 
 
 def read_stage(spark: SparkSession, entity: Entity | str, stage_path: str, strict: bool = False) -> DataFrame:

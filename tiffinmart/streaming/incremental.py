@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from tiffinmart import entities
 from tiffinmart.entities import AUDIT, Entity
 from tiffinmart.plans.warehouse import Warehouse
-from tiffinmart.sources.csv_stage import CORRUPT, csv_options, csv_schema, read_stage, with_lineage
+from tiffinmart.session import materialized
+from tiffinmart.sources.csv_stage import (
+    CORRUPT, csv_options, csv_schema, read_stage, with_fingerprints, with_lineage,
+)
 from tiffinmart.sources.files import fingerprints
 
 FILES_PER_BATCH = 1000
@@ -51,19 +54,20 @@ def stream_csv(
 
 
 def append_stage_batch(warehouse: Warehouse, entity: Entity | str, rows: DataFrame, batch_id: int) -> None:
-    """Write one micro-batch as its own `load_id` folder; a repeat replaces it."""
+    """Write one micro-batch as its own `load_id` folder; a repeat replaces it.
+
+    The text files are parsed once, into columns; their names, at most `files_per_batch`, and the
+    rows are then read from there.
+    """
     e = entities.get(entity)
-    # At most `files_per_batch` names.
-    files = [r["_path"] for r in rows.select("_path").distinct().toLocalIterator()]
-    target = f"{warehouse.stage_path(e)}/load_id={batch_id}"
-    if files:
-        prints = fingerprints(rows.sparkSession, files).select(
-            F.col("path").alias("_path"), F.col("md5").alias("_stg_file_md5")
-        )
-        rows = rows.join(prints, "_path", "left")
-    else:
-        rows = rows.withColumn("_stg_file_md5", F.lit(None).cast("string"))
-    rows.select(*e.source_columns, *AUDIT, CORRUPT).write.mode("overwrite").parquet(target)
+    with materialized(rows, f"batch-{e.name}") as parsed:
+        files = [r["_path"] for r in parsed.select("_path").distinct().toLocalIterator()]
+        if files:
+            parsed = with_fingerprints(parsed, fingerprints(warehouse.spark, files))
+        else:
+            parsed = parsed.withColumn("_stg_file_md5", F.lit(None).cast("string"))
+        target = f"{warehouse.stage_path(e)}/load_id={batch_id}"
+        parsed.select(*e.source_columns, *AUDIT, CORRUPT).write.mode("overwrite").parquet(target)
 
 
 def run_incremental(
