@@ -153,6 +153,21 @@ def test_reference_mode_end_to_end_shows_the_known_defects(spark, tmp_path):
     assert rows(warehouse.dim("delivery_agent"), "delivery_agent_id", "is_current") == [(1, False)]
 
 
+def test_reassigned_delivery_keeps_one_fact_row_with_the_new_agent(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "tables"), buckets=2)
+    land = tmp_path / "land"
+    first_day(land)
+    L.put(land / "delivery_agent/initial", "b.csv", "delivery_agent", L.agent("2"))
+    again = L.delivery("900", "100", "11", deliveryagentid="2", modifieddate="2024-01-06 00:00:00")
+    L.put(land / "delivery/initial", "b.csv", "delivery", again)
+    load(warehouse, land, 1, DAY1)
+    warehouse.refresh_all(DAY1, "2024-01-31")
+    assert warehouse.clean("delivery").count() == 3
+    agents = warehouse.dim("delivery_agent").select("delivery_agent_hk", "delivery_agent_id")
+    got = warehouse.fact().join(agents, F.col("delivery_agent_dim_key") == F.col("delivery_agent_hk"))
+    assert rows(got, "order_id", "delivery_agent_id") == [(100, 2), (101, 1)]
+
+
 # -- streaming -----------------------------------------------------------------------------------
 
 

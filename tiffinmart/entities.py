@@ -43,6 +43,12 @@ class Entity:
     frozen: tuple[str, ...] = ()  # never overwritten by an update
     update_only: tuple[str, ...] = ()  # when set, the only business columns an update touches
     dimension: Dimension | None = None
+    # The part of the key that tables are cut into slices by; the whole key when empty.
+    slice_by: tuple[str, ...] = ()
+
+    @property
+    def slice_key(self) -> tuple[str, ...]:
+        return self.slice_by or self.key
 
     @property
     def columns(self) -> tuple[str, ...]:
@@ -260,6 +266,7 @@ DELIVERY = Entity(
     ),
     key=("delivery_id", "order_id_fk", "delivery_agent_id_fk"),
     modified="modified_date",
+    slice_by=("order_id_fk",),
 )
 
 ORDERS = Entity(
@@ -301,6 +308,7 @@ ORDER_ITEM = Entity(
     ),
     key=("order_item_id", "order_id_fk", "menu_id_fk"),
     modified="modified_dt",
+    slice_by=("order_id_fk",),
 )
 
 ENTITIES = {

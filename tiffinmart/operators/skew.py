@@ -8,16 +8,18 @@ from pyspark.sql import functions as F
 HOT_ROWS = 1_000_000
 
 
-def skew_join(big: DataFrame, other: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def skew_join(
+    big: DataFrame, other: DataFrame, key: str, hot_rows: int = HOT_ROWS, count_on: DataFrame | None = None
+) -> DataFrame:
     """Inner join on `key`. A key with n > `hot_rows` rows in `big` is cut into ceil(n / hot_rows)
     salted parts and its rows of `other` are repeated once per part.
 
     The list of hot keys is broadcast: it holds at most rows / `hot_rows` keys, a million even for
-    10^12 rows. Counting the keys reads one column and combines before it shuffles. The salt is a
-    hash of the row, so a recomputed task salts the same way.
+    10^12 rows. Counting the keys, over `count_on` or else `big`, reads one column and combines
+    before it shuffles. The salt is a hash of the row, so a recomputed task salts the same way.
     """
     hot = (
-        big.groupBy(F.col(key).alias("_hot"))
+        (big if count_on is None else count_on).groupBy(F.col(key).alias("_hot"))
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > hot_rows)
         .select("_hot", F.ceil(F.col("_n") / hot_rows).cast("int").alias("_parts"))

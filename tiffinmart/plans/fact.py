@@ -39,12 +39,14 @@ def build_fact_changes(
     dims: Mapping[str, DataFrame],
     mode: str = "current",
     with_layout: bool = False,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Fact rows of the given events. `dims` maps entity names and "date" to frames.
 
     All lookups happen at order grain, before the join to the several times larger item table,
     which moves once for the order and, if the menu is large, once for the menu. Dimensions are
     not forced into broadcasts: Spark decides by their size; only the calendar, a row per day, is.
+    Orders with very many items are found by counting `count_on`, by default the items themselves.
 
     `current` takes the open version of every dimension and the address the delivery names.
     `reference` joins all versions and every address of the customer.
@@ -112,7 +114,8 @@ def build_fact_changes(
         "subtotal",
     )
     menu = _keys("menu", dims, mode, "_menu_id").withColumnRenamed("menu_dim_hk", "menu_dim_key")
-    fact = skew_join(items, context, "order_id").join(menu, "_menu_id")
+    counted = (order_items if count_on is None else count_on).select(F.col("order_id_fk").alias("order_id"))
+    fact = skew_join(items, context, "order_id", count_on=counted).join(menu, "_menu_id")
     layout = [
         F.year("_order_day").alias("order_year"), F.month("_order_day").alias("order_month")
     ] if with_layout else []
@@ -152,7 +155,8 @@ def incremental_fact_changes(
     """Fact rows of the affected orders, joined against the clean tables.
 
     So a status or delivery change alone reaches the fact, which it does not when only the three
-    change feeds are joined with each other.
+    change feeds are joined with each other. Another agent or another menu entry makes another
+    clean row; the newest delivery of an order and the newest row of an item count.
     """
     ids = affected.select(F.col("order_id").alias("_affected"))
 
@@ -160,11 +164,13 @@ def incremental_fact_changes(
         return df.join(ids, F.col(column) == F.col("_affected"), "left_semi")
 
     return build_fact_changes(
-        only(order_items, "order_id_fk"),
+        latest_per_key(only(order_items, "order_id_fk"), ["order_item_id", "order_id_fk"], ["modified_dt"]),
         only(orders, "order_id"),
-        only(deliveries, "order_id_fk"),
+        latest_per_key(only(deliveries, "order_id_fk"), ["order_id_fk"], ["modified_date"]),
         dims,
         with_layout=with_layout,
+        # Counting over all rows read may salt a key too many, but scans one column.
+        count_on=order_items,
     )
 
 

@@ -22,8 +22,8 @@ from tiffinmart.operators.scd2 import scd2_attribute_match, scd2_keyed
 from tiffinmart.plans import kpis
 from tiffinmart.plans.date_dim import date_bounds, date_dim
 from tiffinmart.plans.fact import LAYOUT, affected_orders, incremental_fact_changes, merge_fact
-from tiffinmart.sources.csv_stage import copy_into, read_stage
 from tiffinmart.session import empty_frame, materialized
+from tiffinmart.sources.csv_stage import copy_into, read_stage
 from tiffinmart.store import SnapshotTable
 
 EVENTS = ("order_item", "orders", "delivery")
@@ -44,7 +44,7 @@ class Warehouse:
 
     def clean_table(self, entity: Entity | str) -> SnapshotTable:
         e = entities.get(entity)
-        return SnapshotTable(self.spark, f"{self.root}/clean/{e.name}", e.key, self.buckets)
+        return SnapshotTable(self.spark, f"{self.root}/clean/{e.name}", e.slice_key, self.buckets)
 
     def dim_table(self, entity: Entity | str) -> SnapshotTable:
         e = entities.get(entity)
@@ -161,9 +161,10 @@ class Warehouse:
         dims = {e.name: self.dim(e) for e in DIMENSION_ENTITIES} | {"date": self.dates()}
         # The ids serve each of the three event tables, the fact rows the slices and the merge.
         with materialized(affected, "affected-orders") as ids:
-            rows = incremental_fact_changes(
-                ids, self.clean("order_item"), self.clean("orders"), self.clean("delivery"), dims, with_layout=True
-            )
+            # The three event tables are sliced by order, so the same slices hold an order's rows.
+            slices = self.clean_table("orders").touched_slices(ids)
+            items, orders, deliveries = (self.clean_table(name).read(slices=slices) for name in EVENTS)
+            rows = incremental_fact_changes(ids, items, orders, deliveries, dims, with_layout=True)
             with materialized(rows, "fact-changes") as changes:
                 if table.exists():
                     touched = table.touched_slices(changes)
