@@ -25,6 +25,9 @@ def test_flagship_has_rows(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, sf_dir, con):
     df = QUERIES[name](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert unwanted not in plan
     if name in ORACLES:
         assert compare(df, con, ORACLES[name]) is None
     else:

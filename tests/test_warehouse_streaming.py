@@ -110,6 +110,12 @@ def test_every_clean_row_traces_back_to_its_file(two_days):
     assert files == {"customer/initial/a.csv", "customer/delta/b.csv"}
 
 
+def test_load_history(two_days):
+    warehouse, _ = two_days
+    assert rows(warehouse.history("menu", "2024-01-11 00:30:00"), "load_id", "row_count") == [(2, 1)]
+    assert warehouse.history("menu", "2024-01-11 00:30:00", hours=48).count() == 2
+
+
 def test_nothing_new_means_nothing_done(two_days):
     warehouse, _ = two_days
     versions = {n: warehouse.clean_table(n).version() for n in entities.ENTITIES}

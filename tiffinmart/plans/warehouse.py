@@ -24,6 +24,7 @@ from tiffinmart.plans.date_dim import date_bounds, date_dim
 from tiffinmart.plans.fact import LAYOUT, affected_orders, incremental_fact_changes, merge_fact
 from tiffinmart.session import empty_frame, materialized
 from tiffinmart.sources.csv_stage import copy_into, read_stage
+from tiffinmart.sources.ledger import copy_history, read_ledger
 from tiffinmart.store import SnapshotTable
 
 EVENTS = ("order_item", "orders", "delivery")
@@ -89,6 +90,11 @@ class Warehouse:
             self.spark, e, path, self.stage_path(e), f"{self.ledger_path}/{e.name}", load_id, batch_ts, landing, strict
         )
 
+    def history(self, entity: Entity | str, now: datetime | str, hours: int = 1) -> DataFrame:
+        """Files loaded into the entity's stage table within the last `hours` before `now`."""
+        e = entities.get(entity)
+        return copy_history(read_ledger(self.spark, f"{self.ledger_path}/{e.name}"), e.name, now, hours)
+
     def refresh_clean(self, entity: Entity | str) -> int | None:
         """Upsert the stage rows appended since the last refresh. Returns the new version."""
         e = entities.get(entity)
