@@ -23,17 +23,17 @@ def source(spark):
     return spark.createDataFrame([(2, "A2", "B2"), (3, "a3", "b3"), (4, "A4", None)], SCHEMA)
 
 
-@pytest.mark.parametrize("broadcast", [False, True])
-def test_update_and_insert(target, source, broadcast):
-    out = merge_upsert(target, source, ["id"], ["a", "b"], broadcast_source=broadcast)
+@pytest.mark.parametrize("limit", [None, 2, 3])
+def test_update_and_insert(target, source, limit):
+    out = merge_upsert(target, source, ["id"], ["a", "b"], broadcast_up_to=limit)
     assert rows(out) == [(1, "a1", "b1"), (2, "A2", "B2"), (3, "a3", "b3"), (4, "A4", None)]
 
 
-@pytest.mark.parametrize("broadcast", [False, True])
-def test_partial_update_and_insert_expressions(target, source, broadcast):
+@pytest.mark.parametrize("limit", [None, 2, 3])
+def test_partial_update_and_insert_expressions(target, source, limit):
     out = merge_upsert(
         target, source, ["id"], {"a": F.concat("t.a", "s.a")},
-        {"id": F.col("s.id"), "a": F.lit("new")}, broadcast_source=broadcast,
+        {"id": F.col("s.id"), "a": F.lit("new")}, broadcast_up_to=limit,
     )
     assert rows(out) == [(1, "a1", "b1"), (2, "a2A2", None), (3, "a3a3", "b3"), (4, "new", None)]
 
@@ -178,3 +178,49 @@ def test_deduplicated_source_is_shuffled_once(spark, target, source):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_source_is_broadcast_only_within_its_limit(target, source):
+    def plan(limit):
+        out = merge_upsert(target, source, ["id"], ["a"], broadcast_up_to=limit)
+        return out._jdf.queryExecution().executedPlan().toString()
+
+    assert "BroadcastHashJoin" in plan(3) and "FullOuter" not in plan(3)
+    assert "FullOuter" in plan(2)
+
+
+def test_location_update_keeps_its_creation_time(spark):
+    def one(city, created, modified):
+        df = spark.createDataFrame([("1", city, "Goa", "1", "Yes", created, modified)], ", ".join(f"{c} string" for c in LOCATION))
+        return clean("location", df)[0]
+
+    a = one("Panaji", "2024-01-01 00:00:00", "2024-01-01 00:00:00")
+    b = one("Agra", "2024-06-06 00:00:00", "2024-01-02 00:00:00")
+    r = upsert_entity("location", a, b).first()
+    assert (r.city, r.city_tier, str(r.created_ts)) == ("Agra", "Tier-2", "2024-01-01 00:00:00")
+
+
+def test_address_update_keeps_its_customer(spark):
+    cols = entities.CUSTOMER_ADDRESS.source_columns
+
+    def one(customer, floor):
+        row = {c: "x" for c in cols} | {"addressid": "7", "customerid": customer, "floor": floor}
+        return clean("customer_address", spark.createDataFrame([tuple(row.values())], ", ".join(f"{c} string" for c in cols)))[0]
+
+    r = upsert_entity("customer_address", one("1", "2"), one("9", "3")).first()
+    assert (r.customer_id_fk, r.floor) == (1, "3")
+
+
+def test_composite_keys_of_the_event_entities():
+    """Stated once more by hand: a wrong key or update list in the configuration must not pass."""
+    assert entities.DELIVERY.key == ("delivery_id", "order_id_fk", "delivery_agent_id_fk")
+    assert entities.ORDER_ITEM.key == ("order_item_id", "order_id_fk", "menu_id_fk")
+    business = {n: set(e.update_columns) - set(entities.AUDIT) for n, e in entities.ENTITIES.items()}
+    assert business["orders"] == {"total_amount", "status", "payment_method", "modified_dt"}
+    assert business["delivery_agent"] == {
+        "phone", "vehicle_type", "location_id_fk", "status", "gender", "rating", "created_dt", "modified_dt",
+    }
+    assert business["order_item"] == {"quantity", "price", "subtotal", "created_dt", "modified_dt"}
+    assert "created_ts" not in business["location"] and "customer_id_fk" not in business["customer_address"]
+    for name in ("restaurant", "customer", "menu"):
+        assert business[name] == set(entities.get(name).columns) - set(entities.get(name).key)

@@ -603,9 +603,9 @@ _register_upsert("merge_upsert_composite", "delivery")
 
 @register("merge_upsert_restaurant", O.upsert_sql("restaurant"))
 def merge_upsert_restaurant(spark, sf):
-    """The same upsert without a shuffle of the target, the source being small."""
+    """The same upsert, without a shuffle of the target while the source is small."""
     return merge.upsert_entity(
-        "restaurant", typed(spark, sf, "restaurant", 0), typed(spark, sf, "restaurant", 1), broadcast_source=True
+        "restaurant", typed(spark, sf, "restaurant", 0), typed(spark, sf, "restaurant", 1), broadcast_up_to=100_000
     )
 
 

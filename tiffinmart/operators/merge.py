@@ -47,7 +47,7 @@ def merge_upsert(
     update: Assignments,
     insert: Assignments | None = None,
     condition: Column | None = None,
-    broadcast_source: bool = False,
+    broadcast_up_to: int | None = None,
 ) -> DataFrame:
     """Rows of `target` updated from matching source rows, plus source rows without a match.
 
@@ -55,8 +55,9 @@ def merge_upsert(
     `s.*`; `insert` defaults to every target column the source has. A match whose `condition` is
     false or NULL leaves the row alone. The source must hold one row per key (`latest_per_key`).
 
-    The default plan is one full outer join on the key. With `broadcast_source` the target is not
-    shuffled at all; use it only for a source known to be small, it is read three times.
+    The plan is one full outer join on the key. With `broadcast_up_to` the source's rows are counted
+    first, no further than that number; if there are no more, it is broadcast (and read three times)
+    and the target is not shuffled at all.
     """
     sets = _assignments(update)
     puts = _assignments(insert if insert is not None else [c for c in target.columns if c in source.columns])
@@ -75,7 +76,7 @@ def merge_upsert(
         old = F.col(f"t.{name}")
         return F.when(apply, sets[name].cast(types[name])).otherwise(old) if name in sets else old
 
-    if broadcast_source:
+    if broadcast_up_to is not None and source.limit(broadcast_up_to + 1).count() <= broadcast_up_to:
         small = F.broadcast(s)
         kept = t.join(small, _on(on), "left").select(*[updated(n).alias(n) for n in target.columns])
         hit = t.join(small, _on(on), "inner").select(*[F.col(f"t.{k}").alias(k) for k in on])
