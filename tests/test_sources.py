@@ -83,6 +83,8 @@ def test_files_load_once_and_changed_content_loads_again(spark, tmp_path):
 
     landing.put(land / "delta-1", "day-02.csv", "location", landing.location("1"), landing.location("2"))
     assert load(1) == 1 and load(2) == 0
+    with pytest.raises(ValueError, match="already recorded"):
+        load(1)
     # The same name and content under another prefix is another file.
     landing.put(land / "delta-2", "day-02.csv", "location", landing.location("1"), landing.location("2"))
     assert load(3) == 1

@@ -125,6 +125,13 @@ def test_nothing_new_means_nothing_done(two_days):
     assert versions == {n: warehouse.clean_table(n).version() for n in entities.ENTITIES}
 
 
+def test_a_load_number_that_would_be_skipped_is_refused(two_days, tmp_path):
+    warehouse, _ = two_days
+    L.put(tmp_path, "late.csv", "menu", L.menu("9", "1.00"))
+    with pytest.raises(ValueError, match="at load 2"):
+        warehouse.load("menu", str(tmp_path), 2, DAY2)
+
+
 def test_repeated_load_is_recognised(spark, two_days):
     warehouse, _ = two_days
     stage = read_stage(spark, "menu", warehouse.stage_path("menu"))

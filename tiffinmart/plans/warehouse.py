@@ -84,8 +84,11 @@ class Warehouse:
         landing: str | None = None,
         strict: bool = False,
     ) -> int:
-        """Append the new files under `path` to the stage table."""
+        """Append the new files under `path` to the stage table. Load numbers must rise."""
         e = entities.get(entity)
+        consumed = self.clean_table(e).batch_id()
+        if consumed is not None and load_id <= consumed:
+            raise ValueError(f"load {load_id} of {e.name} would not be seen: the clean table is at load {consumed}")
         return copy_into(
             self.spark, e, path, self.stage_path(e), f"{self.ledger_path}/{e.name}", load_id, batch_ts, landing, strict
         )

@@ -109,10 +109,13 @@ def copy_into(
     """Append the files not loaded yet to the stage table and record them. Returns the file count.
 
     The rows of a load live in their own `load_id` folder, so repeating a failed load replaces
-    its rows; the ledger is written last.
+    its rows; the ledger is written last. A finished load's number cannot be used again.
     """
     e = entities.get(entity)
-    pending = pending_files(fingerprints(spark, path), read_ledger(spark, ledger_path), e.name)
+    ledger = read_ledger(spark, ledger_path)
+    if ledger.filter((F.col("table_name") == e.name) & (F.col("load_id") == load_id)).limit(1).count():
+        raise ValueError(f"load {load_id} of {e.name} is already recorded")
+    pending = pending_files(fingerprints(spark, path), ledger, e.name)
     # Content is hashed once; the result serves the file list, the rows and the ledger.
     with materialized(pending, "pending-files") as prints:
         # File names only, as many as this load has new files.

@@ -81,7 +81,11 @@ def run_incremental(
     root: str | None = None,
 ) -> None:
     """Ingest the waiting files of an entity and carry each micro-batch on to the layers in
-    `then`: clean upsert, dimension versions, fact upsert."""
+    `then`: clean upsert, dimension versions, fact upsert.
+
+    Batch numbers come from the checkpoint and mark what the tables hold, so a warehouse keeps one
+    checkpoint per entity for good, and an entity is either streamed or loaded by `Warehouse.load`.
+    """
     e = entities.get(entity)
 
     def step(rows: DataFrame, batch_id: int) -> None:
