@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tiffinmart.llm.byte_cnn import quality_scores
+from tiffinmart.llm.decontaminate import contamination
 from tiffinmart.llm.licences import PARAGRAPH, RULES, SENTENCE_END, SENTENCES, TRIGGERS, normal_form, scan_licences
 from tiffinmart.llm.mixing import mix_sources
 from tiffinmart.llm.quality_rules import quality_rules
+from tiffinmart.llm.secret_scan import scan_secrets
+from tiffinmart.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,6 +60,11 @@ SELECT doc_id, text, lang, source, n_chars, copy::INT AS copy, {_UNIT.format("'m
 """
 
 
+@query
+def op2_contamination(spark, sf_dir):
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op3_licences(spark, sf_dir):
     return scan_licences(table(spark, sf_dir, "documents"))
@@ -89,6 +98,23 @@ SELECT doc_id, n_known, sentence_ids, concat_ws(',', {found}) AS licences, lengt
 ORACLES["op3_licences"] = _licence_sql()
 
 
+@query
+def op5_secrets(spark, sf_dir):
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op8_quality_scores(spark, sf_dir):
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     return quality_rules(table(spark, sf_dir, "documents")).drop("text_hash")
