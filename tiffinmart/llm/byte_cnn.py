@@ -144,7 +144,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = 1000, mo
     """doc_id, held_out, score and predicted of every row of `docs`, from the bytes of its whole text alone.
 
     Learns from labelled documents outside the held-out fold (crc32 of the id as text, mod 3, is 1): at most
-    `per_class` of each class, `most_chunks` chunks of each; classes weigh as in all allowed labels. A chunk is 512
+    `per_class` of each class, `most_chunks` chunks of each, so that a score of 0.5 treats both alike. A chunk is 512
     bytes and what filters need of the next; a document's features are maximum and mean over all its chunks. A null
     or empty text is one empty chunk and gets the score that the network gives it; without labels of both classes
     every score is 0.5. A null id is in no fold and counts as not held out; repeated rows each get a row; null labels
@@ -152,14 +152,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = 1000, mo
     """
     picked = pick(docs, "doc_id", "text")
     allowed = pick(labels, "doc_id", "quality").filter((fold_of(F.col("doc_id"), 3) != 1) & F.col("quality").isin(0, 1))
-    sizes = {r["quality"]: r["count"] for r in allowed.groupBy("quality").count().collect()}
     net = ByteNet()
-    if len(sizes) == 2:
-        texts = training_chunks(picked, allowed, per_class, most_chunks)
-        taken = [sum(y == k for _, y in texts) for k in (0, 1)]
-        if all(taken):
-            net.fit(texts)
-            net.p["base"] += np.float32(np.log(sizes[1] / sizes[0]) - np.log(taken[1] / taken[0]))
+    texts = training_chunks(picked, allowed, per_class, most_chunks)
+    if {y for _, y in texts} == {0, 1}:
+        net.fit(texts)
     weights = net.p
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
