@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tiffinmart.llm.byte_cnn import quality_scores
 from tiffinmart.llm.decontaminate import contamination
+from tiffinmart.llm.jaccard_join import jaccard_components
 from tiffinmart.llm.licences import PARAGRAPH, RULES, SENTENCE_END, SENTENCES, TRIGGERS, normal_form, scan_licences
 from tiffinmart.llm.mixing import mix_sources
 from tiffinmart.llm.quality_rules import quality_rules
@@ -103,6 +104,11 @@ def op5_secrets(spark, sf_dir):
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_jaccard_components(spark, sf_dir):
+    return jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_token_counts(spark, sf_dir):
     import public_tokenizers
