@@ -13,6 +13,7 @@ from tiffinmart.llm.licences import PARAGRAPH, RULES, SENTENCE_END, SENTENCES, T
 from tiffinmart.llm.mixing import mix_sources
 from tiffinmart.llm.quality_rules import quality_rules
 from tiffinmart.llm.secret_scan import scan_secrets
+from tiffinmart.llm.suffix_dedup import remove_repeats
 from tiffinmart.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,3 +147,8 @@ s AS (SELECT doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\\x20\\x09-\
 f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s)
 SELECT *, NOT base_failed AND NOT (n_words - n_common_words < 50 OR n_common_words > 0.7 * n_words) AS kept FROM f
 """
+
+
+@query
+def op10_remove_repeats(spark, sf_dir):
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
