@@ -14,6 +14,7 @@ from tiffinmart.llm.mixing import mix_sources
 from tiffinmart.llm.quality_rules import quality_rules
 from tiffinmart.llm.secret_scan import scan_secrets
 from tiffinmart.llm.suffix_dedup import remove_repeats
+from tiffinmart.llm.suffix_tree import text_scores
 from tiffinmart.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,6 +101,11 @@ SELECT doc_id, n_known, sentence_ids, concat_ws(',', {found}) AS licences, lengt
 ORACLES["op3_licences"] = _licence_sql()
 
 
+@query
+def op4_suffix_tree(spark, sf_dir):
+    return text_scores(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_secrets(spark, sf_dir):
     return scan_secrets(table(spark, sf_dir, "documents"))
