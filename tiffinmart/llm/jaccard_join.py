@@ -127,16 +127,23 @@ def _longs(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.uint64).view(np.int64))
 
 
+def row_key(doc_id, text):
+    """Tells rows of one id apart by their texts."""
+    return F.xxhash64(doc_id, text)
+
+
 def set_sizes(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n_shingles and node of every row."""
+    """doc_id, key (of the row), n_shingles and node of every row."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_blocks(batches):
             _, _, n, node = element_sets(batch.column("text"), size)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n.astype(np.int64)), _longs(node)], names=["doc_id", "n_shingles", "node"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("key"), pa.array(n.astype(np.int64)), _longs(node)], names=["doc_id", "key", "n_shingles", "node"]
+            )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(measure, f"doc_id {kind}, n_shingles long, node long")
+    return docs.withColumn("key", row_key("doc_id", "text")).mapInArrow(measure, f"doc_id {kind}, key long, n_shingles long, node long")
 
 
 def signature_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -216,19 +223,8 @@ def _pair(x, y):
     return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
 
-def jaccard_components(docs: DataFrame, percent: int = 85, size: int = 4, most_broadcast: int = 1_000_000) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row: the least doc_id reachable by links.
-
-    A text's set holds its distinct shingles of `size` words (A-Z lowered), or its whole word sequence where that is
-    shorter. Texts link when 100 * |intersection| >= percent * |union|. Copies of a set are one node from the start.
-    Nodes that share a signature are a bucket; pairs are verified exactly, first all of a bucket with the member that
-    shares most, then, in buckets that still hold several components, with more and more members, until every pair is
-    verified or connected. No link between different texts is lost, and a group of copies never meets pair by pair.
-
-    A null or empty text has no set, n_shingles 0 and itself as component. A null doc_id is never the least; the
-    component of nulls alone is null. Repeated rows each get a row. No documents give no rows; other columns are not
-    read. Shingles and sets are told apart by 64-bit hashes.
-    """
+def classes(docs: DataFrame, percent: int, size: int, most_broadcast: int) -> DataFrame:
+    """doc_id, key, n_shingles and comp (a number of the component; each text without words has its own) of every row."""
     docs = pick(docs, "doc_id", "text")
     sizes = settled(set_sizes(docs, size), "sizes")
     each = Window.partitionBy("sig")
@@ -262,11 +258,27 @@ def jaccard_components(docs: DataFrame, percent: int = 85, size: int = 4, most_b
         heads *= 8
 
     named = sizes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    least = named.filter("n_shingles > 0").groupBy("comp").agg(F.min("doc_id").alias("least"))
+    # Texts without words share no component, and must not meet in one place.
+    return named.select("doc_id", "key", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("comp")).otherwise(F.col("key")).alias("comp"))
+
+
+def jaccard_components(docs: DataFrame, percent: int = 85, size: int = 4, most_broadcast: int = 1_000_000) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row: the least doc_id reachable by links.
+
+    A text's set holds its distinct shingles of `size` words (A-Z lowered), or its whole word sequence where that is
+    shorter. Texts link when 100 * |intersection| >= percent * |union|. Copies of a set are one node from the start.
+    Nodes that share a signature are a bucket; pairs are verified exactly, first all of a bucket with the member that
+    shares most, then, in buckets that still hold several components, with more and more members, until every pair is
+    verified or connected. No link between different texts is lost, and a group of copies never meets pair by pair.
+
+    A null or empty text has no set, n_shingles 0 and itself as component. A null doc_id is never the least; the
+    component of nulls alone is null. Repeated rows each get a row. No documents give no rows; other columns are not
+    read. Shingles and sets are told apart by 64-bit hashes.
+    """
+    found = classes(docs, percent, size, most_broadcast)
+    least = found.filter("n_shingles > 0").groupBy("comp").agg(F.min("doc_id").alias("least"))
     own = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id"))
-    # Empty texts share no component, so they must not meet in one place.
-    key = F.when(F.col("n_shingles") > 0, F.col("comp")).otherwise(F.xxhash64("doc_id"))
-    return named.withColumn("comp", key).join(least, "comp", "left").select("doc_id", "n_shingles", own.alias("component_id"))
+    return found.join(least, "comp", "left").select("doc_id", "n_shingles", own.alias("component_id"))
 
 
 def _undecided(buckets: DataFrame, comps: DataFrame, heads: int) -> DataFrame:
@@ -277,10 +289,14 @@ def _undecided(buckets: DataFrame, comps: DataFrame, heads: int) -> DataFrame:
     return settled(placed.join(several, "sig"), "undecided")
 
 
-def one_of_each(docs: DataFrame, percent: int = 80, size: int = 5) -> DataFrame:
-    """One row of `docs` for each component: the one with the least doc_id, and of several with that id the least text.
-    Texts without words are all kept."""
+def one_of_each(docs: DataFrame, percent: int = 80, size: int = 5, most_broadcast: int = 1_000_000) -> DataFrame:
+    """One row of `docs` for each component, as it was: the one of least doc_id (null after all others), of several with
+    that id one by a hash of the text. Of repeated rows one stays. Texts without words are no copies of each other."""
     names = list(docs.columns)
-    comps = jaccard_components(docs, percent, size)
-    keep = comps.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"), (F.col("n_shingles") == 0).alias("_empty")).distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi").select(*names)
+    found = classes(docs, percent, size, most_broadcast)
+    first = found.groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")).alias("first"))
+    keep = first.select(F.col("first.key").alias("key")).distinct()
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    keyed = plain.withColumn("key", row_key(f"c{names.index('doc_id')}", f"c{names.index('text')}"))
+    one = keyed.join(keep, "key", "left_semi").withColumn("n", F.row_number().over(Window.partitionBy("key").orderBy(F.lit(1))))
+    return one.filter("n = 1").drop("key", "n").toDF(*names)

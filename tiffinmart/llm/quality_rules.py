@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiffinmart.llm.frames import LOWER, SEPARATORS, UPPER, pick
+from tiffinmart.llm.storage import settled
 
 SYMBOLS = "#*$%&|<>"
 GAP = "[ \\t-\\r]+"
@@ -106,6 +107,9 @@ def quality_rules(
 def keep_good(docs: DataFrame, **limits) -> DataFrame:
     """The rows of `docs` that `quality_rules` keeps, all columns as they were."""
     names = list(docs.columns)
-    verdict = quality_rules(docs, **limits).filter("kept").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("_text"))
-    return docs.join(verdict, same, "left_semi").select(*names)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    # Written down first: a filter would be pushed into the counts and have them computed twice.
+    verdict = settled(quality_rules(docs, **limits).select(F.xxhash64("doc_id", "text_hash").alias("key"), "kept"), "verdict")
+    text_hash = F.xxhash64(F.coalesce(f"c{names.index('text')}", F.lit("")))
+    keyed = plain.withColumn("key", F.xxhash64(f"c{names.index('doc_id')}", text_hash))
+    return keyed.join(verdict.filter("kept").select("key").distinct(), "key", "left_semi").drop("key").toDF(*names)
