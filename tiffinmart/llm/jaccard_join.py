@@ -181,6 +181,35 @@ def stored_sets(docs: DataFrame, size: int, wanted: DataFrame, most_broadcast: i
     return sets.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("elements").alias("elements"))
 
 
+def sketches(sets: DataFrame) -> DataFrame:
+    """node, n and the parities of its elements by place modulo 1024, as 16 numbers. Two sets differ in at least as
+    many elements as their parities do, whatever the elements are."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each = [np.frombuffer(e.as_py(), np.uint64) for e in batch.column("elements")]
+            bits = np.zeros((len(each), 1024), np.uint8)
+            for row, e in enumerate(each):
+                bits[row] = np.bincount((mixed(e) >> np.uint64(54)).astype(np.int64), minlength=1024) & 1
+            parts = np.packbits(bits, axis=1).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("node"), pa.array([len(e) for e in each], pa.int64()), *(pa.array(np.ascontiguousarray(p)) for p in parts.T)],
+                names=["node", "n", *SKETCH],
+            )
+
+    return sets.mapInArrow(fold, "node long, n long, " + ", ".join(f"{c} long" for c in SKETCH))
+
+
+SKETCH = tuple(f"s{i}" for i in range(16))
+
+
+def may_link(x: str, y: str, percent: int):
+    """Whether sizes and parities leave room for a link between the rows of two aliases."""
+    n, k = F.col(f"{x}.n"), F.col(f"{y}.n")
+    differ = sum((F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in SKETCH[1:]), start=F.bit_count(F.col(f"{x}.s0").bitwiseXOR(F.col(f"{y}.s0"))))
+    return (differ * (100 + percent) <= (100 - percent) * (n + k)) & (F.least(n, k) * 100 >= F.greatest(n, k) * percent)
+
+
 def linked(pairs: DataFrame, sets: DataFrame, percent: int, group: int = 500) -> DataFrame:
     """The pairs (a, b) whose sets overlap enough.
 
@@ -237,25 +266,29 @@ def classes(docs: DataFrame, percent: int, size: int, most_broadcast: int) -> Da
     buckets = settled(met.groupBy("sig", "node").agg(F.bit_or("role").alias("role")), "buckets")
     sets = settled(stored_sets(docs, size, buckets.select("node").distinct(), most_broadcast), "sets")
 
-    counts = buckets.groupBy("sig").agg(F.count("*").alias("n"))
-    shares = settled(buckets.join(counts, "sig").groupBy("node").agg(F.sum("n").alias("shares")), "shares")
+    parities = settled(sketches(sets), "parities")
+
+    counts = buckets.groupBy("sig").agg(F.count("*").alias("size"))
+    shares = buckets.join(counts, "sig").groupBy("node").agg(F.sum("size").alias("shares"))
     best = buckets.join(shares, "node").groupBy("sig").agg(F.max(F.struct("shares", "node")).alias("best")).select("sig", F.col("best.node").alias("centre"))
     pairs = buckets.join(best, "sig").filter("node <> centre").select(*_pair(F.col("node"), F.col("centre"))).distinct()
+    x, y = parities.alias("x"), parities.alias("y")
+    pairs = pairs.join(x, F.col("a") == F.col("x.node")).join(y, (F.col("b") == F.col("y.node")) & may_link("x", "y", percent)).select("a", "b")
     links = settled(linked(pairs, sets, percent), "links")
     comps = components(links)
 
-    heads = 8
-    rest = _undecided(buckets, comps, 1)
-    while not rest.isEmpty():
-        ranked = rest.join(shares, "node").withColumn("rank", F.row_number().over(each.orderBy(F.desc("shares"), "node")))
-        x, y = ranked.filter(F.col("rank") <= heads).alias("x"), ranked.alias("y")
+    placed = buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    several = placed.groupBy("sig").agg(F.min("comp").alias("least"), F.max("comp").alias("greatest"), F.count("*").alias("size"))
+    several = several.filter("least <> greatest and size > 2").select("sig")
+    rest = settled(placed.join(several, "sig", "left_semi").join(parities, "node"), "undecided")
+    if not rest.isEmpty():
+        x, y = rest.alias("x"), rest.alias("y")
         meets = (F.col("x.role").bitwiseAND(F.shiftright("y.role", 1)) + F.shiftright("x.role", 1).bitwiseAND(F.col("y.role"))) > 0
-        more = x.join(y, F.col("x.sig") == F.col("y.sig")).filter((F.col("x.rank") < F.col("y.rank")) & (F.col("x.comp") != F.col("y.comp")) & meets)
-        pairs = more.select(*_pair(F.col("x.node"), F.col("y.node"))).distinct()
+        apart = (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp"))
+        more = x.join(y, (F.col("x.sig") == F.col("y.sig")) & apart & meets & may_link("x", "y", percent))
+        pairs = more.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
         links = settled(links.unionAll(linked(pairs, sets, percent)), "links")
         comps = components(links)
-        rest = _undecided(rest.drop("comp", "n"), comps, heads)
-        heads *= 8
 
     named = sizes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     # Texts without words share no component, and must not meet in one place.
@@ -267,9 +300,10 @@ def jaccard_components(docs: DataFrame, percent: int = 85, size: int = 4, most_b
 
     A text's set holds its distinct shingles of `size` words (A-Z lowered), or its whole word sequence where that is
     shorter. Texts link when 100 * |intersection| >= percent * |union|. Copies of a set are one node from the start.
-    Nodes that share a signature are a bucket; pairs are verified exactly, first all of a bucket with the member that
-    shares most, then, in buckets that still hold several components, with more and more members, until every pair is
-    verified or connected. No link between different texts is lost, and a group of copies never meets pair by pair.
+    Nodes that share a signature are a bucket. First all of a bucket meet the member that shares most; then, where a
+    bucket still holds several components, its nodes of different ones meet. Only pairs whose sizes and parities leave
+    room for a link leave the join, to be verified exactly: no link between different texts is lost, and a group of
+    copies never meets pair by pair.
 
     A null or empty text has no set, n_shingles 0 and itself as component. A null doc_id is never the least; the
     component of nulls alone is null. Repeated rows each get a row. No documents give no rows; other columns are not
@@ -281,14 +315,6 @@ def jaccard_components(docs: DataFrame, percent: int = 85, size: int = 4, most_b
     return found.join(least, "comp", "left").select("doc_id", "n_shingles", own.alias("component_id"))
 
 
-def _undecided(buckets: DataFrame, comps: DataFrame, heads: int) -> DataFrame:
-    """Rows of buckets of several components and more than `heads` members, or of any size while one was tried."""
-    placed = buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    several = placed.groupBy("sig").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("n"))
-    several = several.filter((F.col("low") != F.col("high")) & (F.col("n") > max(heads, 2))).select("sig", "n")
-    return settled(placed.join(several, "sig"), "undecided")
-
-
 def one_of_each(docs: DataFrame, percent: int = 80, size: int = 5, most_broadcast: int = 1_000_000) -> DataFrame:
     """One row of `docs` for each component, as it was: the one of least doc_id (null after all others), of several with
     that id one by a hash of the text. Of repeated rows one stays. Texts without words are no copies of each other."""
