@@ -4,8 +4,10 @@ import pytest
 from compare import compare, connect
 
 import __spark_entry__ as entry_points
+from tiffinmart.catalogue import queries as catalogue
 
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+# Optional packages test their own queries.
+QUERIES, ORACLES = catalogue.QUERIES, catalogue.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -14,6 +16,7 @@ def con(sf_dir):
 
 
 def test_oracles_belong_to_queries():
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"file_content_md5", "list_stage_files"}
 

@@ -420,6 +420,13 @@ def null_counts_sql(entity: str, day: int, columns: Sequence[str]) -> str:
     )
 
 
+def lengths_sql(entity: str, day: int) -> str:
+    limits = [(f.name, f.max_len) for f in entities.get(entity).fields if f.max_len]
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE length({c}) > {n}) AS too_long FROM ({clean_sql(entity, day)})" for c, n in limits
+    )
+
+
 def null_rates_sql(entity: str, day: int, limits: dict[str, float]) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{c}' AS column_name, r AS null_rate, CAST({m} AS DOUBLE) AS max_rate, r <= {m} AS within_limit
@@ -456,7 +463,7 @@ def reconcile_sql() -> str:
 
 
 def on_time_sql() -> str:
-    return f"""SELECT city_tier, count(*) AS deliveries, count(*) FILTER (WHERE late = FALSE) AS on_time,
+    return f"""SELECT CASE WHEN location_id IS NULL THEN 'unknown' ELSE city_tier END AS city_tier, count(*) AS deliveries, count(*) FILTER (WHERE late = FALSE) AS on_time,
         count(*) FILTER (WHERE late = FALSE) / CAST(count(*) AS DOUBLE) AS on_time_rate
         FROM (SELECT o_custkey AS k, (o_orderkey % 60) > (o_orderkey % 50 + 10) AS late FROM orders)
-        JOIN ({_typed_sql('location', 0)}) ON k = location_id GROUP BY city_tier"""
+        LEFT JOIN ({_typed_sql('location', 0)}) ON k = location_id GROUP BY ALL"""

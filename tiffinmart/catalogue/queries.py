@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +24,7 @@ from tiffinmart.operators.sequence import add_sequence
 from tiffinmart.plans import dashboard, fact, kpis
 from tiffinmart.plans.date_dim import date_bounds, date_dim, date_key
 from tiffinmart.plans.warehouse import Warehouse
-from tiffinmart.session import materialize, shared_dir
+from tiffinmart.session import shared_dir
 from tiffinmart.sources.csv_stage import CORRUPT, copy_into, csv_schema, load_stage, read_stage, scan_csv
 from tiffinmart.sources.files import fingerprints, list_files
 from tiffinmart.sources.ledger import copy_history, pending_files, read_ledger
@@ -605,7 +603,7 @@ _register_upsert("merge_upsert_composite", "delivery")
 def merge_upsert_restaurant(spark, sf):
     """The same upsert, without a shuffle of the target while the source is small."""
     return merge.upsert_entity(
-        "restaurant", typed(spark, sf, "restaurant", 0), typed(spark, sf, "restaurant", 1), broadcast_up_to=100_000
+        "restaurant", typed(spark, sf, "restaurant", 0), typed(spark, sf, "restaurant", 1)
     )
 
 
@@ -716,21 +714,10 @@ def join_fact_date(spark, sf):
     )
 
 
-def _side_by_side(jobs: dict[str, Callable[[], DataFrame]], purpose: str) -> dict[str, DataFrame]:
-    """Frames written as tables, the way a later job finds them; independent writes run together."""
-    with ThreadPoolExecutor(len(jobs)) as pool:
-        stored = pool.map(lambda item: materialize(item[1](), f"{purpose}-{item[0]}"), jobs.items())
-        return dict(zip(jobs, stored, strict=True))
-
-
 def _star_inputs(spark, sf, build, events: dict[str, tuple[str, int]]) -> tuple[dict, dict]:
-    """Stored clean events, by name as (entity, day), and stored dimensions."""
-    jobs = {name: partial(typed, spark, sf, entity, day) for name, (entity, day) in events.items()}
-    jobs |= {f"dim_{e.name}": partial(build, spark, sf, e.name) for e in DIMENSION_ENTITIES}
-    jobs["dim_date"] = partial(dates, spark, sf)
-    stored = _side_by_side(jobs, "star")
-    dims = {n.removeprefix("dim_"): df for n, df in stored.items() if n.startswith("dim_")}
-    return {n: stored[n] for n in events}, dims
+    """Clean events, by name as (entity, day), and dimensions, each part of the query's own plan."""
+    dims = {e.name: build(spark, sf, e.name) for e in DIMENSION_ENTITIES} | {"date": dates(spark, sf)}
+    return {name: typed(spark, sf, entity, day) for name, (entity, day) in events.items()}, dims
 
 
 _DAY_0 = {"items": ("order_item", 0), "orders": ("orders", 0), "deliveries": ("delivery", 0)}
@@ -905,6 +892,11 @@ def check_not_null(spark, sf):
     )
 
 
+@register("check_lengths", O.lengths_sql("customer", 1))
+def check_lengths(spark, sf):
+    return quality.check_lengths(typed(spark, sf, "customer", 1), "customer")
+
+
 @register(
     "check_unique",
     "SELECT l_orderkey, l_linenumber, count(*) AS occurrences FROM lineitem GROUP BY ALL HAVING count(*) > 1",
@@ -930,9 +922,6 @@ def check_foreign_keys(spark, sf):
         F.to_date("order_date").alias("order_date"),
     )
 
-    # A stored fact: each check then reads one column of it.
-    rows = materialize(rows, "fact-keys")
-
     def ids(entity: str, key: str) -> DataFrame:
         return typed(spark, sf, entity, 1).select(c(key).cast("bigint").alias(key))
 

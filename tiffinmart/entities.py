@@ -67,6 +67,7 @@ class Entity:
         return T.StructType([T.StructField(c, T.StringType()) for c in self.source_columns])
 
 
+# File layouts, types, lengths, keys and tags of the nine entities.
 LOCATION = Entity(
     name="location",
     source_columns=("locationid", "city", "state", "zipcode", "activeflag", "createddate", "modifieddate"),

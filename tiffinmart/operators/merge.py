@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiffinmart import entities
@@ -16,13 +16,12 @@ Assignments = Mapping[str, Column] | Sequence[str]
 def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the greatest by `order`, ties broken by the remaining columns.
 
-    A plain max over a struct, so every map task reduces its rows to one per key before the
-    shuffle and a hot key costs no more than any other.
+    One shuffle and one sort, both of use to a join on the key. Spark cuts the rows of a key down to
+    one before the shuffle, so a hot key costs no more than any other.
     """
-    rest = [c for c in df.columns if c not in order]
-    best = F.max(F.struct(*order, *rest)).alias("_best")
-    # The key comes from the grouping, so a join on it needs no second shuffle.
-    return df.groupBy(*key).agg(best).select(*[c if c in key else F.col(f"_best.{c}") for c in df.columns])
+    rest = [c for c in df.columns if c not in order and c not in key]
+    newest = Window.partitionBy(*key).orderBy(*[F.desc(c) for c in (*order, *rest)])
+    return df.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
 
 
 def _assignments(spec: Assignments | None) -> dict[str, Column]:
@@ -47,7 +46,6 @@ def merge_upsert(
     update: Assignments,
     insert: Assignments | None = None,
     condition: Column | None = None,
-    broadcast_up_to: int | None = None,
 ) -> DataFrame:
     """Rows of `target` updated from matching source rows, plus source rows without a match.
 
@@ -55,9 +53,7 @@ def merge_upsert(
     `s.*`; `insert` defaults to every target column the source has. A match whose `condition` is
     false or NULL leaves the row alone. The source must hold one row per key (`latest_per_key`).
 
-    The plan is one full outer join on the key. With `broadcast_up_to` the source's rows are counted
-    first, no further than that number; if there are no more, it is broadcast (and read three times)
-    and the target is not shuffled at all.
+    The plan is one full outer join on the key.
     """
     sets = _assignments(update)
     puts = _assignments(insert if insert is not None else [c for c in target.columns if c in source.columns])
@@ -76,13 +72,6 @@ def merge_upsert(
         old = F.col(f"t.{name}")
         return F.when(apply, sets[name].cast(types[name])).otherwise(old) if name in sets else old
 
-    if broadcast_up_to is not None and source.limit(broadcast_up_to + 1).count() <= broadcast_up_to:
-        small = F.broadcast(s)
-        kept = t.join(small, _on(on), "left").select(*[updated(n).alias(n) for n in target.columns])
-        hit = t.join(small, _on(on), "inner").select(*[F.col(f"t.{k}").alias(k) for k in on])
-        new = source.join(F.broadcast(hit), list(on), "left_anti").alias("s")
-        return kept.unionByName(new.select(*[inserted(n).alias(n) for n in target.columns]))
-
     joined = t.join(s, _on(on), "full_outer")
     is_new = F.col("t._in_t").isNull()
     return joined.select(*[F.when(is_new, inserted(n)).otherwise(updated(n)).alias(n) for n in target.columns])
@@ -99,12 +88,15 @@ def changed_nullsafe(columns: Sequence[str]) -> Column:
 
 
 def upsert_entity(
-    entity: Entity | str, target: DataFrame, source: DataFrame, mode: str = "default", **options
+    entity: Entity | str, target: DataFrame, source: DataFrame, mode: str = "default"
 ) -> DataFrame:
     """The entity's own MERGE: which columns an update may touch and when it fires.
 
-    Locations update only when a tracked column changed. In reference mode that test is not
-    null-safe, and a delivery agent's rating loses its fraction on insert.
+    A stored row yields only to a source row that is greater in the order that also picks one of
+    several source rows, so the result does not depend on how rows are split into batches. In
+    reference mode any source row wins. Locations update only when a tracked column changed; in
+    reference mode that test is not null-safe, and a delivery agent's rating loses its fraction on
+    insert.
     """
     e = entities.get(entity)
     update = [c for c in e.update_columns if c in target.columns]
@@ -118,4 +110,8 @@ def upsert_entity(
         insert["rating"] = F.round(F.col("s.rating"), 0)
     order = [e.modified, *[a for a in AUDIT if a in source.columns and a.endswith("_ts")]]
     single = latest_per_key(source, list(e.key), order)
-    return merge_upsert(target, single, list(e.key), update, insert, condition, **options)
+    if mode != "reference":
+        compared = [c for c in order if c in target.columns] + [c for c in update if c not in order and c in source.columns]
+        newer = F.struct(*[F.col(f"s.{c}") for c in compared]) > F.struct(*[F.col(f"t.{c}") for c in compared])
+        condition = newer if condition is None else condition & newer
+    return merge_upsert(target, single, list(e.key), update, insert, condition)

@@ -95,7 +95,8 @@ def on_time_by_tier(deliveries: DataFrame, locations: DataFrame, location_key: s
     """Share of deliveries within the estimate per city tier.
 
     `deliveries` has `location_key`, `estimated_time` as free text whose first number is minutes,
-    and `actual_minutes`; rows without a number are left out.
+    and `actual_minutes`; rows without a number are left out. Deliveries to a location that is not in
+    the table have the tier `unknown`.
     """
     estimate = F.regexp_extract("estimated_time", r"(\d+)", 1).try_cast("int")
     rows = deliveries.select(location_key, (F.col("actual_minutes") <= estimate).alias("on_time")).filter(
@@ -106,7 +107,10 @@ def on_time_by_tier(deliveries: DataFrame, locations: DataFrame, location_key: s
         F.count(F.lit(1)).alias("n"), F.count_if("on_time").alias("ok")
     )
     return (
-        per_location.join(locations.select(F.col("location_id").alias(location_key), "city_tier"), location_key)
+        per_location.join(
+            locations.select(F.col("location_id").alias(location_key), F.coalesce("city_tier", F.lit("")).alias("_tier")), location_key, "left"
+        )
+        .withColumn("city_tier", F.when(F.col("_tier").isNull(), "unknown").when(F.col("_tier") != "", F.col("_tier")))
         .groupBy("city_tier")
         .agg(
             F.sum("n").alias("deliveries"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tiffinmart import entities
 from tiffinmart.operators.merge import latest_per_key, merge_upsert
 from tiffinmart.operators.skew import skew_join
+from tiffinmart.plans.date_dim import date_key
 
 FACT_KEY = ["order_item_id", "order_id"]
 DIM_KEYS = (
@@ -39,17 +40,18 @@ def build_fact_changes(
     dims: Mapping[str, DataFrame],
     mode: str = "current",
     with_layout: bool = False,
-    count_on: DataFrame | None = None,
+    salt_hot_orders: bool = False,
 ) -> DataFrame:
     """Fact rows of the given events. `dims` maps entity names and "date" to frames.
 
     All lookups happen at order grain, before the join to the several times larger item table,
     which moves once for the order and, if the menu is large, once for the menu. Dimensions are
-    not forced into broadcasts: Spark decides by their size; only the calendar, a row per day, is.
-    Orders with very many items are found by counting `count_on`, by default the items themselves.
+    not forced into broadcasts: Spark decides by their size. Orders with very many items are left to
+    the adaptive skew join, or with `salt_hot_orders` counted and salted.
 
-    `current` takes the open version of every dimension and the address the delivery names.
-    `reference` joins all versions and every address of the customer.
+    `current` takes the open version of every dimension and the address the delivery names, and the
+    calendar key from the order day itself, so that no order waits for the calendar to reach its day.
+    `reference` joins all versions, every address of the customer, and the calendar.
     """
     reference = mode == "reference"
     o = orders.select(
@@ -65,9 +67,6 @@ def build_fact_changes(
         "delivery_status",
         "estimated_time",
     )
-    days = dims["date"].select(
-        F.col("calendar_date").alias("_order_day"), F.col("date_dim_hk").alias("order_date_dim_key")
-    )
     restaurants = _keys("restaurant", dims, mode, "_restaurant_id", "location_id_fk").withColumnRenamed(
         "location_id_fk", "_location_id"
     )
@@ -84,9 +83,15 @@ def build_fact_changes(
         addresses = _keys("customer_address", dims, mode, "_address_id")
         address_on = "_address_id"
 
+    if reference:
+        days = dims["date"].select(
+            F.col("calendar_date").alias("_order_day"), F.col("date_dim_hk").alias("order_date_dim_key")
+        )
+        o = o.join(F.broadcast(days), "_order_day")
+    else:
+        o = o.filter("_order_day IS NOT NULL").withColumn("order_date_dim_key", date_key(F.col("_order_day")))
     context = (
         o.join(d, "order_id")
-        .join(F.broadcast(days), "_order_day")
         .join(restaurants.join(locations, "_location_id"), "_restaurant_id")
         .join(agents, "_agent_id")
         .join(customers, "_customer_id")
@@ -114,8 +119,8 @@ def build_fact_changes(
         "subtotal",
     )
     menu = _keys("menu", dims, mode, "_menu_id").withColumnRenamed("menu_dim_hk", "menu_dim_key")
-    counted = (order_items if count_on is None else count_on).select(F.col("order_id_fk").alias("order_id"))
-    fact = skew_join(items, context, "order_id", count_on=counted).join(menu, "_menu_id")
+    joined = skew_join(items, context, "order_id") if salt_hot_orders else items.join(context, "order_id")
+    fact = joined.join(menu, "_menu_id")
     layout = [
         F.year("_order_day").alias("order_year"), F.month("_order_day").alias("order_month")
     ] if with_layout else []
@@ -169,8 +174,6 @@ def incremental_fact_changes(
         latest_per_key(only(deliveries, "order_id_fk"), ["order_id_fk"], ["modified_date"]),
         dims,
         with_layout=with_layout,
-        # Counting over all rows read may salt a key too many, but scans one column.
-        count_on=order_items,
     )
 
 

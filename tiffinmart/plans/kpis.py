@@ -37,10 +37,15 @@ def revenue_kpis(
     """KPIs by columns of the date dimension, the fact and, with `restaurants`, `restaurant_name`.
 
     The status filter sits below both joins. The calendar is broadcast, a row per day; the
-    restaurants only if Spark finds them small.
+    restaurants only if Spark finds them small. A fact with year and month columns is joined on
+    them as well: where they are its folders, a filter on the calendar leaves others unread.
     """
     rows = fact if status is None else fact.filter(F.col("delivery_status") == status)
-    rows = rows.join(F.broadcast(dates), F.col("order_date_dim_key") == F.col("date_dim_hk"))
+    same = F.col("order_date_dim_key") == F.col("date_dim_hk")
+    for own, of_day in (("order_year", "year"), ("order_month", "month")):
+        if own in fact.columns:
+            same = same & (F.col(own) == F.col(of_day))
+    rows = rows.join(F.broadcast(dates), same)
     if restaurants is not None:
         names = restaurants.select("restaurant_hk", F.col("name").alias("restaurant_name"))
         rows = rows.join(names, F.col("restaurant_dim_key") == F.col("restaurant_hk"))
