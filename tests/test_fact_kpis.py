@@ -149,3 +149,21 @@ def test_sequence_is_dense_and_ordered(spark):
 
 def test_sequence_of_nothing(spark):
     assert add_sequence(spark.range(0), ["id"]).count() == 0
+
+
+def test_a_filter_on_the_calendar_prunes_the_folders_of_the_fact(spark, tmp_path):
+    days = with_date_parts(spark.sql("SELECT explode(sequence(date'2023-01-01', date'2024-12-31')) AS calendar_date"))
+    rows_ = days.selectExpr(
+        "date_dim_hk AS order_date_dim_key", "year AS order_year", "month AS order_month", "1L AS order_id", "2L AS order_item_id",
+        "3L AS restaurant_dim_key", "cast(5 AS decimal(10,2)) AS subtotal", "'Delivered' AS delivery_status",
+    )
+    path = str(tmp_path / "fact")
+    rows_.write.partitionBy("order_year", "order_month").parquet(path)
+    fact = spark.read.parquet(path)
+    monthly = kpis.monthly_kpis(fact, days.filter("calendar_date BETWEEN '2024-02-01' AND '2024-02-29'"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    text = plan(monthly)
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    filters = text[text.index("PartitionFilters: [") :].split("PushedFilters")[0]
+    assert "order_year#" in filters and "order_month#" in filters and filters.count("dynamicpruningexpression") == 2
+    assert monthly.count() == 1

@@ -23,17 +23,15 @@ def source(spark):
     return spark.createDataFrame([(2, "A2", "B2"), (3, "a3", "b3"), (4, "A4", None)], SCHEMA)
 
 
-@pytest.mark.parametrize("limit", [None, 2, 3])
-def test_update_and_insert(target, source, limit):
-    out = merge_upsert(target, source, ["id"], ["a", "b"], broadcast_up_to=limit)
+def test_update_and_insert(target, source):
+    out = merge_upsert(target, source, ["id"], ["a", "b"])
     assert rows(out) == [(1, "a1", "b1"), (2, "A2", "B2"), (3, "a3", "b3"), (4, "A4", None)]
 
 
-@pytest.mark.parametrize("limit", [None, 2, 3])
-def test_partial_update_and_insert_expressions(target, source, limit):
+def test_partial_update_and_insert_expressions(target, source):
     out = merge_upsert(
         target, source, ["id"], {"a": F.concat("t.a", "s.a")},
-        {"id": F.col("s.id"), "a": F.lit("new")}, broadcast_up_to=limit,
+        {"id": F.col("s.id"), "a": F.lit("new")},
     )
     assert rows(out) == [(1, "a1", "b1"), (2, "a2A2", None), (3, "a3a3", "b3"), (4, "new", None)]
 
@@ -72,9 +70,9 @@ def test_latest_per_key_takes_newest_and_breaks_ties(spark):
 
 
 def test_latest_per_key_reduces_before_the_shuffle(spark):
-    df = spark.range(1000).selectExpr("1 AS k", "id AS ts")
+    df = spark.range(1000).selectExpr("id % 7 AS k", "id AS ts")
     plan = latest_per_key(df, ["k"], ["ts"])._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max" in plan.split("Exchange", 1)[1]
+    assert "WindowGroupLimit" in plan.split("Exchange", 1)[1]
 
 
 AGENT = entities.DELIVERY_AGENT.source_columns
@@ -126,6 +124,7 @@ def test_several_source_rows_per_key_leave_one(spark):
 
 
 LOCATION = entities.LOCATION.source_columns
+CUSTOMER = entities.CUSTOMER.source_columns
 
 
 def test_location_rejects_unknown_state_and_marks_the_rule(spark):
@@ -180,13 +179,27 @@ def test_deduplicated_source_is_shuffled_once(spark, target, source):
     assert plan.count("Exchange hashpartitioning") == 2
 
 
-def test_source_is_broadcast_only_within_its_limit(target, source):
-    def plan(limit):
-        out = merge_upsert(target, source, ["id"], ["a"], broadcast_up_to=limit)
-        return out._jdf.queryExecution().executedPlan().toString()
+def test_latest_rows_are_one_sort_that_the_merge_uses(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(100).selectExpr("id % 10 AS k", "id AS t", "cast(id AS string) AS v")
+        single = latest_per_key(df, ["k"], ["t"])
+        assert rows(single, "k", "t") == [(k, 90 + k) for k in range(10)]
+        plan = merge_upsert(df.limit(0), single, ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortAggregate" not in plan and "WindowGroupLimit" in plan
+
+
+def test_a_stored_row_yields_only_to_a_newer_one(spark):
+    def one(name, day):
+        values = {"customerid": "1", "name": name, "createddate": "2024-01-01 00:00:00", "modifieddate": f"2024-01-{day} 00:00:00"}
+        df = spark.createDataFrame([tuple(values.get(c) for c in CUSTOMER)], ", ".join(f"{c} string" for c in CUSTOMER))
+        return clean("customer", df)[0]
 
-    assert "BroadcastHashJoin" in plan(3) and "FullOuter" not in plan(3)
-    assert "FullOuter" in plan(2)
+    for first, second, want in ((("a", "05"), ("b", "09"), "b"), (("a", "09"), ("b", "05"), "a"), (("b", "05"), ("a", "05"), "b")):
+        assert [r.name for r in upsert_entity("customer", one(*first), one(*second)).collect()] == [want]
+    assert [r.name for r in upsert_entity("customer", one("a", "09"), one("b", "05"), "reference").collect()] == ["b"]
 
 
 def test_location_update_keeps_its_creation_time(spark):

@@ -72,3 +72,13 @@ def test_int_and_bigint_keys_share_a_bucket(spark, table):
     assert table.touched_slices(frame(spark, (7, "a"))) == table.touched_slices(
         spark.createDataFrame([(7, "a")], "id int, v string")
     )
+
+
+def test_another_slicing_is_refused(spark, table):
+    table.commit(frame(spark, *[(i, "a") for i in range(20)]))
+    for other in (SnapshotTable(spark, table.root, ["id"], buckets=16), SnapshotTable(spark, table.root, ["v"], buckets=4)):
+        with pytest.raises(ValueError, match="cut into slices"):
+            other.read()
+        with pytest.raises(ValueError, match="cut into slices"):
+            other.commit(frame(spark, (1, "b")))
+    assert SnapshotTable(spark, table.root, ["id"], buckets=4).read().count() == 20

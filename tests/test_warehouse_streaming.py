@@ -212,18 +212,75 @@ def test_one_file_per_batch_gives_the_same_table(spark, tmp_path):
     assert warehouse.clean("customer").count() == 1
 
 
+def test_files_per_batch_does_not_change_the_result(spark, tmp_path):
+    land = tmp_path / "land"
+    for i, (day, name) in enumerate([("09", "newest"), ("01", "old"), ("09", "newest"), ("05", "mid")]):
+        L.put(land, f"f{i}.csv", "customer", L.customer("1", name=name, modifieddate=f"2024-01-{day} 00:00:00"))
+    got = {}
+    for n in (1, 1000):
+        warehouse = Warehouse(spark, str(tmp_path / f"w{n}"), buckets=2)
+        run_incremental(warehouse, "customer", str(land), str(tmp_path / f"ckpt{n}"), DAY1, files_per_batch=n, root=str(land))
+        dim = warehouse.dim("customer")
+        assert dim.filter("eff_start_date = eff_end_date").count() == 0
+        assert dim.select("customer_hk").distinct().count() == dim.count() == 1
+        got[n] = rows(warehouse.clean("customer")), rows(dim)
+    assert got[1] == got[1000] and "newest" in got[1][0][0]
+
+
 def test_a_replayed_micro_batch_changes_nothing(spark, tmp_path):
     land = tmp_path / "land"
     L.put(land, "a.csv", "customer", L.customer("1"), L.customer("2"))
     warehouse = Warehouse(spark, str(tmp_path / "w"), buckets=2)
     run_incremental(warehouse, "customer", str(land), str(tmp_path / "ckpt"), DAY1, ("clean",), root=str(land))
     version = warehouse.clean_table("customer").version()
-    # A driver that died after its commit runs the same batch again with a fresh checkpoint.
-    run_incremental(warehouse, "customer", str(land), str(tmp_path / "ckpt-2"), DAY1, ("clean",), root=str(land))
+    # A driver that died after its commit, and before Spark noted the batch as done, runs it again.
+    (tmp_path / "ckpt/commits/0").unlink()
+    (tmp_path / "ckpt/commits/.0.crc").unlink(missing_ok=True)
+    run_incremental(warehouse, "customer", str(land), str(tmp_path / "ckpt"), DAY1, ("clean",), root=str(land))
     assert warehouse.clean_table("customer").version() == version
     assert read_stage(spark, "customer", warehouse.stage_path("customer")).count() == 2
 
 
+def test_another_checkpoint_is_refused(spark, tmp_path):
+    land = tmp_path / "land"
+    L.put(land, "a.csv", "customer", L.customer("1"), L.customer("2"))
+    warehouse = Warehouse(spark, str(tmp_path / "w"), buckets=2)
+    run_incremental(warehouse, "customer", str(land), str(tmp_path / "ckpt"), DAY1, ("clean",), root=str(land))
+    L.put(land, "b.csv", "customer", L.customer("3"))
+    with pytest.raises(Exception, match="another checkpoint"):
+        run_incremental(warehouse, "customer", str(land), str(tmp_path / "ckpt-2"), DAY1, ("clean",), root=str(land))
+    assert read_stage(spark, "customer", warehouse.stage_path("customer")).count() == 2
+    run_incremental(warehouse, "customer", str(land), str(tmp_path / "ckpt"), DAY1, ("clean",), root=str(land))
+    assert warehouse.clean("customer").count() == 3
+
+
+def test_orders_past_the_calendar_and_late_dimension_rows_reach_the_fact(spark, tmp_path):
+    land = tmp_path / "land"
+    warehouse = Warehouse(spark, str(tmp_path / "tables"), buckets=2)
+    first_day(land)
+    load(warehouse, land, 1, DAY1)
+    warehouse.refresh_all(DAY1, "2024-01-07")
+    # One order after the last day of the calendar, one whose menu entry is not there yet.
+    L.put(land / "orders/late", "b.csv", "orders", L.order("102", "1", "2024-02-09"), L.order("103", "1", "2024-01-06"))
+    L.put(land / "delivery/late", "b.csv", "delivery", L.delivery("902", "102", "11"), L.delivery("903", "103", "11"))
+    L.put(land / "order_item/late", "b.csv", "order_item", L.item("3", "102", "1", "50.00"), L.item("4", "103", "9", "50.00"))
+    load(warehouse, land, 2, DAY2)
+    for name in ("orders", "delivery", "order_item"):
+        warehouse.refresh_clean(name)
+    warehouse.refresh_fact()
+    assert rows(warehouse.fact(), "order_id") == [(100,), (101,), (102,)]
+    assert str(warehouse.dates().agg(F.max("calendar_date")).first()[0]) == "2024-02-09"
+    warehouse.create_views()
+    assert spark.sql("SELECT sum(total_orders) FROM vw_yearly_revenue_kpis").first()[0] == 2
+    L.put(land / "menu/late", "b.csv", "menu", L.menu("9", "50.00"))
+    warehouse.load("menu", str(land / "menu"), 3, DAY2, str(land))
+    warehouse.refresh_clean("menu")
+    warehouse.refresh_dim("menu", DAY2)
+    warehouse.refresh_fact()
+    assert rows(warehouse.fact(), "order_id") == [(100,), (101,), (102,), (103,)]
+    assert warehouse.waiting_table().read().isEmpty() and warehouse.refresh_fact() is None
+
+
 def test_version_diff_is_the_net_change_between_reads(spark, tmp_path):
     """An insert and an update between two reads of the feed are one insert."""
     warehouse = Warehouse(spark, str(tmp_path / "w"), buckets=2)

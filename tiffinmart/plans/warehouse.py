@@ -61,8 +61,15 @@ class Warehouse:
     def dim(self, entity: Entity | str) -> DataFrame:
         return self.dim_table(entity).read()
 
+    def dates_table(self) -> SnapshotTable:
+        return SnapshotTable(self.spark, f"{self.root}/dim/date", ["date_dim_hk"], 1)
+
     def dates(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/dim/date")
+        return self.dates_table().read()
+
+    def waiting_table(self) -> SnapshotTable:
+        """Orders that gave no fact row yet, because a dimension row they name has not arrived."""
+        return SnapshotTable(self.spark, f"{self.root}/fact_waiting", ["order_id"], self.buckets)
 
     def fact(self, year: int | None = None, month: int | None = None) -> DataFrame:
         """The fact; year and month filters prune its folders."""
@@ -137,36 +144,57 @@ class Warehouse:
         before, after = source.images(consumed, latest)
         reference = self.mode == "reference"
         # In reference mode a row re-sent with new audit values counts as an update.
-        feed = change_feed(before, after, e.key, None if reference else e.dimension.attributes)
-        if table.exists():
-            touched = table.touched_slices(feed)
-            dim = table.read(slices=touched)
-        else:
-            touched, dim = None, None
-        if reference:
-            versions = scd2_attribute_match(dim, feed, e.dimension, batch_ts)
-        else:
-            versions = scd2_keyed(dim, feed, e.dimension, batch_ts)
-        return table.commit(versions, latest, touched)
+        changes = change_feed(before, after, e.key, None if reference else e.dimension.attributes)
+        # Compared once; the feed then serves the slices and the versions.
+        with materialized(changes, f"feed-{e.name}") as feed:
+            if table.exists():
+                touched = table.touched_slices(feed)
+                dim = table.read(slices=touched)
+            else:
+                touched, dim = None, None
+            if reference:
+                versions = scd2_attribute_match(dim, feed, e.dimension, batch_ts)
+            else:
+                versions = scd2_keyed(dim, feed, e.dimension, batch_ts)
+            return table.commit(versions, latest, touched)
 
     def refresh_dates(self, as_of_date: str) -> None:
+        """The calendar up to `as_of_date`, or in default mode to the newest order if that is later."""
         bounds = date_bounds(self.clean("orders"), "order_date", as_of_date)
-        days = date_dim(bounds, include_first=self.mode != "reference")
-        days.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/dim/date")
+        if self.mode != "reference":
+            newest = self.clean("orders").agg(F.to_date(F.max("order_date")).alias("newest"))
+            bounds = bounds.crossJoin(newest).select("lo", F.greatest("hi", "newest").alias("hi"))
+        self.dates_table().commit(date_dim(bounds, include_first=self.mode != "reference"))
+
+    def _extend_dates(self) -> None:
+        """The calendar goes on to the newest order, if it has begun at all."""
+        if self.mode == "reference" or not self.dates_table().exists():
+            return
+        last = self.dates().agg(F.max("calendar_date")).first()[0]
+        newest = self.clean("orders").agg(F.to_date(F.max("order_date"))).first()[0]
+        if newest is not None and (last is None or newest > last):
+            self.refresh_dates(str(newest))
 
     def refresh_fact(self) -> int | None:
-        """Upsert the fact rows of every order an item, order or delivery change touches."""
-        table = self.fact_table()
+        """Upsert the fact rows of every order an item, order or delivery change touches, and of those
+        that have waited for a dimension row."""
+        table, waiting = self.fact_table(), self.waiting_table()
         consumed = table.batch_id() or {}
         latest = {name: self.clean_table(name).version() for name in EVENTS}
-        if consumed == latest:
+        waited = waiting.read() if waiting.exists() else None
+        if consumed == latest and (waited is None or waited.isEmpty()):
             return None
+        self._extend_dates()
         feeds = {}
         for name in EVENTS:
             if latest[name] is not None and consumed.get(name) != latest[name]:
                 before, after = self.clean_table(name).images(consumed.get(name), latest[name])
                 feeds[name] = change_feed(before, after, entities.get(name).key)
-        affected = affected_orders(*(feeds.get(name) for name in EVENTS))
+        if feeds:
+            affected = affected_orders(*(feeds.get(name) for name in EVENTS))
+            affected = affected.union(waited).distinct() if waited is not None else affected
+        else:
+            affected = waited
         dims = {e.name: self.dim(e) for e in DIMENSION_ENTITIES} | {"date": self.dates()}
         # The ids serve each of the three event tables, the fact rows the slices and the merge.
         with materialized(affected, "affected-orders") as ids:
@@ -175,6 +203,13 @@ class Warehouse:
             items, orders, deliveries = (self.clean_table(name).read(slices=slices) for name in EVENTS)
             rows = incremental_fact_changes(ids, items, orders, deliveries, dims, with_layout=True)
             with materialized(rows, "fact-changes") as changes:
+                # Published before the fact: if the fact's version fails, these orders are only tried twice.
+                late = ids.join(changes.select("order_id").distinct(), "order_id", "left_anti")
+                with materialized(late, "fact-late") as left:
+                    if waiting.exists() or not left.isEmpty():
+                        waiting.commit(left)
+                if consumed == latest and changes.isEmpty():
+                    return None
                 if table.exists():
                     touched = table.touched_slices(changes)
                     fact = table.read(slices=touched)

@@ -66,7 +66,15 @@ class SnapshotTable:
             text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return json.loads(text)
+        entry = json.loads(text)
+        laid_out = entry.get("layout", self._layout())
+        if laid_out != self._layout():
+            raise ValueError(f"{self.root} is cut into slices by {laid_out}, not by {self._layout()}")
+        return entry
+
+    def _layout(self) -> dict:
+        """What decides the slice of a row; with another one, slices would be looked for in the wrong place."""
+        return {"key": self.key if self.buckets else [], "buckets": self.buckets, "partition_by": self.partition_by}
 
     def batch_id(self) -> int | None:
         """Batch number of the newest version that carries one."""
@@ -154,7 +162,7 @@ class SnapshotTable:
         kept = {} if replace is None else {s: v for s, v in old["slices"].items() if s not in set(replace)}
         slices = {**kept, **{s: version for s in self._written_slices(version)}}
         batch = batch_id if batch_id is not None else old["batch_id"]
-        self._publish(version, {"batch_id": batch, "schema": df.schema.json(), "slices": slices})
+        self._publish(version, {"batch_id": batch, "schema": df.schema.json(), "slices": slices, "layout": self._layout()})
         return version
 
     def changed_slices(self, old: int | None, new: int) -> list[str]:

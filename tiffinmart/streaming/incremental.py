@@ -53,6 +53,29 @@ def stream_csv(
     return with_lineage(rows, batch_ts, root)
 
 
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The number that Spark gives a checkpoint when it makes it."""
+    row = spark.read.json(f"{checkpoint}/metadata").select("id").first()
+    return row["id"]
+
+
+def claim(warehouse: Warehouse, entity: Entity | str, checkpoint: str) -> None:
+    """Binds an entity's stage table to its checkpoint. Batch numbers of another one start again, so they
+    would replace stage rows and be taken for batches that are already in."""
+    e = entities.get(entity)
+    own = checkpoint_id(warehouse.spark, checkpoint)
+    path = warehouse.spark._jvm.org.apache.hadoop.fs.Path(f"{warehouse.root}/checkpoints/{e.name}")
+    fs = path.getFileSystem(warehouse.spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        stream = fs.create(path, False)
+        stream.write(bytearray(own, "utf-8"))
+        stream.close()
+        return
+    known = warehouse.spark.read.text(f"{warehouse.root}/checkpoints/{e.name}").first()[0]
+    if known != own:
+        raise ValueError(f"{e.name} belongs to another checkpoint than {checkpoint}")
+
+
 def append_stage_batch(warehouse: Warehouse, entity: Entity | str, rows: DataFrame, batch_id: int) -> None:
     """Write one micro-batch as its own `load_id` folder; a repeat replaces it.
 
@@ -83,19 +106,25 @@ def run_incremental(
     """Ingest the waiting files of an entity and carry each micro-batch on to the layers in
     `then`: clean upsert, dimension versions, fact upsert.
 
+    Micro-batches reach stage and clean table one by one; dimension and fact follow once, when all have
+    arrived, from the change between their last version and the newest. So the result does not depend
+    on how files fall into batches.
+
     Batch numbers come from the checkpoint and mark what the tables hold, so a warehouse keeps one
-    checkpoint per entity for good, and an entity is either streamed or loaded by `Warehouse.load`.
+    checkpoint per entity for good; another one is refused. An entity is either streamed or loaded by
+    `Warehouse.load`.
     """
     e = entities.get(entity)
 
     def step(rows: DataFrame, batch_id: int) -> None:
+        claim(warehouse, e, checkpoint)
         append_stage_batch(warehouse, e, rows, batch_id)
         if "clean" in then:
             stage = read_stage(warehouse.spark, e, warehouse.stage_path(e))
             warehouse.merge_clean(e, stage.filter(F.col("load_id") == batch_id), batch_id)
-        if "dim" in then and e.dimension:
-            warehouse.refresh_dim(e, batch_ts)
-        if "fact" in then:
-            warehouse.refresh_fact()
 
     drain(stream_csv(warehouse.spark, e, source_dir, batch_ts, files_per_batch, root), step, checkpoint)
+    if "dim" in then and e.dimension:
+        warehouse.refresh_dim(e, batch_ts)
+    if "fact" in then:
+        warehouse.refresh_fact()
