@@ -18,7 +18,7 @@ def con(sf_dir):
 def test_oracles_belong_to_queries():
     assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"file_content_md5", "list_stage_files"}
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_flagship_has_rows(spark):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -174,17 +174,25 @@ def file_lineage_columns(spark, sf):
     )
 
 
-@register("file_content_md5")
+def _orders_by_month(spark, sf, purpose) -> str:
+    """One file per month of orders, its lines in order: SQL knows its bytes."""
+    o = table(spark, sf, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderkey", "o_orderpriority")
+    return write_csv(o.repartition("month").sortWithinPartitions("month", "o_orderkey"), shared_dir(spark, purpose), by="month")
+
+
+_MONTH_FILES = """SELECT strftime(o_orderdate, '%Y-%m') AS month, 'o_orderkey,o_orderpriority' || chr(10)
+    || string_agg(o_orderkey || ',' || o_orderpriority || chr(10), '' ORDER BY o_orderkey) AS content FROM orders GROUP BY 1"""
+
+
+@register("file_content_md5", f"SELECT md5(content) AS md5, octet_length(encode(content)) AS length FROM ({_MONTH_FILES})")
 def file_content_md5(spark, sf):
-    path = write_csv(stage(spark, sf, "orders"), shared_dir(spark, "md5"))
-    return fingerprints(spark, path, "*.csv").select("md5", "length")
+    return fingerprints(spark, _orders_by_month(spark, sf, "md5"), "*.csv").select("md5", "length")
 
 
-@register("list_stage_files")
+@register("list_stage_files", f"SELECT month, octet_length(encode(content)) AS length FROM ({_MONTH_FILES})")
 def list_stage_files(spark, sf):
-    return list_files(spark, sf, "*.parquet").select(
-        F.element_at(F.split("path", "/"), -1).alias("file_name"), "length"
-    )
+    files = list_files(spark, _orders_by_month(spark, sf, "listing"), "*.csv")
+    return files.select(F.regexp_extract("path", "month=([0-9-]+)/", 1).alias("month"), "length")
 
 
 def _load_twice(spark, sf, purpose):
@@ -219,11 +227,12 @@ def load_once_ledger(spark, sf):
     landing, _, ledger_path = _load_twice(spark, sf, "load-once")
     ledger = read_ledger(spark, ledger_path)
     pending = pending_files(fingerprints(spark, landing, "*.csv"), ledger, "customer")
-    return (
-        ledger.groupBy("load_id")
-        .agg(F.sum("row_count").alias("row_count"), F.sum("corrupt_count").alias("corrupt_count"))
-        .withColumn("still_pending", F.lit(pending.count()))
-    )
+    loaded = ledger.select("load_id", "row_count", "corrupt_count", F.lit(0).alias("waits"))
+    waiting = pending.select(F.lit(None).cast("long").alias("load_id"), F.lit(0).alias("row_count"), F.lit(0).alias("corrupt_count"), F.lit(1).alias("waits"))
+    loads = loaded.unionByName(waiting).groupBy("load_id").agg(*[F.sum(x).alias(x) for x in ("row_count", "corrupt_count", "waits")])
+    # One row per load is left.
+    total = F.sum("waits").over(Window.partitionBy())
+    return loads.withColumn("still_pending", total).filter("load_id IS NOT NULL").drop("waits")
 
 
 @register(

@@ -9,11 +9,13 @@ from tiffinmart.functions.calendar import calendar_parts
 from tiffinmart.functions.keys import hash_key
 
 
-def date_bounds(orders: DataFrame, date_col: str, as_of_date: str) -> DataFrame:
-    """One row (lo, hi): the first order day and the day the spine ends."""
-    return orders.agg(
-        F.to_date(F.min(date_col)).alias("lo"), F.to_date(F.lit(as_of_date)).alias("hi")
-    )
+def date_bounds(orders: DataFrame, date_col: str, as_of_date: str, to_newest: bool = False) -> DataFrame:
+    """One row (lo, hi): the first order day and the day the spine ends, with `to_newest` the last
+    order day if that is later."""
+    hi = F.to_date(F.lit(as_of_date))
+    if to_newest:
+        hi = F.greatest(hi, F.to_date(F.max(date_col)))
+    return orders.agg(F.to_date(F.min(date_col)).alias("lo"), hi.alias("hi"))
 
 
 def date_dim(bounds: DataFrame, include_first: bool = True, dow_base: int = 0) -> DataFrame:

@@ -160,10 +160,7 @@ class Warehouse:
 
     def refresh_dates(self, as_of_date: str) -> None:
         """The calendar up to `as_of_date`, or in default mode to the newest order if that is later."""
-        bounds = date_bounds(self.clean("orders"), "order_date", as_of_date)
-        if self.mode != "reference":
-            newest = self.clean("orders").agg(F.to_date(F.max("order_date")).alias("newest"))
-            bounds = bounds.crossJoin(newest).select("lo", F.greatest("hi", "newest").alias("hi"))
+        bounds = date_bounds(self.clean("orders"), "order_date", as_of_date, to_newest=self.mode != "reference")
         self.dates_table().commit(date_dim(bounds, include_first=self.mode != "reference"))
 
     def _extend_dates(self) -> None:

@@ -76,22 +76,25 @@ def load_stage(
     root: str | None = None,
     strict: bool = False,
     prints: DataFrame | None = None,
+    only: bool = False,
 ) -> DataFrame:
     """Stage rows of the files: text columns plus the four audit columns.
 
-    `prints` are the files' fingerprints, when the caller has them already.
+    `prints` are the files' fingerprints, when the caller has them already; with `only`, files without
+    one are left out.
     """
     e = entities.get(entity)
     rows = with_lineage(scan_csv(spark, e, path, strict), batch_ts, root)
     columns = [*e.source_columns, *AUDIT, *([] if strict else [CORRUPT])]
-    return with_fingerprints(rows, fingerprints(spark, path) if prints is None else prints).select(*columns)
+    known = fingerprints(spark, path) if prints is None else prints
+    return with_fingerprints(rows, known, "inner" if only else "left").select(*columns)
 
 
-def with_fingerprints(rows: DataFrame, prints: DataFrame) -> DataFrame:
+def with_fingerprints(rows: DataFrame, prints: DataFrame, how: str = "left") -> DataFrame:
     """Adds `_stg_file_md5` by `_path`. One row per file: Spark broadcasts them while they are small
     and shuffles otherwise."""
     return rows.join(
-        prints.select(F.col("path").alias("_path"), F.col("md5").alias("_stg_file_md5")), "_path", "left"
+        prints.select(F.col("path").alias("_path"), F.col("md5").alias("_stg_file_md5")), "_path", how
     )
 
 
@@ -118,12 +121,12 @@ def copy_into(
     pending = pending_files(fingerprints(spark, path), ledger, e.name)
     # Content is hashed once; the result serves the file list, the rows and the ledger.
     with materialized(pending, "pending-files") as prints:
-        # File names only, as many as this load has new files.
-        files = [r.path for r in prints.select("path").toLocalIterator()]
-        if not files:
+        n_files = prints.count()
+        if not n_files:
             return 0
         target = f"{stage_path}/load_id={load_id}"
-        load_stage(spark, e, files, batch_ts, root, strict, prints).write.mode("overwrite").parquet(target)
+        # The prefix is scanned and rows of other files fall away in the join: no list of files in the driver.
+        load_stage(spark, e, path, batch_ts, root, strict, prints, only=True).write.mode("overwrite").parquet(target)
 
         written = spark.read.parquet(target)
         bad = F.lit(False) if strict else F.col(CORRUPT).isNotNull()
@@ -146,7 +149,7 @@ def copy_into(
             )
         )
         loaded.write.mode("append").parquet(ledger_path)
-        return len(files)
+        return n_files
 
 
 def read_stage(spark: SparkSession, entity: Entity | str, stage_path: str, strict: bool = False) -> DataFrame:

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BLOCK = 64 * 1024 * 1024
-
 
 def list_files(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None) -> DataFrame:
     """path, length, modified_at of every file under the prefixes; no content is read."""
@@ -24,62 +20,21 @@ def list_files(spark: SparkSession, paths: str | Sequence[str], glob: str | None
     )
 
 
-def _block_digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
-
-    for batch in batches:
-        digests = []
-        for row in batch.itertuples(index=False):
-            system, path = fs.FileSystem.from_uri(row.path)
-            with system.open_input_file(path) as f:
-                f.seek(row.start)
-                digests.append(hashlib.md5(f.read(row.size)).digest())
-        yield pd.DataFrame({"path": batch["path"], "block": batch["block"], "digest": digests})
-
+def fingerprints(spark: SparkSession, paths: str | Sequence[str], glob: str | None = None) -> DataFrame:
+    """path, length, modified_at, md5 (of the content) of every file.
 
-def fingerprints(
-    spark: SparkSession, paths: str | Sequence[str], glob: str | None = None, block: int = BLOCK
-) -> DataFrame:
-    """path, length, modified_at, md5 of every file.
-
-    Files up to one block: the MD5 of the content, computed in the JVM. Larger files: blocks are
-    hashed in parallel and the value is the MD5 of their MD5s followed by '-' and the block count,
-    the form object stores use for multipart uploads. So no task ever holds more than one block.
+    One rule for all sizes, in the JVM and by any path that Spark reads. A task holds one file at a
+    time; Spark refuses files above 2 GB, which a landing folder for CSV loads should not have.
     """
-    listing = list_files(spark, paths, glob)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    small = (
-        reader.load(paths if isinstance(paths, str) else list(paths))
-        .filter(F.col("length") <= block)
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("length"),
-            F.col("modificationTime").alias("modified_at"),
-            F.md5("content").alias("md5"),
-        )
-    )
-    large = listing.filter(F.col("length") > block)
-    blocks = large.select(
-        "path", "length", F.explode(F.sequence(F.lit(0), F.ceil(F.col("length") / block) - 1)).alias("block")
-    ).select(
-        "path",
-        "block",
-        (F.col("block") * block).alias("start"),
-        F.least(F.lit(block).cast("bigint"), F.col("length") - F.col("block") * block).alias("size"),
-    )
-    digests = blocks.repartition("path", "block").mapInPandas(
-        _block_digests, "path string, block bigint, digest binary"
-    )
-    whole = digests.groupBy("path").agg(
-        F.sort_array(F.collect_list(F.struct("block", F.hex("digest").alias("hex")))).alias("parts")
-    )
-    joined = F.concat_ws("", F.transform("parts", lambda p: p["hex"]))
-    combined = whole.select(
-        "path", F.concat(F.md5(F.unhex(joined)), F.lit("-"), F.size("parts").cast("string")).alias("md5")
+    return reader.load(paths if isinstance(paths, str) else list(paths)).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("length"),
+        F.col("modificationTime").alias("modified_at"),
+        F.md5("content").alias("md5"),
     )
-    return small.unionByName(large.join(combined, "path").select("path", "length", "modified_at", "md5"))
 
 
 def relative_name(path: str, root: str) -> Column:

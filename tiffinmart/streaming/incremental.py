@@ -84,7 +84,8 @@ def append_stage_batch(warehouse: Warehouse, entity: Entity | str, rows: DataFra
     """
     e = entities.get(entity)
     with materialized(rows, f"batch-{e.name}") as parsed:
-        files = [r["_path"] for r in parsed.select("_path").distinct().toLocalIterator()]
+        # At most `files_per_batch` names, which is what they are there for.
+        files = [r["_path"] for r in parsed.select("_path").distinct().collect()]
         if files:
             parsed = with_fingerprints(parsed, fingerprints(warehouse.spark, files))
         else:
