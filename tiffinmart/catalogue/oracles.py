@@ -392,6 +392,31 @@ def star_join_reference_sql() -> str:
         CAST(sum(CAST(subtotal AS DECIMAL(10,2))) AS DOUBLE) AS subtotal, {', '.join(bounds)} FROM rows_ GROUP BY order_id"""
 
 
+def warehouse_kpis_sql() -> str:
+    """The five views over the fact of day 0, under one another."""
+    orders = _typed_sql("orders", 0)
+    rows = _fact_select(_typed_sql("order_item", 0), orders, _typed_sql("delivery", 0))
+    names = "year, month, day_of_month, day_name, delivery_status, restaurant_name".split(", ")
+
+    def view(name: str, by: str, where: str = "TRUE") -> str:
+        shown = ", ".join(n if n in by.split(", ") else f"NULL AS {n}" for n in names)
+        return f"SELECT '{name}' AS view_name, {shown}, {_MEASURES} FROM k WHERE {where} GROUP BY {by}"
+
+    delivered = "delivery_status = 'Delivered'"
+    views = [
+        view("yearly", "year", delivered),
+        view("monthly", "year, month", delivered),
+        view("daily", "year, month, day_of_month", delivered),
+        view("weekday", "year, month, day_name"),
+        view("restaurant", "year, month, delivery_status, restaurant_name"),
+    ]
+    return f"""WITH {_dim_ctes('initial')}, f AS ({rows}),
+        s AS (SELECT f.order_id, f.order_item_id, CAST(f.subtotal AS DECIMAL(10,2)) AS subtotal, f.delivery_status,
+            CAST(o.order_date AS DATE) AS day, r.name AS restaurant_name
+            FROM f JOIN ({orders}) o USING (order_id) JOIN d_restaurant r ON CAST(r.restaurant_hk AS VARCHAR) = f.restaurant_dim_key),
+        k AS (SELECT *, {_DAY_PARTS} FROM s) {" UNION ALL ".join(views)}"""
+
+
 def merge_fact_sql() -> str:
     """Fact rows of day 0, replaced by those of day 1 with the same item and order, plus new ones.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -1020,6 +1021,33 @@ def _stream_customers(spark, sf, purpose, then) -> Warehouse:
     return warehouse
 
 
+@register("warehouse_kpis", O.warehouse_kpis_sql())
+def warehouse_kpis(spark, sf):
+    """All nine entities from files to the five views."""
+    root = shared_dir(spark, "warehouse-kpis")
+    warehouse = Warehouse(spark, f"{root}/warehouse", buckets=2)
+    for name in entities.ENTITIES:
+        write_csv(stage(spark, sf, name), f"{root}/landing/{name}")
+        warehouse.load(name, f"{root}/landing/{name}", 0, T0, f"{root}/landing")
+    warehouse.refresh_all(T0, O.AS_OF)
+    rows, days, places_ = warehouse.fact(), warehouse.dates(), warehouse.dim("restaurant")
+    views = {
+        "yearly": kpis.yearly_kpis(rows, days),
+        "monthly": kpis.monthly_kpis(rows, days),
+        "daily": kpis.daily_kpis(rows, days).withColumnRenamed("day", "day_of_month"),
+        "weekday": kpis.weekday_kpis(rows, days),
+        "restaurant": kpis.monthly_restaurant_kpis(rows, days, places_),
+    }
+    whole = {"year": "bigint", "month": "bigint", "day_of_month": "bigint", "day_name": "string", "delivery_status": "string", "restaurant_name": "string"}
+
+    def same(name, df):
+        shown = [(c(n) if n in df.columns else F.lit(None)).cast(t).alias(n) for n, t in whole.items()]
+        return df.select(F.lit(name).alias("view_name"), *shown, *kpis.MEASURES)
+
+    frames = [same(name, df) for name, df in views.items()]
+    return reduce(DataFrame.unionByName, frames)
+
+
 @register("stream_append_ingest", f"{O.stage_sql('customer', 0)} UNION ALL {O.stage_sql('customer', 1)}")
 def stream_append_ingest(spark, sf):
     warehouse = _stream_customers(spark, sf, "stream-append", ())
