@@ -116,6 +116,20 @@ def op6_jaccard_components(spark, sf_dir):
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op6_jaccard_components"] = f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS.format("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS ws FROM documents),
+i AS (SELECT r, ws, unnest(range(1, greatest(len(ws) - 3, 1) + 1)) AS i FROM d WHERE len(ws) > 0),
+s AS (SELECT DISTINCT r, list_slice(ws, i, i + 3) AS s FROM i),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+p AS (SELECT a.r AS a, b.r AS b, count(*) AS both_ FROM s a JOIN s b ON a.s = b.s AND a.r < b.r GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * both_ >= 85 * (x.n + y.n - both_)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+c AS (SELECT r, r AS to_ FROM n UNION SELECT c.r, e.b FROM c JOIN e ON e.a = c.to_),
+m AS (SELECT c.r, min(d.doc_id) AS least FROM c JOIN d ON d.r = c.to_ GROUP BY c.r)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, CASE WHEN n IS NULL THEN doc_id ELSE least END AS component_id FROM d LEFT JOIN n USING (r) LEFT JOIN m USING (r)
+"""
+
+
 @query
 def op7_token_counts(spark, sf_dir):
     import public_tokenizers
@@ -158,3 +172,19 @@ SELECT *, NOT base_failed AND NOT (n_words - n_common_words < 50 OR n_common_wor
 @query
 def op10_remove_repeats(spark, sf_dir):
     return remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+# Bytes as pairs of hex digits; windows are told apart by their MD5.
+ORACLES["op10_remove_repeats"] = """
+WITH d AS (SELECT row_number() OVER (ORDER BY doc_id) AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT r, o, md5(substr(h, 2 * o + 1, 200)) AS w FROM (SELECT r, h, unnest(range(length(h) // 2 - 99)) AS o FROM d)),
+t AS (SELECT r, o, o + 100 AS e FROM (SELECT r, o, row_number() OVER (PARTITION BY w ORDER BY r, o) AS k FROM w) WHERE k > 1),
+f AS (SELECT r, o, e, o > coalesce(lag(e) OVER (PARTITION BY r ORDER BY o), -1) AS fresh FROM t),
+g AS (SELECT r, o, e, sum(fresh::INT) OVER (PARTITION BY r ORDER BY o) AS g FROM f),
+s AS (SELECT r, min(o) AS o, max(e) AS e FROM g GROUP BY r, g),
+k AS (SELECT r, coalesce(lag(e) OVER (PARTITION BY r ORDER BY o), 0) AS a, o AS b FROM s UNION ALL SELECT d.r, coalesce(max(e), 0), max(length(h) // 2) FROM d LEFT JOIN s USING (r) GROUP BY d.r),
+x AS (SELECT r, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS kept FROM k JOIN d USING (r) GROUP BY r),
+n AS (SELECT r, sum(e - o) AS n, count(*) AS spans FROM s GROUP BY r)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n.n, 0)::BIGINT AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM d JOIN x USING (r) LEFT JOIN n USING (r)
+"""
