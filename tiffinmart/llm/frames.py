@@ -55,7 +55,7 @@ def byte_view(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def in_blocks(batches: Iterator[pa.RecordBatch], most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def in_blocks(batches: Iterator[pa.RecordBatch], most_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Arrow batches cut to runs of rows with about `most_bytes` of column `text`; a longer text has its own block."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)

@@ -18,6 +18,9 @@ from tiffinmart.llm.tokens import mixed, shingles, words
 INDEX, PROBE = 1, 2
 #: A node id keeps its last two bits free for roles.
 ROLES = 3
+#: Segments beyond those that the bound needs, in percent.
+SPARE = 15
+PARITIES = tuple(f"s{i}" for i in range(16))
 
 
 class Bands:
@@ -25,8 +28,8 @@ class Bands:
 
     Sets that link differ by a factor of 100/percent in size at most, so a set meets only its own band and the one
     below. Two linked sets of n and k elements differ in (100 - percent) * (n + k) / (100 + percent) elements at most;
-    a band has one segment more than the largest such number for a set in it and a larger one, so that linked sets
-    agree on a whole segment.
+    a band has more segments than the largest such number for a set in it and a larger one, so that linked sets
+    agree on a whole segment, whichever of them as many as that number plus one are looked at.
     """
 
     def __init__(self, percent: int, largest: int):
@@ -38,6 +41,8 @@ class Bands:
         top = self.edges[1:] - 1
         self.top = np.concatenate([top, [top[-1]]])
         self.segments = self.differ(self.top, self.top * 100 // percent) + 1
+        # Some to spare: with fewer of them small segments, which many sets share, would have to be looked for.
+        self.segments += self.segments * SPARE // 100
 
     def differ(self, n, k):
         return (100 - self.percent) * (n + k) // (100 + self.percent)
@@ -133,17 +138,23 @@ def row_key(doc_id, text):
 
 
 def set_sizes(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, key (of the row), n_shingles and node of every row."""
+    """doc_id, key (of the row), n_shingles, node and, as 16 numbers, the parities of its elements by place modulo 1024
+    of every row. Two sets differ in at least as many elements as their parities do, whatever the elements are."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_blocks(batches):
-            _, _, n, node = element_sets(batch.column("text"), size)
+            h, rows, n, node = element_sets(batch.column("text"), size)
+            place = rows * 1024 + (mixed(h) >> np.uint64(54)).astype(np.int64)
+            odd = np.bincount(place, minlength=1024 * len(n)).reshape(len(n), 1024) & 1
+            parts = np.packbits(odd.astype(np.uint8), axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("key"), pa.array(n.astype(np.int64)), _longs(node)], names=["doc_id", "key", "n_shingles", "node"]
+                [batch.column("doc_id"), batch.column("key"), pa.array(n.astype(np.int64)), _longs(node), *(pa.array(np.ascontiguousarray(p)) for p in parts.T)],
+                names=["doc_id", "key", "n_shingles", "node", *PARITIES],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.withColumn("key", row_key("doc_id", "text")).mapInArrow(measure, f"doc_id {kind}, key long, n_shingles long, node long")
+    schema = f"doc_id {kind}, key long, n_shingles long, node long, " + ", ".join(f"{c} long" for c in PARITIES)
+    return docs.withColumn("key", row_key("doc_id", "text")).mapInArrow(measure, schema)
 
 
 def signature_rows(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -181,41 +192,22 @@ def stored_sets(docs: DataFrame, size: int, wanted: DataFrame, most_broadcast: i
     return sets.join(wanted, "node", "left_semi").groupBy("node").agg(F.first("elements").alias("elements"))
 
 
-def sketches(sets: DataFrame) -> DataFrame:
-    """node, n and the parities of its elements by place modulo 1024, as 16 numbers. Two sets differ in at least as
-    many elements as their parities do, whatever the elements are."""
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            each = [np.frombuffer(e.as_py(), np.uint64) for e in batch.column("elements")]
-            bits = np.zeros((len(each), 1024), np.uint8)
-            for row, e in enumerate(each):
-                bits[row] = np.bincount((mixed(e) >> np.uint64(54)).astype(np.int64), minlength=1024) & 1
-            parts = np.packbits(bits, axis=1).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array([len(e) for e in each], pa.int64()), *(pa.array(np.ascontiguousarray(p)) for p in parts.T)],
-                names=["node", "n", *SKETCH],
-            )
-
-    return sets.mapInArrow(fold, "node long, n long, " + ", ".join(f"{c} long" for c in SKETCH))
-
-
-SKETCH = tuple(f"s{i}" for i in range(16))
-
-
 def may_link(x: str, y: str, percent: int):
     """Whether sizes and parities leave room for a link between the rows of two aliases."""
     n, k = F.col(f"{x}.n"), F.col(f"{y}.n")
-    differ = sum((F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in SKETCH[1:]), start=F.bit_count(F.col(f"{x}.s0").bitwiseXOR(F.col(f"{y}.s0"))))
+    differ = sum((F.bit_count(F.col(f"{x}.{c}").bitwiseXOR(F.col(f"{y}.{c}"))) for c in PARITIES[1:]), start=F.bit_count(F.col(f"{x}.s0").bitwiseXOR(F.col(f"{y}.s0"))))
     return (differ * (100 + percent) <= (100 - percent) * (n + k)) & (F.least(n, k) * 100 >= F.greatest(n, k) * percent)
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int, group: int = 500) -> DataFrame:
+def linked(docs: DataFrame, pairs: DataFrame, percent: int, size: int, most_broadcast: int, group: int = 500) -> DataFrame:
     """The pairs (a, b) whose sets overlap enough.
 
-    Each `b` brings its set to `a`, where one task holds one set at a time; an `a` with many partners is dealt to as
-    many places as it has groups of partners.
+    Only sets of pairs are made and moved. Each `b` brings its set to `a`, where one task holds one set at a time; an
+    `a` with many partners is dealt to as many places as it has groups of partners.
     """
+    pairs = settled(pairs, "pairs")
+    wanted = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
+    sets = settled(stored_sets(docs, size, wanted, most_broadcast), "sets")
     places = pairs.groupBy("a").agg(F.count("*").alias("n")).select("a", F.ceil(F.col("n") / group).alias("places"))
     b = sets.withColumnRenamed("node", "b")
     brought = pairs.join(places, "a").join(b, "b").select("a", F.pmod(F.xxhash64("b"), F.col("places")).alias("place"), "b", "elements")
@@ -264,9 +256,8 @@ def classes(docs: DataFrame, percent: int, size: int, most_broadcast: int) -> Da
     )
     met = shared.filter((F.col("low") != F.col("high")) & (F.col("roles") >= PROBE)).select("sig", plain.alias("node"), role.alias("role"))
     buckets = settled(met.groupBy("sig", "node").agg(F.bit_or("role").alias("role")), "buckets")
-    sets = settled(stored_sets(docs, size, buckets.select("node").distinct(), most_broadcast), "sets")
-
-    parities = settled(sketches(sets), "parities")
+    parities = sizes.filter("n_shingles > 0").withColumnRenamed("n_shingles", "n").drop("doc_id", "key").dropDuplicates(["node"])
+    parities = settled(parities.join(buckets.select("node").distinct(), "node", "left_semi"), "parities")
 
     counts = buckets.groupBy("sig").agg(F.count("*").alias("size"))
     shares = buckets.join(counts, "sig").groupBy("node").agg(F.sum("size").alias("shares"))
@@ -274,7 +265,7 @@ def classes(docs: DataFrame, percent: int, size: int, most_broadcast: int) -> Da
     pairs = buckets.join(best, "sig").filter("node <> centre").select(*_pair(F.col("node"), F.col("centre"))).distinct()
     x, y = parities.alias("x"), parities.alias("y")
     pairs = pairs.join(x, F.col("a") == F.col("x.node")).join(y, (F.col("b") == F.col("y.node")) & may_link("x", "y", percent)).select("a", "b")
-    links = settled(linked(pairs, sets, percent), "links")
+    links = settled(linked(docs, pairs, percent, size, most_broadcast), "links")
     comps = components(links)
 
     placed = buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
@@ -287,10 +278,10 @@ def classes(docs: DataFrame, percent: int, size: int, most_broadcast: int) -> Da
         apart = (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp"))
         more = x.join(y, (F.col("x.sig") == F.col("y.sig")) & apart & meets & may_link("x", "y", percent))
         pairs = more.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-        links = settled(links.unionAll(linked(pairs, sets, percent)), "links")
+        links = settled(links.unionAll(linked(docs, pairs, percent, size, most_broadcast)), "links")
         comps = components(links)
 
-    named = sizes.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = sizes.drop(*PARITIES).join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     # Texts without words share no component, and must not meet in one place.
     return named.select("doc_id", "key", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("comp")).otherwise(F.col("key")).alias("comp"))
 
