@@ -218,6 +218,10 @@ def compared(pieces: DataFrame, length: int, block: int = 1 << 20) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in whole_groups(batches, block):
+            at = [batch.column(c).to_numpy() for c in ("h", "doc", "th", "start")]
+            order = np.lexsort(at)
+            fresh = np.any([np.diff(x[order], prepend=x[order[0]] - 1) != 0 for x in at], axis=0)
+            batch = batch.take(pa.array(order[fresh]))  # pieces of repeated rows once
             h, doc, th, start, shift = (batch.column(c).to_numpy() for c in ("h", "doc", "th", "start", "shift"))
             data, offsets = byte_view(batch.column("bytes"))
             good = np.flatnonzero(may_repeat(h, data, offsets, shift, length))
@@ -227,7 +231,7 @@ def compared(pieces: DataFrame, length: int, block: int = 1 << 20) -> DataFrame:
             owner, begin, end = repeated_windows(doc[good], th[good], start[good], data, offsets, length)
             yield pa.RecordBatch.from_arrays([*map(pa.array, (doc[good][owner], th[good][owner], begin, end))], names=["doc", "th", "start", "end"])
 
-    dealt = pieces.dropDuplicates(["h", "doc", "th", "start"]).repartition("h").sortWithinPartitions("h")
+    dealt = pieces.repartition("h").sortWithinPartitions("h")
     return dealt.mapInArrow(compare, "doc long, th long, start long, end long")
 
 
