@@ -246,3 +246,15 @@ def test_repeats_within_and_across(spark, most):
     got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), most_contexts=most).drop("kept").collect()
     key = lambda x: (x[0] is None, x[0] or 0)
     assert sorted(map(tuple, got), key=key) == brute.repeats(rows)
+
+
+def test_rare_contexts_are_in_the_tree(spark):
+    # Three occurrences of a run among 400,000 training tokens: under one in 100,000, but a context all the same.
+    r = random.Random(12)
+    rows = [(i, " ".join(f"w{r.randrange(3000)}" for _ in range(1000))) for i in range(1, 480)]
+    train, held = [[i for i in range(1000, 2000) if (brute.fold(i, 7) == 2) == h] for h in (False, True)]
+    rows += [(i, f"w{k} alpha beta w{k + 1}") for k, i in enumerate(train[:3])]
+    rows += [(held[0], "w1 alpha beta w2"), (held[1], "w1 beta alpha w2")]
+    got = {x.doc_id: x for x in text_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[held[0]].train_tokens > 400_000 and got[held[0]].base_score == pytest.approx(got[held[1]].base_score)
+    assert got[held[0]].score > got[held[1]].score + 2

@@ -13,10 +13,12 @@ from pyspark.sql import functions as F
 from tiffinmart.llm.byte_cnn import fold_of
 from tiffinmart.llm.frames import in_blocks, pick
 from tiffinmart.llm.storage import settled
-from tiffinmart.llm.tokens import mixed, span_hashes, words
+from tiffinmart.llm.tokens import span_hashes, words
 
 #: Stands for the end of a text among the hashes of words. Not 0, which would vanish in hashes of runs.
 END = np.uint64(1)
+#: Bits of a sieve, as a power of two: 16 MB, whatever the input. A full one lets more through and loses nothing.
+SIEVE = 27
 
 
 class Tokens:
@@ -48,171 +50,108 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def counted(docs: DataFrame, max_depth: int, least_share: float) -> DataFrame:
-    """order, h, first, rest, n and c. Order 1: every token with its count in all and in training texts. Higher
-    orders: runs of tokens that may be frequent, with their last token as the next symbol; h is their hash, `first`
-    that of all but the last, `rest` that of all but the first token. A run that makes up a share of all training
-    tokens makes up as much of some block, so each block reports those and no frequent one is missed."""
+def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether a sieve lets each key through: all that it was made of, and a few others."""
+    slot = keys >> np.uint64(64 - SIEVE)
+    return (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def sieve(keys: DataFrame) -> np.ndarray:
+    """One bit for each possible start of a hash in column `h`, as bytes."""
+    slots = keys.select(F.shiftrightunsigned("h", 64 - SIEVE).alias("slot")).select(
+        F.shiftright("slot", 15).alias("part"), F.col("slot").bitwiseAND(32767).alias("place")
+    )
+    parts = slots.groupBy("part", "place").agg(F.lit(1)).groupBy("part").agg(F.bitmap_construct_agg("place").alias("bits")).toArrow()
+    bits = np.zeros((1 << (SIEVE - 15), 4096), np.uint8)
+    for part, own in zip(parts.column("part").to_pylist(), parts.column("bits").to_pylist(), strict=True):
+        bits[part] = np.frombuffer(own, np.uint8)
+    return bits.reshape(-1)
+
+
+def counted_words(docs: DataFrame) -> DataFrame:
+    """h, n and c: every token, by its hash as a run, with its count in all and in training texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_blocks(batches, 4 << 20):
             t = Tokens(batch.column("text"))
             trains = ~batch.column("held_out").to_numpy(zero_copy_only=False)[t.rows]
-            h, which = np.unique(t.hashes, return_inverse=True)
+            h, which = np.unique(t.runs(np.arange(len(t.rows)), 0, 1), return_inverse=True)
             n, c = np.bincount(which, minlength=len(h)), np.bincount(which, trains, len(h)).astype(np.int64)
-            nothing = np.zeros(len(h), np.uint64)
-            yield _rows(np.ones(len(h), np.int64), h, nothing, nothing, n, c)
-            least = max(1.0, least_share * np.count_nonzero(trains))
-            # Of a frequent run all but the first and all but the last token are frequent.
-            often = c[which] >= least
-            for order in range(2, max_depth + 2):
-                at = np.flatnonzero(trains & often & (t.before >= order - 1))
-                at = at[often[at - 1]]
-                run, first, which, times = np.unique(t.runs(at, order - 1, order), return_index=True, return_inverse=True, return_counts=True)
-                often = np.zeros(len(t.rows), bool)
-                often[at[times[which] >= least]] = True
-                some = np.flatnonzero(times >= least)
-                place = at[first[some]]
-                yield _rows(np.full(len(some), order), run[some], t.runs(place, order - 1, order - 1), t.runs(place, order - 2, order - 1), times[some], times[some])
-
-    rows = docs.mapInArrow(count, "ord long, h long, first long, rest long, n long, c long")
-    return rows.groupBy("ord", "h", "first", "rest").agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
-
-
-def _rows(order, h, first, rest, n, c) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(order), _signed(h), _signed(first), _signed(rest), pa.array(n), pa.array(c)], names=["ord", "h", "first", "rest", "n", "c"]
-    )
+            yield pa.RecordBatch.from_arrays([_signed(h), pa.array(n), pa.array(c)], names=["h", "n", "c"])
+
+    return docs.mapInArrow(count, "h long, n long, c long").groupBy("h").agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
 
 
-def recounted(docs: DataFrame, runs: np.ndarray, max_depth: int) -> DataFrame:
-    """h and count in training texts of the chosen runs (sorted hashes)."""
-    shared = docs.sparkSession.sparkContext.broadcast(runs)
+def counted_runs(docs: DataFrame, order: int, shorter: DataFrame, least_count: int) -> DataFrame:
+    """h, first, rest and n: every run of `order` tokens that training texts hold `least_count` times or more. h is
+    its hash, `first` that of all but the last, `rest` that of all but the first token; `shorter` has the runs of one
+    token less that occur as often, of which both must be."""
+    shared = docs.sparkSession.sparkContext.broadcast(sieve(shorter))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
-        near = np.zeros(1 << 22, bool)
-        near[table >> np.uint64(42)] = True
         for batch in in_blocks(batches, 4 << 20):
             t = Tokens(batch.column("text"))
             trains = ~batch.column("held_out").to_numpy(zero_copy_only=False)[t.rows]
-            total = np.zeros(len(table), np.int64)
-            for order in range(2, max_depth + 2):
-                h = t.runs(np.flatnonzero(trains & (t.before >= order - 1)), order - 1, order)
-                at, there = found(table, h[near[h >> np.uint64(42)]])
-                total += np.bincount(at[there], minlength=len(table))
-            some = np.flatnonzero(total)
-            yield pa.RecordBatch.from_arrays([_signed(table[some]), pa.array(total[some])], names=["h", "n"])
-
-    return docs.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-
-
-class SuffixTree:
-    """Contexts of words kept by divergence, closed under suffixes; distributions smoothed by those of the suffixes."""
-
-    def __init__(self, runs: list[tuple[int, int, int, int, int]], tokens: dict[int, int], n_train: int, unknown: float, least_bits: float, weight: float):
-        """runs: (order, h, first, rest, count) of frequent runs, order 2 and up. tokens: count of every frequent
-        token by its hash as a run. unknown: probability of a token that is not in the training texts."""
-        order, h, first, rest, count = (np.array(c, np.int64) for c in zip(*runs, strict=True)) if runs else [np.zeros(0, np.int64)] * 5
-        h, first, rest = (x.view(np.uint64) for x in (h, first, rest))
-        by = np.argsort(h)
-        order, h, first, rest, count = (x[by] for x in (order, h, first, rest, count))
-        times = tokens | dict(zip(h.tolist(), count.tolist(), strict=True))
-        contexts, which = np.unique(first, return_inverse=True)
-        if not len(contexts):
-            which = np.zeros(0, np.int64)
-        depth = np.zeros(len(contexts), np.int64)
-        depth[which] = order - 1
-        n = np.array([times[c] for c in contexts.tolist()], float)
-        # The suffix of a context: of the run that is the context itself, all but the first token.
-        own, is_run = found(h, contexts)
-        parent_hash = np.where(is_run, rest[own] if len(h) else 0, 0)
-        parent, has_parent = found(contexts, parent_hash)
-        has_parent &= depth > 1
-        last_is_known = (1 - unknown) / max(n_train, 1)
-
-        # From short to long: what the suffix says about each next token, and whether the context says more.
-        p, below = np.zeros(len(h)), np.zeros(len(h))
-        lower, has_lower = found(h, rest)
-        keep = np.zeros(len(contexts), bool)
-        seen = np.bincount(which, count, len(contexts)) if len(h) else n
-        back = (n - seen + weight) / (n + weight)
-        for d in range(1, int(depth.max(initial=0)) + 1):
-            now = depth[which] == d
-            if d == 1:
-                below[now] = [times[r] * last_is_known for r in rest[now].tolist()]
-            else:
-                # Where the suffix has not stored the token, it knows as much as its own suffix, less its back-off.
-                below[now] = np.where(has_lower[now], p[lower[now]], 0)
-            share = count[now] / n[which[now]]
-            left = 1 - np.bincount(which[now], share, len(contexts))
-            left_below = 1 - np.bincount(which[now], below[now], len(contexts))
-            gain = np.bincount(which[now], share * np.log2(share / np.maximum(below[now], 1e-12)), len(contexts))
-            gain += np.where(left > 1e-9, left * np.log2(np.maximum(left, 1e-9) / np.maximum(left_below, 1e-9)), 0)
-            keep |= (depth == d) & (gain >= least_bits)
-            p[now] = share * n[which[now]] / (n[which[now]] + weight) + back[which[now]] * below[now]
-        for d in range(int(depth.max(initial=0)), 1, -1):
-            chosen = keep & (depth == d) & has_parent
-            keep[parent[chosen]] = True
-
-        number = np.cumsum(keep) - 1
-        self.contexts = contexts[keep]
-        self.parent = np.where(has_parent[keep], number[parent[keep]], -1)
-        self.log_back = np.log10(back[keep])
-        kept = keep[which] if len(h) else np.zeros(0, bool)
-        self.runs, self.log_p = h[kept], np.log10(p[kept])
-        self.max_depth = int(depth[keep].max(initial=0))
-
-    def scores(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
-        """For each token the log10 probability as far as contexts give it, and whether the distribution without
-        context has still to be asked."""
-        out, open_ = np.zeros(len(t.rows)), np.ones(len(t.rows), bool)
-        state = np.full(len(t.rows), -1)
-        length = np.zeros(len(t.rows), np.int64)
-        live = np.arange(len(t.rows))
-        for d in range(1, self.max_depth + 1):
-            live = live[t.before[live] >= d]
-            at, there = found(self.contexts, t.runs(live, d, d))
-            live = live[there]
-            state[live], length[live] = at[there], d
-        for d in range(self.max_depth, 0, -1):
-            live = np.flatnonzero(open_ & (length == d))
-            at, there = found(self.runs, t.runs(live, d, d + 1))
-            out[live[there]] += self.log_p[at[there]]
-            open_[live[there]] = False
-            live = live[~there]
-            out[live] += self.log_back[state[live]]
-            state[live], length[live] = self.parent[state[live]], d - 1
-        return out, open_
-
-
-def train(docs: DataFrame, vocab: DataFrame, n_train: int, unknown: float, max_depth: int, least_share: float, least_bits: float, weight: float, most_at_once: int) -> SuffixTree:
-    """The tree from whole-corpus counts. Frequent runs make up `least_share` of all training tokens each, so there are
-    1 / least_share per order at most: that many reach the driver. Candidates are counted in blocks of `most_at_once`."""
-    least = max(2.0, least_share * n_train)
-    candidates = vocab.filter("ord > 1").select("ord", "h", "first", "rest")
-    blocks = -(-candidates.count() // most_at_once)
-    frequent = []
-    for k in range(blocks):
-        part = candidates.filter(F.pmod(F.xxhash64("h"), F.lit(blocks)) == k)
-        runs = np.sort(part.select("h").toArrow().column("h").to_numpy().view(np.uint64))
-        counts = recounted(docs, runs, max_depth).filter(F.col("n") >= least)
-        frequent += [tuple(r) for r in part.join(counts, "h").select("ord", "h", "first", "rest", "n").collect()]
-    # A run of frequent tokens only: each token is frequent as well, so this is as short a list.
-    tokens = vocab.filter((F.col("ord") == 1) & (F.col("c") >= least)).select("h", "c").toArrow()
-    single = mixed(tokens.column("h").to_numpy().view(np.uint64))  # hash of a run of one token
-    tokens = dict(zip(single.tolist(), tokens.column("c").to_pylist(), strict=True))
-    return SuffixTree(frequent, tokens, n_train, unknown, least_bits, weight)
+            at = np.flatnonzero(trains & (t.before >= order - 1))
+            at = at[passes(shared.value, t.runs(at, order - 2, order - 1))]
+            at = at[passes(shared.value, t.runs(at, order - 1, order - 1))]
+            run, place, times = np.unique(t.runs(at, order - 1, order), return_index=True, return_counts=True)
+            at = at[place]
+            yield pa.RecordBatch.from_arrays(
+                [_signed(run), _signed(t.runs(at, order - 1, order - 1)), _signed(t.runs(at, order - 2, order - 1)), pa.array(times)],
+                names=["h", "first", "rest", "n"],
+            )
+
+    rows = docs.mapInArrow(count, "h long, first long, rest long, n long")
+    return rows.groupBy("h", "first", "rest").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_count)
+
+
+def tree(docs: DataFrame, vocab: DataFrame, word_share: float, max_depth: int, least_count: int, least_bits: float, weight: float) -> DataFrame:
+    """h, ord, n and own of runs: what each occurrence of it in a text adds to the score beyond its words alone.
+
+    Contexts of words are kept by divergence, closed under suffixes, and smoothed by their suffixes. A kept context
+    adds its back-off to the token behind it. A run that it stores takes that and what the suffix says back, and adds
+    its own probability: along the suffixes the sum leaves the longest stored run and the back-offs of longer contexts.
+    """
+    lower = vocab.filter(F.col("c") >= least_count).select("h", F.col("c").alias("n"), (F.col("c") * word_share).alias("p"))
+    runs, contexts = {}, {}
+    for d in range(1, max_depth + 1):
+        counts = settled(counted_runs(docs, d + 1, lower, least_count), f"runs{d + 1}")
+        # All but the first and all but the last token of a run are at least as frequent, so both joins find theirs.
+        x = counts.join(lower.select(F.col("h").alias("first"), F.col("n").alias("m")), "first")
+        x = x.join(lower.select(F.col("h").alias("rest"), F.col("p").alias("below")), "rest")
+        x = settled(x.withColumn("share", F.col("n") / F.col("m")), f"shares{d + 1}")
+        told = F.col("share") * F.log2(F.col("share") / F.greatest("below", F.lit(1e-12)))
+        per = x.groupBy("first").agg(F.max("m").alias("m"), F.sum("n").alias("seen"), F.sum("share").alias("s"), F.sum("below").alias("b"), F.sum(told).alias("gain"))
+        left, left_below = 1 - F.col("s"), F.greatest(1 - F.col("b"), F.lit(1e-9))
+        gain = F.col("gain") + F.when(left > 1e-9, left * F.log2(left / left_below)).otherwise(0.0)
+        back = (F.col("m") - F.col("seen") + weight) / (F.col("m") + weight)
+        contexts[d] = settled(per.select("first", "m", back.alias("back"), (gain >= least_bits).alias("keep")), f"contexts{d}")
+        p = F.col("n") / (F.col("m") + weight) + F.col("back") * F.col("below")
+        lower = runs[d] = settled(x.join(contexts[d].select("first", "back"), "first").select("h", "first", "rest", "n", p.alias("p"), "below", "back"), f"stored{d + 1}")
+    values, longer = [], None
+    for d in range(max_depth, 0, -1):
+        kept = contexts[d].filter("keep").select("first")
+        if longer is not None:
+            suffixes = longer.join(runs[d].select(F.col("h").alias("first"), "rest"), "first").select(F.col("rest").alias("first"))
+            kept = kept.union(suffixes).distinct()
+        longer = settled(kept, f"kept{d}")
+        stored = runs[d].join(longer, "first", "left_semi")
+        values.append(stored.select("h", F.lit(d + 1).alias("ord"), "n", (F.log10("p") - F.log10("back") - F.log10("below")).alias("own")))
+        values.append(contexts[d].join(longer, "first", "left_semi").select(F.col("first").alias("h"), F.lit(d).alias("ord"), F.col("m").alias("n"), F.log10("back").alias("own")))
+    out = values[0]
+    for more in values[1:]:
+        out = out.union(more)
+    return out.groupBy("h").agg(F.max("ord").alias("ord"), F.max("n").alias("n"), F.sum("own").alias("own"))
 
 
 def text_scores(
     docs: DataFrame,
     max_depth: int = 3,
-    least_share: float = 1e-5,
+    least_count: int = 2,
     least_bits: float = 0.1,
     weight: float = 2.0,
     hot_share: float = 5e-7,
-    most_at_once: int = 1_000_000,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
@@ -220,50 +159,66 @@ def text_scores(
     train. `base_score` is the add-one unigram log10 probability. `score` is that of a suffix tree: a token is
     predicted from the longest kept run of at most `max_depth` tokens before it. A context is kept if its next-token
     distribution diverges from that of its suffix by `least_bits`, or if a longer kept one ends in it; it gives what
-    follows it in a share of `least_share` of all training tokens, and leaves the rest, with the weight of `weight`
+    follows it `least_count` times or more in the training texts, and leaves the rest, with the weight of `weight`
     tokens, to its suffix. Without context a token has its share of the training tokens, less what the ones seen once
     say about unseen ones; as in the base score, all tokens outside the training texts are one event.
 
-    Tokens above `hot_share` of all, 1 / hot_share at most, are looked up where the texts are; the rest meets the
-    vocabulary in a join. A null or empty text has the end alone; a null id trains; repeated rows each train and get
+    The tree is a table that grows with the corpus. Tokens above `hot_share` of all and runs above that share for each
+    order, 1 / hot_share at most of either, are looked up where the texts are; the rest meets both tables in a join. A null or empty text has the end alone; a null id trains; repeated rows each train and get
     a row; no documents give no rows; other columns are not read. Words are told apart by 64-bit hashes.
     """
     held = F.coalesce(fold_of(F.col("doc_id"), 7) == 2, F.lit(False))
     picked = pick(docs, "doc_id", "text").withColumn("held_out", held)
     texts = picked.select("text", "held_out")
-    vocab = settled(counted(texts, max_depth, least_share), "vocabulary")
-    words_ = vocab.filter("ord = 1")
-    sums = words_.agg(F.sum("n"), F.sum("c"), F.sum((F.col("c") > 0).cast("long")), F.sum((F.col("c") == 1).cast("long"))).first()
+    vocab = settled(counted_words(texts), "vocabulary")
+    sums = vocab.agg(F.sum("n"), F.sum("c"), F.sum((F.col("c") > 0).cast("long")), F.sum((F.col("c") == 1).cast("long"))).first()
     n_all, n_train, n_distinct, n_once = (x or 0 for x in sums)
     unknown = (n_once + 1) / (n_train + 2)
-    tree = train(texts, vocab, n_train, unknown, max_depth, least_share, least_bits, weight, most_at_once)
+    word_share = (1 - unknown) / max(n_train, 1)
+    runs = settled(tree(texts, vocab, word_share, max_depth, least_count, least_bits, weight), "tree")
 
     base = F.log10((F.col("c") + 1) / F.lit(float(n_train + n_distinct + 1)))
-    plain = F.when(F.col("c") > 0, F.log10(F.col("c") * F.lit((1 - unknown) / max(n_train, 1)))).otherwise(F.lit(float(np.log10(unknown))))
-    scored = words_.select("h", "n", (F.col("c") > 0).cast("long").alias("known"), base.alias("base"), plain.alias("own"))
-    hot = scored.filter((F.col("n") >= max(1.0, hot_share * n_all)) | (F.col("h") == int(END))).drop("n").toArrow().sort_by("h")
-    shared = docs.sparkSession.sparkContext.broadcast((tree, [hot.column(c).to_numpy() for c in ("h", "known", "base", "own")]))
+    plain = F.when(F.col("c") > 0, F.log10(F.col("c") * F.lit(word_share))).otherwise(F.lit(float(np.log10(unknown))))
+    single = runs.filter("ord = 1").select("h", F.col("own").alias("back"))
+    scored = vocab.join(single, "h", "left").fillna(0.0, ["back"])
+    scored = scored.select("h", "n", (F.col("c") > 0).cast("long").alias("known"), base.alias("base"), (plain + F.col("back")).alias("own"))
+    runs = runs.filter("ord > 1")
+    end = int(Tokens(pa.array([""])).runs(np.zeros(1, np.int64), 0, 1).view(np.int64)[0])
+    hot = scored.filter((F.col("n") >= max(1.0, hot_share * n_all)) | (F.col("h") == end)).drop("n").toArrow().sort_by("h")
+    hot_runs = runs.filter(F.col("n") >= max(1.0, hot_share * (max_depth + 1) * n_all)).select("h", "own").toArrow()
+    by = np.argsort(hot_runs.column("h").to_numpy().view(np.uint64))
+    hot_runs = hot_runs.column("h").to_numpy().view(np.uint64)[by], hot_runs.column("own").to_numpy()[by]
+    shared = docs.sparkSession.sparkContext.broadcast(([hot.column(c).to_numpy() for c in ("h", "known", "base", "own")], hot_runs, sieve(runs)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, (hashes, known, base, own) = shared.value
+        (hashes, known, base, own), (run_hashes, run_own), stored = shared.value
         uid = TaskContext.get().partitionId() << 40
         for batch in in_blocks(batches):
             t, n = Tokens(batch.column("text")), batch.num_rows
-            h = t.hashes.view(np.int64)
-            by_context, open_ = tree.scores(t)
+            by_context = np.zeros(n)
+            others, owners = [], []
+            for order in range(2, max_depth + 2):
+                place = np.flatnonzero(t.before >= order - 1)
+                h = t.runs(place, order - 1, order)
+                place, h = (x[passes(stored, h)] for x in (place, h))
+                at, there = found(run_hashes, h)
+                by_context += np.bincount(t.rows[place[there]], run_own[at[there]], n)
+                others.append(h[~there].view(np.int64))
+                owners.append(t.rows[place[~there]])
+            h = t.runs(np.arange(len(t.rows)), 0, 1).view(np.int64)
             at, there = found(hashes, h)
             row, at = t.rows[there], at[there]
-            sums = [np.bincount(row, x, n) for x in (known[at], base[at], own[at] * open_[there])]
+            sums = [np.bincount(row, x, n) for x in (known[at], base[at], own[at])]
             schema = arrow_schema(batch)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(uid, uid + n)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), batch.column("doc_id"), batch.column("held_out"),
-                    pa.array(t.counts), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2] + np.bincount(t.rows, by_context, n)),
+                    pa.array(t.counts), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2] + by_context),
                 ],
                 schema=schema,
             )
-            # Tokens that are not looked up here are too rare to be in the tree: they all ask the plain distribution.
-            rest, row = h[~there], t.rows[~there]
+            # Tokens that are not looked up here, and runs that may be in the tree.
+            rest, row = np.concatenate([*others, h[~there]]), np.concatenate([*owners, t.rows[~there]])
             order = np.lexsort((rest, row))
             rest, row = rest[order], row[order]
             first = np.flatnonzero(np.concatenate([[True], (np.diff(rest) != 0) | (np.diff(row) != 0)])[: len(rest)])
@@ -275,7 +230,8 @@ def text_scores(
     kind = picked.schema["doc_id"].dataType.simpleString()
     rows = picked.mapInArrow(score, f"uid long, h long, times long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, own double")
     rows = settled(rows, "scores")
-    looked_up = rows.filter("h is not null").select("uid", "h", "times").join(scored.select("h", "known", "base", "own"), "h")
+    table = scored.drop("n").union(runs.select("h", F.lit(0).cast("long"), F.lit(0.0), "own"))
+    looked_up = rows.filter("h is not null").select("uid", "h", "times").join(table, "h")
     rest = looked_up.groupBy("uid").agg(*[F.sum(F.col("times") * F.col(c)).alias(f"rest_{c}") for c in ("known", "base", "own")])
     out = rows.filter("h is null").drop("h", "times").join(rest, "uid", "left").fillna(0, ["rest_known"]).fillna(0.0, ["rest_base", "rest_own"])
     return out.select(
