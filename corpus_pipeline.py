@@ -13,7 +13,7 @@ from tiffinmart.llm.secret_scan import redact_secrets
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
+    """Documents that pass the quality rules, without lines that are common on their host."""
     return keep_good(docs)
 
 

@@ -258,3 +258,13 @@ def test_rare_contexts_are_in_the_tree(spark):
     got = {x.doc_id: x for x in text_scores(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[held[0]].train_tokens > 400_000 and got[held[0]].base_score == pytest.approx(got[held[1]].base_score)
     assert got[held[0]].score > got[held[1]].score + 2
+
+
+def test_common_lines_are_removed(spark):
+    line = " ".join(f"menu{i}" for i in range(60))
+    own = prose(40, 100)
+    rows = [(i, f"{line.upper()}\nown {i} words", "host", 1) for i in range(30)]
+    rows += [(100, f"{own}\n\n {line}\t\nlast", "host", 7), (101, own, "host", 8), (100, f"{own}\n\n {line}\t\nlast", "other", 9)]
+    got = keep_good(spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int")).collect()
+    want = [(100, f"{own}\n\nlast", "host", len(own) + 6), (100, rows[30][1], "other", 9), (101, own, "host", 8)]
+    assert sorted(map(tuple, got), key=lambda r: (r[0], r[2])) == want

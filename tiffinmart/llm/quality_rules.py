@@ -62,11 +62,15 @@ def document_shape(docs: DataFrame) -> DataFrame:
     )
 
 
+def line_hash(line):
+    """Hash of the normal form of a line."""
+    return F.xxhash64(F.btrim(F.translate(line, *FOLD), F.lit(" ")))
+
+
 def line_words(shapes: DataFrame) -> DataFrame:
     """host, text_hash, line_hash, n: words that a distinct text has in lines of one normal form."""
     lines = shapes.select("host", "text_hash", F.explode("lines").alias("line"))
-    folded = F.btrim(F.translate("line", *FOLD), F.lit(" "))
-    lines = lines.select("host", "text_hash", F.xxhash64(folded).alias("line_hash"), _word_count(F.col("line")).alias("n"))
+    lines = lines.select("host", "text_hash", line_hash(F.col("line")).alias("line_hash"), _word_count(F.col("line")).alias("n"))
     # Copies of a text say the same about their lines, so they count as one document.
     return lines.groupBy("host", "text_hash", "line_hash").agg(F.max("n").alias("n"), F.count("*").alias("times"))
 
@@ -83,6 +87,11 @@ def quality_rules(
     or empty text has no words and fails; repeated rows each get a row; no documents give no rows; other columns are
     not read. Texts are told apart by a 64-bit hash.
     """
+    return judged(docs, min_docs, max_share, min_words, max_lost).drop("host", "common")
+
+
+def judged(docs: DataFrame, min_docs: int = 20, max_share: float = 0.05, min_words: int = 50, max_lost: float = 0.7) -> DataFrame:
+    """What `quality_rules` gives, the host, and the hashes of the common lines of the text (null if it has none)."""
     shapes = document_shape(pick(docs, "doc_id", "text", "source"))
     lines = line_words(shapes)
     spread = lines.groupBy("host", "line_hash").agg(F.count("*").alias("n_texts")).filter(F.col("n_texts") > min_docs)
@@ -91,7 +100,7 @@ def quality_rules(
     lost = (
         lines.join(common.select("host", "line_hash"), ["host", "line_hash"])
         .groupBy("host", "text_hash")
-        .agg(F.sum(F.col("n") * F.col("times")).alias("n_common_words"), F.sum("times").alias("n_common_lines"))
+        .agg(F.sum(F.col("n") * F.col("times")).alias("n_common_words"), F.sum("times").alias("n_common_lines"), F.collect_list("line_hash").alias("common"))
     )
     out = shapes.drop("lines").join(lost, ["host", "text_hash"], "left")
     left = F.col("n_words") - F.col("n_common_words")
@@ -100,16 +109,25 @@ def quality_rules(
     return out.fillna(0, ["n_common_words", "n_common_lines"]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), (~failed & ~depleted).alias("kept"), "n_common_lines", "n_common_words",
-        "text_hash",
+        "text_hash", "host", "common",
     )
 
 
 def keep_good(docs: DataFrame, **limits) -> DataFrame:
-    """The rows of `docs` that `quality_rules` keeps, all columns as they were."""
+    """The rows of `docs` that `quality_rules` keeps, without the common lines of their texts, and `n_chars` counted
+    anew where lines went. All else comes back as it was."""
     names = list(docs.columns)
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
+    text = f"c{names.index('text')}"
     # Written down first: a filter would be pushed into the counts and have them computed twice.
-    verdict = settled(quality_rules(docs, **limits).select(F.xxhash64("doc_id", "text_hash").alias("key"), "kept"), "verdict")
-    text_hash = F.xxhash64(F.coalesce(f"c{names.index('text')}", F.lit("")))
-    keyed = plain.withColumn("key", F.xxhash64(f"c{names.index('doc_id')}", text_hash))
-    return keyed.join(verdict.filter("kept").select("key").distinct(), "key", "left_semi").drop("key").toDF(*names)
+    verdict = settled(judged(docs, **limits).select(F.xxhash64("doc_id", "host", "text_hash").alias("key"), "kept", "common"), "verdict")
+    host, text_hash = F.coalesce(f"c{names.index('source')}", F.lit("")), F.xxhash64(F.coalesce(text, F.lit("")))
+    keyed = plain.withColumn("key", F.xxhash64(f"c{names.index('doc_id')}", host, text_hash))
+    good = keyed.join(verdict.filter("kept").select("key", "common").dropDuplicates(["key"]), "key")
+    left = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~F.array_contains("common", line_hash(x))), "\n")
+    good = good.withColumn(text, F.when(F.col("common").isNull(), F.col(text)).otherwise(left))
+    if "n_chars" in names:
+        chars = f"c{names.index('n_chars')}"
+        kind = plain.schema[chars].dataType
+        good = good.withColumn(chars, F.when(F.col("common").isNull(), F.col(chars)).otherwise(F.length(text).cast(kind)))
+    return good.drop("key", "common").toDF(*names)
