@@ -268,3 +268,10 @@ def test_common_lines_are_removed(spark):
     got = keep_good(spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int")).collect()
     want = [(100, f"{own}\n\nlast", "host", len(own) + 6), (100, rows[30][1], "other", 9), (101, own, "host", 8)]
     assert sorted(map(tuple, got), key=lambda r: (r[0], r[2])) == want
+
+
+def test_novel_strings_behind_their_names(spark):
+    own = "q8Zk2LrX0vT7mWc4Nd9sPw"
+    texts = [f"export AWS_SECRET_ACCESS_KEY={own}", f"x PRIVATE_KEY={own}==", f"pwd={own}", f"auth 0123456789abcdef{own[:-2].upper()}", "db_pwd=qwZkLrXvTmWcNdsPwAbC", "by the author of internationalization"]
+    got = {r.doc_id: r.spans for r in scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {0: "novel:29:51", 1: "novel:14:38", 2: "novel:4:26", 3: "hex:5:21,novel:21:41", 4: "novel:7:27", 5: ""}

@@ -31,7 +31,8 @@ getElementById addEventListener toString valueOf hashCode equals compareTo itera
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile("AKIA[A-Z0-9]+")
 _HEX = re.compile("[0-9a-f]{16,}")  # a run of at least 16 is a whole run of [0-9a-f]+
-_LONG = re.compile("[A-Za-z0-9+/_=~.-]{16,}")
+_LONG = re.compile("[A-Za-z0-9+/_~.-]+(?:={1,2}(?![A-Za-z0-9+/_=~.-]))?")  # "=" only as padding, else it ends a name
+_GIVEN = re.compile(r"""[:=]["']?\x20*["']?$""")
 _DIGIT, _LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
 _CONTEXT = re.compile(r"key|secret|token|passw|pwd|credential|auth|bearer|private|signature|session|cookie", re.I | re.A)
 
@@ -63,17 +64,32 @@ class Novelty:
         return (self.size(around + own) - self.size(around)) / len(own)
 
 
+def apart(start: int, end: int, taken: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
+    """What is left of start to end outside of the spans, which are in order of their starts."""
+    for s, _, e in taken:
+        if start < s < end:
+            yield start, s
+        if s < end:
+            start = max(start, e)
+    if start < end:
+        yield start, end
+
+
 def novel_spans(text: str, taken: list[tuple[int, int, int]], novelty: Novelty, least: float, reach: int) -> list[tuple[int, int, int]]:
-    """Strings of 16 and more characters, with letters and digits, after a sensitive word and outside the spans
-    already found, that cost `least` compressed bytes per byte or more."""
+    """Strings of 16 and more characters after a sensitive word, or what the spans already found leave of them, that
+    cost `least` compressed bytes per byte or more. They have letters and digits, or letters alone where they are
+    given a name: to a compressor any rare word of a prose is as new as a secret."""
     out = []
     for m in _LONG.finditer(text):
-        own, start, end = m[0], m.start(), m.end()
-        if not (_DIGIT.search(own) and _LETTER.search(own)) or any(s < end and start < e for s, _, e in taken):
+        if m.end() - m.start() < 16:
             continue
-        before = text[max(0, start - reach) : start]
-        if _CONTEXT.search(before) and novelty.per_byte(own, before + text[end : end + reach]) >= least:
-            out.append((start, 3, end))
+        for start, end in apart(m.start(), m.end(), taken):
+            own, before = text[start:end], text[max(0, start - reach) : start]
+            if end - start < 16 or not _LETTER.search(own) or not _CONTEXT.search(before):
+                continue
+            given = _GIVEN.search(before) and not own.startswith("//")
+            if (given or _DIGIT.search(own)) and novelty.per_byte(own, before + text[end : end + reach]) >= least:
+                out.append((start, 3, end))
     return out
 
 
@@ -86,7 +102,7 @@ def scan_secrets(docs: DataFrame, least: float = 0.6, reach: int = 48) -> DataFr
 
     Spans are `kind:start:end` in code points with exclusive end, by start and then kind. Patterns: assignments to a
     secret's name, access key ids, long hex strings. Beyond them a string of 16 or more characters within `reach`
-    characters after a sensitive word is reported as `novel` when a compressor that knows common identifiers and the
+    characters after a sensitive word, the name it is given to among them, is reported as `novel` when a compressor that knows common identifiers and the
     text around it still needs `least` bytes per byte. A null or empty text has no spans (the digest is that of the
     empty string); repeated rows each get a row; other columns are not read.
     """
