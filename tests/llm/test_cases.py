@@ -275,3 +275,16 @@ def test_novel_strings_behind_their_names(spark):
     texts = [f"export AWS_SECRET_ACCESS_KEY={own}", f"x PRIVATE_KEY={own}==", f"pwd={own}", f"auth 0123456789abcdef{own[:-2].upper()}", "db_pwd=qwZkLrXvTmWcNdsPwAbC", "by the author of internationalization"]
     got = {r.doc_id: r.spans for r in scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert got == {0: "novel:29:51", 1: "novel:14:38", 2: "novel:4:26", 3: "hex:5:21,novel:21:41", 4: "novel:7:27", 5: ""}
+
+
+def test_wrapped_licence_sentences(spark):
+    lines = ["Copyright 2020 The Foo Authors", "", 'Licensed under the Apache License, Version 2.0 (the "License");', "you may not use this file except in compliance with the License.",
+             "You may obtain a copy of the License at", "", "    http://www.apache.org/licenses/LICENSE-2.0", "", "Unless required by applicable law or agreed to in writing, software",
+             'distributed under the License is distributed on an "AS IS" BASIS,', "WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
+             "See the License for the specific language governing permissions and", "limitations under the License."]
+    grant = next(s for s, i in SENTENCES.items() if i == "MitGrant").replace("software and", "software\nand").replace("without restriction", "without\nrestriction")
+    grant += "\n\n" + next(s for s, i in SENTENCES.items() if i == "MitNotice").replace("shall be", "shall\nbe")
+    texts = ["/*\n" + "".join(f" * {x}\n" for x in lines) + " */\nint x;", "".join(f"# {x}\n".replace("#  \n", "#\n") for x in lines), "\n".join(lines), f"MIT License\nCopyright (c) 2020 Foo\n{grant}\n"]
+    got = {r.doc_id: r for r in scan_licences(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i].licences for i in range(4)] == ["Apache-2.0"] * 3 + ["MIT"]
+    assert [got[i].n_known for i in range(4)] == [4, 4, 5, 2] and not any(r.n_unmatched for r in got.values())

@@ -13,6 +13,9 @@ SENTENCES = {
     "Licensed under the Apache License, Version 2.0.": "ApacheLine",
     'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.': "ApacheUse",
     "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0": "ApacheCopy",
+    # As published, with an empty line between the two.
+    "You may obtain a copy of the License at": "ApacheAt",
+    "http://www.apache.org/licenses/LICENSE-2.0": "ApacheUrl",
     'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.': "ApacheAsIs",
     "See the License for the specific language governing permissions and limitations under the License.": "ApacheSee",
     "Released under the MIT License.": "MitLine",
@@ -39,6 +42,7 @@ RULES = [
     ("BSD-3-Clause", ["BsdUse", "BsdSource", "BsdBinary", "BsdNames"]),
     ("BSD-2-Clause", ["BsdUse", "BsdSource", "BsdBinary"]),
     ("Apache-2.0", ["ApacheUse", "ApacheCopy", "ApacheAsIs", "ApacheSee"]),
+    ("Apache-2.0", ["ApacheUse", "ApacheAt", "ApacheUrl", "ApacheAsIs", "ApacheSee"]),
     ("Apache-2.0", ["ApacheUse"]),
     ("Apache-2.0", ["ApacheLine"]),
     ("MIT", ["MitGrant", "MitNotice", "MitAsIs"]),
@@ -73,8 +77,8 @@ def scan_licences(docs: DataFrame) -> DataFrame:
 
     `sentence_ids` joins the identifiers with commas; rules are tried in order and each consumes the sentences it
     matches, which must stand next to each other among the known ones. `licences` names the licences found, in rule
-    order, joined with commas and each once; `n_unmatched` counts known sentences that no rule used. Sentences end with a stop, an empty
-    line, or, where the whole is unknown, a line break. Null and empty texts have no sentences (0 and
+    order, joined with commas and each once; `n_unmatched` counts known sentences that no rule used. Sentences start behind
+    and end with a stop, an empty line or a line break, and can be wrapped, also in comments. Null and empty texts have no sentences (0 and
     empty strings); repeated rows each get a row; other columns are not read.
     """
     d = pick(docs, "doc_id", "text")
@@ -84,14 +88,14 @@ def scan_licences(docs: DataFrame) -> DataFrame:
         triggered = triggered | F.contains(low, F.lit(t))
     known = F.create_map(*[F.lit(x) for s, i in SENTENCES.items() for x in (normal_form(s), i)])
     names = list(dict.fromkeys(normal_form(s) for s in SENTENCES))
-    # A sentence can go over several lines, or be a line without a full stop: the whole first, else its lines.
-    whole = F.split(F.regexp_replace(F.regexp_replace(low, SENTENCE_END, "\x01"), PARAGRAPH, "\x01"), "\x01")
-    lines = F.flatten(
-        F.transform(
-            whole, lambda s: F.when(_squeezed(s).isin(names), F.array(_squeezed(s))).otherwise(F.transform(F.split(s, "\n"), _squeezed))
-        )
-    )
-    ids = F.transform(F.filter(lines, lambda s: s.isin(names)), lambda s: F.element_at(known, s))
+    # Ends of sentences as \x01 and line breaks as \x02 between words in normal form. A sentence can go over line breaks,
+    # those of comment lines without words among them, and starts and ends at either; the longest that does is taken.
+    marked = F.regexp_replace(F.regexp_replace(F.translate(low, "\x02", " "), SENTENCE_END, "\x01"), PARAGRAPH, "\x01")
+    marked = F.regexp_replace(F.translate(marked, "\n", "\x02"), "[^a-z0-9\x01\x02]+", " ")
+    marked = F.regexp_replace(F.regexp_replace(F.concat(F.lit("\x01"), marked, F.lit("\x01")), "[ \x02]{2,}", "\x02"), "[ \x01\x02]{2,}", "\x01")
+    either = "|".join(n.replace(" ", "[ \x02]") for n in sorted(names, key=len, reverse=True))
+    sentences = F.regexp_extract_all(marked, F.lit(f"[\x01\x02]({either})(?=[\x01\x02])"), F.lit(1))
+    ids = F.transform(sentences, lambda s: F.element_at(known, F.translate(s, "\x02", " ")))
     d = d.select("doc_id", F.when(triggered, ids).otherwise(F.array().cast("array<string>")).alias("ids"))
     d = d.withColumn("ids", F.coalesce("ids", F.array().cast("array<string>")))
     rest = F.array_join(F.transform("ids", lambda i: F.concat(F.lit("<"), i, F.lit(">"))), "")
@@ -114,7 +118,3 @@ def scan_licences(docs: DataFrame) -> DataFrame:
         F.concat_ws(",", *found).alias("licences"),
         (F.length("rest") - F.length(F.replace("rest", F.lit("<"), F.lit("")))).cast("long").alias("n_unmatched"),
     )
-
-
-def _squeezed(s):
-    return F.btrim(F.regexp_replace(s, "[^a-z0-9]+", " "), F.lit(" "))
