@@ -288,3 +288,17 @@ def test_wrapped_licence_sentences(spark):
     got = {r.doc_id: r for r in scan_licences(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     assert [got[i].licences for i in range(4)] == ["Apache-2.0"] * 3 + ["MIT"]
     assert [got[i].n_known for i in range(4)] == [4, 4, 5, 2] and not any(r.n_unmatched for r in got.values())
+
+
+def test_common_licence_families_are_known(spark):
+    said = {
+        "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at http://mozilla.org/MPL/2.0/.",
+        "LGPL-3.0-only": "// SPDX-License-Identifier: LGPL-3.0-only",
+        "ISC": "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.",
+        "Unlicense": "This is free and unencumbered software released into the public domain.",
+        "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+        "EPL-2.0": "Released under the Eclipse Public License 2.0.",
+        "MIT": "/* SPDX-License-Identifier: MIT */\nint x;",
+    }
+    got = {r.doc_id: r.licences for r in scan_licences(spark.createDataFrame(list(said.items()), "doc_id string, text string")).collect()}
+    assert got == {k: k for k in said}

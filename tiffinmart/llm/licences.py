@@ -35,11 +35,31 @@ SENTENCES = {
     "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.": "BsdSource",
     "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.": "BsdBinary",
     "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.": "BsdNames",
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.": "Gpl2Only",
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version 2 of the License.": "Gpl2Only",
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.": "Lgpl21Later",
+    "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.": "LgplNoWarranty",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.": "Lgpl3Later",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.": "Agpl3Later",
+    "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.": "Mpl2Copy",
+    "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.": "Mpl2Copy",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/": "Epl2Use",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0 which accompanies this distribution, and is available at https://www.eclipse.org/legal/epl-2.0/": "Epl2Use",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at http://www.eclipse.org/legal/epl-v10.html": "Epl1Use",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.": "IscGrant",
+    "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.": "IscGrant",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.": "ZeroBsdGrant",
+    "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:": "ZlibGrant",
+    "This is free and unencumbered software released into the public domain.": "Unlicense",
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.': "BsdAsIs",
+    "The person who associated a work with this deed has dedicated the work to the public domain by waiving all of their rights to the work worldwide under copyright law, including all related and neighboring rights, to the extent allowed by law.": "Cc0Deed",
 }
 
 # Licences and the sentence sequence each needs. A rule that holds a shorter one's sequence stands before it.
 RULES = [
+    ("BSD-3-Clause", ["BsdUse", "BsdSource", "BsdBinary", "BsdNames", "BsdAsIs"]),
     ("BSD-3-Clause", ["BsdUse", "BsdSource", "BsdBinary", "BsdNames"]),
+    ("BSD-2-Clause", ["BsdUse", "BsdSource", "BsdBinary", "BsdAsIs"]),
     ("BSD-2-Clause", ["BsdUse", "BsdSource", "BsdBinary"]),
     ("Apache-2.0", ["ApacheUse", "ApacheCopy", "ApacheAsIs", "ApacheSee"]),
     ("Apache-2.0", ["ApacheUse", "ApacheAt", "ApacheUrl", "ApacheAsIs", "ApacheSee"]),
@@ -57,10 +77,61 @@ RULES = [
     ("CC-BY-SA-4.0", ["CcBySaLine"]),
     ("CC-BY-4.0", ["CcByLine"]),
     ("Proprietary", ["AllRights"]),
+    ("AGPL-3.0-or-later", ["Agpl3Later", "GplNoWarranty"]),
+    ("AGPL-3.0-or-later", ["Agpl3Later"]),
+    ("LGPL-3.0-or-later", ["Lgpl3Later", "GplNoWarranty"]),
+    ("LGPL-3.0-or-later", ["Lgpl3Later"]),
+    ("LGPL-2.1-or-later", ["Lgpl21Later", "LgplNoWarranty"]),
+    ("LGPL-2.1-or-later", ["Lgpl21Later"]),
+    ("GPL-2.0-only", ["Gpl2Only", "GplNoWarranty"]),
+    ("GPL-2.0-only", ["Gpl2Only"]),
+    ("MPL-2.0", ["Mpl2Copy"]),
+    ("EPL-2.0", ["Epl2Use"]),
+    ("EPL-1.0", ["Epl1Use"]),
+    ("ISC", ["IscGrant"]),
+    ("0BSD", ["ZeroBsdGrant"]),
+    ("Zlib", ["ZlibGrant"]),
+    ("Unlicense", ["Unlicense"]),
+    ("CC0-1.0", ["Cc0Deed"]),
 ]
 
+# Licences by their SPDX identifier, with the names that short notices give them. Each has a sentence for
+# its SPDX line and one for each notice. The old "GPL-2.0+" is left out: in normal form it is "GPL-2.0".
+NAMED = {
+    "MIT": ["MIT License", "MIT license agreement"],
+    "Apache-2.0": ["Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache-2.0 License"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License"],
+    "0BSD": ["Zero-Clause BSD License", "BSD Zero Clause License"],
+    "ISC": ["ISC License"],
+    "Zlib": ["zlib License"],
+    "Unlicense": ["Unlicense"],
+    "BSL-1.0": ["Boost Software License, Version 1.0", "Boost Software License 1.0"],
+    "GPL-2.0-only": ["GNU General Public License, version 2", "GNU General Public License v2.0", "GPLv2 License", "GPLv2"],
+    "GPL-2.0-or-later": [],
+    "GPL-3.0-only": ["GNU General Public License, version 3", "GNU General Public License v3.0", "GPLv3 License", "GPLv3"],
+    "GPL-3.0-or-later": [],
+    "LGPL-2.1-only": ["GNU Lesser General Public License, version 2.1", "GNU Lesser General Public License v2.1", "LGPLv2.1"],
+    "LGPL-2.1-or-later": [],
+    "LGPL-3.0-only": ["GNU Lesser General Public License, version 3", "GNU Lesser General Public License v3.0", "LGPLv3"],
+    "LGPL-3.0-or-later": [],
+    "AGPL-3.0-only": ["GNU Affero General Public License, version 3", "GNU Affero General Public License v3.0", "AGPLv3"],
+    "AGPL-3.0-or-later": [],
+    "MPL-2.0": ["Mozilla Public License, Version 2.0", "Mozilla Public License 2.0", "MPL 2.0"],
+    "EPL-1.0": ["Eclipse Public License 1.0", "Eclipse Public License v1.0"],
+    "EPL-2.0": ["Eclipse Public License 2.0", "Eclipse Public License v2.0"],
+    "CC0-1.0": ["CC0 1.0", "CC0 1.0 Universal", "CC0 1.0 Universal License"],
+    "CC-BY-4.0": ["CC BY 4.0", "Creative Commons Attribution 4.0 International License"],
+    "CC-BY-SA-4.0": ["CC BY-SA 4.0", "Creative Commons Attribution-ShareAlike 4.0 International License"],
+    "CC-BY-NC-4.0": ["CC BY-NC 4.0", "Creative Commons Attribution-NonCommercial 4.0 International License"],
+    "CC-BY-ND-4.0": ["CC BY-ND 4.0", "Creative Commons Attribution-NoDerivatives 4.0 International License"],
+    "CC-BY-NC-SA-4.0": ["CC BY-NC-SA 4.0", "Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License"],
+    "CC-BY-NC-ND-4.0": ["CC BY-NC-ND 4.0", "Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License"],
+}
+NOTICES = ("Licensed", "Released", "Distributed", "This project is licensed", "This work is licensed", "This software is licensed", "This software is released")
+
 #: Words of which every known sentence has one; a text without any of them needs no sentences.
-TRIGGERS = ("licen", "rights", "warrant", "permi", "redistribut", "copyright")
+TRIGGERS = ("licen", "rights", "warrant", "permi", "redistribut", "copyright", "unencumbered", "mpl was not", "released under", "distributed under")
 #: Where a sentence ends.
 SENTENCE_END = "[.!?]+[ \\t\\r\\n]+|[.!?]+$|:[ \\t\\r]*\\n"
 #: Line breaks within a sentence are blanks, an empty line ends one.
@@ -72,6 +143,20 @@ def normal_form(sentence: str) -> str:
     return " ".join(kept.split())
 
 
+def _add_named() -> None:
+    known = {normal_form(s) for s in SENTENCES}
+    for licence, names in NAMED.items():
+        notices = [f"{how} under {the}{name}." for name in names for how in NOTICES for the in ("the ", "a ", "")]
+        for sentence, i in [(f"SPDX-License-Identifier: {licence}", f"Spdx {licence}"), *[(n, f"Line {licence}") for n in notices]]:
+            if normal_form(sentence) not in known:
+                known.add(normal_form(sentence))
+                SENTENCES[sentence] = i
+        RULES.extend((licence, [f"{kind} {licence}"]) for kind in (("Spdx", "Line") if names else ("Spdx",)))
+
+
+_add_named()
+
+
 def scan_licences(docs: DataFrame) -> DataFrame:
     """One row per row of `docs`: its known licence sentences in order and the licences that follow from them.
 
