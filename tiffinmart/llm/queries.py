@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tiffinmart.llm.byte_cnn import quality_scores
+from tiffinmart.llm.centroids import centroid_clusters
 from tiffinmart.llm.decontaminate import contamination
 from tiffinmart.llm.jaccard_join import jaccard_components
 from tiffinmart.llm.licences import PARAGRAPH, RULES, SENTENCE_END, SENTENCES, TRIGGERS, normal_form, scan_licences
@@ -188,3 +189,33 @@ n AS (SELECT r, sum(e - o) AS n, count(*) AS spans FROM s GROUP BY r)
 SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n.n, 0)::BIGINT AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(kept)) AS kept_sha256
 FROM d JOIN x USING (r) LEFT JOIN n USING (r)
 """
+
+
+@query
+def op11_centroid_clusters(spark, sf_dir):
+    return centroid_clusters(table(spark, sf_dir, "embeddings"))
+
+
+def _centroid_sql(k: int = 8, rounds: int = 10, size: int = 64, scale: int = 1024, seed: int = 3) -> str:
+    far = f"list_sum([(v[j] - c[j]) * (v[j] - c[j]) FOR j IN range(1, {size + 1})])::BIGINT"
+    steps = [
+        f"""w AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, [floor({scale} * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+    WHERE len(embedding) = {size} AND len([x FOR x IN embedding IF x IS NOT NULL AND isfinite(x)]) = {size})""",
+        f"""c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY h, v) - 1)::INT AS k, v AS c FROM (SELECT sha256('{seed}:' || coalesce(vec_id::VARCHAR, '')) AS h, v FROM w ORDER BY h, v LIMIT {k}))""",
+    ]
+    for n in range(rounds + 1):
+        steps.append(f"a{n} AS MATERIALIZED (SELECT r, min(x) AS x FROM (SELECT r, {{'d': {far}, 'k': k}} AS x FROM w, c{n}) GROUP BY r)")
+        if n < rounds:
+            mean = "[(s - ((s % n) + n) % n) // n FOR s IN ss]"
+            each = ", ".join(f"sum(v[{j}])::BIGINT" for j in range(1, size + 1))
+            steps.append(f"s{n} AS (SELECT x.k AS k, count(*) AS n, [{each}] AS ss FROM w JOIN a{n} USING (r) GROUP BY x.k)")
+            steps.append(f"c{n + 1} AS MATERIALIZED (SELECT c.k, CASE WHEN s.k IS NULL THEN c ELSE {mean} END AS c FROM c{n} c LEFT JOIN s{n} s ON c.k = s.k)")
+    return f"""
+WITH {", ".join(steps)}
+SELECT vec_id, x.k AS cluster, x.d AS distance, (sum(x.d) OVER (PARTITION BY x.k))::BIGINT AS cluster_inertia, (sum(x.d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM w JOIN a{rounds} USING (r) JOIN c{rounds} c ON c.k = x.k
+"""
+
+
+ORACLES["op11_centroid_clusters"] = _centroid_sql()

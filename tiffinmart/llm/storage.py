@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from tiffinmart.session import shared_dir
 
 
+def _folder(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
 def settled(df: DataFrame, purpose: str) -> DataFrame:
-    """`df` written to the shared folder and read back. What it was made from is no longer needed, so the driver is
-    asked to collect its garbage, which lets Spark remove the shuffle files behind it."""
+    """`df` written to the shared folder and read back; the folder goes when the session ends."""
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
     df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    spark.sparkContext._jvm.System.gc()
-    return out
+    system, folder = _folder(spark, path)
+    system.deleteOnExit(folder)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def dropped(df: DataFrame) -> None:
+    """Removes the folder of a table that `settled` gave and that nothing reads any more."""
+    for file in df.inputFiles()[:1]:
+        system, folder = _folder(df.sparkSession, file)
+        system.delete(folder.getParent(), True)
