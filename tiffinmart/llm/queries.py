@@ -12,6 +12,7 @@ from tiffinmart.llm.decontaminate import contamination
 from tiffinmart.llm.jaccard_join import jaccard_components
 from tiffinmart.llm.licences import PARAGRAPH, RULES, SENTENCE_END, SENTENCES, TRIGGERS, normal_form, scan_licences
 from tiffinmart.llm.mixing import mix_sources
+from tiffinmart.llm.phrases import collocations
 from tiffinmart.llm.quality_rules import quality_rules
 from tiffinmart.llm.secret_scan import scan_secrets
 from tiffinmart.llm.suffix_dedup import remove_repeats
@@ -219,3 +220,26 @@ FROM w JOIN a{rounds} USING (r) JOIN c{rounds} c ON c.k = x.k
 
 
 ORACLES["op11_centroid_clusters"] = _centroid_sql()
+
+
+@query
+def op12_collocations(spark, sf_dir):
+    return collocations(table(spark, sf_dir, "documents")).drop("path_words")
+
+
+ORACLES["op12_collocations"] = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM d),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM p),
+i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+g AS (SELECT lang, w[i : i + k - 1] AS g FROM i, range(1, 6) t(k) WHERE i + k - 1 <= len(w)),
+f AS MATERIALIZED (SELECT lang, g, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+c AS (SELECT lang, g, f AS a, unnest(range(1, len(g))) AS k FROM f WHERE len(g) > 1),
+s AS (SELECT c.lang, c.g, c.a, k, x.f AS l, y.f AS r, n, ((1000 * c.a::HUGEINT * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+      FROM c JOIN n USING (lang) JOIN f x ON x.lang = c.lang AND x.g = c.g[1:k] JOIN f y ON y.lang = c.lang AND y.g = c.g[k + 1:]),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+inside AS (SELECT lang, g[i : i + k - 1] AS g, max(f) AS f FROM (SELECT lang, g, f, unnest(range(1, len(g) + 1)) AS i FROM f), range(2, 5) t(k) WHERE k < len(g) AND i + k - 1 <= len(g) GROUP BY ALL),
+o AS (SELECT b.*, array_to_string(b.g, ' ') AS phrase FROM b LEFT JOIN inside x ON x.lang = b.lang AND x.g = b.g WHERE x.f IS NULL OR 100 * x.f < 100 * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM o QUALIFY rank <= 2000
+"""

@@ -12,13 +12,12 @@ from pyspark.sql import functions as F
 
 from tiffinmart.llm.byte_cnn import fold_of
 from tiffinmart.llm.frames import in_blocks, pick
+from tiffinmart.llm.sieves import passes, sieve
 from tiffinmart.llm.storage import settled
 from tiffinmart.llm.tokens import span_hashes, words
 
 #: Stands for the end of a text among the hashes of words. Not 0, which would vanish in hashes of runs.
 END = np.uint64(1)
-#: Bits of a sieve, as a power of two: 16 MB, whatever the input. A full one lets more through and loses nothing.
-SIEVE = 27
 
 
 class Tokens:
@@ -50,24 +49,6 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
-def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Whether a sieve lets each key through: all that it was made of, and a few others."""
-    slot = keys >> np.uint64(64 - SIEVE)
-    return (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
-
-
-def sieve(keys: DataFrame) -> np.ndarray:
-    """One bit for each possible start of a hash in column `h`, as bytes."""
-    slots = keys.select(F.shiftrightunsigned("h", 64 - SIEVE).alias("slot")).select(
-        F.shiftright("slot", 15).alias("part"), F.col("slot").bitwiseAND(32767).alias("place")
-    )
-    parts = slots.groupBy("part", "place").agg(F.lit(1)).groupBy("part").agg(F.bitmap_construct_agg("place").alias("bits")).toArrow()
-    bits = np.zeros((1 << (SIEVE - 15), 4096), np.uint8)
-    for part, own in zip(parts.column("part").to_pylist(), parts.column("bits").to_pylist(), strict=True):
-        bits[part] = np.frombuffer(own, np.uint8)
-    return bits.reshape(-1)
-
-
 def counted_words(docs: DataFrame) -> DataFrame:
     """h, n and c: every token, by its hash as a run, with its count in all and in training texts."""
 
