@@ -13,6 +13,7 @@ from tiffinmart.llm.jaccard_join import jaccard_components
 from tiffinmart.llm.licences import PARAGRAPH, RULES, SENTENCE_END, SENTENCES, TRIGGERS, normal_form, scan_licences
 from tiffinmart.llm.mixing import mix_sources
 from tiffinmart.llm.phrases import collocations
+from tiffinmart.llm.pii import find_personal
 from tiffinmart.llm.quality_rules import quality_rules
 from tiffinmart.llm.secret_scan import scan_secrets
 from tiffinmart.llm.suffix_dedup import remove_repeats
@@ -243,3 +244,8 @@ inside AS (SELECT lang, g[i : i + k - 1] AS g, max(f) AS f FROM (SELECT lang, g,
 o AS (SELECT b.*, array_to_string(b.g, ' ') AS phrase FROM b LEFT JOIN inside x ON x.lang = b.lang AND x.g = b.g WHERE x.f IS NULL OR 100 * x.f < 100 * b.a)
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM o QUALIFY rank <= 2000
 """
+
+
+@query
+def op13_personal_data(spark, sf_dir):
+    return find_personal(table(spark, sf_dir, "documents"))
