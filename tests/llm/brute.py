@@ -118,3 +118,115 @@ def poisson_count(u, mean):
         p *= mean / k
         total += p
     return k
+
+
+def tree_scores(rows, depth=3, least=2, bits=0.1, weight=2.0):
+    """log10 probability of each text under the suffix tree, by its definition: recursion over contexts."""
+    tokens = [tuple([*words(t), None]) for _, t in rows]
+    trains = [w for (d, _), w in zip(rows, tokens, strict=True) if d is None or fold(d, 7) != 2]
+    runs = collections.Counter(w[i : i + k] for w in trains for k in range(1, depth + 2) for i in range(len(w) - k + 1))
+    n = sum(v for k, v in runs.items() if len(k) == 1)
+    once = sum(v == 1 for k, v in runs.items() if len(k) == 1)
+    unknown = (once + 1) / (n + 2)
+    after = collections.defaultdict(dict)
+    for run, v in runs.items():
+        if len(run) > 1 and v >= least:
+            after[run[:-1]][run[-1]] = v
+
+    def back(u):
+        return (runs[u] - sum(after[u].values()) + weight) / (runs[u] + weight)
+
+    def stored(u, w):
+        """Smoothed probability of a run that occurs often enough, whether its context is kept or not."""
+        if not u:
+            return runs[(w,)] * (1 - unknown) / max(n, 1)
+        return after[u][w] / (runs[u] + weight) + back(u) * stored(u[1:], w)
+
+    kept = set()
+    for u, follow in list(after.items()):
+        below = {w: stored(u[1:], w) for w in follow}
+        share = {w: v / runs[u] for w, v in follow.items()}
+        gain = sum(s * math.log2(s / max(below[w], 1e-12)) for w, s in share.items())
+        left = 1 - sum(share.values())
+        if left > 1e-9:
+            gain += left * math.log2(left / max(1 - sum(below.values()), 1e-9))
+        if gain >= bits:
+            kept.update(u[i:] for i in range(len(u)))
+
+    def score(u, w):
+        while u and u not in kept:
+            u = u[1:]
+        if not u:
+            return math.log10(stored((), w) if runs[(w,)] else unknown)
+        return math.log10(stored(u, w)) if w in after[u] else math.log10(back(u)) + score(u[1:], w)
+
+    return [sum(score(w[max(0, i - depth) : i], w[i]) for i in range(len(w))) for w in tokens]
+
+
+def centroids(rows, k=8, rounds=10, size=64, seed=3):
+    """(id, cluster, distance, inertia of the cluster, inertia, digest) of each (id, vector) that is kept."""
+    kept = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows if v is not None and len(v) == size and all(x is not None and math.isfinite(x) for x in v)]
+    name = lambda i: hashlib.sha256(f"{seed}:{'' if i is None else i}".encode()).hexdigest()
+    centres = [v for _, v in sorted(kept, key=lambda r: (name(r[0]), r[1]))[:k]]
+    far = lambda v, c: sum((a - b) ** 2 for a, b in zip(v, c, strict=True))
+    for left in range(rounds, -1, -1):
+        near = [min((far(v, c), j) for j, c in enumerate(centres)) for _, v in kept]
+        if left:
+            for j in range(len(centres)):
+                own = [v for (_, v), (_, c) in zip(kept, near, strict=True) if c == j]
+                if own:
+                    centres[j] = [sum(x) // len(own) for x in zip(*own, strict=True)]
+    total = collections.Counter()
+    for d, j in near if kept else ():
+        total[j] += d
+    digest = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centres]
+    return [(i, j, d, total[j], sum(total.values()), digest[j]) for (i, _), (d, j) in zip(kept, near if kept else (), strict=True)]
+
+
+def collocations(rows, least, top=2000):
+    """(lang, rank, phrase, a, l, r, n, score) of the (text, lang) rows."""
+    counts, total = collections.Counter(), collections.Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(_LOWER)):
+            w = tuple(re.findall(r"[^\x20\x09]+", piece))
+            total[lang] += len(w)
+            counts.update((lang, w[i : i + k]) for k in range(1, 6) for i in range(len(w) - k + 1))
+    often = {g: a for g, a in counts.items() if a >= least}
+    around = collections.Counter()
+    for (lang, g), a in often.items():
+        for k in range(2, len(g)):
+            for i in range(len(g) - k + 1):
+                around[lang, g[i : i + k]] = max(around[lang, g[i : i + k]], a)
+    found = collections.defaultdict(list)
+    for (lang, g), a in often.items():
+        if len(g) > 1 and around[lang, g] < a:
+            cut = min((1000 * a * total[lang] // (often[lang, g[:k]] * often[lang, g[k:]]), k) for k in range(1, len(g)))
+            found[lang].append((-cut[0], -a, " ".join(g).encode(), often[lang, g[: cut[1]]], often[lang, g[cut[1] :]]))
+    return sorted((lang, n, p.decode(), -a, left, right, total[lang], -s) for lang, own in found.items() for n, (s, a, p, left, right) in enumerate(sorted(own)[:top], 1))
+
+
+_PII = (
+    re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    re.compile(r"[0-9]([\x20-]?[0-9])+"),
+    re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+)
+
+
+def personal(text):
+    """(kind, start, end) of the pattern matches, by kind and start."""
+    out = []
+    for kind, pattern in enumerate(_PII):
+        for m in pattern.finditer(text or ""):
+            digits = [int(c) for c in m[0] if c in "0123456789"]
+            doubled = [d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(reversed(digits))]
+            fits = (
+                True,
+                all(int(p) <= 255 for p in m[0].split(".")) if kind == 1 else False,
+                13 <= len(digits) <= 19 and sum(doubled) % 10 == 0,
+                9 <= len(digits) <= 15,
+            )
+            if fits[kind]:
+                out.append((kind, m.start(), m.end()))
+    return out

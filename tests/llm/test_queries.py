@@ -55,6 +55,8 @@ def test_suffix_tree(spark, sf_dir, texts):
     for r, (d, _), (tokens, known, base) in zip(rows, texts, want, strict=True):
         assert (r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (d, tokens, known, n, brute.fold(d, 7) == 2)
         assert r.base_score == pytest.approx(base) and r.score < 0
+    for r, score in zip(rows, brute.tree_scores(texts), strict=True):
+        assert r.score == pytest.approx(score, rel=1e-5)
     for held in (True, False):
         assert sum(r.score - r.base_score for r in rows if r.held_out == held) > 0
 

@@ -31,7 +31,7 @@ def first_centroids(vectors: DataFrame, k: int, seed: int) -> np.ndarray:
     """The `k` vectors with the smallest SHA-256 of seed and id, in this order; of one id the smaller vector first."""
     named = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("vec_id").cast("string"), F.lit(""))).cast("binary"), 256)
     rows = vectors.select(named.alias("h"), "v").orderBy("h", "v").limit(k).collect()
-    return np.array([r["v"] for r in rows], np.int64).reshape(len(rows), -1)
+    return np.array([r["v"] for r in rows], np.int64)
 
 
 def assigned(state: DataFrame, changes: np.ndarray, centroids: np.ndarray) -> DataFrame:

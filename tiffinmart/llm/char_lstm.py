@@ -9,6 +9,8 @@ KINDS = ("email", "ip", "card", "phone")
 O, TAGS = 0, 1 + 2 * len(KINDS)
 #: Character codes: ASCII, other letters, other characters, and what stands past the end of a text.
 LETTER, OTHER, PAD, CODES = 128, 129, 130, 131
+#: Columns that a product takes at a time: larger ones are shared among threads, which at this size wait for each other.
+ALONE = 320
 
 
 def codes_of(text: str, step: int = 1 << 20) -> np.ndarray:
@@ -101,7 +103,8 @@ class SpanNet:
         i, f, o, g = (a[:, k * h : (k + 1) * h] for k in range(4))
         open_, hidden = a[:, : 3 * h], z[:, :, e + 1 :]
         for t in range(length):
-            np.matmul(self.p["gates"], z[t], out=a)
+            for j in range(0, n, ALONE):
+                np.matmul(self.p["gates"], z[t, :, :, j : j + ALONE], out=a[:, :, j : j + ALONE])
             if keep is not None:
                 keep["sums"][t] = a
             squash(a, room)
@@ -119,13 +122,16 @@ class SpanNet:
         return z
 
     def emissions(self, z: np.ndarray) -> np.ndarray:
-        """Scores of the tags by place, row and tag."""
+        """Scores of the tags by place, tag and row."""
         h, out = self.hidden, self.p["out"]
-        e = np.matmul(out[:, :h], z[1:, 0, -h:]) + np.matmul(out[:, h:], z[:0:-1, 1, -h:])
-        return np.ascontiguousarray(e.transpose(0, 2, 1)) + self.p["tag"]
+        e = np.matmul(out[:, :h], z[1:, 0, -h:])
+        e += np.matmul(out[:, h:], z[:0:-1, 1, -h:])
+        e += self.p["tag"][:, None]
+        return e
 
     def chances(self, e: np.ndarray, tags: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean negative log-likelihood of the tags under the CRF, and its gradient by e (as `e`), step and first."""
+        """Mean negative log-likelihood of the tags under the CRF, and its gradient by e (place, row and tag), step and
+        first."""
         length, n, _ = e.shape
         step, first = self.p["step"], self.p["first"]
         ahead = np.empty_like(e)
@@ -153,7 +159,7 @@ class SpanNet:
         keep: dict = {}
         h, width, (n, length) = self.hidden, self.embed, codes.shape
         z = self.states(codes, keep)
-        loss, g = self.chances(self.emissions(z), tags)
+        loss, g = self.chances(np.ascontiguousarray(self.emissions(z).transpose(0, 2, 1)), tags)
         d_e = g.pop("e").astype(np.float32)
         g["tag"] = d_e.sum(axis=(0, 1))
         flat = lambda x: np.ascontiguousarray(x.transpose(1, 0, 2)).reshape(x.shape[1], -1)  # noqa: E731  (unit, place and row)
@@ -182,18 +188,18 @@ class SpanNet:
             g["embed"] += seen @ (self.p["gates"][side, :, :width].T @ d).T
         return loss, g
 
-    def fit(self, texts: list[str], tags: list[np.ndarray], length: int, epochs: int = 10, batch: int = 64, rate: float = 0.02, seed: int = 5) -> SpanNet:
-        """Adam over shuffled batches of windows of `length` characters."""
+    def fit(self, texts: list[str], tags: list[np.ndarray], length: int, steps: int = 360, batch: int = 64, rate: float = 0.02, seed: int = 5) -> SpanNet:
+        """Adam over `steps` shuffled batches of windows of `length` characters."""
         codes, right = np.full((len(texts), length), PAD, np.uint8), np.zeros((len(texts), length), np.int64)
         for i, (text, own) in enumerate(zip(texts, tags, strict=True)):
             codes[i, : len(text)], right[i, : len(own)] = codes_of(text), own
         r = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         s = {k: np.zeros_like(v) for k, v in self.p.items()}
-        step, steps = 0, epochs * -(-len(texts) // batch)
-        for _ in range(epochs):
+        step = 0
+        while step < steps:
             order = r.permutation(len(texts))
-            for i in range(0, len(order), batch):
+            for i in range(0, batch * min(steps - step, -(-len(order) // batch)), batch):
                 _, g = self.gradients(codes[order[i : i + batch]], right[order[i : i + batch]])
                 size = float(np.sqrt(sum((v * v).sum() for v in g.values())))
                 step += 1
@@ -206,17 +212,19 @@ class SpanNet:
         return self
 
     def best_tags(self, e: np.ndarray) -> np.ndarray:
-        """The likeliest tags of each row (Viterbi), by row and place."""
-        length, n, _ = e.shape
+        """The likeliest tags of each row (Viterbi), by row and place, for scores by place, tag and row."""
+        length, _, n = e.shape
         step, first = self.p["step"], self.p["first"]
         out = np.zeros((n, length), np.uint8)
         # No other path can beat the outside one where every place and step of it is worth less by itself.
-        over = (e[:, :, 1:].max(axis=2) - e[:, :, O]) + max(0.0, float((step - step[O, O]).max()))
+        over = e[:, 1:].max(axis=1)
+        over -= e[:, O]
+        over += max(0.0, float((step - step[O, O]).max()))
         over[0] += max(0.0, float((first - first[O]).max()))
         rows = np.flatnonzero(over.max(axis=0) > 0)
         if not len(rows):
             return out
-        e = e[:, rows]
+        e = np.ascontiguousarray(e[:, :, rows].transpose(0, 2, 1))
         score, came = e[0] + first, np.zeros((length, len(rows), TAGS), np.uint8)
         for t in range(1, length):
             ways = score[:, :, None] + step
@@ -228,7 +236,7 @@ class SpanNet:
             at = came[t][np.arange(len(rows)), at]
         return out
 
-    def tags(self, codes: list[np.ndarray], length: int, margin: int, rows: int = 2048) -> list[np.ndarray]:
+    def tags(self, codes: list[np.ndarray], length: int, margin: int, rows: int = 4 * ALONE) -> list[np.ndarray]:
         """The tag of each character of each text: windows of `length` characters overlap by twice the margin, and
         each character has its tag from the window in which it is farther from an end."""
         starts = np.concatenate([[0], np.cumsum([len(c) for c in codes])])

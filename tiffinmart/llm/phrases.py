@@ -269,7 +269,9 @@ def collocations(docs: DataFrame, least: int = 100, top: int = 2000, percent: in
     vocabulary = settled(counted_words(texts), "vocabulary")
     words = vocabulary.filter(F.col("n") >= least)
     known = spark.sparkContext.broadcast(sieve(words))
-    pairs = spark.sparkContext.broadcast(sieve(counted_pairs(texts, known).filter(F.col("n") >= least)))
+    frequent = settled(counted_pairs(texts, known).filter(F.col("n") >= least), "pairs")
+    pairs = spark.sparkContext.broadcast(sieve(frequent))
+    dropped(frequent)
     graph = settled(edges_and_tails(texts, known, pairs), "graph")
     nodes = settled(flow_nodes(graph), "nodes")
     paths = compacted(nodes, least)

@@ -250,8 +250,12 @@ def find_personal(docs: DataFrame, most_docs: int = 20_000, per_kind: int = 300,
     documents give no rows; other columns are not read.
     """
     picked = pick(docs, "doc_id", "text")
-    net = learned(picked, most_docs, per_kind, length, seed)
-    weights = net.p
+    return scanned(picked, learned(picked, most_docs, per_kind, length, seed), window, margin)
+
+
+def scanned(docs: DataFrame, net: SpanNet, window: int = 320, margin: int = 32) -> DataFrame:
+    """What `find_personal` gives, with a network that has learnt already."""
+    picked, weights = pick(docs, "doc_id", "text"), net.p
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = SpanNet()

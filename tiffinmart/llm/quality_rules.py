@@ -20,7 +20,8 @@ def _word_count(line):
 
 
 def document_shape(docs: DataFrame) -> DataFrame:
-    """doc_id, host, text_hash, lines and the counts of the base rules, one row per row of `docs`."""
+    """doc_id, host, text_hash, lines (hash of the normal form and words of each) and the counts of the base rules, one
+    row per row of `docs`."""
     text = F.coalesce(F.col("text"), F.lit(""))
     bare = F.btrim(text, F.lit(SEPARATORS))
     d = docs.select("doc_id", F.coalesce("source", F.lit("")).alias("host"), text.alias("text"))
@@ -53,7 +54,7 @@ def document_shape(docs: DataFrame) -> DataFrame:
         "doc_id",
         "host",
         "text_hash",
-        "lines",
+        F.transform("lines", lambda x: F.struct(line_hash(x).alias("line_hash"), _word_count(x).alias("n"))).alias("lines"),
         "n_words",
         F.length(F.translate("text", SEPARATORS, "")).cast("long").alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
@@ -67,42 +68,33 @@ def line_hash(line):
     return F.xxhash64(F.btrim(F.translate(line, *FOLD), F.lit(" ")))
 
 
-def line_words(shapes: DataFrame) -> DataFrame:
-    """host, text_hash, line_hash, n: words that a distinct text has in lines of one normal form."""
-    lines = shapes.select("host", "text_hash", F.explode("lines").alias("line"))
-    lines = lines.select("host", "text_hash", line_hash(F.col("line")).alias("line_hash"), _word_count(F.col("line")).alias("n"))
-    # Copies of a text say the same about their lines, so they count as one document.
-    return lines.groupBy("host", "text_hash", "line_hash").agg(F.max("n").alias("n"), F.count("*").alias("times"))
-
-
-def quality_rules(
-    docs: DataFrame, min_docs: int = 20, max_share: float = 0.05, min_words: int = 50, max_lost: float = 0.7
-) -> DataFrame:
+def quality_rules(docs: DataFrame, min_docs: int = 20, min_words: int = 50, max_lost: float = 0.7) -> DataFrame:
     """One row per row of `docs`: the base counts, the words lost with lines that are common on the host, a verdict.
 
-    A line is common when more than `min_docs` and more than `max_share` of the distinct texts of its host (`source`;
-    null counts as the empty name) have it in normal form (case, digits and blanks folded). Common lines go; a text
-    that is left with under `min_words` words, or loses more than `max_lost` of them, is depleted and rejected. So are
-    texts that fail the base rules: under 50 words, or over half of the words in repeated three-word windows. A null
-    or empty text has no words and fails; repeated rows each get a row; no documents give no rows; other columns are
-    not read. Texts are told apart by a 64-bit hash.
+    A line is common when more than `min_docs` distinct texts of its host (`source`; null counts as the empty name)
+    have it in normal form (case, digits and blanks folded). Common lines go; a text that is left with under
+    `min_words` words, or loses more than `max_lost` of them, is depleted and rejected. So are texts that fail the base
+    rules: under 50 words, or over half of the words in repeated three-word windows. A null or empty text has no words
+    and fails; repeated rows each get a row; no documents give no rows; other columns are not read. Texts are told
+    apart by a 64-bit hash. The texts are read once; their counts and the hashes of their lines are written down.
     """
-    return judged(docs, min_docs, max_share, min_words, max_lost).drop("host", "common")
+    return judged(docs, min_docs, min_words, max_lost).drop("host", "common")
 
 
-def judged(docs: DataFrame, min_docs: int = 20, max_share: float = 0.05, min_words: int = 50, max_lost: float = 0.7) -> DataFrame:
+def judged(docs: DataFrame, min_docs: int = 20, min_words: int = 50, max_lost: float = 0.7) -> DataFrame:
     """What `quality_rules` gives, the host, and the hashes of the common lines of the text (null if it has none)."""
-    shapes = document_shape(pick(docs, "doc_id", "text", "source"))
-    lines = line_words(shapes)
-    spread = lines.groupBy("host", "line_hash").agg(F.count("*").alias("n_texts")).filter(F.col("n_texts") > min_docs)
-    sizes = shapes.select("host", "text_hash").distinct().groupBy("host").agg(F.count("*").alias("host_texts"))
-    common = spread.join(sizes, "host").filter(F.col("n_texts") > max_share * F.col("host_texts"))
+    shapes = document_shape(pick(docs, "doc_id", "text", "source")).withColumn("row", F.monotonically_increasing_id())
+    shapes = settled(shapes, "shapes")
+    lines = shapes.select("row", "host", "text_hash", F.explode("lines").alias("line")).select("row", "host", "text_hash", "line.*")
+    # Copies of a text say the same about their lines, so they count as one document.
+    spread = lines.select("host", "line_hash", "text_hash").distinct().groupBy("host", "line_hash").agg(F.count("*").alias("n_texts"))
+    common = spread.filter(F.col("n_texts") > min_docs).select("host", "line_hash")
     lost = (
-        lines.join(common.select("host", "line_hash"), ["host", "line_hash"])
-        .groupBy("host", "text_hash")
-        .agg(F.sum(F.col("n") * F.col("times")).alias("n_common_words"), F.sum("times").alias("n_common_lines"), F.collect_list("line_hash").alias("common"))
+        lines.join(common, ["host", "line_hash"])
+        .groupBy("row")
+        .agg(F.sum("n").alias("n_common_words"), F.count("*").alias("n_common_lines"), F.collect_set("line_hash").alias("common"))
     )
-    out = shapes.drop("lines").join(lost, ["host", "text_hash"], "left")
+    out = shapes.drop("lines").join(lost, "row", "left")
     left = F.col("n_words") - F.col("n_common_words")
     depleted = (left < min_words) | (F.col("n_common_words") > max_lost * F.col("n_words"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -115,12 +107,12 @@ def judged(docs: DataFrame, min_docs: int = 20, max_share: float = 0.05, min_wor
 
 def keep_good(docs: DataFrame, **limits) -> DataFrame:
     """The rows of `docs` that `quality_rules` keeps, without the common lines of their texts, and `n_chars` counted
-    anew where lines went. All else comes back as it was."""
+    anew where lines went. All else comes back as it was. A null or empty text is rejected; repeated rows each stay or
+    go; no documents give no rows; columns of other names are passed on."""
     names = list(docs.columns)
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     text = f"c{names.index('text')}"
-    # Written down first: a filter would be pushed into the counts and have them computed twice.
-    verdict = settled(judged(docs, **limits).select(F.xxhash64("doc_id", "host", "text_hash").alias("key"), "kept", "common"), "verdict")
+    verdict = judged(docs, **limits).select(F.xxhash64("doc_id", "host", "text_hash").alias("key"), "kept", "common")
     host, text_hash = F.coalesce(f"c{names.index('source')}", F.lit("")), F.xxhash64(F.coalesce(text, F.lit("")))
     keyed = plain.withColumn("key", F.xxhash64(f"c{names.index('doc_id')}", host, text_hash))
     good = keyed.join(verdict.filter("kept").select("key", "common").dropDuplicates(["key"]), "key")

@@ -160,8 +160,7 @@ y AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest([i, i + 1, i + 2])
 l AS (SELECT r, host, t, unnest(string_split(t, chr(10))) AS l FROM d),
 m AS (SELECT r, host, t, l, trim({_FOLD}, ' ') AS f, len({WORDS.format("l")}) AS n FROM l WHERE len({WORDS.format("l")}) > 0),
 dup AS (SELECT r, count(*) - count(DISTINCT l) AS n FROM m GROUP BY r),
-c AS (SELECT host, f FROM (SELECT host, f, count(DISTINCT t) AS n FROM m GROUP BY host, f)
-      JOIN (SELECT host, count(DISTINCT t) AS texts FROM d GROUP BY host) USING (host) WHERE n > 20 AND n > 0.05 * texts),
+c AS (SELECT host, f FROM m GROUP BY host, f HAVING count(DISTINCT t) > 20),
 lost AS (SELECT r, sum(n) AS words, count(*) AS lines FROM m JOIN c USING (host, f) GROUP BY r),
 s AS (SELECT doc_id, len(ws) AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g')) AS word_chars,
       length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines, coalesce(y.n, 0) AS n_repeat_words,

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tiffinmart.session import shared_dir
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def _folder(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -16,7 +18,15 @@ def settled(df: DataFrame, purpose: str) -> DataFrame:
     """`df` written to the shared folder and read back; the folder goes when the session ends."""
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    df.write.parquet(path)
+    # What was made on the way is not needed once the table stands: shuffle files go with the query that wrote them.
+    before = spark.conf.get(_CLEANUP, None)
+    if before is not None:
+        spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(_CLEANUP, before)
     system, folder = _folder(spark, path)
     system.deleteOnExit(folder)
     return spark.read.schema(df.schema).parquet(path)

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from tiffinmart.llm.byte_cnn import fold_of
 from tiffinmart.llm.frames import in_blocks, pick
 from tiffinmart.llm.sieves import passes, sieve
-from tiffinmart.llm.storage import settled
-from tiffinmart.llm.tokens import span_hashes, words
+from tiffinmart.llm.storage import dropped, settled
+from tiffinmart.llm.tokens import words
 
 #: Stands for the end of a text among the hashes of words. Not 0, which would vanish in hashes of runs.
 END = np.uint64(1)
@@ -30,11 +30,29 @@ class Tokens:
         self.hashes = np.full(len(w.hashes) + n, END)
         self.hashes[np.arange(len(w.hashes)) + w.rows] = w.hashes
         self.rows = np.repeat(np.arange(n), self.counts)
-        self.before = np.arange(len(self.rows)) - np.repeat(np.cumsum(self.counts) - self.counts, self.counts)
-
-    def runs(self, at: np.ndarray, start: int, length: int) -> np.ndarray:
-        """Hash of the `length` tokens that start `start` tokens before each place."""
-        return span_hashes(self.hashes, at - start, at - start + length)
+        #: Tokens from each place to the end of its text.
+        self.left = np.repeat(np.cumsum(self.counts), self.counts) - np.arange(len(self.rows))
+
+    def runs(self, longest: int) -> list[np.ndarray]:
+        """Hashes of the runs of 1, 2, ... tokens that start at each place; those that reach past a text mean nothing."""
+        out = [self.hashes]
+        for _ in range(longest - 1):
+            out.append(joined(out[-1], np.concatenate([out[-1][1:], out[-1][:1]])))
+        return out
+
+
+def joined(first: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Hash of runs by the hashes of all but their last and all but their first token: Spark's `xxhash64` of both."""
+    p = [np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
+    turned = lambda x, n: (x << np.uint64(n)) | (x >> np.uint64(64 - n))
+    h = np.uint64(42)
+    for part in (first, rest):
+        h = (h + p[4] + np.uint64(8)) ^ (turned(part * p[1], 31) * p[0])
+        h = turned(h, 27) * p[0] + p[3]
+        h = (h ^ (h >> np.uint64(33))) * p[1]
+        h = (h ^ (h >> np.uint64(29))) * p[2]
+        h = h ^ (h >> np.uint64(32))
+    return h
 
 
 def found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -50,13 +68,13 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def counted_words(docs: DataFrame) -> DataFrame:
-    """h, n and c: every token, by its hash as a run, with its count in all and in training texts."""
+    """h, n and c: every token, by its hash, with its count in all and in training texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_blocks(batches, 4 << 20):
             t = Tokens(batch.column("text"))
             trains = ~batch.column("held_out").to_numpy(zero_copy_only=False)[t.rows]
-            h, which = np.unique(t.runs(np.arange(len(t.rows)), 0, 1), return_inverse=True)
+            h, which = np.unique(t.hashes, return_inverse=True)
             n, c = np.bincount(which, minlength=len(h)), np.bincount(which, trains, len(h)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([_signed(h), pa.array(n), pa.array(c)], names=["h", "n", "c"])
 
@@ -64,27 +82,24 @@ def counted_words(docs: DataFrame) -> DataFrame:
 
 
 def counted_runs(docs: DataFrame, order: int, shorter: DataFrame, least_count: int) -> DataFrame:
-    """h, first, rest and n: every run of `order` tokens that training texts hold `least_count` times or more. h is
-    its hash, `first` that of all but the last, `rest` that of all but the first token; `shorter` has the runs of one
-    token less that occur as often, of which both must be."""
+    """first, rest and n: every run of `order` tokens that training texts hold `least_count` times or more, by the
+    hashes of all but its last and of all but its first token. `shorter` has the runs of one token less that occur as
+    often, of which both must be."""
     shared = docs.sparkSession.sparkContext.broadcast(sieve(shorter))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_blocks(batches, 4 << 20):
             t = Tokens(batch.column("text"))
             trains = ~batch.column("held_out").to_numpy(zero_copy_only=False)[t.rows]
-            at = np.flatnonzero(trains & (t.before >= order - 1))
-            at = at[passes(shared.value, t.runs(at, order - 2, order - 1))]
-            at = at[passes(shared.value, t.runs(at, order - 1, order - 1))]
-            run, place, times = np.unique(t.runs(at, order - 1, order), return_index=True, return_counts=True)
+            *_, part, whole = t.runs(order)
+            let = passes(shared.value, part)
+            at = np.flatnonzero(let & np.roll(let, -1) & trains & (t.left >= order))
+            _, place, times = np.unique(whole[at], return_index=True, return_counts=True)
             at = at[place]
-            yield pa.RecordBatch.from_arrays(
-                [_signed(run), _signed(t.runs(at, order - 1, order - 1)), _signed(t.runs(at, order - 2, order - 1)), pa.array(times)],
-                names=["h", "first", "rest", "n"],
-            )
+            yield pa.RecordBatch.from_arrays([_signed(part[at]), _signed(part[at + 1]), pa.array(times)], names=["first", "rest", "n"])
 
-    rows = docs.mapInArrow(count, "h long, first long, rest long, n long")
-    return rows.groupBy("h", "first", "rest").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_count)
+    rows = docs.mapInArrow(count, "first long, rest long, n long")
+    return rows.groupBy("first", "rest").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_count)
 
 
 def tree(docs: DataFrame, vocab: DataFrame, word_share: float, max_depth: int, least_count: int, least_bits: float, weight: float) -> DataFrame:
@@ -94,36 +109,45 @@ def tree(docs: DataFrame, vocab: DataFrame, word_share: float, max_depth: int, l
     adds its back-off to the token behind it. A run that it stores takes that and what the suffix says back, and adds
     its own probability: along the suffixes the sum leaves the longest stored run and the back-offs of longer contexts.
     """
+    h = F.xxhash64("first", "rest").alias("h")
     lower = vocab.filter(F.col("c") >= least_count).select("h", F.col("c").alias("n"), (F.col("c") * word_share).alias("p"))
     runs, contexts = {}, {}
     for d in range(1, max_depth + 1):
-        counts = settled(counted_runs(docs, d + 1, lower, least_count), f"runs{d + 1}")
         # All but the first and all but the last token of a run are at least as frequent, so both joins find theirs.
-        x = counts.join(lower.select(F.col("h").alias("first"), F.col("n").alias("m")), "first")
-        x = x.join(lower.select(F.col("h").alias("rest"), F.col("p").alias("below")), "rest")
-        x = settled(x.withColumn("share", F.col("n") / F.col("m")), f"shares{d + 1}")
-        told = F.col("share") * F.log2(F.col("share") / F.greatest("below", F.lit(1e-12)))
-        per = x.groupBy("first").agg(F.max("m").alias("m"), F.sum("n").alias("seen"), F.sum("share").alias("s"), F.sum("below").alias("b"), F.sum(told).alias("gain"))
-        left, left_below = 1 - F.col("s"), F.greatest(1 - F.col("b"), F.lit(1e-9))
-        gain = F.col("gain") + F.when(left > 1e-9, left * F.log2(left / left_below)).otherwise(0.0)
+        x = counted_runs(docs, d + 1, lower, least_count).join(lower.select(F.col("h").alias("rest"), F.col("p").alias("below")), "rest")
+        x = settled(x, f"runs{d + 1}")
+        told = F.col("n") * F.log2(F.col("n") / F.greatest("below", F.lit(1e-12)))
+        per = x.groupBy("first").agg(F.sum("n").alias("seen"), F.sum("below").alias("b"), F.sum(told).alias("told"))
+        per = per.join(lower.select(F.col("h").alias("first"), F.col("n").alias("m")), "first")
+        share = F.col("seen") / F.col("m")
+        left, left_below = 1 - share, F.greatest(1 - F.col("b"), F.lit(1e-9))
+        gain = F.col("told") / F.col("m") - share * F.log2("m") + F.when(left > 1e-9, left * F.log2(left / left_below)).otherwise(0.0)
         back = (F.col("m") - F.col("seen") + weight) / (F.col("m") + weight)
         contexts[d] = settled(per.select("first", "m", back.alias("back"), (gain >= least_bits).alias("keep")), f"contexts{d}")
-        p = F.col("n") / (F.col("m") + weight) + F.col("back") * F.col("below")
-        lower = runs[d] = settled(x.join(contexts[d].select("first", "back"), "first").select("h", "first", "rest", "n", p.alias("p"), "below", "back"), f"stored{d + 1}")
+        y = x.join(contexts[d].select("first", "m", "back"), "first").withColumn("p", F.col("n") / (F.col("m") + weight) + F.col("back") * F.col("below"))
+        own = F.log10("p") - F.log10("back") - F.log10("below")
+        runs[d] = settled(y.select("first", "rest", "n", "p", own.cast("float").alias("own")), f"stored{d + 1}")
+        dropped(x)
+        lower = runs[d].select(h, "n", "p")
     values, longer = [], None
     for d in range(max_depth, 0, -1):
         kept = contexts[d].filter("keep").select("first")
         if longer is not None:
-            suffixes = longer.join(runs[d].select(F.col("h").alias("first"), "rest"), "first").select(F.col("rest").alias("first"))
+            suffixes = runs[d].select(h, F.col("rest").alias("first")).join(longer.withColumnRenamed("first", "h"), "h").select("first")
             kept = kept.union(suffixes).distinct()
         longer = settled(kept, f"kept{d}")
-        stored = runs[d].join(longer, "first", "left_semi")
-        values.append(stored.select("h", F.lit(d + 1).alias("ord"), "n", (F.log10("p") - F.log10("back") - F.log10("below")).alias("own")))
-        values.append(contexts[d].join(longer, "first", "left_semi").select(F.col("first").alias("h"), F.lit(d).alias("ord"), F.col("m").alias("n"), F.log10("back").alias("own")))
+        stored = runs[d].join(longer, "first", "left_semi").select(h, F.lit(d + 1).alias("ord"), "n", F.col("own").cast("double").alias("own"))
+        turns = contexts[d].join(longer, "first", "left_semi").select(F.col("first").alias("h"), F.lit(d).alias("ord"), F.col("m").alias("n"), F.log10("back").alias("own"))
+        values.append(settled(stored.union(turns), f"values{d}"))
+        for done in (runs[d], contexts[d]):
+            dropped(done)
     out = values[0]
     for more in values[1:]:
         out = out.union(more)
-    return out.groupBy("h").agg(F.max("ord").alias("ord"), F.max("n").alias("n"), F.sum("own").alias("own"))
+    out = settled(out.groupBy("h").agg(F.max("ord").alias("ord"), F.max("n").alias("n"), F.sum("own").alias("own")), "tree")
+    for done in values:
+        dropped(done)
+    return out
 
 
 def text_scores(
@@ -156,7 +180,7 @@ def text_scores(
     n_all, n_train, n_distinct, n_once = (x or 0 for x in sums)
     unknown = (n_once + 1) / (n_train + 2)
     word_share = (1 - unknown) / max(n_train, 1)
-    runs = settled(tree(texts, vocab, word_share, max_depth, least_count, least_bits, weight), "tree")
+    runs = tree(texts, vocab, word_share, max_depth, least_count, least_bits, weight)
 
     base = F.log10((F.col("c") + 1) / F.lit(float(n_train + n_distinct + 1)))
     plain = F.when(F.col("c") > 0, F.log10(F.col("c") * F.lit(word_share))).otherwise(F.lit(float(np.log10(unknown))))
@@ -164,7 +188,7 @@ def text_scores(
     scored = vocab.join(single, "h", "left").fillna(0.0, ["back"])
     scored = scored.select("h", "n", (F.col("c") > 0).cast("long").alias("known"), base.alias("base"), (plain + F.col("back")).alias("own"))
     runs = runs.filter("ord > 1")
-    end = int(Tokens(pa.array([""])).runs(np.zeros(1, np.int64), 0, 1).view(np.int64)[0])
+    end = int(END)
     hot = scored.filter((F.col("n") >= max(1.0, hot_share * n_all)) | (F.col("h") == end)).drop("n").toArrow().sort_by("h")
     hot_runs = runs.filter(F.col("n") >= max(1.0, hot_share * (max_depth + 1) * n_all)).select("h", "own").toArrow()
     by = np.argsort(hot_runs.column("h").to_numpy().view(np.uint64))
@@ -178,15 +202,14 @@ def text_scores(
             t, n = Tokens(batch.column("text")), batch.num_rows
             by_context = np.zeros(n)
             others, owners = [], []
-            for order in range(2, max_depth + 2):
-                place = np.flatnonzero(t.before >= order - 1)
-                h = t.runs(place, order - 1, order)
-                place, h = (x[passes(stored, h)] for x in (place, h))
+            for order, h in enumerate(t.runs(max_depth + 1)[1:], 2):
+                place = np.flatnonzero((t.left >= order) & passes(stored, h))
+                h = h[place]
                 at, there = found(run_hashes, h)
                 by_context += np.bincount(t.rows[place[there]], run_own[at[there]], n)
                 others.append(h[~there].view(np.int64))
                 owners.append(t.rows[place[~there]])
-            h = t.runs(np.arange(len(t.rows)), 0, 1).view(np.int64)
+            h = t.hashes.view(np.int64)
             at, there = found(hashes, h)
             row, at = t.rows[there], at[there]
             sums = [np.bincount(row, x, n) for x in (known[at], base[at], own[at])]
