@@ -262,6 +262,44 @@ def as_of_sql() -> str:
         AND d.eff_start_date <= o.o_orderdate AND (d.eff_end_date IS NULL OR o.o_orderdate < d.eff_end_date)"""
 
 
+def star_join_as_of_sql() -> str:
+    """Every dimension joined by the interval that holds the order's time."""
+    rows = _fact_select(_typed_sql("order_item", 0), _typed_sql("orders", 0), _typed_sql("delivery", 0))
+    dims = ", ".join(f"d_{n} AS ({_keyed_scd2(n, EARLY, MIDDLE)})" for n in _DIMS)
+    within = []
+    for n, alias in zip(_DIMS, ("c", "ca", "r", "rl", "m", "da"), strict=True):
+        spec = entities.get(n).dimension
+        within.append(f"{alias}.{spec.start} <= o.order_date AND ({alias}.{spec.end} IS NULL OR o.order_date < {alias}.{spec.end})")
+    return f"WITH {dims} {rows} WHERE {' AND '.join(within)}"
+
+
+#: When customers were corrected, confirmed and gone, in the query on valid time.
+CORRECTED, CONFIRMED, LEFT = "1995-03-01 00:00:00", "1999-01-01 00:00:00", "2000-01-01 00:00:00"
+
+
+def valid_time_sql() -> str:
+    """All points at once, in order of time: equal neighbours fall together, the next turn ends a version."""
+    spec = entities.get("customer").dimension
+    attrs = ", ".join(spec.attributes)
+    corrected = ", ".join("'phone' AS login_by_using" if a == "login_by_using" else a for a in spec.attributes)
+    day = [f"({_typed_sql('customer', d)})" for d in (0, 1)]
+    number = "CAST(customer_id AS BIGINT)"
+    key = hash60(netstring([*spec.attributes, f"CAST({spec.start} AS VARCHAR)"]))
+    return _plain_dim(
+        "customer",
+        spec,
+        f"""WITH p AS (
+            SELECT {attrs}, {_ts(EARLY)} AS at_, FALSE AS gone FROM {day[0]} UNION ALL SELECT {attrs}, {_ts(MIDDLE)}, FALSE FROM {day[1]}
+            UNION ALL SELECT {corrected}, {_ts(CORRECTED)}, FALSE FROM {day[0]} WHERE {number} % 5 = 0
+            UNION ALL SELECT {attrs}, {_ts(CONFIRMED)}, FALSE FROM {day[1]} UNION ALL SELECT {attrs}, {_ts(LEFT)}, TRUE FROM {day[1]} WHERE {number} % 7 = 0),
+        s AS (SELECT *, CASE WHEN NOT gone THEN row({attrs}) END AS said FROM p),
+        m AS (SELECT *, CASE WHEN lag(gone) OVER w IS NULL THEN gone ELSE lag(gone) OVER w = gone AND lag(said) OVER w IS NOT DISTINCT FROM said END AS again
+            FROM s WINDOW w AS (PARTITION BY customer_id ORDER BY at_)),
+        v AS (SELECT *, at_ AS {spec.start}, lead(at_) OVER (PARTITION BY customer_id ORDER BY at_) AS {spec.end} FROM m WHERE NOT again)
+        SELECT {key} AS {spec.key}, {attrs}, {spec.start}, {spec.end}, {spec.end} IS NULL AS {spec.flag} FROM v WHERE NOT gone""",
+    )
+
+
 # -- calendar ------------------------------------------------------------------------------------
 
 

@@ -19,13 +19,13 @@ from tiffinmart.functions import places
 from tiffinmart.functions.calendar import calendar_parts
 from tiffinmart.functions.keys import hash_key
 from tiffinmart.operators import changes as C
-from tiffinmart.operators import masking, merge, quality, scd2
+from tiffinmart.operators import masking, merge, quality, scd2, valid_time
 from tiffinmart.operators import clean as clean_op
 from tiffinmart.operators.sequence import add_sequence
 from tiffinmart.plans import dashboard, fact, kpis
 from tiffinmart.plans.date_dim import date_bounds, date_dim, date_key
 from tiffinmart.plans.warehouse import Warehouse
-from tiffinmart.session import shared_dir
+from tiffinmart.session import materialize, materialize_all, shared_dir
 from tiffinmart.sources.csv_stage import CORRUPT, copy_into, csv_schema, load_stage, read_stage, scan_csv
 from tiffinmart.sources.files import fingerprints, list_files
 from tiffinmart.sources.ledger import copy_history, pending_files, read_ledger
@@ -709,6 +709,24 @@ def dim_as_of_join(spark, sf):
     )
 
 
+@register("scd2_valid_time", O.valid_time_sql())
+def scd2_valid_time(spark, sf):
+    """Customers whose second delivery comes first, and whose corrections come last."""
+    spec = entities.CUSTOMER.dimension
+    day = [typed(spark, sf, "customer", d) for d in (0, 1)]
+    number = c("customer_id").cast("bigint")
+    points = None
+    for rows, when, gone in (
+        (day[1].unionByName(day[1]), O.MIDDLE, None),
+        (day[0], O.EARLY, None),
+        (day[0].filter(number % 5 == 0).withColumn("login_by_using", F.lit("phone")), O.CORRECTED, None),
+        (day[1].filter(number % 7 == 0), O.LEFT, F.lit(True)),
+        (day[1], O.CONFIRMED, None),
+    ):
+        points = materialize(valid_time.splice(points, rows.withColumn("_when", F.lit(when)), spec, "_when", gone), "points")
+    return valid_time.history(points, spec)
+
+
 # -- joins and fact ------------------------------------------------------------------------------
 
 
@@ -725,8 +743,9 @@ def join_fact_date(spark, sf):
 
 
 def _star_inputs(spark, sf, build, events: dict[str, tuple[str, int]]) -> tuple[dict, dict]:
-    """Clean events, by name as (entity, day), and dimensions, each part of the query's own plan."""
-    dims = {e.name: build(spark, sf, e.name) for e in DIMENSION_ENTITIES} | {"date": dates(spark, sf)}
+    """Clean events, by name as (entity, day), and dimensions, stored as a warehouse has them."""
+    dims = materialize_all({e.name: build(spark, sf, e.name) for e in DIMENSION_ENTITIES}, "dim")
+    dims["date"] = dates(spark, sf)
     return {name: typed(spark, sf, entity, day) for name, (entity, day) in events.items()}, dims
 
 
@@ -750,6 +769,13 @@ def star_join_fact_current(spark, sf):
     return fact.build_fact_changes(e["items"], e["orders"], e["deliveries"], dims)
 
 
+@register("star_join_fact_as_of", O.star_join_as_of_sql())
+def star_join_fact_as_of(spark, sf):
+    """Facts with the versions of the order's time: a later price leaves earlier orders alone."""
+    e, dims = _star_inputs(spark, sf, lambda *a: dim_after_two_days(*a, O.EARLY, O.MIDDLE), _DAY_0)
+    return fact.build_fact_as_of(e["items"], e["orders"], e["deliveries"], dims)
+
+
 @register("merge_fact", O.merge_fact_sql())
 def merge_fact(spark, sf):
     day_1 = {"new_items": ("order_item", 1), "new_deliveries": ("delivery", 1)}

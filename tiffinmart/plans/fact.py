@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from tiffinmart import entities
 from tiffinmart.operators.merge import latest_per_key, merge_upsert
 from tiffinmart.operators.skew import skew_join
+from tiffinmart.operators.valid_time import Lookup, as_of_keys
 from tiffinmart.plans.date_dim import date_key
+from tiffinmart.session import materialize
 
 FACT_KEY = ["order_item_id", "order_id"]
 DIM_KEYS = (
@@ -127,6 +129,53 @@ def build_fact_changes(
     return fact.select(*FACT_COLUMNS, *layout)
 
 
+def build_fact_as_of(
+    order_items: DataFrame, orders: DataFrame, deliveries: DataFrame, dims: Mapping[str, DataFrame], hot_rows: int = 1_000_000
+) -> DataFrame:
+    """Fact rows of the given events, each with the versions that were valid at the time of its order.
+
+    A later change of a price, an address or a name does not move an order to another version. The four dimensions an
+    order names are looked up in one pass, the restaurant's location (of its version then) in another, and the menu
+    entry at item grain; see `as_of_keys`. An order without a version in some dimension gives no row.
+    """
+
+    def lookup(name: str, column: str, more: str | None = None) -> Lookup:
+        return Lookup(column, dims[name], entities.get(name).dimension, more)
+
+    o = orders.select(
+        "order_id", F.col("order_date").cast("timestamp").alias("_at"), F.col("customer_id_fk").alias("_customer_id"), F.col("restaurant_id_fk").alias("_restaurant_id")
+    )
+    d = deliveries.select(
+        F.col("order_id_fk").alias("order_id"), F.col("delivery_agent_id_fk").alias("_agent_id"), F.col("customer_address_id_fk").alias("_address_id"),
+        "delivery_status", "estimated_time",
+    )
+    # Stored, since each pass reads its events twice: to count the hot ids among them, and to look up.
+    context = as_of_keys(
+        materialize(o.join(d, "order_id"), "as-of-orders"),
+        "_at",
+        {
+            "customer_dim_key": lookup("customer", "_customer_id"),
+            "customer_address_dim_key": lookup("customer_address", "_address_id"),
+            "restaurant_dim_key": lookup("restaurant", "_restaurant_id", "location_id_fk"),
+            "delivery_agent_dim_key": lookup("delivery_agent", "_agent_id"),
+        },
+        hot_rows,
+    )
+    context = as_of_keys(materialize(context, "as-of-context"), "_at", {"restaurant_location_dim_key": lookup("location", "restaurant_dim_key_more")}, hot_rows)
+    items = order_items.select(
+        "order_item_id",
+        F.col("order_id_fk").alias("order_id"),
+        F.col("menu_id_fk").alias("_menu_id"),
+        F.col("quantity").cast("decimal(12,0)").cast("bigint").alias("quantity"),
+        "price",
+        "subtotal",
+    )
+    keys = [k for k in DIM_KEYS if k not in ("menu_dim_key", "order_date_dim_key")]
+    context = context.select("order_id", "_at", *keys, "delivery_status", "estimated_time")
+    fact = as_of_keys(items.join(context, "order_id"), "_at", {"menu_dim_key": lookup("menu", "_menu_id")}, hot_rows, counted=items)
+    return fact.withColumn("order_date_dim_key", date_key(F.to_date("_at"))).select(*FACT_COLUMNS)
+
+
 def merge_fact(fact: DataFrame, changes: DataFrame) -> DataFrame:
     """Upsert fact rows by order item and order; of several source rows per key one wins."""
     update = [c for c in fact.columns if c not in FACT_KEY]
