@@ -98,6 +98,55 @@ def test_files_load_once_and_changed_content_loads_again(spark, tmp_path):
     assert sorted(r.load_id for r in recent.collect()) == [3, 4]
 
 
+def test_known_files_are_not_opened_again(spark, tmp_path, monkeypatch):
+    import os
+
+    from tiffinmart.sources import csv_stage
+
+    asked = []
+    real = csv_stage.fingerprints
+    monkeypatch.setattr(csv_stage, "fingerprints", lambda s, paths: asked.append(paths) or real(s, paths))
+    land, stage, ledger = tmp_path / "land", str(tmp_path / "stage"), str(tmp_path / "ledger")
+
+    def load(load_id):
+        return copy_into(spark, "location", str(land), stage, ledger, load_id, f"2024-01-0{load_id} 00:00:00", str(land))
+
+    landing.put(land, "a [1] {x}*.csv", "location", landing.location("1"))
+    landing.put(land, "b+c.csv", "location", landing.location("2"))
+    assert load(1) == 2 and load(2) == 0 and len(asked) == 1
+    landing.put(land, "c.csv", "location", landing.location("3"))
+    assert load(3) == 1
+    assert len(asked) == 2 and [p.rsplit("/", 1)[1] for p in asked[1]] == ["c.csv"]
+    # A touched file is looked at, and found to be loaded.
+    os.utime(land / "b+c.csv", (1, 1))
+    assert load(4) == 0 and [p.rsplit("/", 1)[1] for p in asked[2]] == ["b+c.csv"]
+    assert rows(read_stage(spark, "location", stage), "load_id", "locationid") == [(1, "1"), (1, "2"), (3, "3")]
+    # More files than names are wanted: the prefix is read, with the same rows.
+    other = str(tmp_path / "other")
+    assert copy_into(spark, "location", str(land), f"{other}/s", f"{other}/l", 1, "2024-01-01 00:00:00", str(land), most_names=1) == 3
+    assert asked[-1] == str(land) and rows(read_stage(spark, "location", f"{other}/s"), "locationid") == [("1",), ("2",), ("3",)]
+
+
+def test_large_files_are_fingerprinted_by_lines(spark, tmp_path):
+    lines = [f"{i},some text\n" for i in range(5000)]
+    (tmp_path / "a.csv").write_text("".join(lines))
+    (tmp_path / "b.csv").write_text("".join(reversed(lines)))
+    (tmp_path / "c.csv").write_text("".join(lines).replace("77,some", "78,some"))
+    (tmp_path / "small.csv").write_text("abc")
+    got = {r.path.rsplit("/", 1)[1]: r for r in fingerprints(spark, str(tmp_path), largest=1000).collect()}
+    assert got["small.csv"].md5 == hashlib.md5(b"abc").hexdigest()
+    assert got["a.csv"].md5 == got["b.csv"].md5 != got["c.csv"].md5 and got["a.csv"].md5.startswith("lines:")
+    listed = {r.path: (r.length, r.modified_at) for r in list_files(spark, str(tmp_path)).collect()}
+    assert {r.path: (r.length, r.modified_at) for r in got.values()} == listed
+    # The digest does not depend on how the file is split.
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        again = {r.path.rsplit("/", 1)[1]: r.md5 for r in fingerprints(spark, str(tmp_path), largest=1000).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert again == {n: r.md5 for n, r in got.items()}
+
+
 def test_corrupt_rows_and_empty_files_are_counted(spark, tmp_path):
     land, ledger = tmp_path / "land", str(tmp_path / "ledger")
     write(land / "a.csv", "1,a\n2,a,b,c,d,e,f\n")

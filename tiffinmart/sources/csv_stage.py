@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 from tiffinmart import entities
 from tiffinmart.entities import AUDIT, Entity
 from tiffinmart.session import materialized
-from tiffinmart.sources.files import fingerprints, relative_name
-from tiffinmart.sources.ledger import pending_files, read_ledger
+from tiffinmart.sources.files import fingerprints, list_files, readable, relative_name
+from tiffinmart.sources.ledger import pending_files, read_ledger, unseen_files
 
 CORRUPT = "_corrupt_record"
 
@@ -108,9 +108,15 @@ def copy_into(
     batch_ts: datetime | str,
     root: str | None = None,
     strict: bool = False,
+    most_names: int = 100_000,
 ) -> int:
     """Append the files not loaded yet to the stage table and record them. Returns the file count.
 
+    A listing against the ledger comes first, by path, length and time: what is as it was loaded is not opened again.
+    Of the rest the content is fingerprinted, so a file that was only touched is not loaded twice, and changed content
+    under an old name is. Rows are read from the pending files alone, if they are at most `most_names`; of more, Spark
+    reads the prefix and drops the rows of others, which spares the driver the list.
+
     The rows of a load live in their own `load_id` folder, so repeating a failed load replaces
     its rows; the ledger is written last. A finished load's number cannot be used again.
     """
@@ -118,14 +124,22 @@ def copy_into(
     ledger = read_ledger(spark, ledger_path)
     if ledger.filter((F.col("table_name") == e.name) & (F.col("load_id") == load_id)).limit(1).count():
         raise ValueError(f"load {load_id} of {e.name} is already recorded")
-    pending = pending_files(fingerprints(spark, path), ledger, e.name)
+    with materialized(unseen_files(list_files(spark, path), ledger, e.name), "unseen-files") as unseen:
+        n_unseen = unseen.count()
+        if not n_unseen:
+            return 0
+        looked_at = readable(unseen) if n_unseen <= most_names else path
+        prints = fingerprints(spark, looked_at).join(unseen.select(F.col("path").alias("_unseen")), F.col("path") == F.col("_unseen"), "left_semi")
+        return _copy_files(spark, e, looked_at, pending_files(prints, ledger, e.name), stage_path, ledger_path, load_id, batch_ts, root, strict)
+
+
+def _copy_files(spark, e: Entity, path, pending: DataFrame, stage_path: str, ledger_path: str, load_id: int, batch_ts, root, strict: bool) -> int:
     # Content is hashed once; the result serves the file list, the rows and the ledger.
     with materialized(pending, "pending-files") as prints:
         n_files = prints.count()
         if not n_files:
             return 0
         target = f"{stage_path}/load_id={load_id}"
-        # The prefix is scanned and rows of other files fall away in the join: no list of files in the driver.
         load_stage(spark, e, path, batch_ts, root, strict, prints, only=True).write.mode("overwrite").parquet(target)
 
         written = spark.read.parquet(target)
@@ -146,6 +160,7 @@ def copy_into(
                 F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"),
                 F.coalesce("corrupt_count", F.lit(0)).cast("bigint").alias("corrupt_count"),
                 F.lit(batch_ts).cast("timestamp").alias("load_ts"),
+                "modified_at",
             )
         )
         loaded.write.mode("append").parquet(ledger_path)

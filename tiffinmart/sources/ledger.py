@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 LEDGER_SCHEMA = (
     "table_name string, path string, md5 string, length bigint, load_id bigint, "
-    "row_count bigint, corrupt_count bigint, load_ts timestamp"
+    "row_count bigint, corrupt_count bigint, load_ts timestamp, modified_at timestamp"
 )
 
 
@@ -27,6 +27,15 @@ def pending_files(listing: DataFrame, ledger: DataFrame, table: str) -> DataFram
     return listing.join(done, ["path", "md5"], "left_anti")
 
 
+def unseen_files(listing: DataFrame, ledger: DataFrame, table: str) -> DataFrame:
+    """Files of the listing that are not as the table has loaded them, by path, length and time: no content is needed.
+
+    A file among them may still have the content that was loaded; `pending_files` tells by its fingerprint. Ledger rows
+    without a time, from before it was recorded, count as unseen."""
+    done = ledger.filter((F.col("table_name") == table) & F.col("modified_at").isNotNull()).select("path", "length", "modified_at")
+    return listing.join(done, ["path", "length", "modified_at"], "left_anti")
+
+
 def copy_history(ledger: DataFrame, table: str, now: datetime | str | Column, hours: int = 1) -> DataFrame:
     """Loads of a table within the last `hours` before `now`."""
     at = now if isinstance(now, Column) else F.lit(now).cast("timestamp")
