@@ -87,15 +87,22 @@ def runs(start: np.ndarray, end: np.ndarray, group: np.ndarray) -> tuple[np.ndar
     return start[at], reach[np.concatenate([at[1:], [len(start)]]) - 1], group[at]
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc (id, or `LAST`), th (18 bits of the text's hash: texts of one id are told apart), doc_id, text."""
+def keyed(docs: DataFrame, few: int = 100_000) -> DataFrame:
+    """doc (id, or `LAST`), th, doc_id, text. th is the hash of the text where several texts have one id, and 0 where
+    the id says it all; of ids with several texts, up to `few` are broadcast."""
     text = F.coalesce("text", F.lit(""))
-    th = F.xxhash64(text).bitwiseAND(F.lit((1 << 18) - 1))
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), th.alias("th"), "doc_id", text.alias("text"))
+    d = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), "doc_id", text.alias("text"))
+    texts = d.groupBy("doc").agg(F.min(F.xxhash64("text")).alias("a"), F.max(F.xxhash64("text")).alias("b"))
+    several = settled(texts.filter("a <> b").select(F.col("doc").alias("several")), "several")
+    n = several.count()
+    if not n:
+        return d.select("doc", F.lit(0).cast("long").alias("th"), "doc_id", "text")
+    d = d.join(F.broadcast(several) if n <= few else several, F.col("doc") == F.col("several"), "left")
+    return d.select("doc", F.when(F.col("several").isNotNull(), F.xxhash64("text")).otherwise(0).alias("th"), "doc_id", "text")
 
 
 def anchor_rows(docs: DataFrame, length: int) -> DataFrame:
-    """h, ctx, doc, meta of the first occurrence of each context within a block of documents. Spans of later ones in
+    """h, ctx, doc, th, meta of the first occurrence of each context within a block of documents. Spans of later ones in
     the block are repeats already: they come with a null `ctx`, and h holds their start and end."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,36 +118,37 @@ def anchor_rows(docs: DataFrame, length: int) -> DataFrame:
             order = np.lexsort((p, row, ctx, h))
             same = np.concatenate([[False], (np.diff(h[order]) == 0) & (np.diff(ctx[order]) == 0)])[: len(order)]
             one, more = order[~same], order[same]
-            meta = (th[row[one]] << 44) | (p[one] << 14) | ((p[one] - lo[one]) << 7) | (hi[one] - lo[one])
+            meta = (p[one] << 14) | ((p[one] - lo[one]) << 7) | (hi[one] - lo[one])
             start, end, owner = runs(lo[more], hi[more] + length, row[more])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate([h[one].view(np.int64), (start << 31) | end])),
                     pa.array(np.concatenate([ctx[one].view(np.int64), start]), mask=np.concatenate([np.zeros(len(one), bool), np.ones(len(start), bool)])),
                     pa.array(np.concatenate([doc[row[one]], doc[owner]])),
-                    pa.array(np.concatenate([meta, th[owner] << 44])),
+                    pa.array(np.concatenate([th[row[one]], th[owner]])),
+                    pa.array(np.concatenate([meta, np.zeros(len(owner), np.int64)])),
                 ],
-                names=["h", "ctx", "doc", "meta"],
+                names=["h", "ctx", "doc", "th", "meta"],
             )
 
-    return docs.select("doc", "th", "text").mapInArrow(scan, "h long, ctx long, doc long, meta long")
+    return docs.select("doc", "th", "text").mapInArrow(scan, "h long, ctx long, doc long, th long, meta long")
 
 
 def shared_places(rows: DataFrame, length: int) -> DataFrame:
     """h, doc, th, p, start, stop (last window start), n and piece: contexts to compare (`piece`: the first occurrences
     of `n` different contexts around one anchor) and later occurrences of a context, which are repeats as a whole."""
     by_anchor = Window.partitionBy("h")
-    dealt = rows.repartition("h").withColumn("rank", F.rank().over(Window.partitionBy("h", "ctx").orderBy("doc", "meta")))
+    dealt = rows.repartition("h").withColumn("rank", F.rank().over(Window.partitionBy("h", "ctx").orderBy("doc", "th", "meta")))
     n = F.sum((F.col("ctx").isNotNull() & (F.col("rank") == 1)).cast("int")).over(by_anchor)
     done = F.col("ctx").isNull()
-    p = F.shiftright("meta", 14).bitwiseAND(F.lit((1 << 30) - 1))
+    p = F.shiftright("meta", 14)
     lo = p - F.shiftright("meta", 7).bitwiseAND(F.lit(127))
     hi = lo + F.col("meta").bitwiseAND(F.lit(127))
     kept = dealt.withColumn("n", n).filter(done | (F.col("rank") > 1) | (F.col("n") > 1))
     return kept.select(
         "h",
         "doc",
-        F.shiftright("meta", 44).alias("th"),
+        "th",
         p.alias("p"),
         F.when(done, F.shiftright("h", 31)).otherwise(lo).alias("start"),
         F.when(done, F.col("h").bitwiseAND(F.lit((1 << 31) - 1)) - length).otherwise(hi).alias("stop"),
@@ -286,8 +294,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, most_contexts: int = 4096
     `most_contexts` contexts go window by window through a join instead, with the same result.
 
     A null or empty text has nothing to remove; a null doc_id comes after all others. Rows of one doc_id are one
-    document if their texts are equal, else they follow each other in an order of their hashes. Texts up to 1 GB;
-    other columns are not read. Strings are told apart by 64-bit hashes.
+    document if their texts are equal, else they follow each other in an order of their hashes. Other columns are not
+    read. Strings are told apart by 64-bit hashes.
     """
     if not GRAM + 2 <= length <= min(DEPTH, GRAM + 127):
         raise ValueError(f"length must be {GRAM + 2} to {min(DEPTH, GRAM + 127)}")
