@@ -13,6 +13,8 @@ from tiffinmart.llm.frames import hash_unit, kept_columns
 #: A mean above this is drawn as a sum of several Poisson variables.
 PART = 32.0
 SPACE = 1 << 52
+#: The greatest mean.
+MOST = 1_000_000
 
 
 def poisson_steps(mean: float) -> list[float]:
@@ -39,7 +41,11 @@ def source_rates(docs: DataFrame, weights: Mapping[str, float], other: float, ep
     found = {r["g"]: r["n"] for r in sizes.collect()}
     wanted = {g: weights.get(g, 0.0) if g is not None else other for g, n in found.items() if n}
     total, whole = sum(found.values()), sum(wanted[g] for g in sorted(wanted, key=str))
-    return {g: epochs * total * w / whole / found[g] for g, w in wanted.items() if w > 0}
+    rates = {g: epochs * total * w / whole / found[g] for g, w in wanted.items() if w > 0}
+    for g, mean in rates.items():
+        if mean > MOST:
+            raise ValueError(f"source {g!r} holds so little that each of its documents would be repeated {mean:.0f} times; {MOST} is the most")
+    return rates
 
 
 def mix_sources(
@@ -52,21 +58,22 @@ def mix_sources(
     (null among them) share `other`. Returns the columns of `docs` with `copy` (1, 2, ...) and `shuffle_key`;
     partitions are consecutive ranges of `shuffle_key` and sorted by it. A null `doc_id` counts as the empty string,
     repeated rows get equal counts, groups without bytes or weight get none, no documents give no rows. Input columns
-    named `copy` or `shuffle_key` are replaced.
+    named `copy` or `shuffle_key` are replaced. A mean above `MOST` repetitions raises an error.
     """
     spark = docs.sparkSession
     plain, inner, outer = kept_columns(docs, ("copy", "shuffle_key"))
     at = {n: F.col(c) for c, n in zip(inner, outer, strict=True)}
     rates = source_rates(plain.select(at["source"].alias("source"), at["text"].alias("text")), weights, other, epochs)
 
+    def draw(steps, j):
+        u = hash_unit(F.lit(seed), F.concat(F.lit("count"), j.cast("string")), at["doc_id"]) / F.lit(float(SPACE))
+        return F.size(F.filter(steps, lambda s: s <= u))
+
     count = F.lit(0)
     for g, mean in sorted(rates.items(), key=lambda x: str(x[0])):
         parts = max(1, math.ceil(mean / PART))
         steps = F.array(*[F.lit(s) for s in poisson_steps(mean / parts)])
-        drawn = F.lit(0)
-        for j in range(parts):
-            u = hash_unit(F.lit(seed), F.lit(f"count{j}"), at["doc_id"]) / F.lit(float(SPACE))
-            drawn = drawn + F.size(F.filter(steps, lambda s: s <= u))
+        drawn = F.aggregate(F.sequence(F.lit(0), F.lit(parts - 1)), F.lit(0), lambda n, j: n + draw(steps, j))  # noqa: B023
         named = at["source"].isin(list(weights))
         count = F.when((at["source"] == g) if g is not None else ~F.coalesce(named, F.lit(False)), drawn).otherwise(count)
 
