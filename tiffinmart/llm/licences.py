@@ -130,8 +130,8 @@ NAMED = {
 }
 NOTICES = ("Licensed", "Released", "Distributed", "This project is licensed", "This work is licensed", "This software is licensed", "This software is released")
 
-#: Words of which every known sentence has one; a text without any of them needs no sentences.
-TRIGGERS = ("licen", "rights", "warrant", "permi", "redistribut", "copyright", "unencumbered", "mpl was not", "released under", "distributed under")
+#: Words, not phrases that a line break can split, of which every known sentence has one; a text without any of them needs no sentences.
+TRIGGERS = ("licen", "rights", "warrant", "permi", "redistribut", "copyright", "unencumbered", "mpl", "released", "distributed")
 #: Where a sentence ends.
 SENTENCE_END = "[.!?]+[ \\t\\r\\n]+|[.!?]+$|:[ \\t\\r]*\\n"
 #: Line breaks within a sentence are blanks, an empty line ends one.

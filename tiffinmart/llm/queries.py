@@ -77,9 +77,9 @@ def op3_licences(spark, sf_dir):
 
 
 def _licence_sql() -> str:
-    squeezed = "trim(regexp_replace({}, '[^a-z0-9]+', ' ', 'g'))"
     known = ", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in {normal_form(s): i for s, i in SENTENCES.items()}.items())
-    rest = "coalesce(string_agg('<' || id || '>', '' ORDER BY a, b), '')"
+    either = "|".join(n.replace(" ", r"(?: |\x02\x02)") for n in sorted({normal_form(s) for s in SENTENCES}, key=len, reverse=True))
+    rest = "coalesce(string_agg('<' || id || '>', '' ORDER BY n), '')"
     for k, (_, sequence) in enumerate(RULES):
         rest = f"replace({rest}, {quoted(''.join(f'<{i}>' for i in sequence))}, '[{k}]')"
     by: dict[str, list[int]] = {}
@@ -89,14 +89,14 @@ def _licence_sql() -> str:
     return f"""
 WITH known(s, id) AS (VALUES {known}),
 d AS (SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
-p AS (SELECT r, string_split(regexp_replace(regexp_replace(t, '{SENTENCE_END}', chr(1), 'g'), '{PARAGRAPH}', chr(1), 'g'), chr(1)) AS parts FROM d
+e AS (SELECT r, regexp_replace(regexp_replace(translate(t, chr(2), ' '), '{SENTENCE_END}', chr(1), 'g'), '{PARAGRAPH}', chr(1), 'g') AS t FROM d
       WHERE {" OR ".join(f"contains(t, '{x}')" for x in TRIGGERS)}),
-a AS (SELECT r, unnest(parts) AS part, unnest(range(len(parts))) AS a FROM p),
-q AS (SELECT r, a, part, {squeezed.format("part")} AS whole FROM a),
-l AS (SELECT r, a, 0 AS b, whole AS s FROM q WHERE whole IN (SELECT s FROM known)
-      UNION ALL SELECT r, a, unnest(range(len(string_split(part, chr(10))))), {squeezed.format("unnest(string_split(part, chr(10)))")} FROM q WHERE whole NOT IN (SELECT s FROM known)),
-i AS (SELECT r, a, b, id FROM l JOIN known USING (s)),
-g AS (SELECT d.doc_id, d.r, count(id) AS n_known, coalesce(string_agg(id, ',' ORDER BY a, b), '') AS sentence_ids, {rest} AS rest FROM d LEFT JOIN i USING (r) GROUP BY ALL)
+b AS (SELECT r, regexp_replace(translate(t, chr(10), chr(2)), '[^a-z0-9\\x01\\x02]+', ' ', 'g') AS t FROM e),
+m AS (SELECT r, regexp_replace(regexp_replace(chr(1) || t || chr(1), '[ \\x02]{{2,}}', chr(2), 'g'), '[ \\x01\\x02]{{2,}}', chr(1), 'g') AS t FROM b),
+q AS (SELECT r, regexp_extract_all(replace(replace(t, chr(1), chr(1) || chr(1)), chr(2), chr(2) || chr(2)), '[\\x01\\x02]({either})[\\x01\\x02]', 1) AS ss FROM m),
+l AS (SELECT r, unnest(range(len(ss))) AS n, replace(unnest(ss), chr(2) || chr(2), ' ') AS s FROM q),
+i AS (SELECT r, n, id FROM l JOIN known USING (s)),
+g AS (SELECT d.doc_id, d.r, count(id) AS n_known, coalesce(string_agg(id, ',' ORDER BY n), '') AS sentence_ids, {rest} AS rest FROM d LEFT JOIN i USING (r) GROUP BY ALL)
 SELECT doc_id, n_known, sentence_ids, concat_ws(',', {found}) AS licences, length(rest) - length(replace(rest, '<', '')) AS n_unmatched FROM g
 """
 
