@@ -116,35 +116,34 @@ def fold_of(doc_id, folds: int):
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
-def training_chunks(docs: DataFrame, labels: DataFrame, per_class: int, most_chunks: int) -> list[tuple[np.ndarray, int]]:
-    """Chunks and label of at most `per_class` documents of each class, those with the least hash of their id; of a
-    text with more than `most_chunks` chunks, as many spread evenly over the whole of it. At most
-    2 * per_class * most_chunks * 518 bytes reach the driver."""
-    picked = [
-        labels.filter(F.col("quality") == y).orderBy(hash_unit(F.lit("fit"), F.col("doc_id")), "doc_id").limit(per_class) for y in (0, 1)
-    ]
+def training_chunks(docs: DataFrame, labels: DataFrame, per_class: int, most_bytes: int) -> list[tuple[np.ndarray, int]]:
+    """All chunks and the label of at most `per_class` documents of each class, those with the least hash of their id
+    among the labelled ones of up to `most_bytes` bytes. At most 4 * per_class * most_bytes bytes reach the driver."""
+    # The labels are few against the texts; Spark broadcasts them by their size or shuffles.
+    short = docs.filter(F.octet_length(F.coalesce("text", F.lit(""))) <= most_bytes).select("doc_id")
+    known = labels.join(short, "doc_id", "left_semi")
+    picked = [known.filter(F.col("quality") == y).orderBy(hash_unit(F.lit("fit"), F.col("doc_id")), "doc_id").limit(per_class) for y in (0, 1)]
     few = picked[0].unionAll(picked[1]).select(F.col("doc_id").alias("labelled_id"), "quality")
     # At most 2 * per_class short rows.
     joined = docs.join(F.broadcast(few), docs["doc_id"] == F.col("labelled_id")).select("doc_id", "text", "quality")
+    joined = joined.filter(F.octet_length(F.coalesce("text", F.lit(""))) <= most_bytes)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_blocks(batches):
             chunks, owner = chunk_matrix(*byte_view(batch.column("text")))
             ends = np.searchsorted(owner, np.arange(batch.num_rows + 1))
-            data = []
-            for a, b in zip(ends[:-1], ends[1:], strict=True):
-                data.append(chunks[np.unique(np.linspace(a, b - 1, min(b - a, most_chunks)).astype(int))].tobytes())
+            data = [chunks[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.string()), pa.array(data, pa.binary()), batch.column("quality").cast(pa.int32())], names=["id", "chunks", "y"])
 
     rows = joined.mapInArrow(cut, "id string, chunks binary, y int").collect()
     return [(np.frombuffer(r["chunks"], np.int16).reshape(-1, SPAN), r["y"]) for r in sorted(rows, key=lambda r: (r["id"], bytes(r["chunks"])))]
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = 1000, most_chunks: int = 8) -> DataFrame:
+def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = 1000, most_bytes: int = 1 << 16) -> DataFrame:
     """doc_id, held_out, score and predicted of every row of `docs`, from the bytes of its whole text alone.
 
     Learns from labelled documents outside the held-out fold (crc32 of the id as text, mod 3, is 1): at most
-    `per_class` of each class, `most_chunks` chunks of each, so that a score of 0.5 treats both alike. A chunk is 512
+    `per_class` of each class, of up to `most_bytes` bytes, with all their chunks, so that a score of 0.5 treats both alike. A chunk is 512
     bytes and what filters need of the next; a document's features are maximum and mean over all its chunks. A null
     or empty text is one empty chunk and gets the score that the network gives it; without labels of both classes
     every score is 0.5. A null id is in no fold and counts as not held out; repeated rows each get a row; null labels
@@ -153,7 +152,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = 1000, mo
     picked = pick(docs, "doc_id", "text")
     allowed = pick(labels, "doc_id", "quality").filter((fold_of(F.col("doc_id"), 3) != 1) & F.col("quality").isin(0, 1))
     net = ByteNet()
-    texts = training_chunks(picked, allowed, per_class, most_chunks)
+    texts = training_chunks(picked, allowed, per_class, most_bytes)
     if {y for _, y in texts} == {0, 1}:
         net.fit(texts)
     weights = net.p
