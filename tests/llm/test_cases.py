@@ -302,3 +302,58 @@ def test_common_licence_families_are_known(spark):
     }
     got = {r.doc_id: r.licences for r in scan_licences(spark.createDataFrame(list(said.items()), "doc_id string, text string")).collect()}
     assert got == {k: k for k in said}
+
+
+def test_many_texts_of_one_id(spark):
+    """Texts of one id, or of none, are told apart by the whole hash: no clean one loses bytes, each repeat goes once."""
+    passage = prose(50, 60)
+    for one_id in (5, None):
+        rows = [(one_id, prose(1000 + i, 25) + (f" {passage} " if i % 2 else "") + str(i)) for i in range(2500)]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        order = [r.text for r in df.select("text").distinct().orderBy(F.xxhash64("text")).collect()]
+        want = sorted(r[1:] for r in brute.repeats(list(enumerate(order))))
+        got = remove_repeats(df).select("n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+        assert sorted(map(tuple, got)) == want and sum(r.n_removed > 0 for r in got) == 1249
+
+
+def test_a_tiny_source_with_a_large_weight(spark):
+    rows = [(i, "x" * 1000, "en", "big", 1000) for i in range(300)] + [(1000, "y" * 10, "en", "tiny", 10)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = mix_sources(df, {"tiny": 0.1}, 0.9).groupBy("source").agg(F.sum(F.length("text")).alias("n")).collect()
+    sizes = {r.source: r.n for r in got}
+    assert sizes["tiny"] / sum(sizes.values()) == pytest.approx(0.1, rel=0.1)
+    with pytest.raises(ValueError, match="most"):
+        mix_sources(df.union(spark.createDataFrame([(i, "x" * 100_000, "en", "big", 1) for i in range(2000, 4100)], SCHEMA)), {"tiny": 0.1}, 0.9)
+
+
+def test_wrapped_notices_agree_with_the_sql(spark):
+    import duckdb
+    import pandas as pd
+    from compare import compare
+
+    from tiffinmart.llm.queries import ORACLES
+
+    texts = [
+        "If a copy of the MPL\nwas not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.", "Released\nunder CC BY 4.0.",
+        "/*\n * Copyright 2020 Foo\n *\n * Licensed under the Apache License,\n * Version 2.0.\n */", "MIT License\nCopyright (c) 2020\nReleased under the\nMIT License.",
+        "All rights reserved.\nAll rights reserved. SPDX-License-Identifier: MIT\n", None, "", "\x01\x02 mpl \x02 licensed under\x02 mpl 2.0.",
+    ]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": range(len(texts)), "text": texts}))
+    got = scan_licences(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert compare(got, con, ORACLES["op3_licences"]) is None
+    assert [r.licences for r in got.orderBy("doc_id").limit(4).collect()] == ["MPL-2.0", "CC-BY-4.0", "Apache-2.0", "MIT"]
+
+
+def test_quality_rules_under_a_filter(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    whole = quality_rules(docs).collect()
+    for condition in ("kept", "n_repeat_words > 0"):
+        assert quality_rules(docs).filter(condition).count() == sum(r.kept if condition == "kept" else r.n_repeat_words > 0 for r in whole)
+
+
+def test_copies_on_one_host_lose_each_their_own_lines(spark):
+    rows = [(i, f"Common line of nine words that all hosts have\n{prose(100 + i, 80)}", "en", "h", 1) for i in range(25)]
+    rows += [rows[0]] * 3
+    got = quality_rules(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {(r.n_common_lines, r.n_common_words) for r in got} == {(1, 9)}
