@@ -430,10 +430,8 @@ def star_join_reference_sql() -> str:
         CAST(sum(CAST(subtotal AS DECIMAL(10,2))) AS DOUBLE) AS subtotal, {', '.join(bounds)} FROM rows_ GROUP BY order_id"""
 
 
-def warehouse_kpis_sql() -> str:
-    """The five views over the fact of day 0, under one another."""
-    orders = _typed_sql("orders", 0)
-    rows = _fact_select(_typed_sql("order_item", 0), orders, _typed_sql("delivery", 0))
+def _five_views() -> str:
+    """The five views over the rows of `k`, under one another."""
     names = "year, month, day_of_month, day_name, delivery_status, restaurant_name".split(", ")
 
     def view(name: str, by: str, where: str = "TRUE") -> str:
@@ -448,11 +446,23 @@ def warehouse_kpis_sql() -> str:
         view("weekday", "year, month, day_name"),
         view("restaurant", "year, month, delivery_status, restaurant_name"),
     ]
+    return " UNION ALL ".join(views)
+
+
+def maintained_sql() -> str:
+    return f"""WITH s AS (SELECT s.*, s_name AS restaurant_name FROM ({SALES}) s JOIN supplier ON s_suppkey = restaurant_id), k AS (SELECT *, {_DAY_PARTS} FROM s) {_five_views()}"""
+
+
+def warehouse_kpis_sql() -> str:
+    """The five views over the fact of day 0, under one another."""
+    orders = _typed_sql("orders", 0)
+    rows = _fact_select(_typed_sql("order_item", 0), orders, _typed_sql("delivery", 0))
+    views = _five_views()
     return f"""WITH {_dim_ctes('initial')}, f AS ({rows}),
         s AS (SELECT f.order_id, f.order_item_id, CAST(f.subtotal AS DECIMAL(10,2)) AS subtotal, f.delivery_status,
             CAST(o.order_date AS DATE) AS day, r.name AS restaurant_name
             FROM f JOIN ({orders}) o USING (order_id) JOIN d_restaurant r ON CAST(r.restaurant_hk AS VARCHAR) = f.restaurant_dim_key),
-        k AS (SELECT *, {_DAY_PARTS} FROM s) {" UNION ALL ".join(views)}"""
+        k AS (SELECT *, {_DAY_PARTS} FROM s) {views}"""
 
 
 def merge_fact_sql() -> str:

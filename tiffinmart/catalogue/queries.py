@@ -21,14 +21,16 @@ from tiffinmart.functions.keys import hash_key
 from tiffinmart.operators import changes as C
 from tiffinmart.operators import masking, merge, quality, scd2, valid_time
 from tiffinmart.operators import clean as clean_op
-from tiffinmart.operators.sequence import add_sequence
+from tiffinmart.operators.sequence import add_sequence, append_numbered
 from tiffinmart.plans import dashboard, fact, kpis
 from tiffinmart.plans.date_dim import date_bounds, date_dim, date_key
+from tiffinmart.plans.maintained import KpiTable
 from tiffinmart.plans.warehouse import Warehouse
 from tiffinmart.session import materialize, materialize_all, shared_dir
 from tiffinmart.sources.csv_stage import CORRUPT, copy_into, csv_schema, load_stage, read_stage, scan_csv
 from tiffinmart.sources.files import fingerprints, list_files
 from tiffinmart.sources.ledger import copy_history, pending_files, read_ledger
+from tiffinmart.store import SnapshotTable
 from tiffinmart.streaming.incremental import run_incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -485,6 +487,22 @@ def surrogate_sequence(spark, sf):
     return add_sequence(o, ["o_orderdate", "o_orderkey"], 101, "order_sk").drop("o_orderdate")
 
 
+@register(
+    "surrogate_sequence_loads",
+    f"""SELECT customerid, load_id, row_number() OVER (ORDER BY load_id, customerid) AS sk FROM (
+        SELECT customerid, 1 AS load_id FROM ({O.stage_sql('customer')})
+        UNION ALL SELECT customerid, 2 FROM ({O.stage_sql('customer', 1)}) ANTI JOIN ({O.stage_sql('customer')}) USING (customerid))""",
+)
+def surrogate_sequence_loads(spark, sf):
+    """Numbers that go on over two loads, the second of which comes twice."""
+    numbers = SnapshotTable(spark, shared_dir(spark, "numbers"), ["customerid"], 8)
+    first = stage(spark, sf, "customer").select("customerid")
+    new = stage(spark, sf, "customer", 1).select("customerid").join(first, "customerid", "left_anti")
+    for load_id, rows in ((1, first), (2, new), (2, new)):
+        append_numbered(numbers, rows.withColumn("load_id", F.lit(load_id)), ["customerid"], load_id)
+    return numbers.read()
+
+
 @register(
     "trim_lower_clean",
     _stage_query("menu", menuid="menuid", item_name="trim(itemname)", description="trim(description)",
@@ -820,6 +838,42 @@ def kpi_views(spark, sf):
     return spark.sql("SELECT * FROM vw_monthly_revenue_kpis")
 
 
+@register("kpi_weekday_delivered", O.kpi_sql("year, month, day_name"))
+def kpi_weekday_delivered(spark, sf):
+    """The weekday view over delivered orders alone."""
+    return kpis.weekday_kpis(sales(spark, sf), dates(spark, sf), delivered_only=True)
+
+
+@register("kpi_maintained", O.maintained_sql())
+def kpi_maintained(spark, sf):
+    """The five views from aggregates kept with the fact, after a version with wrong amounts was put right."""
+    right = sales(spark, sf).select("order_item_id", "order_id", "restaurant_dim_key", "subtotal", "delivery_status", "order_date_dim_key", "order_year", "order_month")
+    fact_table = SnapshotTable(spark, shared_dir(spark, "kept-fact"), ["order_id"], 2, fact.LAYOUT)
+    kept = KpiTable(spark, shared_dir(spark, "kept-kpis"), fact_table)
+    late = (c("order_year") == 1998) & (c("order_month") > 6)
+    wrong = right.withColumn("subtotal", F.when(late, c("subtotal") + 1).otherwise(c("subtotal")).cast("decimal(10,2)"))
+    fact_table.commit(wrong.filter(~late | (c("order_id") % 7 != 0)))
+    kept.refresh()
+    again = right.filter(late)
+    fact_table.commit(again, replace=fact_table.touched_slices(again))
+    kept.refresh()
+    d, names = dates(spark, sf), ["year", "month", "day_of_the_month", "day_name", "delivery_status", "restaurant_name"]
+
+    def view(name: str, by: list[str], *more) -> DataFrame:
+        rows = kept.kpis(d, by, *more)
+        missing = {n: F.lit(None).cast("bigint" if n in names[:3] else "string") for n in names if n not in by}
+        return rows.withColumns(missing).select(F.lit(name).alias("view_name"), *names, *kpis.MEASURES)
+
+    views = [
+        view("yearly", ["year"]),
+        view("monthly", ["year", "month"]),
+        view("daily", ["year", "month", "day_of_the_month"]),
+        view("weekday", ["year", "month", "day_name"], None),
+        view("restaurant", ["year", "month", "delivery_status", "restaurant_name"], None, restaurants(spark, sf)),
+    ]
+    return reduce(DataFrame.unionByName, views).withColumnRenamed("day_of_the_month", "day_of_month")
+
+
 @register(
     "kpi_all_years",
     f"SELECT sum(total_revenue) AS total_revenue, CAST(sum(total_orders) AS BIGINT) AS total_orders, "
@@ -941,6 +995,20 @@ def check_unique(spark, sf):
     return quality.check_unique(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@register(
+    "check_unique_delta",
+    f"""WITH a AS (SELECT mobile, customerid FROM ({O.stage_sql('customer')}) WHERE mobile IS NOT NULL),
+        b AS (SELECT mobile, count(*) AS new_rows, min(customerid) AS customerid FROM ({O.stage_sql('customer', 1)}) WHERE mobile IS NOT NULL GROUP BY mobile)
+        SELECT b.mobile, new_rows, CAST(a.mobile IS NOT NULL AND (a.customerid <> b.customerid OR new_rows > 1) AS BIGINT) AS stored_rows
+        FROM b LEFT JOIN a USING (mobile) WHERE new_rows > 1 OR (a.mobile IS NOT NULL AND a.customerid <> b.customerid)""",
+)
+def check_unique_delta(spark, sf):
+    """Mobile numbers of the second delivery that another customer has, looked up in an index of the first."""
+    index = quality.UniqueIndex(spark, shared_dir(spark, "unique-mobile"), ["mobile"], ["customerid"], 16)
+    index.add(stage(spark, sf, "customer"), 1)
+    return index.violations(stage(spark, sf, "customer", 1))
+
+
 @register("check_foreign_keys", O.foreign_key_sql())
 def check_foreign_keys(spark, sf):
     """Seven keys of the day-0 events against the day-1 tables, where renumbered ids are gone."""

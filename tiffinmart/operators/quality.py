@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiffinmart import entities
 from tiffinmart.entities import Entity
+from tiffinmart.session import empty_frame
+from tiffinmart.store import SnapshotTable
 
 
 def _unpivot(row: DataFrame, names: Sequence[str], value: str) -> DataFrame:
@@ -34,6 +36,45 @@ def check_unique(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("occurrences")).filter(F.col("occurrences") > 1)
 
 
+class UniqueIndex:
+    """Values of `columns` that a table holds, each with the key of its row, sliced by the values.
+
+    A delta is checked against the slices its own values fall into; the rest of the index, and the table, stay unread.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, columns: Sequence[str], key: Sequence[str], buckets: int = 64):
+        self.columns, self.key = list(columns), list(key)
+        self.table = SnapshotTable(spark, root, self.columns, buckets)
+
+    def _values(self, rows: DataFrame) -> DataFrame:
+        """Rows without a value in some column break no rule of uniqueness."""
+        return rows.dropna(subset=self.columns).select(*self.columns, F.to_json(F.struct(*self.key)).alias("row_key"))
+
+    def violations(self, delta: DataFrame) -> DataFrame:
+        """`columns`, new_rows and stored_rows of each value of `delta` that would not be unique: held by several of its
+        rows, or by a stored row of another key."""
+        new = self._values(delta)
+        counted = new.groupBy(*self.columns).agg(F.count(F.lit(1)).alias("new_rows"), F.min("row_key").alias("row_key"))
+        stored = self.table.read(slices=self.table.touched_slices(new)) if self.table.exists() else empty_frame(delta.sparkSession, new.schema)
+        # A stored value has one row; a new row of the same key is that row once more.
+        held = stored.select(*self.columns, F.col("row_key").alias("held_by"))
+        both = counted.join(held, self.columns, "left")
+        other = (F.col("held_by").isNotNull() & ((F.col("held_by") != F.col("row_key")) | (F.col("new_rows") > 1))).cast("bigint")
+        return both.withColumn("stored_rows", other).filter((F.col("new_rows") > 1) | (F.col("stored_rows") > 0)).select(*self.columns, "new_rows", "stored_rows")
+
+    def add(self, delta: DataFrame, batch_id: int) -> int | None:
+        """Take the values of `delta` in as batch `batch_id`, the first row of each; a repeated batch does nothing."""
+        done = self.table.batch_id()
+        if done is not None and done >= batch_id:
+            return None
+        new = self._values(delta).groupBy(*self.columns).agg(F.min("row_key").alias("row_key"))
+        if not self.table.exists():
+            return self.table.commit(new, batch_id)
+        touched = self.table.touched_slices(new)
+        stored = self.table.read(slices=touched)
+        return self.table.commit(stored.unionByName(new.join(stored, self.columns, "left_anti")), batch_id, touched)
+
+
 def check_foreign_keys(df: DataFrame, references: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Rows per foreign key that point nowhere; `references` maps a column to (frame, its key).
 

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tiffinmart.store import SnapshotTable
+
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the folder the cluster names; set one of our own only on a local master without any."""
@@ -41,3 +43,21 @@ def add_sequence(df: DataFrame, order: Sequence[str], start: int = 1, name: str
     offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     number = (F.col("_offset") + F.col("_pos") + F.lit(start)).cast("bigint")
     return placed.join(F.broadcast(offsets), "_range").select(*df.columns, number.alias(name))
+
+
+def append_numbered(table: SnapshotTable, rows: DataFrame, order: Sequence[str], batch_id: int, name: str = "sk") -> int | None:
+    """Append `rows` as batch `batch_id`, numbered from where the batch before ended; the new version, or None.
+
+    The last number is published in the table's log together with the rows, so numbers go on without gaps over loads,
+    a batch that fails gives none out, and one that is repeated changes nothing. Only slices with new rows are written.
+    """
+    done = table.batch_id()
+    if done is not None and done >= batch_id:
+        return None
+    last = table.mark(name) if table.exists() else 0
+    # `add_sequence` has checkpointed the rows, so they are counted, dealt and written from there.
+    numbered = add_sequence(rows, order, last + 1, name)
+    n = numbered.count()
+    touched = table.touched_slices(numbered) if table.exists() else None
+    whole = numbered if touched is None else table.read(slices=touched).unionByName(numbered)
+    return table.commit(whole, batch_id, touched, {name: last + n})

@@ -60,7 +60,7 @@ class SnapshotTable:
 
     def _entry(self, version: int | None) -> dict:
         if version is None:
-            return {"slices": {}, "batch_id": None, "schema": None}
+            return {"slices": {}, "batch_id": None, "schema": None, "marks": {}}
         stream = self._fs.open(self._path(self._log_file(version)))
         try:
             text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
@@ -80,6 +80,10 @@ class SnapshotTable:
         """Batch number of the newest version that carries one."""
         return self._entry(self.version())["batch_id"]
 
+    def mark(self, name: str, version: int | None = None) -> int:
+        """A number kept in the log from commit to commit, such as the last one a sequence gave out; 0 at first."""
+        return self._entry(version if version is not None else self.version()).get("marks", {}).get(name, 0)
+
     def _publish(self, version: int, entry: dict) -> None:
         final = self._path(self._log_file(version))
         if self._fs.exists(final):
@@ -145,9 +149,12 @@ class SnapshotTable:
 
     # -- write -------------------------------------------------------------------------------
 
-    def commit(self, df: DataFrame, batch_id: int | None = None, replace: Sequence[str] | None = None) -> int:
+    def commit(
+        self, df: DataFrame, batch_id: int | None = None, replace: Sequence[str] | None = None, marks: dict[str, int] | None = None
+    ) -> int:
         """Write `df` as the next version. `replace` names the slices it stands for; others carry
-        over from the current version. Without it `df` is the whole table."""
+        over from the current version. Without it `df` is the whole table. `marks` change with the
+        version or not at all; those not named stay."""
         before = self.version()
         old = self._entry(before)
         version = 0 if before is None else before + 1
@@ -162,7 +169,7 @@ class SnapshotTable:
         kept = {} if replace is None else {s: v for s, v in old["slices"].items() if s not in set(replace)}
         slices = {**kept, **{s: version for s in self._written_slices(version)}}
         batch = batch_id if batch_id is not None else old["batch_id"]
-        self._publish(version, {"batch_id": batch, "schema": df.schema.json(), "slices": slices, "layout": self._layout()})
+        self._publish(version, {"batch_id": batch, "schema": df.schema.json(), "slices": slices, "layout": self._layout(), "marks": {**old.get("marks", {}), **(marks or {})}})
         return version
 
     def changed_slices(self, old: int | None, new: int) -> list[str]:
