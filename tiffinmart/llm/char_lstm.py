@@ -70,7 +70,7 @@ def slope(x: np.ndarray) -> np.ndarray:
 class SpanNet:
     """Both directions run side by side, the second over reversed characters. A gate is (1 + squash) / 2."""
 
-    def __init__(self, hidden: int = 10, embed: int = 8, seed: int = 5):
+    def __init__(self, hidden: int = 8, embed: int = 8, seed: int = 5):
         r = np.random.default_rng(seed)
         draw = lambda scale, *shape: r.normal(0, scale, shape).astype(np.float32)
         self.hidden, self.embed = hidden, embed

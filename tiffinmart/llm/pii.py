@@ -236,7 +236,7 @@ def told(spans: list[tuple[int, int, int]], names: tuple[str, ...]) -> list[str]
     return [f"{names[k]}:{s}:{e}" for k, s, e in sorted(spans)]
 
 
-def find_personal(docs: DataFrame, most_docs: int = 20_000, per_kind: int = 300, length: int = 96, window: int = 320, margin: int = 32, seed: int = 5) -> DataFrame:
+def find_personal(docs: DataFrame, most_docs: int = 20_000, per_kind: int = 300, length: int = 96, window: int = 320, margin: int = 20, seed: int = 5) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans and n_model of every row of `docs`.
 
     Pattern spans come first: e-mail addresses, IP addresses, card numbers that pass Luhn's test, phone numbers with a
@@ -253,7 +253,7 @@ def find_personal(docs: DataFrame, most_docs: int = 20_000, per_kind: int = 300,
     return scanned(picked, learned(picked, most_docs, per_kind, length, seed), window, margin)
 
 
-def scanned(docs: DataFrame, net: SpanNet, window: int = 320, margin: int = 32) -> DataFrame:
+def scanned(docs: DataFrame, net: SpanNet, window: int = 320, margin: int = 20) -> DataFrame:
     """What `find_personal` gives, with a network that has learnt already."""
     picked, weights = pick(docs, "doc_id", "text"), net.p
 
