@@ -357,3 +357,25 @@ def test_copies_on_one_host_lose_each_their_own_lines(spark):
     rows += [rows[0]] * 3
     got = quality_rules(spark.createDataFrame(rows, SCHEMA)).collect()
     assert {(r.n_common_lines, r.n_common_words) for r in got} == {(1, 9)}
+
+
+def test_repetitive_texts_need_no_list_of_pairs(spark, monkeypatch):
+    import pyarrow as pa
+
+    from tiffinmart.llm import decontaminate as d
+
+    r = random.Random(8)
+    few = ["a", "b", "c"]
+    texts = [" ".join(r.choice(few[: 1 + i % 3]) for _ in range(r.randint(5, 60))) for i in range(30)] + ["", "a a", prose(9, 30)]
+    items = [(i, " ".join(r.choice(few[: 1 + i % 3]) for _ in range(r.randint(5, 20)))) for i in range(8)] + [(90, prose(9, 12))]
+    seeds = d.Seeds.of(items, 5)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    want = sorted(d.covered_pairs(batch, seeds, 0.5))
+    for most in (0, 1, 50):
+        monkeypatch.setattr(d, "MOST_PAIRS", most)
+        assert sorted(d.covered_pairs(batch, seeds, 0.5)) == want
+    plain = [(i, j, c) for i, t in enumerate(texts) for j, (_, item) in enumerate(items) for c, n in [brute.tiling(item, t, 5)] if c >= 0.5 * n]
+    assert [(i, j, c) for i, j, _, _, c, _ in want] == sorted(plain) and plain
+    monkeypatch.undo()
+    one = pa.RecordBatch.from_arrays([pa.array([" ".join(["same"] * 100_000)])], names=["text"])
+    assert [x[:3] for x in d.covered_pairs(one, d.Seeds.of([(1, " ".join(["same"] * 200))], 5), 0.5)] == [(0, 0, 200)]

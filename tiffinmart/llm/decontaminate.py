@@ -19,6 +19,8 @@ from tiffinmart.llm.tokens import span_hashes, words
 #: Bytes of benchmark text that a task holds at a time; larger benchmarks take several passes.
 BLOCK_BYTES = 8 << 20
 FILTER_BITS = 22
+#: Equal pairs of seeds that are listed at a time; a text with more of them goes item by item, place by place.
+MOST_PAIRS = 1 << 21
 
 
 class Seeds(NamedTuple):
@@ -45,13 +47,19 @@ class Seeds(NamedTuple):
         each = [w.hashes[first[i] : first[i + 1]] for i in range(len(items))]
         return cls(size, h, w.rows[at], at - first[w.rows[at]], [i for i, _ in items], each, seen)
 
-    def hits(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in `h` and in the seeds of every equal pair."""
+    def near(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places in `h` with equal seeds, and the range of these."""
         near = np.flatnonzero(self.filter[h >> np.uint64(64 - FILTER_BITS)])
         low, high = np.searchsorted(self.hashes, h[near], "left"), np.searchsorted(self.hashes, h[near], "right")
-        n = high - low
-        ours = np.repeat(near, n)
-        return ours, np.arange(len(ours)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+        some = high > low
+        return near[some], low[some], high[some]
+
+
+def listed(near: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each place with each seed of its range."""
+    n = high - low
+    ours = np.repeat(near, n)
+    return ours, np.arange(len(ours)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
 
 
 def runs(p: np.ndarray, t: np.ndarray, size: int) -> list[tuple[int, int, int]]:
@@ -63,6 +71,35 @@ def runs(p: np.ndarray, t: np.ndarray, size: int) -> list[tuple[int, int, int]]:
     return list(zip(p[new].tolist(), t[new].tolist(), lengths.tolist(), strict=True))
 
 
+def long_runs(seeds: np.ndarray, places: np.ndarray, h: np.ndarray, size: int) -> list[tuple[int, int, int]]:
+    """What `runs` gives for the item's seeds at `places` (in order) and all places of a text with seeds `h`, without a
+    list of their pairs: diagonals that go on are carried from place to place."""
+    order = np.argsort(h, kind="stable")
+    sorted_h = h[order]
+    out, before = [], -2
+    diagonals = begun = np.zeros(0, np.int64)
+
+    def ended(which: np.ndarray) -> None:
+        for d, b in zip(diagonals[which].tolist(), begun[which].tolist(), strict=True):
+            out.append((b, b + d, before - b + size))
+
+    for p, seed in zip(places.tolist(), seeds.tolist(), strict=True):
+        here = order[np.searchsorted(sorted_h, np.uint64(seed), "left") : np.searchsorted(sorted_h, np.uint64(seed), "right")] - p
+        if p != before + 1:
+            ended(np.ones(len(diagonals), bool))
+            diagonals = begun = np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(diagonals, here), max(len(diagonals) - 1, 0))
+        goes_on = diagonals[at] == here if len(diagonals) else np.zeros(len(here), bool)
+        still = np.zeros(len(diagonals), bool)
+        still[at[goes_on]] = True
+        ended(~still)
+        starts = np.full(len(here), p)
+        starts[goes_on] = begun[at[goes_on]]
+        diagonals, begun, before = here, starts, p
+    ended(np.ones(len(diagonals), bool))
+    return out
+
+
 def tiles(matches: list[tuple[int, int, int]], n_item: int, least: int) -> list[tuple[int, int, int]]:
     """Greedy string tiling: again and again the longest match over unmarked words of both sides is marked as a tile,
     down to `least` words. Equally long ones go by place in the item, then in the text."""
@@ -97,27 +134,60 @@ def covered_pairs(batch: pa.RecordBatch, seeds: Seeds, share: float) -> Iterator
     w = words(batch.column("text"))
     first = np.concatenate([[0], np.cumsum(w.counts)])
     at = np.flatnonzero(np.arange(len(w.rows)) + seeds.size <= first[w.rows + 1])
-    ours, theirs = seeds.hits(span_hashes(w.hashes, at, at + seeds.size))
-    if not len(ours):
-        return
-    rows, items = w.rows[at[ours]], seeds.items[theirs]
-    t, p = at[ours] - first[rows], seeds.places[theirs]
+    h = span_hashes(w.hashes, at, at + seeds.size)
+    near, low, high = seeds.near(h)
+    owner = w.rows[at[near]]
+    # Texts in order, as many at a time as have few enough pairs.
+    ends = np.searchsorted(owner, np.arange(len(w.counts) + 1))
+    pairs = np.concatenate([[0], np.cumsum(high - low)])[ends]
+    row = 0
+    while row < len(w.counts):
+        to = max(row + 1, int(np.searchsorted(pairs, pairs[row] + MOST_PAIRS, "right")) - 1)
+        some = slice(ends[row], ends[to])
+        if pairs[to] - pairs[row] > MOST_PAIRS:
+            own = np.flatnonzero(w.rows[at] == row)
+            yield from _crowded(row, h[own], low[some], high[some], seeds, share)
+        elif ends[to] > ends[row]:
+            ours, theirs = listed(near[some], low[some], high[some])
+            yield from _paired(w.rows[at[ours]], seeds.items[theirs], at[ours] - first[w.rows[at[ours]]], seeds.places[theirs], seeds, share)
+        row = to
+
+
+def _reachable(places: np.ndarray, n: int, size: int) -> int:
+    """Words of an item that seeds at these places cover: tiles are made of seed matches, so these bound them."""
+    reach = np.zeros(n + 1, np.int64)
+    reach[places] += 1
+    reach[places + size] -= 1
+    return np.count_nonzero(np.cumsum(reach))
+
+
+def _told(row: int, item: int, matches, n: int, seeds: Seeds, share: float) -> Iterator[tuple]:
+    found = tiles(matches, n, seeds.size)
+    covered = sum(k for _, _, k in found)
+    if covered >= share * n:
+        yield row, item, n, len(found), covered, max(k for _, _, k in found)
+
+
+def _paired(rows, items, t, p, seeds: Seeds, share: float) -> Iterator[tuple]:
     order = np.lexsort((items, rows))
     rows, items, t, p = rows[order], items[order], t[order], p[order]
     starts = np.flatnonzero(np.concatenate([[True], (np.diff(rows) != 0) | (np.diff(items) != 0)]))
     for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(rows)], strict=True):
         n = len(seeds.words[items[a]])
-        # Tiles are made of seed matches, so these bound what they can cover.
-        reach = np.zeros(n + 1, np.int64)
-        places = np.unique(p[a:b])
-        np.add.at(reach, places, 1)
-        np.add.at(reach, places + seeds.size, -1)
-        if np.count_nonzero(np.cumsum(reach)) < share * n:
-            continue
-        found = tiles(runs(p[a:b], t[a:b], seeds.size), n, seeds.size)
-        covered = sum(k for _, _, k in found)
-        if covered >= share * n:
-            yield int(rows[a]), int(items[a]), n, len(found), covered, max(k for _, _, k in found)
+        if _reachable(np.unique(p[a:b]), n, seeds.size) >= share * n:
+            yield from _told(int(rows[a]), int(items[a]), runs(p[a:b], t[a:b], seeds.size), n, seeds, share)
+
+
+def _crowded(row: int, h: np.ndarray, low: np.ndarray, high: np.ndarray, seeds: Seeds, share: float) -> Iterator[tuple]:
+    """A text whose seeds have very many equal ones: each item by itself. `h` are the seeds at its places, from 0."""
+    ranges = np.unique(np.stack([low, high]), axis=1)
+    _, which = listed(ranges[0], ranges[0], ranges[1])
+    for item in np.unique(seeds.items[which]).tolist():
+        own = which[seeds.items[which] == item]
+        own = own[np.argsort(seeds.places[own])]
+        n = len(seeds.words[item])
+        if _reachable(seeds.places[own], n, seeds.size) >= share * n:
+            yield from _told(row, item, long_runs(seeds.hashes[own], seeds.places[own], h, seeds.size), n, seeds, share)
 
 
 def benchmark_blocks(benchmark: DataFrame, size: int, block_bytes: int) -> Iterator[Seeds]:
@@ -168,7 +238,8 @@ def contamination(
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, share: float = 0.5, min_match: int = 5, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """The rows of `docs` of which `contamination` finds nothing, as they were."""
+    """The rows of `docs` of which `contamination` finds nothing, as they were: null and empty texts stay, repeated rows
+    stay or go together, and an empty benchmark leaves all."""
     names = list(docs.columns)
     plain = docs.toDF(*[f"c{i}" for i in range(len(names))])
     text_at = names.index("text")
