@@ -65,7 +65,7 @@ def phrase_rows():
     return rows + [(None, "en"), ("", None), ("!?.", "fr"), ("alone", "fr"), (" \t ", "fr"), ("word " * 5000, "es")]
 
 
-@pytest.mark.parametrize(("least", "top"), [(1, 2000), (2, 2000), (4, 50), (1000, 5)])
+@pytest.mark.parametrize(("least", "top"), [(1, 2000), (4, 50), (1000, 5)])
 def test_collocations(spark, least, top):
     rows = phrase_rows()
     df = spark.createDataFrame([(i, t, lang, 7) for i, (t, lang) in enumerate(rows)], "doc_id long, text string, lang string, n long")
@@ -164,7 +164,7 @@ def test_windows_cover_all():
     assert codes_of("aé—😀").tolist() == [97, char_lstm.LETTER, char_lstm.OTHER, char_lstm.LETTER]
 
 
-def test_personal_data(spark, sf_dir):
+def test_personal_data(spark, sf_dir, monkeypatch):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     odd = spark.createDataFrame([(9_000_000 + i, t, "en", "src0", 1) for i, t in enumerate(TEXTS)] + [(None, "a@b.cc", None, None, None)] * 2, DOCS)
     learnt = docs.select("doc_id", "text", "lang", "source", "n_chars").union(odd)
@@ -176,7 +176,8 @@ def test_personal_data(spark, sf_dir):
     picked = learnt.select("doc_id", "text")
     net = pii.learned(picked, 20_000, 300, 96, 5)
     rows = pii.scanned(learnt.union(spark.createDataFrame(hard, DOCS)), net).collect()
-    assert sorted(map(str, pii.find_personal(learnt.limit(40)).select("doc_id", "base_sha256").collect())) == sorted(map(str, pii.scanned(learnt.limit(40), net).select("doc_id", "base_sha256").collect()))
+    monkeypatch.setattr(pii, "learned", lambda *a: net)
+    assert sorted(map(str, pii.find_personal(learnt).collect())) == sorted(map(str, pii.scanned(learnt, net).collect()))
     texts = {r.doc_id: r.text for r in learnt.collect()} | {d: t for d, t, *_ in hard}
     assert len(rows) == len(texts) + 1
     found = clean = wrong = 0

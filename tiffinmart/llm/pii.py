@@ -211,8 +211,9 @@ def training_samples(docs: DataFrame, most_docs: int, per_kind: int, length: int
 
 
 def learned(docs: DataFrame, most_docs: int, per_kind: int, length: int, seed: int) -> SpanNet:
-    texts, tags = labelled_windows(training_samples(docs, most_docs, per_kind, length), per_kind, length, seed)
-    return SpanNet().fit(texts, tags, length)
+    """A network that has learnt from `docs`; one that has not, where there is no text."""
+    samples = training_samples(docs, most_docs, per_kind, length)
+    return SpanNet().fit(*labelled_windows(samples, per_kind, length, seed), length) if samples else SpanNet()
 
 
 def added_spans(text: str, tags: np.ndarray, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
