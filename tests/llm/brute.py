@@ -230,3 +230,25 @@ def personal(text):
             if fits[kind]:
                 out.append((kind, m.start(), m.end()))
     return out
+
+
+def good_texts(rows, most=20):
+    """{id: text without common lines} of the (id, text, source) rows that the quality rules keep."""
+    fold_ = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789\t\x0b\x0c\r", "abcdefghijklmnopqrstuvwxyz000000000    ")
+    form = lambda line: line.translate(fold_).strip(" ")
+    texts = collections.defaultdict(set)
+    for _, text, host in rows:
+        for line in (text or "").split("\n"):
+            if WORD.search(line):
+                texts[host or "", form(line)].add(text)
+    out = {}
+    for d, text, host in rows:
+        w = WORD.findall(text or "")
+        windows = collections.Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+        repeated = {j for i in range(len(w) - 2) if windows[tuple(w[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+        lines = (text or "").split("\n")
+        common = [bool(WORD.search(x)) and len(texts[host or "", form(x)]) > most for x in lines]
+        lost = sum(len(WORD.findall(x)) for x, c in zip(lines, common, strict=True) if c)
+        if len(w) >= 50 and 100 * len(repeated) <= 50 * len(w) and len(w) - lost >= 50 and lost <= 0.7 * len(w):
+            out[d] = "\n".join(x for x, c in zip(lines, common, strict=True) if not c)
+    return out
