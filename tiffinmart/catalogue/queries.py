@@ -23,6 +23,7 @@ from tiffinmart.operators import masking, merge, quality, scd2, valid_time
 from tiffinmart.operators import clean as clean_op
 from tiffinmart.operators.sequence import add_sequence, append_numbered
 from tiffinmart.plans import dashboard, fact, kpis
+from tiffinmart.plans.clustering import ClusteredFact
 from tiffinmart.plans.date_dim import date_bounds, date_dim, date_key
 from tiffinmart.plans.maintained import KpiTable
 from tiffinmart.plans.warehouse import Warehouse
@@ -1100,6 +1101,24 @@ def fact_partitioned_write(spark, sf):
     )
 
 
+@register(
+    "fact_reclustered",
+    f"SELECT year(day) AS order_year, month(day) AS order_month, count(*) AS fact_rows, CAST(sum(subtotal) AS DOUBLE) AS revenue, "
+    f"TRUE AS few_overlaps FROM ({O.SALES}) GROUP BY ALL",
+)
+def fact_reclustered(spark, sf):
+    """The fact in six deliveries of all its months, then files that overlap more than twice rewritten."""
+    grown = ClusteredFact(spark, shared_dir(spark, "fact-clustered"), rows_per_file=100_000, most_depth=2)
+    rows = materialize(sales(spark, sf), "sales")
+    for batch in range(6):
+        grown.append(rows.filter(F.pmod(F.xxhash64("order_id"), F.lit(6)) == batch), batch)
+    grown.recluster(6)
+    few = grown.depth() <= 2
+    return grown.read().groupBy("order_year", "order_month").agg(
+        F.count(F.lit(1)).alias("fact_rows"), F.sum("subtotal").alias("revenue"), F.lit(few).alias("few_overlaps")
+    )
+
+
 # -- incremental ---------------------------------------------------------------------------------
 
 
