@@ -148,6 +148,15 @@ def test_best_tags_are_the_best():
     quiet = np.zeros((4, TAGS, 5))
     quiet[:, char_lstm.O] = 20
     assert not net.best_tags(quiet).any()
+    # Rows that are passed over have no better path than the outside one, near the bound too.
+    e = r.normal(0, 1, (3, TAGS, 60))
+    e[:, char_lstm.O] += np.linspace(0, 8, 60)
+    may = net.may_leave(e)
+    assert may.any() and not may.all()
+    for row in range(60):
+        score = lambda p: net.p["first"][p[0]] + sum(e[t, x, row] for t, x in enumerate(p)) + sum(net.p["step"][a, b] for a, b in itertools.pairwise(p))  # noqa: B023, E731
+        best = max(itertools.product(range(TAGS), repeat=3), key=score)
+        assert tuple(net.best_tags(e)[row]) == best and (may[row] or not any(best))
 
 
 def test_windows_cover_all():

@@ -211,17 +211,30 @@ class SpanNet:
                     self.p[k] = self.p[k] - (now * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.999**step)) + 1e-8)).astype(np.float32)
         return self
 
+    def may_leave(self, e: np.ndarray) -> np.ndarray:
+        """Whether the likeliest path of a row may leave the outside tag: no path that stays outside is worth less than
+        one of which each stretch of other tags, with its steps in and back, adds nothing. Within a stretch the best
+        tag of a place and the best step to it are taken for each place by itself, so that the bound is never too low."""
+        step, first = self.p["step"], self.p["first"]
+        within = step[1:, 1:].max(axis=0) - step[O, O]
+        back = float(step[1:, O].max() - step[O, O])
+        others, outside = e[:, 1:], e[:, O]
+        enter = (others + (step[O, 1:] - step[O, O])[:, None]).max(axis=1) - outside
+        enter[0] = (others[0] + (first[1:] - first[O])[:, None]).max(axis=0) - outside[0]
+        stay = (others + within[:, None]).max(axis=1) - outside
+        worth, best = enter[0].copy(), enter[0] + back
+        for t in range(1, len(e)):
+            worth += stay[t]
+            np.maximum(worth, enter[t], out=worth)
+            np.maximum(best, worth + back, out=best)
+        return np.maximum(best, worth) > -1e-4  # room for rounding
+
     def best_tags(self, e: np.ndarray) -> np.ndarray:
         """The likeliest tags of each row (Viterbi), by row and place, for scores by place, tag and row."""
         length, _, n = e.shape
         step, first = self.p["step"], self.p["first"]
         out = np.zeros((n, length), np.uint8)
-        # No other path can beat the outside one where every place and step of it is worth less by itself.
-        over = e[:, 1:].max(axis=1)
-        over -= e[:, O]
-        over += max(0.0, float((step - step[O, O]).max()))
-        over[0] += max(0.0, float((first - first[O]).max()))
-        rows = np.flatnonzero(over.max(axis=0) > 0)
+        rows = np.flatnonzero(self.may_leave(e))
         if not len(rows):
             return out
         e = np.ascontiguousarray(e[:, :, rows].transpose(0, 2, 1))
