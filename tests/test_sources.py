@@ -147,6 +147,14 @@ def test_large_files_are_fingerprinted_by_lines(spark, tmp_path):
     assert again == {n: r.md5 for n, r in got.items()}
 
 
+def test_no_task_holds_a_large_file_unless_asked_to(spark, tmp_path):
+    line = "x" * 99 + "\n"
+    (tmp_path / "large.csv").write_text(line * 700_000)
+    (tmp_path / "small.csv").write_text(line * 1000)
+    got = {r.path.rsplit("/", 1)[1]: r.md5 for r in fingerprints(spark, str(tmp_path)).collect()}
+    assert got["large.csv"].startswith("lines:") and got["small.csv"] == hashlib.md5((line * 1000).encode()).hexdigest()
+
+
 def test_corrupt_rows_and_empty_files_are_counted(spark, tmp_path):
     land, ledger = tmp_path / "land", str(tmp_path / "ledger")
     write(land / "a.csv", "1,a\n2,a,b,c,d,e,f\n")

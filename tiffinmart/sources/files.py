@@ -20,13 +20,17 @@ def list_files(spark: SparkSession, paths: str | Sequence[str], glob: str | None
     )
 
 
+#: Bytes of the largest file that one task hashes whole. Reading and hashing take about four times that in memory.
+WHOLE_FILE = 64 << 20
+
+
 def fingerprints(
-    spark: SparkSession, paths: str | Sequence[str], glob: str | None = None, largest: int = 1 << 30
+    spark: SparkSession, paths: str | Sequence[str], glob: str | None = None, largest: int = WHOLE_FILE
 ) -> DataFrame:
     """path, length, modified_at, md5 of every file.
 
-    Files of up to `largest` bytes have the MD5 of their content; a task holds one of them at a time. Spark holds no file
-    above 2 GB as one value, so larger ones are read line by line, in as many tasks as they have splits, and have
+    Files of up to `largest` bytes have the MD5 of their content; a task holds one of them at a time, in several copies
+    while it is read and hashed. Larger ones are read line by line, in as many tasks as they have splits, and have
     `lines:` and an MD5 over length, number and summed MD5s of their lines: equal for equal lines in any order.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
