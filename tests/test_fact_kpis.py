@@ -167,3 +167,14 @@ def test_a_filter_on_the_calendar_prunes_the_folders_of_the_fact(spark, tmp_path
     filters = text[text.index("PartitionFilters: [") :].split("PushedFilters")[0]
     assert "order_year#" in filters and "order_month#" in filters and filters.count("dynamicpruningexpression") == 2
     assert monthly.count() == 1
+
+
+def test_restaurant_kpis_mark_orders_instead_of_hashing_them(spark, dates):
+    names = spark.createDataFrame([(1, "a"), (2, "a"), (3, None)], "restaurant_hk long, name string")
+    data = [(1, 7, 1, "5"), (2, 7, 2, "6"), (3, 8, 1, None), (4, None, 1, "2"), (5, None, 2, "2"), (6, 9, 3, "4"), (None, 9, 3, "1")]
+    fact = sales(spark, dates, *[(i, o, "2024-01-05", s or "0", "Delivered" if o != 8 else None, r) for i, o, r, s in data])
+    got = kpis.monthly_restaurant_kpis(fact, dates, names)
+    plain = fact.join(names, F.col("restaurant_dim_key") == F.col("restaurant_hk")).groupBy("delivery_status", "name").agg(F.count_distinct("order_id"), F.sum("subtotal"), F.max("subtotal"))
+    assert rows(got, "delivery_status", "restaurant_name", "total_orders", "total_revenue", "max_order_value") == rows(plain)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "HashAggregate" in x and "order_id" in x.split("functions=")[0]]
