@@ -1,6 +1,7 @@
 """What goes on from load to load: numbers, unique values, KPIs."""
 
 import random
+from decimal import Decimal
 
 import pytest
 from conftest import rows
@@ -10,7 +11,7 @@ from tiffinmart.operators.quality import UniqueIndex
 from tiffinmart.operators.sequence import append_numbered
 from tiffinmart.plans import kpis
 from tiffinmart.plans.fact import LAYOUT
-from tiffinmart.plans.maintained import KpiTable
+from tiffinmart.plans.maintained import GRAINS, KpiTable, day_aggregates
 from tiffinmart.store import SnapshotTable
 
 
@@ -93,3 +94,17 @@ def test_sketches_of_days_give_orders_of_longer_times(spark):
     assert abs(year - 150_000) < 0.03 * 150_000
     for r in kpis.approximate_orders(sketches, days, ["day_of_the_month"]).collect():
         assert abs(r.total_orders - 150_000 / 28) < 0.05 * 150_000 / 28
+
+
+def test_day_aggregates_shuffle_lines_once(spark):
+    r = random.Random(3)
+    data = [(2024, 1, r.randint(0, 1), 20240100 + r.randint(1, 3), r.choice(["x", "y", None]), r.choice([1, 2, None]), r.choice([*range(9), None]), i, Decimal(r.randint(1, 9))) for i in range(400)]
+    lines = spark.createDataFrame(data, "order_year int, order_month int, _bucket int, order_date_dim_key long, delivery_status string, restaurant_dim_key long, order_id long, order_item_id long, subtotal decimal(10,2)")
+    for tasks in (None, 3):
+        got = day_aggregates(lines, tasks)
+        sums = [F.sum("subtotal").cast("decimal(38,2)").alias("revenue"), F.count_distinct("order_id").alias("orders"), F.count("order_item_id").alias("items"), F.max("subtotal").alias("largest")]
+        for grain, by in zip(GRAINS, ([], ["delivery_status"], ["delivery_status", "restaurant_dim_key"]), strict=True):
+            plain = lines.groupBy("_bucket", "order_date_dim_key", *by).agg(*sums)
+            shown = ["fact_bucket", "order_date_dim_key", *["status", "restaurant"][: len(by)], "revenue", "orders", "items", "largest"]
+            assert rows(got.filter(F.col("grain") == grain), *shown) == rows(plain)
+        assert got._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tiffinmart.plans.fact import LAYOUT
@@ -12,25 +13,34 @@ from tiffinmart.plans.kpis import MEASURES, _ratio
 from tiffinmart.session import materialized
 from tiffinmart.store import BUCKET, SnapshotTable
 
+#: Lines of the fact that one task sorts and sums at a time.
+TASK_ROWS = 500_000
 #: Whose distinct orders a row counts: all of a day, those of a status, those of a status and a restaurant.
 GRAINS = ("day", "status", "restaurant")
 
 
-def day_aggregates(rows: DataFrame) -> DataFrame:
+def day_aggregates(rows: DataFrame, tasks: int | None = None) -> DataFrame:
     """One row per fact slice, grain and day: revenue, orders, items and the largest line.
 
     An order lies in one slice and has one day, so distinct orders of longer times and of several slices add up.
+    `tasks` is the number of shuffle partitions, by default left to Spark.
     """
-    group = [*LAYOUT, BUCKET, "order_date_dim_key", "delivery_status", "restaurant_dim_key"]
-    orders = rows.groupBy(*group, "order_id").agg(F.sum("subtotal").alias("revenue"), F.count("order_item_id").alias("items"), F.max("subtotal").alias("largest"))
+    place = [*LAYOUT, BUCKET, "order_date_dim_key"]
+    # One shuffle, by slice and day, serves the mark of each order's first lines and the sums of all grains.
+    rows = rows.select(*place, "delivery_status", F.col("restaurant_dim_key").cast("bigint").alias("restaurant_dim_key"), "order_id", "order_item_id", "subtotal")
+    rows = rows.repartition(*([tasks] if tasks else []), *place)
+    lines = Window.partitionBy(*place, "order_id").orderBy("delivery_status", "restaurant_dim_key")
+    same = lambda c: F.col(c).eqNullSafe(F.lag(c).over(lines))
+    known, begins = F.col("order_id").isNotNull(), F.row_number().over(lines) == 1
+    marked = rows.withColumns({"_d": known & begins, "_s": known & (begins | ~same("delivery_status")), "_r": known & (begins | ~same("delivery_status") | ~same("restaurant_dim_key"))})
     none_s, none_r = F.lit(None).cast("string"), F.lit(None).cast("bigint")
-    status, restaurant = F.col("delivery_status"), F.col("restaurant_dim_key").cast("bigint")
-    grains = zip(GRAINS, ((none_s, none_r), (status, none_r), (status, restaurant)), strict=True)
-    each = F.explode(F.array(*[F.struct(F.lit(g).alias("grain"), s.alias("status"), r.alias("restaurant")) for g, (s, r) in grains]))
-    keyed = orders.select(*LAYOUT, BUCKET, "order_date_dim_key", each.alias("g"), "order_id", "revenue", "items", "largest").select("*", "g.*").drop("g")
-    return keyed.groupBy(*LAYOUT, F.col(BUCKET).alias("fact_bucket"), "grain", "order_date_dim_key", "status", "restaurant").agg(
-        F.sum("revenue").cast("decimal(38,2)").alias("revenue"), F.count_distinct("order_id").alias("orders"), F.sum("items").alias("items"), F.max("largest").alias("largest")
-    )
+    status, restaurant = F.col("delivery_status"), F.col("restaurant_dim_key")
+    grains = zip(GRAINS, ((none_s, none_r, "_d"), (status, none_r, "_s"), (status, restaurant, "_r")), strict=True)
+    each = F.explode(F.array(*[F.struct(F.lit(g).alias("grain"), s.alias("status"), r.alias("restaurant"), F.col(n).alias("first")) for g, (s, r, n) in grains]))
+    keyed = marked.select(*place, each.alias("g"), "order_item_id", "subtotal").select("*", "g.*").drop("g")
+    return keyed.groupBy(*LAYOUT, BUCKET, "grain", "order_date_dim_key", "status", "restaurant").agg(
+        F.sum("subtotal").cast("decimal(38,2)").alias("revenue"), F.count_if("first").alias("orders"), F.count("order_item_id").alias("items"), F.max("subtotal").alias("largest")
+    ).withColumnRenamed(BUCKET, "fact_bucket")
 
 
 class KpiTable:
@@ -47,7 +57,10 @@ class KpiTable:
         if latest is None or done == latest:
             return []
         changed = self.fact.changed_slices(done, latest)
-        fresh = day_aggregates(self.fact.with_slices(self.fact.read(latest, changed)))
+        rows = self.fact.read(latest, changed)
+        # The footers of the files give the count.
+        tasks = max(ceil(rows.count() / TASK_ROWS), self.table.spark.sparkContext.defaultParallelism)
+        fresh = day_aggregates(self.fact.with_slices(rows), tasks)
         if not self.table.exists():
             self.table.commit(fresh, latest)
             return changed
