@@ -5,11 +5,12 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tiffinmart.catalogue import queries
 from tiffinmart.operators.sequence import add_sequence
 from tiffinmart.operators.skew import skew_join
 from tiffinmart.plans import dashboard, kpis
 from tiffinmart.plans.date_dim import with_date_parts
-from tiffinmart.plans.fact import FACT_COLUMNS, merge_fact, write_fact_by_month
+from tiffinmart.plans.fact import FACT_COLUMNS, build_fact_changes, merge_fact, write_fact_by_month
 
 D = Decimal
 
@@ -178,3 +179,15 @@ def test_restaurant_kpis_mark_orders_instead_of_hashing_them(spark, dates):
     assert rows(got, "delivery_status", "restaurant_name", "total_orders", "total_revenue", "max_order_value") == rows(plain)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert not [x for x in plan.splitlines() if "HashAggregate" in x and "order_id" in x.split("functions=")[0]]
+
+
+@pytest.mark.parametrize("mode", ["current", "reference"])
+def test_items_meet_the_menu_before_the_wider_context(spark, sf_dir, mode):
+    e, dims = queries._star_inputs(spark, sf_dir, queries.dim_after_two_days, queries._DAY_0)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joins = [x for x in plan(build_fact_changes(e["items"], e["orders"], e["deliveries"], dims, mode)).splitlines() if "SortMergeJoin" in x]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "order_id" in joins[0] and "_menu_id" not in joins[0]
