@@ -100,3 +100,15 @@ def test_nothing_to_cluster(spark, tmp_path):
     assert grown.read().filter(F.col("order_id") == 1).count() == 1
     with pytest.raises(ValueError, match="2 at least"):
         ClusteredFact(spark, str(tmp_path / "g"), most_depth=1)
+
+
+def test_rows_move_once_to_their_pieces(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = spark.range(100).select((F.col("id") % 7).alias("day"), F.lit(1).alias("order_month"), "id")
+        laid = pieces(lines, "day", ["order_month"], 20)
+        plan = laid._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and laid.count() == 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

@@ -61,7 +61,8 @@ def pieces(rows: DataFrame, key: str, group: Sequence[str], rows_per_file: int)
     upto = F.sum("_n").over(Window.partitionBy(*group).orderBy(key).rowsBetween(Window.unboundedPreceding, 0))
     per = per.withColumn("_start", F.floor((upto - F.col("_n")) / rows_per_file)).withColumn("_parts", F.ceil(F.col("_n") / rows_per_file))
     same = [F.col(f"r.{x}").eqNullSafe(F.col(f"p.{x}")) for x in (*group, key)]
-    out = rows.alias("r").join(per.alias("p"), same).select("r.*", "_start", "_parts", F.xxhash64(*[F.col(f"r.{x}") for x in rows.columns]).alias("_hash"))
+    # One row per group and value: broadcast, so that the rows move only once, to their pieces.
+    out = rows.alias("r").join(F.broadcast(per).alias("p"), same).select("r.*", "_start", "_parts", F.xxhash64(*[F.col(f"r.{x}") for x in rows.columns]).alias("_hash"))
     split = F.concat_ws("-", F.lit("split"), F.col("_start").cast("string"), F.xxhash64(key).cast("string"), F.pmod("_hash", "_parts").cast("string"))
     piece = F.when(F.col("_parts") > 1, split).otherwise(F.concat_ws("-", F.lit("from"), F.col("_start").cast("string")))
     return out.withColumn("_piece", piece).drop("_start", "_parts", "_hash")
@@ -117,7 +118,7 @@ class ClusteredFact:
             return []
         gone = self.spark.createDataFrame(old, "_file string, _cluster long")
         rows = self._rows([f for f, _ in old], F.col("_metadata.file_path").alias("_at"))
-        rows = rows.join(gone, F.col("_at") == F.col("_file")).drop("_at", "_file")
+        rows = rows.join(F.broadcast(gone), F.col("_at") == F.col("_file")).drop("_at", "_file")
         fresh = self._write(rows, ["_cluster"], batch)
         self._publish(fresh, chosen, gone, batch)
         return sorted(f for f, _ in old)
