@@ -99,6 +99,23 @@ def test_every_event_takes_the_version_of_its_time(spark, hot_rows):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+@pytest.mark.parametrize(("most_versions", "hot_rows"), [(1, 3), (1, 1_000_000), (16, 3)])
+def test_few_versions_are_joined_and_many_are_carried(spark, most_versions, hot_rows):
+    days = lambda *d: [f"2024-01-{x:02d} 00:00:00" for x in d]
+    # Versions of id 1 overlap; id 2 is gone for a time; a version without a start was always there.
+    rows = [(1, "a", *days(1, 9)), (1, "b", *days(5, 20)), (1, "c", *days(7, 8)), (2, "d", *days(1, 3)), (2, "e", days(6)[0], None), (None, "f", days(1)[0], None), (3, "g", None, days(4)[0])]
+    fields = [(SPEC.attributes[0], "bigint"), (SPEC.key, "string"), (SPEC.start, "timestamp"), (SPEC.end, "timestamp")]
+    text = spark.createDataFrame(rows, ", ".join(f"{n} {'string' if t == 'timestamp' else t}" for n, t in fields))
+    dim = text.select(*[text[n].cast(t).alias(n) for n, t in fields])
+    asked = [(i, t) for i in (1, 2, 3, None) for t in days(1, 3, 4, 6, 7, 8, 15, 20)] + [(2, days(6)[0]), (1, None)]
+    events = spark.createDataFrame(asked, "id bigint, t string").selectExpr("id", "CAST(t AS timestamp) AS t")
+    got = as_of_keys(events, "t", {"k": Lookup("id", dim, SPEC)}, hot_rows, most_versions=most_versions)
+    want = [(1, d, "a") for d in (1, 3, 4)] + [(1, 6, "b"), (1, 7, "c")] + [(2, 1, "d"), (3, 1, "g"), (3, 3, "g")] + [(2, d, "e") for d in (6, 6, 7, 8, 15, 20)]
+    assert sorted((r.id, r.t.day, r.k) for r in got.collect()) == sorted(want)
+    # With few versions events move once for the join, and are not sorted together with the versions.
+    assert ("Union" in got._jdf.queryExecution().executedPlan().toString()) == (most_versions == 1)
+
+
 def test_a_later_price_leaves_earlier_orders_alone(spark):
     from tiffinmart.operators.scd2 import dimension_schema
     from tiffinmart.plans.fact import build_fact_as_of

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tiffinmart.entities import Dimension
 from tiffinmart.functions.keys import hash_key
+from tiffinmart.session import materialize
 
 GONE, REPEATS = "_gone", "_repeats"
 
@@ -68,16 +69,50 @@ class Lookup:
             F.struct(F.col(self.spec.key).alias("key"), F.col(self.spec.end).cast("timestamp").alias("end"), more.cast("bigint").alias("more")).alias("_version"),
         )
 
+    def intervals(self) -> DataFrame:
+        """Of the versions that have started, the last one counts: each from `_version_from` to `_version_until`."""
+        start = F.coalesce("_at", F.lit("0001-01-01 00:00:00").cast("timestamp"))
+        v = self.versions(0).filter("_id IS NOT NULL").select(F.col("_id").alias("_version_id"), start.alias("_version_from"), "_version.*")
+        after = F.lead("_version_from").over(Window.partitionBy("_version_id").orderBy("_version_from"))
+        v = v.withColumn("_version_until", F.least("end", after)).drop("end")
+        return v.filter("_version_until IS NULL OR _version_from < _version_until")
 
-def as_of_keys(events: DataFrame, at: str, lookups: Mapping[str, Lookup], hot_rows: int = 1_000_000, counted: DataFrame | None = None) -> DataFrame:
+
+def as_of_keys(
+    events: DataFrame, at: str, lookups: Mapping[str, Lookup], hot_rows: int = 1_000_000, counted: DataFrame | None = None, most_versions: int = 16
+) -> DataFrame:
     """`events` with, for each lookup, its name as a column: the key of the version valid at column `at`, start
     inclusive and end exclusive (and `<name>_more`, where asked for). Events without a version in any lookup are left out.
 
-    All lookups are one pass: events and versions of an id are put in order of time and each event takes the last
-    version before it, so no row meets all versions of its id. Ids of more than `hot_rows` events are counted first and
-    split, with their versions copied to each part. They are counted in `counted`, any frame with the columns of ids,
-    or in `events`, which is then computed twice unless it is stored.
+    Where no id has more than `most_versions` versions, a lookup is an equal join on the id that also compares times:
+    events move once, or not at all for a small dimension. The others are one pass: events and versions of an id are put
+    in order of time and each event takes the last version before it, so no row meets all versions of its id. There, ids
+    of more than `hot_rows` events are counted first and split, with their versions copied to each part. They are counted
+    in `counted`, any frame with the columns of ids, or in `events`, which is then stored. The versions of all
+    dimensions are counted at once, before the frame is returned.
     """
+    columns = events.columns
+    ids = None
+    for i, q in enumerate(lookups.values()):
+        own = q.versions(i).filter("_id IS NOT NULL").select("_lookup", "_id")
+        ids = own if ids is None else ids.unionByName(own)
+    many = ids.groupBy("_lookup", "_id").count().filter(F.col("count") > most_versions).select("_lookup").distinct().collect()
+    long = {n: q for i, (n, q) in enumerate(lookups.items()) if any(r[0] == i for r in many)}
+    out = events
+    for name, q in lookups.items():
+        if name not in long:
+            shown = {"key": name} | ({"more": f"{name}_more"} if q.more else {})
+            versions = q.intervals().withColumnsRenamed(shown).select(*shown.values(), "_version_id", "_version_from", "_version_until")
+            when, until = F.col(at).cast("timestamp"), F.col("_version_until")
+            met = (F.col(q.id).cast("bigint") == F.col("_version_id")) & (when >= F.col("_version_from")) & (until.isNull() | (when < until))
+            out = out.join(versions, met).drop("_version_id", "_version_from", "_version_until")
+    if long:
+        out = _carried(out if counted is not None else materialize(out, "as-of"), at, long, hot_rows, counted)
+    return out.select(*columns, *lookups, *[f"{n}_more" for n, q in lookups.items() if q.more])
+
+
+def _carried(events: DataFrame, at: str, lookups: Mapping[str, Lookup], hot_rows: int, counted: DataFrame | None) -> DataFrame:
+    """`as_of_keys` by putting events and versions of an id in order of time."""
     names, columns = list(lookups), events.columns
     wanted = lambda: F.explode(F.array(*[F.struct(F.lit(i).alias("_lookup"), F.col(q.id).cast("bigint").alias("_id")) for i, q in enumerate(lookups.values())]))
     asked = events.select(F.struct(*columns).alias("_event"), wanted().alias("_q")).select("_q.*", "_event").filter("_id IS NOT NULL")
