@@ -260,6 +260,28 @@ def test_rare_contexts_are_in_the_tree(spark):
     assert got[held[0]].score > got[held[1]].score + 2
 
 
+@pytest.mark.parametrize("how", [{}, {"most_alike": 100}, {"most_alike": 200, "hot_share": 0.1}, {"hot_share": 0.05, "part_tokens": 50}])
+def test_the_tree_is_built_in_parts(spark, monkeypatch, how):
+    from tiffinmart.llm import suffix_tree
+
+    written, settled = {}, suffix_tree.settled
+    monkeypatch.setattr(suffix_tree, "settled", lambda df, purpose: written.setdefault(purpose, settled(df, purpose)))
+    r = random.Random(5)
+    word = lambda: f"w{r.randrange(r.choice([3, 10, 40]))}" if r.random() < 0.98 else f"u{r.randrange(300)}"
+    rows = [(i, " ".join(word() for _ in range(r.randint(0, 60)))) for i in range(300)]
+    rows += [(1000 + i, "the same text w1 w2 w1 w2 again") for i in range(20)] + [(None, "w1 w2 w3"), (2000, None), (2001, "")]
+    got = {x.doc_id: x for x in text_scores(spark.createDataFrame(rows, "doc_id long, text string"), **how).collect()}
+    texts = [(i, t or "") for i, t in rows]
+    counts, _ = brute.unigram(texts)
+    assert len(got) == len(rows)
+    for (i, _), score, (tokens, known, base) in zip(rows, brute.tree_scores(texts), counts, strict=True):
+        assert (got[i].n_tokens, got[i].n_known) == (tokens, known) and got[i].base_score == pytest.approx(base)
+        assert got[i].score == pytest.approx(score, rel=1e-6)
+    # Without very common words no run is written down, and each text once.
+    if not how:
+        assert set(written) == {"vocabulary", "scores"} and written["scores"].count() == len(rows)
+
+
 def test_common_lines_are_removed(spark):
     line = " ".join(f"menu{i}" for i in range(60))
     own = prose(40, 100)

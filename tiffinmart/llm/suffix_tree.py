@@ -9,12 +9,14 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tiffinmart.llm.byte_cnn import fold_of
 from tiffinmart.llm.frames import in_blocks, pick
-from tiffinmart.llm.sieves import passes, sieve
+from tiffinmart.llm.sieves import SIEVE, passes, sieve
 from tiffinmart.llm.storage import dropped, settled
 from tiffinmart.llm.tokens import words
+from tiffinmart.session import empty_frame
 
 #: Stands for the end of a text among the hashes of words. Not 0, which would vanish in hashes of runs.
 END = np.uint64(1)
@@ -59,7 +61,10 @@ def found(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Place of each key in a sorted table, and whether it is there."""
     if not len(table):
         return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    # Sorted keys find their places in the cache.
+    order = np.argsort(keys)
+    at = np.empty(len(keys), np.int64)
+    at[order] = np.minimum(np.searchsorted(table, keys[order]), len(table) - 1)
     return at, table[at] == keys
 
 
@@ -81,29 +86,31 @@ def counted_words(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(count, "h long, n long, c long").groupBy("h").agg(F.sum("n").alias("n"), F.sum("c").alias("c"))
 
 
-def counted_runs(docs: DataFrame, order: int, shorter: DataFrame, least_count: int) -> DataFrame:
-    """first, rest and n: every run of `order` tokens that training texts hold `least_count` times or more, by the
-    hashes of all but its last and of all but its first token. `shorter` has the runs of one token less that occur as
-    often, of which both must be."""
-    shared = docs.sparkSession.sparkContext.broadcast(sieve(shorter))
+def counted_runs(docs: DataFrame, longest: int, common: np.ndarray) -> DataFrame:
+    """ord, first, rest and n: every run of 2 to `longest` tokens of the training texts whose last word but one is in
+    `common`, by the hashes of all but its last and of all but its first token."""
+    shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_blocks(batches, 4 << 20):
             t = Tokens(batch.column("text"))
             trains = ~batch.column("held_out").to_numpy(zero_copy_only=False)[t.rows]
-            *_, part, whole = t.runs(order)
-            let = passes(shared.value, part)
-            at = np.flatnonzero(let & np.roll(let, -1) & trains & (t.left >= order))
-            _, place, times = np.unique(whole[at], return_index=True, return_counts=True)
-            at = at[place]
-            yield pa.RecordBatch.from_arrays([_signed(part[at]), _signed(part[at + 1]), pa.array(times)], names=["first", "rest", "n"])
+            before = found(shared.value, t.hashes)[1]
+            for order, part in enumerate(t.runs(longest - 1), 2):
+                at = np.flatnonzero(trains & (t.left >= order))
+                at = at[before[at + order - 2]]
+                first, rest = part[at], part[at + 1]
+                _, place, times = np.unique(joined(first, rest), return_index=True, return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(place), order, np.int32)), _signed(first[place]), _signed(rest[place]), pa.array(times)], names=["ord", "first", "rest", "n"]
+                )
 
-    rows = docs.mapInArrow(count, "first long, rest long, n long")
-    return rows.groupBy("first", "rest").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_count)
+    return docs.mapInArrow(count, "ord int, first long, rest long, n long").groupBy("ord", "first", "rest").agg(F.sum("n").alias("n"))
 
 
-def tree(docs: DataFrame, vocab: DataFrame, word_share: float, max_depth: int, least_count: int, least_bits: float, weight: float) -> DataFrame:
-    """h, ord, n and own of runs: what each occurrence of it in a text adds to the score beyond its words alone.
+def tree(docs: DataFrame, vocab: DataFrame, common: np.ndarray, word_share: float, max_depth: int, least_count: int, least_bits: float, weight: float) -> DataFrame:
+    """h, ord, n and own of runs: what each occurrence of it in a text adds to the score beyond its words alone. Of the
+    tree this is the part of the contexts that end in a word of `common`; no other part has a say in it.
 
     Contexts of words are kept by divergence, closed under suffixes, and smoothed by their suffixes. A kept context
     adds its back-off to the token behind it. A run that it stores takes that and what the suffix says back, and adds
@@ -112,30 +119,35 @@ def tree(docs: DataFrame, vocab: DataFrame, word_share: float, max_depth: int, l
     h = F.xxhash64("first", "rest").alias("h")
     lower = vocab.filter(F.col("c") >= least_count).select("h", F.col("c").alias("n"), (F.col("c") * word_share).alias("p"))
     runs, contexts = {}, {}
+    every = settled(counted_runs(docs, max_depth + 1, common), "counted")
     for d in range(1, max_depth + 1):
-        # All but the first and all but the last token of a run are at least as frequent, so both joins find theirs.
-        x = counted_runs(docs, d + 1, lower, least_count).join(lower.select(F.col("h").alias("rest"), F.col("p").alias("below")), "rest")
+        counted = every.filter(F.col("ord") == d + 1)
+        # All but the first token of a run are at least as frequent, so the join finds them.
+        x = counted.filter(F.col("n") >= least_count).select("first", "rest", "n").join(lower.select(F.col("h").alias("rest"), F.col("p").alias("below")), "rest")
         x = settled(x, f"runs{d + 1}")
         told = F.col("n") * F.log2(F.col("n") / F.greatest("below", F.lit(1e-12)))
-        per = x.groupBy("first").agg(F.sum("n").alias("seen"), F.sum("below").alias("b"), F.sum(told).alias("told"))
-        per = per.join(lower.select(F.col("h").alias("first"), F.col("n").alias("m")), "first")
+        per = x.groupBy("first").agg(F.sum("n").alias("seen"), F.sum("below").alias("b"), F.sum(told).alias("told"), F.min("rest").alias("tail"))
+        # A token follows every word, so those behind a context add up to its own count.
+        per = per.join(counted.groupBy("first").agg(F.sum("n").alias("m")), "first")
         share = F.col("seen") / F.col("m")
         left, left_below = 1 - share, F.greatest(1 - F.col("b"), F.lit(1e-9))
         gain = F.col("told") / F.col("m") - share * F.log2("m") + F.when(left > 1e-9, left * F.log2(left / left_below)).otherwise(0.0)
         back = (F.col("m") - F.col("seen") + weight) / (F.col("m") + weight)
-        contexts[d] = settled(per.select("first", "m", back.alias("back"), (gain >= least_bits).alias("keep")), f"contexts{d}")
+        contexts[d] = settled(per.select("first", "tail", "m", back.alias("back"), (gain >= least_bits).alias("keep")), f"contexts{d}")
         y = x.join(contexts[d].select("first", "m", "back"), "first").withColumn("p", F.col("n") / (F.col("m") + weight) + F.col("back") * F.col("below"))
         own = F.log10("p") - F.log10("back") - F.log10("below")
         runs[d] = settled(y.select("first", "rest", "n", "p", own.cast("float").alias("own")), f"stored{d + 1}")
         dropped(x)
         lower = runs[d].select(h, "n", "p")
+    dropped(every)
     values, longer = [], None
     for d in range(max_depth, 0, -1):
         kept = contexts[d].filter("keep").select("first")
         if longer is not None:
-            suffixes = runs[d].select(h, F.col("rest").alias("first")).join(longer.withColumnRenamed("first", "h"), "h").select("first")
-            kept = kept.union(suffixes).distinct()
-        longer = settled(kept, f"kept{d}")
+            # A run behind a context tells its suffix: that is the context of the run without its first token.
+            suffixes = longer.select(F.col("tail").alias("h")).distinct().join(runs[d].select(h, "first"), "h").select("first")
+            kept = kept.union(suffixes)
+        longer = settled(contexts[d].join(kept, "first", "left_semi").select("first", "tail"), f"kept{d}")
         stored = runs[d].join(longer, "first", "left_semi").select(h, F.lit(d + 1).alias("ord"), "n", F.col("own").cast("double").alias("own"))
         turns = contexts[d].join(longer, "first", "left_semi").select(F.col("first").alias("h"), F.lit(d).alias("ord"), F.col("m").alias("n"), F.log10("back").alias("own"))
         values.append(settled(stored.union(turns), f"values{d}"))
@@ -150,6 +162,211 @@ def tree(docs: DataFrame, vocab: DataFrame, word_share: float, max_depth: int, l
     return out
 
 
+def packed(columns: list[np.ndarray]) -> bytes:
+    """Arrays of uint32 as compressed bytes, the lowest bytes of all first."""
+    planes = [np.ascontiguousarray(c, np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes() for c in columns]
+    return pa.compress(b"".join(planes), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, lengths: list[int]) -> list[np.ndarray]:
+    raw = np.frombuffer(pa.decompress(data, 4 * sum(lengths), codec="zstd", asbytes=True), np.uint8)
+    ends = np.cumsum([4 * n for n in lengths])
+    return [np.ascontiguousarray(raw[e - 4 * n : e].reshape(4, n).T).view(np.uint32).reshape(-1) for e, n in zip(ends, lengths, strict=True)]
+
+
+def two_halves(x: np.ndarray) -> list[np.ndarray]:
+    return [x >> np.uint64(32), x & np.uint64(0xFFFFFFFF)]
+
+
+def context_values(w: list[np.ndarray], trains: np.ndarray, below: np.ndarray, max_depth: int, least_count: int, least_bits: float, weight: float) -> np.ndarray:
+    """What each place adds to the score beyond its word alone, from all places whose word before is the same as one here.
+
+    `w` has the hashes of the token of each place and of those before it, the nearest first; 0 stands for none and for
+    words that occur less than `least_count` times. `below` is the probability of the token without context.
+    """
+    size = len(below)
+    levels = []
+    # Places whose context and token are still looked at, with hashes of the context and of its suffix with the token.
+    at, context, rest = np.arange(size, dtype=np.int32), w[1], w[0]
+    stored = w[0] != 0
+    for d in range(1, max_depth + 1):
+        name, c = np.unique(context, return_inverse=True)
+        c = c.astype(np.int32)
+        m = np.bincount(c, trains[at], len(name))
+        # A run occurs often enough only if what is left without its first token does.
+        may = np.flatnonzero(stored)
+        first_at, r = np.unique(joined(context[may], rest[may]), return_index=True, return_inverse=True)[1:]
+        n = np.bincount(r, trains[at[may]], len(first_at))
+        of, p0, often = c[may[first_at]], below[at[may[first_at]]], n >= least_count
+        known = np.where(often, n, 0.0)
+        seen, b = np.bincount(of, known, len(name)), np.bincount(of, np.where(often, p0, 0.0), len(name))
+        told = np.bincount(of, known * np.log2(np.where(often, n / np.maximum(p0, 1e-12), 1.0)), len(name))
+        total = np.maximum(m, 1)
+        share = seen / total
+        left = 1 - share
+        more = left * np.log2(np.where(left > 1e-9, left / np.maximum(1 - b, 1e-9), 1.0))
+        gain = told / total - share * np.log2(total) + np.where(left > 1e-9, more, 0.0)
+        back = (m - seen + weight) / (m + weight)
+        p = n / (m[of] + weight) + back[of] * p0
+        own = np.where(often, np.log10(p) - np.log10(back[of]) - np.log10(p0), 0.0)
+        value = np.log10(back)[c]
+        value[may] += own[r]
+        stored = np.zeros(len(at), bool)
+        stored[may] = often[r]
+        levels.append((at, c, value, (seen > 0) & (gain >= least_bits)))
+        if d == max_depth:
+            break
+        # The next longer contexts, where there are such.
+        at_below = np.full(size, np.nan)
+        at_below[at[may]] = p[r]
+        below = at_below
+        longer = np.flatnonzero((w[d + 1][at] != 0) & (m[c] >= least_count))
+        rest = np.where(stored, joined(context, rest), np.uint64(0))[longer]
+        stored, at = stored[longer], at[longer]
+        context = run_hash([w[k][at] for k in range(d + 1, 0, -1)])
+    out = np.zeros(size)
+    keeps = np.zeros(size, bool)
+    for at, c, value, keep in reversed(levels):
+        # A context is kept on its own account or as the suffix of a longer one.
+        all_of = keep.copy()
+        all_of[c[keeps[at]]] = True
+        keeps = np.zeros(size, bool)
+        keeps[at] = all_of[c]
+        out[at] += np.where(all_of[c], value, 0.0)
+    return out
+
+
+def run_hash(tokens: list[np.ndarray]) -> np.ndarray:
+    """Hash of runs by the hashes of their tokens, as `Tokens.runs` has it."""
+    while len(tokens) > 1:
+        tokens = [joined(a, b) for a, b in zip(tokens, tokens[1:])]
+    return tokens[0]
+
+
+def context_scores(
+    texts: DataFrame, vocab: DataFrame, common: np.ndarray, n_all: int, word_share: float, max_depth: int, least_count: int, least_bits: float, weight: float, least_known: float, part_tokens: int
+) -> DataFrame:
+    """key and more: what contexts that end in a word outside `common` add to the scores of the texts of each key.
+
+    Every place goes, with the tokens before it, to the part of the word before it. There all contexts that end in this
+    word are counted, kept and smoothed at once, and give the places their values. Places travel compressed, a block
+    of texts for a part in one row.
+    """
+    parts = max(48, -(-n_all // part_tokens))
+    words = vocab.filter(F.col("c") >= least_count)
+    # Frequent words have small numbers, which take less room.
+    table = words.filter(F.col("n") >= least_known).toArrow()
+    h, c, n = (table.column(x).to_numpy() for x in ("h", "c", "n"))
+    rank = np.lexsort((h, -n))
+    h, c = h[rank].view(np.uint64), c[rank]
+    by_hash = np.argsort(h)
+    shared = texts.sparkSession.sparkContext.broadcast((h, c, h[by_hash], by_hash, common))
+    whole = least_known <= least_count
+    rare = np.uint32(1 << 31)
+
+    def places(batch: pa.RecordBatch):
+        """Tokens; number of each (0: too rare, from 2^31: not in the table); places of a word before, and their parts."""
+        hashes, numbers, frequent = shared.value[2:]
+        t = Tokens(batch.column("text"))
+        at, there = found(hashes, t.hashes)
+        number = np.zeros(len(at), np.uint32)
+        number[there] = numbers[at[there]] + 1
+        if not whole:
+            number[~there] = rare
+        word = (t.left >= 2) & (number > 0)
+        word &= ~found(frequent, t.hashes)[1]
+        place = np.flatnonzero(word)
+        return t, number, place, (t.hashes[place] >> np.uint64(17)) % np.uint64(parts)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_blocks(batches, 6 << 20):
+            t, number, place, part = places(batch)
+            begin = (np.cumsum(t.counts) - t.counts)[t.rows[place]]
+            before = [place + 1, place, *(np.where(place - k >= begin, place - k, -1) for k in range(1, max_depth))]
+            columns = [np.where(x >= 0, number[x], np.uint32(0)) for x in before]
+            # Equal words beside each other take less room.
+            order = np.argsort(part << np.uint64(40) | (columns[1].astype(np.uint64) & np.uint64(0xFFFFF)) << np.uint64(20) | (columns[2] & np.uint32(0xFFFFF)).astype(np.uint64))
+            held = batch.column("held_out").to_numpy(zero_copy_only=False)
+            keys = batch.column("key").to_numpy().view(np.uint64)
+            ends = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
+            rows = []
+            for k in range(parts):
+                o = order[ends[k] : ends[k + 1]]
+                if not len(o):
+                    continue
+                docs, doc = np.unique(t.rows[place[o]], return_inverse=True)
+                own = [x[o] for x in columns]
+                # Words outside the table go as hashes, numbered in this row.
+                others = np.unique(np.concatenate([t.hashes[x[o]][y == rare] for x, y in zip(before, own, strict=True)]))
+                for i, (x, y) in enumerate(zip(before, own, strict=True)):
+                    mine = np.flatnonzero(y == rare)
+                    y[mine] = rare + np.searchsorted(others, t.hashes[x[o[mine]]]).astype(np.uint32)
+                    own[i] = y
+                data = packed([*own, doc, *two_halves(keys[docs]), held[docs], *two_halves(others)])
+                rows.append((k, len(o), len(docs), len(others), data))
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array([r[i] for r in rows], pa.int32()) for i in range(4)), pa.array([r[4] for r in rows], pa.binary()), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64())],
+                names=["part", "n", "docs", "others", "data", "h", "c"],
+            )
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in in_blocks(batches, 6 << 20):
+            t, number, place, part = places(batch)
+            mine = number[place + 1] == rare
+            asked = np.unique(np.stack([part[mine], t.hashes[place[mine] + 1]]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(asked[0].astype(np.int32)), _signed(asked[1])], names=["part", "h"])
+
+    def give(table: pa.Table) -> pa.Table:
+        numbered, count = shared.value[:2]
+        numbered = np.concatenate([np.zeros(1, np.uint64), numbered])
+        got: list[list[np.ndarray]] = []
+        for n, docs, others, data in zip(*(table.column(x).to_pylist() for x in ("n", "docs", "others", "data")), strict=True):
+            if data is None:
+                continue
+            *own, doc, high, low, held, other_high, other_low = unpacked(data, [n] * (max_depth + 2) + [docs] * 3 + [others] * 2)
+            other = other_high.astype(np.uint64) << np.uint64(32) | other_low
+            hashes = []
+            for x in own:
+                is_other = x >= rare
+                y = numbered[np.where(is_other, 0, x)]
+                y[is_other] = other[x[is_other] - rare]
+                hashes.append(y)
+            occurs = np.where(own[0] >= rare, 0, np.concatenate([[0], count])[np.where(own[0] >= rare, 0, own[0])])
+            got.append([*hashes, occurs, (high.astype(np.uint64) << np.uint64(32) | low)[doc], held[doc] == 0])
+        columns = list(zip(*got, strict=True)) if got else [[np.zeros(0, np.uint64)]] * (max_depth + 4)
+        del got
+        for i, x in enumerate(columns):
+            columns[i] = np.concatenate(x)
+        *w, occurs, key, trains = columns
+        told = table.filter(table.column("h").is_valid())
+        if told.num_rows:
+            asked = told.column("h").to_numpy().view(np.uint64)
+            by = np.argsort(asked)
+            at, there = found(asked[by], w[0])
+            there &= occurs == 0
+            occurs[there] = told.column("c").to_numpy()[by][at[there]]
+        w[0][occurs < least_count] = 0
+        # Contexts end where a word is missing.
+        for k in range(2, max_depth + 1):
+            w[k][w[k - 1] == 0] = 0
+        # Words before do not meet; some of them at a time take less memory.
+        by = np.argsort(w[1])
+        starts = np.flatnonzero(np.diff(w[1][by], prepend=np.uint64(0)))
+        cuts = starts[np.flatnonzero(np.diff(starts // 300_000, prepend=-1))] if len(starts) else []
+        value = np.zeros(len(by))
+        for start, end in zip(cuts, [*cuts[1:], len(by)], strict=True):
+            o = by[start:end]
+            value[o] = context_values([x[o] for x in w], trains[o].astype(bool), occurs[o] * word_share, max_depth, least_count, least_bits, weight)
+        name, which = np.unique(key, return_inverse=True)
+        return pa.table({"key": _signed(name), "more": pa.array(np.bincount(which, value, len(name)))})
+
+    dealt = texts.mapInArrow(deal, "part int, n int, docs int, others int, data binary, h long, c long")
+    if not whole:
+        asked = texts.mapInArrow(ask, "part int, h long").distinct().join(words.select("h", "c"), "h")
+        dealt = dealt.unionByName(asked, allowMissingColumns=True)
+    return dealt.groupBy("part").applyInArrow(give, "key long, more double").groupBy("key").agg(F.sum("more").alias("more"))
+
+
 def text_scores(
     docs: DataFrame,
     max_depth: int = 3,
@@ -157,6 +374,8 @@ def text_scores(
     least_bits: float = 0.1,
     weight: float = 2.0,
     hot_share: float = 5e-7,
+    most_alike: int = 2_500_000,
+    part_tokens: int = 1_000_000,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
@@ -168,19 +387,38 @@ def text_scores(
     tokens, to its suffix. Without context a token has its share of the training tokens, less what the ones seen once
     say about unseen ones; as in the base score, all tokens outside the training texts are one event.
 
-    The tree is a table that grows with the corpus. Tokens above `hot_share` of all and runs above that share for each
-    order, 1 / hot_share at most of either, are looked up where the texts are; the rest meets both tables in a join. A null or empty text has the end alone; a null id trains; repeated rows each train and get
-    a row; no documents give no rows; other columns are not read. Words are told apart by 64-bit hashes.
+    Contexts that end in the same word make one part of the tree. Words of up to `most_alike` occurrences are dealt out
+    to parts of about `part_tokens` places, which count and score them at once (`context_scores`). For more frequent
+    words the tree is a table (`tree`): runs above `hot_share` of all tokens for each order are looked up where the
+    texts are, the rest in a join. So are words, of which 1 / hot_share at most are looked up; if
+    those are all that occur twice, any other has its only place where it is met. A null or empty text has
+    the end alone; a null id trains; repeated rows each train and get a row; no documents give no rows; other columns
+    are not read. Words and texts are told apart by 64-bit hashes.
     """
     held = F.coalesce(fold_of(F.col("doc_id"), 7) == 2, F.lit(False))
     picked = pick(docs, "doc_id", "text").withColumn("held_out", held)
+    # Texts are known again by what they say, whatever the order in which they are read a second time.
+    picked = picked.withColumn("key", F.xxhash64(F.coalesce("text", F.lit(""))))
     texts = picked.select("text", "held_out")
     vocab = settled(counted_words(texts), "vocabulary")
     sums = vocab.agg(F.sum("n"), F.sum("c"), F.sum((F.col("c") > 0).cast("long")), F.sum((F.col("c") == 1).cast("long"))).first()
     n_all, n_train, n_distinct, n_once = (x or 0 for x in sums)
     unknown = (n_once + 1) / (n_train + 2)
     word_share = (1 - unknown) / max(n_train, 1)
-    runs = tree(texts, vocab, word_share, max_depth, least_count, least_bits, weight)
+    # The smallest count of which there are not too many words.
+    least_known, n_words = max(65.0, hot_share * n_all), 0
+    for times, n in sorted(map(tuple, vocab.groupBy(F.least("n", F.lit(64))).count().collect()), reverse=True):
+        n_words += n
+        if n_words > 1 / hot_share:
+            break
+        least_known = float(times)
+    least_known = least_known if least_known > 2 else 2.0
+    common = vocab.filter((F.col("n") > most_alike) & (F.col("h") != int(END))).select("h").toArrow().column("h").to_numpy()
+    common = np.sort(common.view(np.uint64))
+    if len(common):
+        runs = tree(texts, vocab, common, word_share, max_depth, least_count, least_bits, weight)
+    else:
+        runs = empty_frame(docs.sparkSession, T._parse_datatype_string("h long, ord int, n long, own double"))
 
     base = F.log10((F.col("c") + 1) / F.lit(float(n_train + n_distinct + 1)))
     plain = F.when(F.col("c") > 0, F.log10(F.col("c") * F.lit(word_share))).otherwise(F.lit(float(np.log10(unknown))))
@@ -188,12 +426,15 @@ def text_scores(
     scored = vocab.join(single, "h", "left").fillna(0.0, ["back"])
     scored = scored.select("h", "n", (F.col("c") > 0).cast("long").alias("known"), base.alias("base"), (plain + F.col("back")).alias("own"))
     runs = runs.filter("ord > 1")
-    end = int(END)
-    hot = scored.filter((F.col("n") >= max(1.0, hot_share * n_all)) | (F.col("h") == end)).drop("n").toArrow().sort_by("h")
+    end, all_twice = int(END), least_known <= 2
+    # known, base and own of words of one occurrence, in a training text or else.
+    once = [(1.0, 0.0), tuple(float(np.log10((c + 1) / (n_train + n_distinct + 1))) for c in (1, 0)), (float(np.log10(word_share or 1.0)), float(np.log10(unknown)))]
+    hot = scored.filter((F.col("n") >= least_known) | (F.col("h") == end)).drop("n").toArrow().sort_by("h")
     hot_runs = runs.filter(F.col("n") >= max(1.0, hot_share * (max_depth + 1) * n_all)).select("h", "own").toArrow()
     by = np.argsort(hot_runs.column("h").to_numpy().view(np.uint64))
     hot_runs = hot_runs.column("h").to_numpy().view(np.uint64)[by], hot_runs.column("own").to_numpy()[by]
-    shared = docs.sparkSession.sparkContext.broadcast(([hot.column(c).to_numpy() for c in ("h", "known", "base", "own")], hot_runs, sieve(runs)))
+    stored = sieve(runs) if len(common) else np.zeros(1 << (SIEVE - 3), np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(([hot.column(c).to_numpy() for c in ("h", "known", "base", "own")], hot_runs, stored))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (hashes, known, base, own), (run_hashes, run_own), stored = shared.value
@@ -202,7 +443,7 @@ def text_scores(
             t, n = Tokens(batch.column("text")), batch.num_rows
             by_context = np.zeros(n)
             others, owners = [], []
-            for order, h in enumerate(t.runs(max_depth + 1)[1:], 2):
+            for order, h in enumerate(t.runs(max_depth + 1)[1:] if len(common) else (), 2):
                 place = np.flatnonzero((t.left >= order) & passes(stored, h))
                 h = h[place]
                 at, there = found(run_hashes, h)
@@ -213,11 +454,17 @@ def text_scores(
             at, there = found(hashes, h)
             row, at = t.rows[there], at[there]
             sums = [np.bincount(row, x, n) for x in (known[at], base[at], own[at])]
+            if all_twice:
+                # What is not looked up occurs once in all: here.
+                single = np.bincount(t.rows[~there], minlength=n)
+                trained = ~batch.column("held_out").to_numpy(zero_copy_only=False)
+                sums = [x + single * np.where(trained, *v) for x, v in zip(sums, once, strict=True)]
+                there |= True
             schema = arrow_schema(batch)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.arange(uid, uid + n)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), batch.column("doc_id"), batch.column("held_out"),
-                    pa.array(t.counts), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2] + by_context),
+                    batch.column("key"), pa.array(t.counts), pa.array(sums[0].astype(np.int64)), pa.array(sums[1]), pa.array(sums[2] + by_context),
                 ],
                 schema=schema,
             )
@@ -232,25 +479,32 @@ def text_scores(
             uid += n
 
     kind = picked.schema["doc_id"].dataType.simpleString()
-    rows = picked.mapInArrow(score, f"uid long, h long, times long, doc_id {kind}, held_out boolean, n_tokens long, known long, base double, own double")
+    rows = picked.mapInArrow(score, f"uid long, h long, times long, doc_id {kind}, held_out boolean, key long, n_tokens long, known long, base double, own double")
     rows = settled(rows, "scores")
-    table = scored.drop("n").union(runs.select("h", F.lit(0).cast("long"), F.lit(0.0), "own"))
-    looked_up = rows.filter("h is not null").select("uid", "h", "times").join(table, "h")
-    rest = looked_up.groupBy("uid").agg(*[F.sum(F.col("times") * F.col(c)).alias(f"rest_{c}") for c in ("known", "base", "own")])
-    out = rows.filter("h is null").drop("h", "times").join(rest, "uid", "left").fillna(0, ["rest_known"]).fillna(0.0, ["rest_base", "rest_own"])
+    whole = rows.filter("h is null").drop("h", "times")
+    if len(common) or not all_twice:
+        table = scored.drop("n").union(runs.select("h", F.lit(0).cast("long"), F.lit(0.0), "own"))
+        looked_up = rows.filter("h is not null").select("uid", "h", "times").join(table, "h")
+        rest = looked_up.groupBy("uid").agg(*[F.sum(F.col("times") * F.col(c)).alias(f"rest_{c}") for c in ("known", "base", "own")])
+        whole = whole.join(rest, "uid", "left").fillna(0, ["rest_known"]).fillna(0.0, ["rest_base", "rest_own"])
+        whole = whole.withColumns({c: F.col(c) + F.col(f"rest_{c}") for c in ("known", "base", "own")})
+    # Equal texts have added up under one key.
+    more = context_scores(picked.drop("doc_id"), vocab, common, n_all, word_share, max_depth, least_count, least_bits, weight, least_known, part_tokens)
+    more = more.join(rows.filter("h is null").groupBy("key").count(), "key").select("key", (F.col("more") / F.col("count")).alias("more"))
+    out = whole.join(more, "key", "left").fillna(0.0, ["more"])
     return out.select(
         "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("known") + F.col("rest_known")).alias("n_known"),
+        F.col("known").alias("n_known"),
         F.lit(n_train).cast("long").alias("train_tokens"),
-        (F.col("base") + F.col("rest_base")).alias("base_score"),
-        (F.col("own") + F.col("rest_own")).alias("score"),
+        F.col("base").alias("base_score"),
+        (F.col("own") + F.col("more")).alias("score"),
     )
 
 
 def arrow_schema(batch: pa.RecordBatch) -> pa.Schema:
     long, double = pa.int64(), pa.float64()
     return pa.schema(
-        [("uid", long), ("h", long), ("times", long), ("doc_id", batch.column("doc_id").type), ("held_out", pa.bool_()), ("n_tokens", long), ("known", long), ("base", double), ("own", double)]
+        [("uid", long), ("h", long), ("times", long), ("doc_id", batch.column("doc_id").type), ("held_out", pa.bool_()), ("key", long), ("n_tokens", long), ("known", long), ("base", double), ("own", double)]
     )
