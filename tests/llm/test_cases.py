@@ -282,6 +282,48 @@ def test_the_tree_is_built_in_parts(spark, monkeypatch, how):
         assert set(written) == {"vocabulary", "scores"} and written["scores"].count() == len(rows)
 
 
+@pytest.mark.parametrize("how", [{"at_once": 40}, {"at_once": 5, "hot_share": 0.05}])
+def test_frequent_words_are_taken_apart(spark, monkeypatch, how):
+    test_the_tree_is_built_in_parts(spark, monkeypatch, how)
+
+
+def test_equal_blocks_of_texts_keep_their_sums(spark):
+    texts = [(1, "a b c a b c d"), (2, "a b c e"), (None, None), (9, "e a b c")]
+    one = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    got = text_scores(one.union(one).union(one)).collect()
+    want = brute.tree_scores([(i, t or "") for i, t in texts * 3])[:4]
+    assert sorted(round(r.score, 6) for r in got) == sorted(round(x, 6) for x in want * 3)
+
+
+def test_frequent_words_take_little_memory():
+    """A part with a word of a million occurrences, and texts as they are dealt, need a bounded number of bytes."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from tiffinmart.llm.suffix_tree import Tokens, text_values
+
+    r = np.random.default_rng(3)
+    w = [r.integers(1, 2000, 1_000_000).astype(np.uint32) for _ in range(4)]
+    w[1][:] = 7
+    texts, trains, below = np.repeat(np.arange(1000, dtype=np.uint32), 1000), np.arange(1000) % 7 != 2, np.full(2000, 1 / 2000)
+    got = {}
+    for at_once in (50_000, 2_000_000):
+        tracemalloc.start()
+        got[at_once] = text_values(w, texts, trains, below, 3, 2, 0.1, 2.0, at_once)
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        if at_once == 50_000:
+            assert most < 60 << 20
+    assert np.abs(got[50_000]).min() > 0 and np.allclose(*got.values(), rtol=1e-9)
+    text = pa.array(["some words of a text of a few bytes " * 500] * 230)
+    tracemalloc.start()
+    assert len(Tokens(text).hashes) == 230 * 4501
+    assert tracemalloc.get_traced_memory()[1] < 80 << 20
+    tracemalloc.stop()
+
+
 def test_common_lines_are_removed(spark):
     line = " ".join(f"menu{i}" for i in range(60))
     own = prose(40, 100)

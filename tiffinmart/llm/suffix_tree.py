@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 
 from tiffinmart.llm.byte_cnn import fold_of
 from tiffinmart.llm.frames import in_blocks, pick
-from tiffinmart.llm.sieves import SIEVE, passes, sieve
+from tiffinmart.llm.sieves import passes, sieve
 from tiffinmart.llm.storage import dropped, settled
-from tiffinmart.llm.tokens import words
+from tiffinmart.llm.tokens import mixed, words
 from tiffinmart.session import empty_frame
 
 #: Stands for the end of a text among the hashes of words. Not 0, which would vanish in hashes of runs.
@@ -26,12 +26,14 @@ class Tokens:
     """Tokens of a column of texts in one run, each text followed by its end, and hashes of runs of them."""
 
     def __init__(self, texts: pa.Array):
-        w = words(texts)
-        n = len(w.counts)
-        self.counts = w.counts + 1
-        self.hashes = np.full(len(w.hashes) + n, END)
-        self.hashes[np.arange(len(w.hashes)) + w.rows] = w.hashes
+        # Hashing takes many bytes for each byte of text, so a little text at a time.
+        pieces = map(words, (b.column("text") for b in in_blocks([pa.RecordBatch.from_arrays([texts], names=["text"])], 1 << 18)))
+        counts, hashes = (np.concatenate(x) for x in zip(*((w.counts, w.hashes) for w in pieces), strict=True))
+        n = len(counts)
+        self.counts = counts + 1
         self.rows = np.repeat(np.arange(n), self.counts)
+        self.hashes = np.full(len(hashes) + n, END)
+        self.hashes[np.arange(len(hashes)) + np.repeat(np.arange(n), counts)] = hashes
         #: Tokens from each place to the end of its text.
         self.left = np.repeat(np.cumsum(self.counts), self.counts) - np.arange(len(self.rows))
 
@@ -72,6 +74,14 @@ def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(np.ascontiguousarray(x).view(np.int64))
 
 
+def sorted_table(df: DataFrame, value: str) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes `h` of all rows, sorted, and their values."""
+    table = df.select("h", value).toArrow()
+    h, x = table.column("h").to_numpy().view(np.uint64), table.column(value).to_numpy()
+    by = np.argsort(h)
+    return h[by], x[by]
+
+
 def counted_words(docs: DataFrame) -> DataFrame:
     """h, n and c: every token, by its hash, with its count in all and in training texts."""
 
@@ -178,52 +188,61 @@ def two_halves(x: np.ndarray) -> list[np.ndarray]:
     return [x >> np.uint64(32), x & np.uint64(0xFFFFFFFF)]
 
 
-def context_values(w: list[np.ndarray], trains: np.ndarray, below: np.ndarray, max_depth: int, least_count: int, least_bits: float, weight: float) -> np.ndarray:
-    """What each place adds to the score beyond its word alone, from all places whose word before is the same as one here.
+def steps(x: np.ndarray) -> np.ndarray:
+    return np.diff(x, prepend=0)
+
+
+def divergence(m, seen, below, told, weight: float):
+    """Bits by which contexts diverge from their suffixes, and their back-offs, from sums over the runs they store: `m` is
+    how often a context occurs, `seen` and `below` how often its runs do and what the suffix gives them."""
+    total = np.maximum(m, 1)
+    share = seen / total
+    left = 1 - share
+    more = left * np.log2(np.where(left > 1e-9, left / np.maximum(1 - below, 1e-9), 1.0))
+    return told / total - share * np.log2(total) + np.where(left > 1e-9, more, 0.0), (m - seen + weight) / (m + weight)
+
 
-    `w` has the hashes of the token of each place and of those before it, the nearest first; 0 stands for none and for
-    words that occur less than `least_count` times. `below` is the probability of the token without context.
+def context_values(
+    w: list[np.ndarray], trains: np.ndarray, below: np.ndarray, stored: np.ndarray, depth: int, max_depth: int, least_count: int, least_bits: float, weight: float
+) -> tuple[np.ndarray, bool]:
+    """What each place adds to the score by contexts of `depth` words and more, from all places of these contexts, and
+    whether any of them is kept. The places share the words nearer than that.
+
+    `w` has numbers of the token of each place and of the words before it, the nearest first; 0 stands for none and for
+    words that occur less than `least_count` times. `below` is the probability of the token behind the shared words;
+    `stored` tells whether it is found there often enough.
     """
     size = len(below)
-    levels = []
-    # Places whose context and token are still looked at, with hashes of the context and of its suffix with the token.
-    at, context, rest = np.arange(size, dtype=np.int32), w[1], w[0]
-    stored = w[0] != 0
-    for d in range(1, max_depth + 1):
-        name, c = np.unique(context, return_inverse=True)
-        c = c.astype(np.int32)
+    levels, below = [], below.copy()
+    # Places whose context and token are still looked at, and numbers of their contexts.
+    at, c = np.arange(size, dtype=np.int32), np.zeros(size, np.int64)
+    for d in range(depth, max_depth + 1):
+        name, c = np.unique(c.astype(np.uint64) << np.uint64(32) | w[d][at], return_inverse=True)
         m = np.bincount(c, trains[at], len(name))
         # A run occurs often enough only if what is left without its first token does.
         may = np.flatnonzero(stored)
-        first_at, r = np.unique(joined(context[may], rest[may]), return_index=True, return_inverse=True)[1:]
-        n = np.bincount(r, trains[at[may]], len(first_at))
-        of, p0, often = c[may[first_at]], below[at[may[first_at]]], n >= least_count
+        place = at[may]
+        run, r = np.unique(c[may].astype(np.uint64) << np.uint64(32) | w[0][place], return_inverse=True)
+        n = np.bincount(r, trains[place], len(run))
+        of, p0, often = (run >> np.uint64(32)).astype(np.int64), np.empty(len(run)), n >= least_count
+        p0[r] = below[place]
         known = np.where(often, n, 0.0)
         seen, b = np.bincount(of, known, len(name)), np.bincount(of, np.where(often, p0, 0.0), len(name))
         told = np.bincount(of, known * np.log2(np.where(often, n / np.maximum(p0, 1e-12), 1.0)), len(name))
-        total = np.maximum(m, 1)
-        share = seen / total
-        left = 1 - share
-        more = left * np.log2(np.where(left > 1e-9, left / np.maximum(1 - b, 1e-9), 1.0))
-        gain = told / total - share * np.log2(total) + np.where(left > 1e-9, more, 0.0)
-        back = (m - seen + weight) / (m + weight)
+        gain, back = divergence(m, seen, b, told, weight)
         p = n / (m[of] + weight) + back[of] * p0
         own = np.where(often, np.log10(p) - np.log10(back[of]) - np.log10(p0), 0.0)
         value = np.log10(back)[c]
         value[may] += own[r]
-        stored = np.zeros(len(at), bool)
-        stored[may] = often[r]
-        levels.append((at, c, value, (seen > 0) & (gain >= least_bits)))
+        levels.append((at, c.astype(np.int32), value, (seen > 0) & (gain >= least_bits)))
         if d == max_depth:
             break
         # The next longer contexts, where there are such.
-        at_below = np.full(size, np.nan)
-        at_below[at[may]] = p[r]
-        below = at_below
+        stored = np.zeros(len(at), bool)
+        stored[may] = often[r]
+        below[place] = p[r]
         longer = np.flatnonzero((w[d + 1][at] != 0) & (m[c] >= least_count))
-        rest = np.where(stored, joined(context, rest), np.uint64(0))[longer]
-        stored, at = stored[longer], at[longer]
-        context = run_hash([w[k][at] for k in range(d + 1, 0, -1)])
+        at, c, stored = at[longer], c[longer], stored[longer]
     out = np.zeros(size)
     keeps = np.zeros(size, bool)
     for at, c, value, keep in reversed(levels):
@@ -233,138 +252,192 @@ def context_values(w: list[np.ndarray], trains: np.ndarray, below: np.ndarray, m
         keeps = np.zeros(size, bool)
         keeps[at] = all_of[c]
         out[at] += np.where(all_of[c], value, 0.0)
-    return out
+    return out, bool(keeps.any())
+
 
+def text_values(
+    w: list[np.ndarray], doc: np.ndarray, trains: np.ndarray, below: np.ndarray, max_depth: int, least_count: int, least_bits: float, weight: float, at_once: int
+) -> np.ndarray:
+    """Sums by text of what contexts add, from all places behind some words. `doc` is the text of each place, `trains`
+    tells of a text whether it trains, `below` has the probability of each token by its number (0: none).
 
-def run_hash(tokens: list[np.ndarray]) -> np.ndarray:
-    """Hash of runs by the hashes of their tokens, as `Tokens.runs` has it."""
-    while len(tokens) > 1:
-        tokens = [joined(a, b) for a, b in zip(tokens, tokens[1:])]
-    return tokens[0]
+    Words before do not meet, so some of them at a time are looked at. Those with more than `at_once` places are
+    counted alone, by the number of the token, and their places are then taken apart by the next word before, and so on.
+    """
+    out = np.zeros(len(trains))
+
+    def deeper(places: np.ndarray, d: int, below: np.ndarray) -> bool:
+        """Adds what contexts of `d` words and more give to `places`, which share the words nearer. Is any of them kept?"""
+        places = places[w[d][places] != 0]
+        sizes = np.bincount(w[d][places])
+        large = np.flatnonzero(sizes > at_once)
+        some = places[sizes[w[d][places]] <= at_once] if len(large) else places
+        some = some[np.argsort(w[d][some])]
+        starts = np.flatnonzero(np.diff(w[d][some], prepend=np.uint32(0)))
+        cuts = starts[np.flatnonzero(np.diff(starts // at_once, prepend=-1))]
+        kept = False
+        cuts = [*cuts, len(some)]
+        for start, end in zip(cuts, cuts[1:]):
+            o = some[start:end]
+            p0 = below[w[0][o]]
+            value, any_kept = context_values([x[o] for x in w], trains[doc[o]], p0, p0 > 0, d, max_depth, least_count, least_bits, weight)
+            out[:] += np.bincount(doc[o], value, len(out))
+            kept |= any_kept
+        del some, starts
+        for name in large:
+            o = places[w[d][places] == name]
+            token = w[0][o]
+            n = np.bincount(token[trains[doc[o]]], minlength=len(below))
+            often = np.flatnonzero((n >= least_count) & (below > 0))
+            n, p0, m = n[often], below[often], int(trains[doc[o]].sum())
+            gain, back = divergence(m, n.sum(), p0.sum(), (n * np.log2(n / np.maximum(p0, 1e-12))).sum(), weight)
+            p, value = np.zeros(len(below)), np.full(len(below), np.log10(back))
+            p[often] = n / (m + weight) + back * p0
+            value[often] += np.log10(p[often]) - np.log10(back) - np.log10(p0)
+            keep = d < max_depth and m >= least_count and deeper(o, d + 1, p)
+            keep |= len(often) > 0 and gain >= least_bits
+            if keep:
+                out[:] += np.bincount(doc[o], value[token], len(out))
+            kept |= bool(keep)
+        return kept
+
+    deeper(np.arange(len(doc), dtype=np.int32), 1, below)
+    return out
 
 
 def context_scores(
-    texts: DataFrame, vocab: DataFrame, common: np.ndarray, n_all: int, word_share: float, max_depth: int, least_count: int, least_bits: float, weight: float, least_known: float, part_tokens: int
+    texts: DataFrame, vocab: DataFrame, table: tuple, common: np.ndarray, n_all: int, word_share: float, max_depth: int, least_count: int, least_bits: float, weight: float, whole: bool, part_tokens: int, at_once: int
 ) -> DataFrame:
     """key and more: what contexts that end in a word outside `common` add to the scores of the texts of each key.
 
     Every place goes, with the tokens before it, to the part of the word before it. There all contexts that end in this
     word are counted, kept and smoothed at once, and give the places their values. Places travel compressed, a block
-    of texts for a part in one row.
+    of texts for a part in one row, and so do the sums by text on their way back to the block, where they meet the keys.
+    `table` has hashes, counts and numbers of words; `whole` tells that no other counts.
     """
-    parts = max(48, -(-n_all // part_tokens))
-    words = vocab.filter(F.col("c") >= least_count)
-    # Frequent words have small numbers, which take less room.
-    table = words.filter(F.col("n") >= least_known).toArrow()
-    h, c, n = (table.column(x).to_numpy() for x in ("h", "c", "n"))
-    rank = np.lexsort((h, -n))
-    h, c = h[rank].view(np.uint64), c[rank]
-    by_hash = np.argsort(h)
-    shared = texts.sparkSession.sparkContext.broadcast((h, c, h[by_hash], by_hash, common))
-    whole = least_known <= least_count
+    parts = max(128, -(-n_all // part_tokens))
+    shared, counted = table
+    shared_common = texts.sparkSession.sparkContext.broadcast(common)
     rare = np.uint32(1 << 31)
 
     def places(batch: pa.RecordBatch):
         """Tokens; number of each (0: too rare, from 2^31: not in the table); places of a word before, and their parts."""
-        hashes, numbers, frequent = shared.value[2:]
+        hashes, _, numbers = shared.value
         t = Tokens(batch.column("text"))
         at, there = found(hashes, t.hashes)
-        number = np.zeros(len(at), np.uint32)
-        number[there] = numbers[at[there]] + 1
-        if not whole:
-            number[~there] = rare
+        number = np.where(there, numbers[at], np.uint32(0) if whole else rare)
         word = (t.left >= 2) & (number > 0)
-        word &= ~found(frequent, t.hashes)[1]
+        if len(shared_common.value):
+            word &= ~found(shared_common.value, t.hashes)[1]
         place = np.flatnonzero(word)
         return t, number, place, (t.hashes[place] >> np.uint64(17)) % np.uint64(parts)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_blocks(batches, 6 << 20):
+        for batch in in_blocks(batches, 8 << 20):
             t, number, place, part = places(batch)
-            begin = (np.cumsum(t.counts) - t.counts)[t.rows[place]]
-            before = [place + 1, place, *(np.where(place - k >= begin, place - k, -1) for k in range(1, max_depth))]
-            columns = [np.where(x >= 0, number[x], np.uint32(0)) for x in before]
+            before = number[place - (place > 0)]
             # Equal words beside each other take less room.
-            order = np.argsort(part << np.uint64(40) | (columns[1].astype(np.uint64) & np.uint64(0xFFFFF)) << np.uint64(20) | (columns[2] & np.uint32(0xFFFFF)).astype(np.uint64))
+            order = np.argsort(part << np.uint64(40) | (number[place].astype(np.uint64) & np.uint64(0xFFFFF)) << np.uint64(20) | (before & np.uint32(0xFFFFF)).astype(np.uint64))
+            ends = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
+            del before, part
+            place = place[order]
+            begin = (np.cumsum(t.counts) - t.counts)[t.rows[place]]
+            back = [-1, 0, *range(1, max_depth)]
+            columns = [np.where(place - k >= begin, number[np.maximum(place - k, 0)], np.uint32(0)) for k in back]
             held = batch.column("held_out").to_numpy(zero_copy_only=False)
             keys = batch.column("key").to_numpy().view(np.uint64)
-            ends = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
-            rows = []
+            # Blocks of the same texts have the same name, and give each key its sum over all of them.
+            block = int(mixed(keys + mixed(np.arange(len(keys), dtype=np.uint64))).sum().view(np.int64))
+            rows = [(block % parts, 0, len(keys), 0, packed(two_halves(keys)))]
             for k in range(parts):
-                o = order[ends[k] : ends[k + 1]]
-                if not len(o):
+                o = slice(ends[k], ends[k + 1])
+                if ends[k] == ends[k + 1]:
                     continue
                 docs, doc = np.unique(t.rows[place[o]], return_inverse=True)
                 own = [x[o] for x in columns]
                 # Words outside the table go as hashes, numbered in this row.
-                others = np.unique(np.concatenate([t.hashes[x[o]][y == rare] for x, y in zip(before, own, strict=True)]))
-                for i, (x, y) in enumerate(zip(before, own, strict=True)):
-                    mine = np.flatnonzero(y == rare)
-                    y[mine] = rare + np.searchsorted(others, t.hashes[x[o[mine]]]).astype(np.uint32)
-                    own[i] = y
-                data = packed([*own, doc, *two_halves(keys[docs]), held[docs], *two_halves(others)])
-                rows.append((k, len(o), len(docs), len(others), data))
+                mine = [np.flatnonzero(x == rare) for x in own] if not whole else []
+                met = [t.hashes[place[o][x] - i] for x, i in zip(mine, back)]
+                others = np.unique(np.concatenate([np.zeros(0, np.uint64), *met]))
+                for x, i, h in zip(own, mine, met):
+                    x[i] = rare + np.searchsorted(others, h).astype(np.uint32)
+                data = packed([*own, doc, steps(docs), held[docs], *two_halves(others)])
+                rows.append((k, len(doc), len(docs), len(others), data))
+            none = pa.nulls(len(rows), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*(pa.array([r[i] for r in rows], pa.int32()) for i in range(4)), pa.array([r[4] for r in rows], pa.binary()), pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int64())],
-                names=["part", "n", "docs", "others", "data", "h", "c"],
+                [*(pa.array([r[i] for r in rows], pa.int32()) for i in range(4)), pa.array([block] * len(rows), pa.int64()), pa.array([r[4] for r in rows], pa.binary()), none, none],
+                names=["part", "n", "docs", "others", "block", "data", "h", "c"],
             )
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in in_blocks(batches, 6 << 20):
+        for batch in in_blocks(batches, 4 << 20):
             t, number, place, part = places(batch)
             mine = number[place + 1] == rare
             asked = np.unique(np.stack([part[mine], t.hashes[place[mine] + 1]]), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(asked[0].astype(np.int32)), _signed(asked[1])], names=["part", "h"])
 
     def give(table: pa.Table) -> pa.Table:
-        numbered, count = shared.value[:2]
-        numbered = np.concatenate([np.zeros(1, np.uint64), numbered])
-        got: list[list[np.ndarray]] = []
-        for n, docs, others, data in zip(*(table.column(x).to_pylist() for x in ("n", "docs", "others", "data")), strict=True):
-            if data is None:
-                continue
-            *own, doc, high, low, held, other_high, other_low = unpacked(data, [n] * (max_depth + 2) + [docs] * 3 + [others] * 2)
-            other = other_high.astype(np.uint64) << np.uint64(32) | other_low
-            hashes = []
-            for x in own:
-                is_other = x >= rare
-                y = numbered[np.where(is_other, 0, x)]
-                y[is_other] = other[x[is_other] - rare]
-                hashes.append(y)
-            occurs = np.where(own[0] >= rare, 0, np.concatenate([[0], count])[np.where(own[0] >= rare, 0, own[0])])
-            got.append([*hashes, occurs, (high.astype(np.uint64) << np.uint64(32) | low)[doc], held[doc] == 0])
-        columns = list(zip(*got, strict=True)) if got else [[np.zeros(0, np.uint64)]] * (max_depth + 4)
-        del got
-        for i, x in enumerate(columns):
-            columns[i] = np.concatenate(x)
-        *w, occurs, key, trains = columns
-        told = table.filter(table.column("h").is_valid())
+        count = counted.value
+        told = table.filter(table.column("h").is_valid()).select(["h", "c"])
+        table = table.filter(table.column("data").is_valid())
+        of_keys = np.asarray(table.column("n")) == 0
+        back = table.filter(pa.array(of_keys)).select(["block", "docs", "data"])
+        table = table.filter(pa.array(~of_keys))
+        lengths = list(zip(*(table.column(x).to_pylist() for x in ("n", "docs", "others")), strict=True))
+        size = sum(n for n, _, _ in lengths)
+        w, doc = [np.empty(size, np.uint32) for _ in range(max_depth + 1)], np.empty(size, np.uint32)
+        rows, held, others = [], [np.zeros(0, np.uint32)], [np.zeros(0, np.uint64)]
+        start = n_docs = n_others = 0
+        for (n, docs, more), data in zip(lengths, table.column("data"), strict=True):
+            *own, doc_of, row, held_out, high, low = unpacked(data.as_buffer(), [n] * (max_depth + 2) + [docs] * 2 + [more] * 2)
+            for x, y in zip(w, own, strict=True):
+                if more:
+                    y = np.where(y >= rare, y + np.uint32(n_others), y)
+                x[start : start + n] = y
+            doc[start : start + n] = doc_of + np.uint32(n_docs)
+            rows.append(row)
+            held.append(held_out)
+            others.append(high.astype(np.uint64) << np.uint64(32) | low)
+            start, n_docs, n_others = start + n, n_docs + docs, n_others + more
+        # Words outside the table get the numbers behind it.
+        other, which = np.unique(np.concatenate(others), return_inverse=True)
+        for x in w if n_others else ():
+            mine = np.flatnonzero(x >= rare)
+            x[mine] = which[x[mine] - rare] + len(count)
+        below = np.concatenate([count, np.zeros(len(other), count.dtype)])
         if told.num_rows:
-            asked = told.column("h").to_numpy().view(np.uint64)
-            by = np.argsort(asked)
-            at, there = found(asked[by], w[0])
-            there &= occurs == 0
-            occurs[there] = told.column("c").to_numpy()[by][at[there]]
-        w[0][occurs < least_count] = 0
+            at, there = found(other, told.column("h").to_numpy().view(np.uint64))
+            below[len(count) + at[there]] = told.column("c").to_numpy()[there]
+        below = np.where(below >= least_count, below * word_share, 0.0)
         # Contexts end where a word is missing.
         for k in range(2, max_depth + 1):
             w[k][w[k - 1] == 0] = 0
-        # Words before do not meet; some of them at a time take less memory.
-        by = np.argsort(w[1])
-        starts = np.flatnonzero(np.diff(w[1][by], prepend=np.uint64(0)))
-        cuts = starts[np.flatnonzero(np.diff(starts // 300_000, prepend=-1))] if len(starts) else []
-        value = np.zeros(len(by))
-        for start, end in zip(cuts, [*cuts[1:], len(by)], strict=True):
-            o = by[start:end]
-            value[o] = context_values([x[o] for x in w], trains[o].astype(bool), occurs[o] * word_share, max_depth, least_count, least_bits, weight)
-        name, which = np.unique(key, return_inverse=True)
-        return pa.table({"key": _signed(name), "more": pa.array(np.bincount(which, value, len(name)))})
-
-    dealt = texts.mapInArrow(deal, "part int, n int, docs int, others int, data binary, h long, c long")
+        value = text_values(w, doc, np.concatenate(held) == 0, below, max_depth, least_count, least_bits, weight, at_once)
+        ends = np.cumsum([len(x) for x in rows])
+        sums = [packed([x, *two_halves(value[e - len(x) : e].view(np.uint64))]) for x, e in zip(rows, ends)]
+        given = pa.table({"block": table.column("block"), "docs": table.column("docs"), "data": pa.array(sums, pa.binary())})
+        none = [pa.array(np.full(len(x), k)) for x, k in ((back, True), (given, False))]
+        return pa.concat_tables([x.append_column("of_keys", k) for x, k in zip((back, given), none)])
+
+    def add(table: pa.Table) -> pa.Table:
+        keys, sums = None, None
+        for of_keys in (True, False):
+            some = table.filter(pa.array(np.asarray(table.column("of_keys")) == of_keys))
+            for docs, data in zip(some.column("docs").to_pylist(), some.column("data"), strict=True):
+                if of_keys:
+                    high, low = unpacked(data.as_buffer(), [docs] * 2)
+                    keys, sums = high.astype(np.uint64) << np.uint64(32) | low, np.zeros(docs)
+                else:
+                    row, high, low = unpacked(data.as_buffer(), [docs] * 3)
+                    sums[np.cumsum(row, dtype=np.int64)] += (high.astype(np.uint64) << np.uint64(32) | low).view(np.float64)
+        return pa.table({"key": _signed(keys), "more": pa.array(sums)})
+
+    dealt = texts.mapInArrow(deal, "part int, n int, docs int, others int, block long, data binary, h long, c long")
     if not whole:
-        asked = texts.mapInArrow(ask, "part int, h long").distinct().join(words.select("h", "c"), "h")
+        asked = texts.mapInArrow(ask, "part int, h long").distinct().join(vocab.filter(F.col("c") >= least_count).select("h", "c"), "h")
         dealt = dealt.unionByName(asked, allowMissingColumns=True)
-    return dealt.groupBy("part").applyInArrow(give, "key long, more double").groupBy("key").agg(F.sum("more").alias("more"))
+    sums = dealt.groupBy("part").applyInArrow(give, "block long, docs int, data binary, of_keys boolean")
+    return sums.groupBy("block").applyInArrow(add, "key long, more double").groupBy("key").agg(F.sum("more").alias("more"))
 
 
 def text_scores(
@@ -374,8 +447,9 @@ def text_scores(
     least_bits: float = 0.1,
     weight: float = 2.0,
     hot_share: float = 5e-7,
-    most_alike: int = 2_500_000,
+    most_alike: int = 5_000_000,
     part_tokens: int = 1_000_000,
+    at_once: int = 200_000,
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
@@ -388,7 +462,8 @@ def text_scores(
     say about unseen ones; as in the base score, all tokens outside the training texts are one event.
 
     Contexts that end in the same word make one part of the tree. Words of up to `most_alike` occurrences are dealt out
-    to parts of about `part_tokens` places, which count and score them at once (`context_scores`). For more frequent
+    to parts of about `part_tokens` places, which count and score them (`context_scores`), `at_once` places at a time if
+    they are behind different words. For more frequent
     words the tree is a table (`tree`): runs above `hot_share` of all tokens for each order are looked up where the
     texts are, the rest in a join. So are words, of which 1 / hot_share at most are looked up; if
     those are all that occur twice, any other has its only place where it is met. A null or empty text has
@@ -422,22 +497,26 @@ def text_scores(
 
     base = F.log10((F.col("c") + 1) / F.lit(float(n_train + n_distinct + 1)))
     plain = F.when(F.col("c") > 0, F.log10(F.col("c") * F.lit(word_share))).otherwise(F.lit(float(np.log10(unknown))))
-    single = runs.filter("ord = 1").select("h", F.col("own").alias("back"))
-    scored = vocab.join(single, "h", "left").fillna(0.0, ["back"])
-    scored = scored.select("h", "n", (F.col("c") > 0).cast("long").alias("known"), base.alias("base"), (plain + F.col("back")).alias("own"))
-    runs = runs.filter("ord > 1")
-    end, all_twice = int(END), least_known <= 2
+    scored = vocab.select("h", (F.col("c") > 0).cast("long").alias("known"), base.alias("base"), plain.alias("own"))
+    all_twice = least_known <= 2
     # known, base and own of words of one occurrence, in a training text or else.
     once = [(1.0, 0.0), tuple(float(np.log10((c + 1) / (n_train + n_distinct + 1))) for c in (1, 0)), (float(np.log10(word_share or 1.0)), float(np.log10(unknown)))]
-    hot = scored.filter((F.col("n") >= least_known) | (F.col("h") == end)).drop("n").toArrow().sort_by("h")
-    hot_runs = runs.filter(F.col("n") >= max(1.0, hot_share * (max_depth + 1) * n_all)).select("h", "own").toArrow()
-    by = np.argsort(hot_runs.column("h").to_numpy().view(np.uint64))
-    hot_runs = hot_runs.column("h").to_numpy().view(np.uint64)[by], hot_runs.column("own").to_numpy()[by]
-    stored = sieve(runs) if len(common) else np.zeros(1 << (SIEVE - 3), np.uint8)
-    shared = docs.sparkSession.sparkContext.broadcast(([hot.column(c).to_numpy() for c in ("h", "known", "base", "own")], hot_runs, stored))
+    send = docs.sparkSession.sparkContext.broadcast
+    hashes, counts = sorted_table(vocab.filter((F.col("n") >= least_known) | (F.col("h") == int(END))), "c")
+    if not len(counts) or counts.max() < 1 << 32:
+        counts = counts.astype(np.uint32)
+    # Frequent words have small numbers, which take less room; those that occur too rarely have 0.
+    numbers, by_count = np.zeros(len(counts), np.uint32), np.argsort(counts)[::-1]
+    by_count = by_count[counts[by_count] >= least_count]
+    numbers[by_count] = np.arange(1, len(by_count) + 1)
+    table = send((hashes, counts, numbers)), send(np.concatenate([np.zeros(1, counts.dtype), counts[by_count]]))
+    # What the tree of tables gives, if there is one, to places behind its words, to their frequent runs and to others.
+    backs, runs = sorted_table(runs.filter("ord = 1"), "own"), runs.filter("ord > 1")
+    hot_runs = sorted_table(runs.filter(F.col("n") >= max(1.0, hot_share * (max_depth + 1) * n_all)), "own")
+    looked_at = send((backs, hot_runs, sieve(runs) if len(common) else None))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (hashes, known, base, own), (run_hashes, run_own), stored = shared.value
+        (hashes, counts, _), (back_hashes, backs), (run_hashes, run_own), stored = table[0].value, *looked_at.value
         uid = TaskContext.get().partitionId() << 40
         for batch in in_blocks(batches):
             t, n = Tokens(batch.column("text")), batch.num_rows
@@ -450,10 +529,14 @@ def text_scores(
                 by_context += np.bincount(t.rows[place[there]], run_own[at[there]], n)
                 others.append(h[~there].view(np.int64))
                 owners.append(t.rows[place[~there]])
+            if len(back_hashes):
+                at, there = found(back_hashes, t.hashes)
+                by_context += np.bincount(t.rows[there], backs[at[there]], n)
             h = t.hashes.view(np.int64)
-            at, there = found(hashes, h)
-            row, at = t.rows[there], at[there]
-            sums = [np.bincount(row, x, n) for x in (known[at], base[at], own[at])]
+            at, there = found(hashes, t.hashes)
+            row, c = t.rows[there], counts[at[there]].astype(float)
+            own = np.log10(np.where(c > 0, c * word_share, unknown))
+            sums = [np.bincount(row, x, n) for x in (c > 0, np.log10((c + 1) / (n_train + n_distinct + 1)), own)]
             if all_twice:
                 # What is not looked up occurs once in all: here.
                 single = np.bincount(t.rows[~there], minlength=n)
@@ -483,13 +566,13 @@ def text_scores(
     rows = settled(rows, "scores")
     whole = rows.filter("h is null").drop("h", "times")
     if len(common) or not all_twice:
-        table = scored.drop("n").union(runs.select("h", F.lit(0).cast("long"), F.lit(0.0), "own"))
-        looked_up = rows.filter("h is not null").select("uid", "h", "times").join(table, "h")
+        others = scored.union(runs.select("h", F.lit(0).cast("long"), F.lit(0.0), "own"))
+        looked_up = rows.filter("h is not null").select("uid", "h", "times").join(others, "h")
         rest = looked_up.groupBy("uid").agg(*[F.sum(F.col("times") * F.col(c)).alias(f"rest_{c}") for c in ("known", "base", "own")])
         whole = whole.join(rest, "uid", "left").fillna(0, ["rest_known"]).fillna(0.0, ["rest_base", "rest_own"])
         whole = whole.withColumns({c: F.col(c) + F.col(f"rest_{c}") for c in ("known", "base", "own")})
     # Equal texts have added up under one key.
-    more = context_scores(picked.drop("doc_id"), vocab, common, n_all, word_share, max_depth, least_count, least_bits, weight, least_known, part_tokens)
+    more = context_scores(picked.drop("doc_id"), vocab, table, common, n_all, word_share, max_depth, least_count, least_bits, weight, least_known <= least_count, part_tokens, at_once)
     more = more.join(rows.filter("h is null").groupBy("key").count(), "key").select("key", (F.col("more") / F.col("count")).alias("more"))
     out = whole.join(more, "key", "left").fillna(0.0, ["more"])
     return out.select(
