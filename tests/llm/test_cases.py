@@ -287,6 +287,23 @@ def test_frequent_words_are_taken_apart(spark, monkeypatch, how):
     test_the_tree_is_built_in_parts(spark, monkeypatch, how)
 
 
+@pytest.mark.parametrize("how", [{}, {"hot_share": 0.1}, {"at_once": 10}])
+def test_words_of_many_places_are_split_by_the_word_before(spark, monkeypatch, how):
+    from tiffinmart.llm import suffix_tree
+
+    written, settled = [], suffix_tree.settled
+    monkeypatch.setattr(suffix_tree, "settled", lambda df, purpose: written.append(purpose) or settled(df, purpose))
+    r = random.Random(6)
+    some = lambda: f"w{r.randrange(90)}"
+    rows = [(i, " ".join(x for _ in range(r.randint(0, 9)) for x in (some(), r.choice(["the", "The", "of"]), f"n{r.randrange(15)}", some()))) for i in range(400)]
+    rows += [(1000 + i, f"the n{i % 3} u{i} of") for i in range(20)] + [(None, "of w1"), (2000, None)]
+    got = {x.doc_id: x.score for x in text_scores(spark.createDataFrame(rows, "doc_id long, text string"), most_alike=150, **how).collect()}
+    for (i, _), score in zip(rows, brute.tree_scores([(i, t or "") for i, t in rows]), strict=True):
+        assert got[i] == pytest.approx(score, rel=1e-6)
+    # No tree of tables is made for these words.
+    assert written == ["vocabulary", "pairs", "scores"]
+
+
 def test_equal_blocks_of_texts_keep_their_sums(spark):
     texts = [(1, "a b c a b c d"), (2, "a b c e"), (None, None), (9, "e a b c")]
     one = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)

@@ -118,6 +118,26 @@ def counted_runs(docs: DataFrame, longest: int, common: np.ndarray) -> DataFrame
     return docs.mapInArrow(count, "ord int, first long, rest long, n long").groupBy("ord", "first", "rest").agg(F.sum("n").alias("n"))
 
 
+def kept_words(
+    docs: DataFrame, vocab: DataFrame, common: np.ndarray, word_share: float, least_count: int, least_bits: float, weight: float, most_alike: int
+) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], DataFrame]:
+    """Words of `common` that are kept as contexts on their own account and stand behind no word more than `most_alike`
+    times: hashes, counts in training texts and numbers of parts for their places. And `first`, `rest` and `n` of the pairs
+    that begin with them and occur often enough, with the count `c` of the token."""
+    counted = settled(counted_runs(docs, 2, common), "pairs")
+    pairs = counted.filter(F.col("n") >= least_count).join(vocab.select(F.col("h").alias("rest"), "c"), "rest")
+    told = F.col("n") * F.log2(F.col("n") / F.greatest("below", F.lit(1e-12)))
+    sums = pairs.withColumn("below", F.col("c") * word_share).groupBy("first").agg(F.sum("n").alias("seen"), F.sum("below").alias("below"), F.sum(told).alias("told"))
+    sums = sums.join(vocab.select(F.col("h").alias("first"), "n", "c"), "first").toArrow()
+    h, n, c, *of_runs = (sums.column(x).to_numpy() for x in ("first", "n", "c", "seen", "below", "told"))
+    # Such a word before is frequent itself, so its pairs are among the counted ones.
+    alike = counted.filter(F.col("n") > most_alike).select("rest").distinct().toArrow().column("rest").to_numpy()
+    kept = (divergence(c, *of_runs, weight)[0] >= least_bits) & ~np.isin(h, alike)
+    by = np.flatnonzero(kept)[np.argsort(h[kept].view(np.uint64))]
+    by_hash = docs.sparkSession.createDataFrame(pa.table({"first": h[by]}))
+    return (h[by].view(np.uint64), c[by], -(-2 * n[by] // most_alike)), pairs.join(F.broadcast(by_hash), "first", "left_semi").select("first", "rest", "n", "c")
+
+
 def tree(docs: DataFrame, vocab: DataFrame, common: np.ndarray, word_share: float, max_depth: int, least_count: int, least_bits: float, weight: float) -> DataFrame:
     """h, ord, n and own of runs: what each occurrence of it in a text adds to the score beyond its words alone. Of the
     tree this is the part of the contexts that end in a word of `common`; no other part has a say in it.
@@ -188,6 +208,20 @@ def two_halves(x: np.ndarray) -> list[np.ndarray]:
     return [x >> np.uint64(32), x & np.uint64(0xFFFFFFFF)]
 
 
+#: Rows on their way to a part: places of a block, the keys of its texts, and tokens that follow a word (`block` is then
+#: how often the word occurs); besides, `h` and `c` of words that were asked for.
+PLACES, KEYS, PAIRS = range(3)
+DEALT = "kind int, part int, n int, docs int, others int, block long, data binary, h long, c long"
+
+
+def dealt_rows(rows: list[tuple], block: int) -> pa.RecordBatch:
+    ints = [pa.array([int(r[i]) for r in rows], pa.int32()) for i in range(5)]
+    none = pa.nulls(len(rows), pa.int64())
+    return pa.RecordBatch.from_arrays(
+        [*ints, pa.array([block] * len(rows), pa.int64()), pa.array([r[5] for r in rows], pa.binary()), none, none], names=[c.split()[0] for c in DEALT.split(", ")]
+    )
+
+
 def steps(x: np.ndarray) -> np.ndarray:
     return np.diff(x, prepend=0)
 
@@ -256,16 +290,34 @@ def context_values(
 
 
 def text_values(
-    w: list[np.ndarray], doc: np.ndarray, trains: np.ndarray, below: np.ndarray, max_depth: int, least_count: int, least_bits: float, weight: float, at_once: int
+    w: list[np.ndarray], doc: np.ndarray, trains: np.ndarray, below: np.ndarray, max_depth: int, least_count: int, least_bits: float, weight: float, at_once: int,
+    counted: tuple[np.ndarray, int] | None = None,
 ) -> np.ndarray:
     """Sums by text of what contexts add, from all places behind some words. `doc` is the text of each place, `trains`
     tells of a text whether it trains, `below` has the probability of each token by its number (0: none).
 
     Words before do not meet, so some of them at a time are looked at. Those with more than `at_once` places are
     counted alone, by the number of the token, and their places are then taken apart by the next word before, and so on.
+    With `counted` all places are behind one word that is kept: how often each token follows it, and how often it occurs,
+    at these places and at others.
     """
     out = np.zeros(len(trains))
 
+    def alone(places: np.ndarray, d: int, below: np.ndarray, n: np.ndarray, m: int, keep: bool = False) -> bool:
+        """The same for `places` behind one context of `d` words, which occurs `m` times, `n` times with each token."""
+        often = np.flatnonzero((n >= least_count) & (below > 0))
+        n, p0 = n[often], below[often]
+        gain, back = divergence(m, n.sum(), p0.sum(), (n * np.log2(n / np.maximum(p0, 1e-12))).sum(), weight)
+        p, value = np.zeros(len(below)), np.full(len(below), np.log10(back))
+        p[often] = n / (m + weight) + back * p0
+        value[often] += np.log10(p[often]) - np.log10(back) - np.log10(p0)
+        if d < max_depth and m >= least_count:
+            keep |= deeper(places, d + 1, p)
+        keep |= bool(len(often) > 0 and gain >= least_bits)
+        if keep:
+            out[:] += np.bincount(doc[places], value[w[0][places]], len(out))
+        return keep
+
     def deeper(places: np.ndarray, d: int, below: np.ndarray) -> bool:
         """Adds what contexts of `d` words and more give to `places`, which share the words nearer. Is any of them kept?"""
         places = places[w[d][places] != 0]
@@ -286,27 +338,21 @@ def text_values(
         del some, starts
         for name in large:
             o = places[w[d][places] == name]
-            token = w[0][o]
-            n = np.bincount(token[trains[doc[o]]], minlength=len(below))
-            often = np.flatnonzero((n >= least_count) & (below > 0))
-            n, p0, m = n[often], below[often], int(trains[doc[o]].sum())
-            gain, back = divergence(m, n.sum(), p0.sum(), (n * np.log2(n / np.maximum(p0, 1e-12))).sum(), weight)
-            p, value = np.zeros(len(below)), np.full(len(below), np.log10(back))
-            p[often] = n / (m + weight) + back * p0
-            value[often] += np.log10(p[often]) - np.log10(back) - np.log10(p0)
-            keep = d < max_depth and m >= least_count and deeper(o, d + 1, p)
-            keep |= len(often) > 0 and gain >= least_bits
-            if keep:
-                out[:] += np.bincount(doc[o], value[token], len(out))
-            kept |= bool(keep)
+            trained = trains[doc[o]]
+            kept |= alone(o, d, below, np.bincount(w[0][o][trained], minlength=len(below)), int(trained.sum()))
         return kept
 
-    deeper(np.arange(len(doc), dtype=np.int32), 1, below)
+    every = np.arange(len(doc), dtype=np.int32)
+    if counted is None:
+        deeper(every, 1, below)
+    else:
+        alone(every, 1, below, *counted, keep=True)
     return out
 
 
 def context_scores(
-    texts: DataFrame, vocab: DataFrame, table: tuple, common: np.ndarray, n_all: int, word_share: float, max_depth: int, least_count: int, least_bits: float, weight: float, whole: bool, part_tokens: int, at_once: int
+    texts: DataFrame, vocab: DataFrame, table: tuple, common: np.ndarray, n_all: int, word_share: float, max_depth: int, least_count: int, least_bits: float, weight: float, whole: bool, part_tokens: int, at_once: int,
+    split: tuple[np.ndarray, np.ndarray, np.ndarray], pairs: DataFrame | None,
 ) -> DataFrame:
     """key and more: what contexts that end in a word outside `common` add to the scores of the texts of each key.
 
@@ -314,10 +360,15 @@ def context_scores(
     word are counted, kept and smoothed at once, and give the places their values. Places travel compressed, a block
     of texts for a part in one row, and so do the sums by text on their way back to the block, where they meet the keys.
     `table` has hashes, counts and numbers of words; `whole` tells that no other counts.
+
+    Words of `split`, by hashes with counts and numbers of parts, are kept. Their places go to parts of their own by the
+    word before, and all of these get the `pairs`, how often each token follows the word in the training texts.
     """
     parts = max(128, -(-n_all // part_tokens))
+    split_first = parts + np.cumsum(split[2]) - split[2]
+    all_parts = parts + int(split[2].sum())
     shared, counted = table
-    shared_common = texts.sparkSession.sparkContext.broadcast(common)
+    shared_common = texts.sparkSession.sparkContext.broadcast((common, *split, split_first))
     rare = np.uint32(1 << 31)
 
     def places(batch: pa.RecordBatch):
@@ -327,10 +378,19 @@ def context_scores(
         at, there = found(hashes, t.hashes)
         number = np.where(there, numbers[at], np.uint32(0) if whole else rare)
         word = (t.left >= 2) & (number > 0)
-        if len(shared_common.value):
-            word &= ~found(shared_common.value, t.hashes)[1]
+        frequent, split_words, _, split_parts, first = shared_common.value
+        if len(frequent):
+            word &= ~found(frequent, t.hashes)[1]
         place = np.flatnonzero(word)
-        return t, number, place, (t.hashes[place] >> np.uint64(17)) % np.uint64(parts)
+        part = (t.hashes[place] >> np.uint64(17)) % np.uint64(parts)
+        if len(split_words):
+            at, there = found(split_words, t.hashes[place])
+            at, where = at[there], place[there]
+            # The first word of a text has none before it; such places may go anywhere.
+            begins = np.concatenate([[True], t.left[:-1] == 1])
+            other = t.hashes[np.where(begins[where], where + 1, where - 1)]
+            part[there] = first[at].astype(np.uint64) + (other >> np.uint64(17)) % split_parts[at].astype(np.uint64)
+        return t, number, place, part
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_blocks(batches, 8 << 20):
@@ -338,7 +398,7 @@ def context_scores(
             before = number[place - (place > 0)]
             # Equal words beside each other take less room.
             order = np.argsort(part << np.uint64(40) | (number[place].astype(np.uint64) & np.uint64(0xFFFFF)) << np.uint64(20) | (before & np.uint32(0xFFFFF)).astype(np.uint64))
-            ends = np.searchsorted(part[order], np.arange(parts + 1, dtype=np.uint64))
+            ends = np.searchsorted(part[order], np.arange(all_parts + 1, dtype=np.uint64))
             del before, part
             place = place[order]
             begin = (np.cumsum(t.counts) - t.counts)[t.rows[place]]
@@ -348,8 +408,8 @@ def context_scores(
             keys = batch.column("key").to_numpy().view(np.uint64)
             # Blocks of the same texts have the same name, and give each key its sum over all of them.
             block = int(mixed(keys + mixed(np.arange(len(keys), dtype=np.uint64))).sum().view(np.int64))
-            rows = [(block % parts, 0, len(keys), 0, packed(two_halves(keys)))]
-            for k in range(parts):
+            rows = [(KEYS, block % parts, 0, len(keys), 0, packed(two_halves(keys)))]
+            for k in range(all_parts):
                 o = slice(ends[k], ends[k + 1])
                 if ends[k] == ends[k + 1]:
                     continue
@@ -362,12 +422,27 @@ def context_scores(
                 for x, i, h in zip(own, mine, met):
                     x[i] = rare + np.searchsorted(others, h).astype(np.uint32)
                 data = packed([*own, doc, steps(docs), held[docs], *two_halves(others)])
-                rows.append((k, len(doc), len(docs), len(others), data))
-            none = pa.nulls(len(rows), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [*(pa.array([r[i] for r in rows], pa.int32()) for i in range(4)), pa.array([block] * len(rows), pa.int64()), pa.array([r[4] for r in rows], pa.binary()), none, none],
-                names=["part", "n", "docs", "others", "block", "data", "h", "c"],
-            )
+                rows.append((PLACES, k, len(doc), len(docs), len(others), data))
+            yield dealt_rows(rows, block)
+
+    def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, _, numbers = shared.value
+        _, split_words, counts, split_parts, first = shared_common.value
+        for batch in batches:
+            word, token = (batch.column(c).to_numpy().view(np.uint64) for c in ("first", "rest"))
+            at, there = found(hashes, token)
+            number = np.where(there, numbers[at], rare)
+            for h in np.unique(word):
+                k = np.searchsorted(split_words, h)
+                o = np.flatnonzero(word == h)
+                o = o[np.argsort(number[o])]
+                n, c = (batch.column(name).to_numpy()[o].view(np.uint64) for name in ("n", "c"))
+                # Words outside the table go as hashes, with their counts.
+                x, mine = number[o], np.flatnonzero(number[o] == rare)
+                x[mine] = rare + np.arange(len(mine), dtype=np.uint32)
+                others = token[o][mine]
+                data = packed([x, *two_halves(n), *two_halves(others), *two_halves(c[mine])])
+                yield dealt_rows([(PAIRS, first[k] + i, len(o), 0, len(others), data) for i in range(split_parts[k])], int(counts[k]))
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_blocks(batches, 4 << 20):
@@ -380,9 +455,10 @@ def context_scores(
         count = counted.value
         told = table.filter(table.column("h").is_valid()).select(["h", "c"])
         table = table.filter(table.column("data").is_valid())
-        of_keys = np.asarray(table.column("n")) == 0
-        back = table.filter(pa.array(of_keys)).select(["block", "docs", "data"])
-        table = table.filter(pa.array(~of_keys))
+        kind = np.asarray(table.column("kind"))
+        back = table.filter(pa.array(kind == KEYS)).select(["block", "docs", "data"])
+        of_pairs = table.filter(pa.array(kind == PAIRS))
+        table = table.filter(pa.array(kind == PLACES))
         lengths = list(zip(*(table.column(x).to_pylist() for x in ("n", "docs", "others")), strict=True))
         size = sum(n for n, _, _ in lengths)
         w, doc = [np.empty(size, np.uint32) for _ in range(max_depth + 1)], np.empty(size, np.uint32)
@@ -399,20 +475,34 @@ def context_scores(
             held.append(held_out)
             others.append(high.astype(np.uint64) << np.uint64(32) | low)
             start, n_docs, n_others = start + n, n_docs + docs, n_others + more
+        followers, other_counts = [], []
+        for n, more, data in zip(*(of_pairs.column(c).to_pylist() for c in ("n", "others")), of_pairs.column("data"), strict=True):
+            x, n_high, n_low, high, low, c_high, c_low = unpacked(data.as_buffer(), [n] * 3 + [more] * 4)
+            followers.append((np.where(x >= rare, x + np.uint32(n_others), x), n_high.astype(np.int64) << 32 | n_low))
+            other_counts.append((n_others, c_high.astype(np.int64) << 32 | c_low))
+            others.append(high.astype(np.uint64) << np.uint64(32) | low)
+            n_others += more
         # Words outside the table get the numbers behind it.
         other, which = np.unique(np.concatenate(others), return_inverse=True)
-        for x in w if n_others else ():
+        for x in [*w, *(x for x, _ in followers)] if n_others else ():
             mine = np.flatnonzero(x >= rare)
             x[mine] = which[x[mine] - rare] + len(count)
         below = np.concatenate([count, np.zeros(len(other), count.dtype)])
         if told.num_rows:
             at, there = found(other, told.column("h").to_numpy().view(np.uint64))
             below[len(count) + at[there]] = told.column("c").to_numpy()[there]
+        for start, c in other_counts:
+            below[len(count) + which[start : start + len(c)]] = c
         below = np.where(below >= least_count, below * word_share, 0.0)
+        counted_pairs = None
+        if followers:
+            counted_pairs = np.zeros(len(below), np.int64), of_pairs.column("block")[0].as_py()
+            for x, n in followers:
+                counted_pairs[0][x] = n
         # Contexts end where a word is missing.
         for k in range(2, max_depth + 1):
             w[k][w[k - 1] == 0] = 0
-        value = text_values(w, doc, np.concatenate(held) == 0, below, max_depth, least_count, least_bits, weight, at_once)
+        value = text_values(w, doc, np.concatenate(held) == 0, below, max_depth, least_count, least_bits, weight, at_once, counted_pairs)
         ends = np.cumsum([len(x) for x in rows])
         sums = [packed([x, *two_halves(value[e - len(x) : e].view(np.uint64))]) for x, e in zip(rows, ends)]
         given = pa.table({"block": table.column("block"), "docs": table.column("docs"), "data": pa.array(sums, pa.binary())})
@@ -432,7 +522,9 @@ def context_scores(
                     sums[np.cumsum(row, dtype=np.int64)] += (high.astype(np.uint64) << np.uint64(32) | low).view(np.float64)
         return pa.table({"key": _signed(keys), "more": pa.array(sums)})
 
-    dealt = texts.mapInArrow(deal, "part int, n int, docs int, others int, block long, data binary, h long, c long")
+    dealt = texts.mapInArrow(deal, DEALT)
+    if len(split[0]):
+        dealt = dealt.unionByName(pairs.mapInArrow(tell, DEALT))
     if not whole:
         asked = texts.mapInArrow(ask, "part int, h long").distinct().join(vocab.filter(F.col("c") >= least_count).select("h", "c"), "h")
         dealt = dealt.unionByName(asked, allowMissingColumns=True)
@@ -447,7 +539,7 @@ def text_scores(
     least_bits: float = 0.1,
     weight: float = 2.0,
     hot_share: float = 5e-7,
-    most_alike: int = 5_000_000,
+    most_alike: int = 2_500_000,
     part_tokens: int = 1_000_000,
     at_once: int = 200_000,
 ) -> DataFrame:
@@ -463,8 +555,9 @@ def text_scores(
 
     Contexts that end in the same word make one part of the tree. Words of up to `most_alike` occurrences are dealt out
     to parts of about `part_tokens` places, which count and score them (`context_scores`), `at_once` places at a time if
-    they are behind different words. For more frequent
-    words the tree is a table (`tree`): runs above `hot_share` of all tokens for each order are looked up where the
+    they are behind different words. More frequent words have several parts, by the word before them, if they are kept
+    on their own account and stand behind no word more than `most_alike` times (`kept_words`). For
+    others the tree is a table (`tree`): runs above `hot_share` of all tokens for each order are looked up where the
     texts are, the rest in a join. So are words, of which 1 / hot_share at most are looked up; if
     those are all that occur twice, any other has its only place where it is met. A null or empty text has
     the end alone; a null id trains; repeated rows each train and get a row; no documents give no rows; other columns
@@ -490,6 +583,10 @@ def text_scores(
     least_known = least_known if least_known > 2 else 2.0
     common = vocab.filter((F.col("n") > most_alike) & (F.col("h") != int(END))).select("h").toArrow().column("h").to_numpy()
     common = np.sort(common.view(np.uint64))
+    split, pairs = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)), None
+    if len(common):
+        split, pairs = kept_words(texts, vocab, common, word_share, least_count, least_bits, weight, most_alike)
+        common = common[~found(split[0], common)[1]]
     if len(common):
         runs = tree(texts, vocab, common, word_share, max_depth, least_count, least_bits, weight)
     else:
@@ -572,7 +669,7 @@ def text_scores(
         whole = whole.join(rest, "uid", "left").fillna(0, ["rest_known"]).fillna(0.0, ["rest_base", "rest_own"])
         whole = whole.withColumns({c: F.col(c) + F.col(f"rest_{c}") for c in ("known", "base", "own")})
     # Equal texts have added up under one key.
-    more = context_scores(picked.drop("doc_id"), vocab, table, common, n_all, word_share, max_depth, least_count, least_bits, weight, least_known <= least_count, part_tokens, at_once)
+    more = context_scores(picked.drop("doc_id"), vocab, table, common, n_all, word_share, max_depth, least_count, least_bits, weight, least_known <= least_count, part_tokens, at_once, split, pairs)
     more = more.join(rows.filter("h is null").groupBy("key").count(), "key").select("key", (F.col("more") / F.col("count")).alias("more"))
     out = whole.join(more, "key", "left").fillna(0.0, ["more"])
     return out.select(
