@@ -10,7 +10,7 @@ from tiffinmart.operators.sequence import add_sequence
 from tiffinmart.operators.skew import skew_join
 from tiffinmart.plans import dashboard, kpis
 from tiffinmart.plans.date_dim import with_date_parts
-from tiffinmart.plans.fact import FACT_COLUMNS, build_fact_changes, merge_fact, write_fact_by_month
+from tiffinmart.plans.fact import FACT_COLUMNS, _sent, build_fact_changes, merge_fact, write_fact_by_month
 
 D = Decimal
 
@@ -191,3 +191,31 @@ def test_items_meet_the_menu_before_the_wider_context(spark, sf_dir, mode):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     assert "order_id" in joins[0] and "_menu_id" not in joins[0]
+
+
+def test_merge_of_joined_facts_moves_no_row_again(spark, sf_dir):
+    e, dims = queries._star_inputs(spark, sf_dir, queries.dim_after_two_days, queries._DAY_0 | {"new_items": ("order_item", 1)})
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    want = queries.QUERIES["merge_fact"](spark, sf_dir)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before, changes = (build_fact_changes(e[n], e["orders"], e["deliveries"], dims) for n in ("items", "new_items"))
+        moves = [x for x in plan(merge_fact(before, changes)).splitlines() if "Exchange hashpartitioning" in x]
+        got = queries.QUERIES["merge_fact"](spark, sf_dir)
+        # Partitions that AQE joins together or splits must still hold both sides of a key.
+        assert rows(got) == rows(want)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert not [x for x in moves if "order_item_id" in x]
+    # Orders, deliveries and items of each side; the lookups go to all tasks, once locations are with restaurants.
+    assert len([x for x in moves if "_location_id" not in x]) == 6
+
+
+def test_large_lookups_are_not_forced_into_broadcasts(spark):
+    a, b = spark.range(3), spark.range(4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = [plan(spark.range(9).join(df, "id")) for df in _sent({"a": a, "b": b}, 3)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert ["BroadcastHashJoin" in x for x in text] == [True, False]

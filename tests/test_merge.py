@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tiffinmart import entities
 from tiffinmart.operators.clean import clean, clean_all, quarantine_null_keys
 from tiffinmart.operators.merge import (
-    changed_nullsafe, changed_reference, latest_per_key, merge_upsert, upsert_entity,
+    changed_nullsafe, changed_reference, latest_per_key, merge_upsert, replace_rows, upsert_entity,
 )
 
 SCHEMA = "id int, a string, b string"
@@ -237,3 +237,15 @@ def test_composite_keys_of_the_event_entities():
     assert "created_ts" not in business["location"] and "customer_id_fk" not in business["customer_address"]
     for name in ("restaurant", "customer", "menu"):
         assert business[name] == set(entities.get(name).columns) - set(entities.get(name).key)
+
+
+def test_replaced_rows_are_those_of_a_merge(spark):
+    # Keys that repeat in the target, keys with a NULL on both sides, a source of another type.
+    schema = "a int, b int, v string, w bigint"
+    target = spark.createDataFrame([(1, 1, "x", 1), (1, 1, "y", 2), (2, 1, None, 3), (3, None, "n", 4), (3, None, "m", 5), (4, 4, "k", 6)], schema)
+    source = spark.createDataFrame([(1, 1, None, 10), (2, 1, "s", None), (3, None, "new", 30), (None, None, "new", 40), (5, 5, "i", 50)], "a int, b int, v string, w int")
+    got, want = replace_rows(target, source, ["a", "b"]), merge_upsert(target, source, ["a", "b"], ["v", "w"])
+    assert got.dtypes == want.dtypes
+    assert rows(got) == rows(want) and got.count() == 9
+    assert rows(replace_rows(target.filter("false"), source, ["a", "b"])) == rows(source)
+    assert rows(replace_rows(target, source.filter("false"), ["a", "b"])) == rows(target)
