@@ -21,7 +21,7 @@ from tiffinmart.operators.merge import upsert_entity
 from tiffinmart.operators.scd2 import scd2_attribute_match, scd2_keyed
 from tiffinmart.plans import kpis
 from tiffinmart.plans.date_dim import date_bounds, date_dim
-from tiffinmart.plans.fact import LAYOUT, affected_orders, incremental_fact_changes, merge_fact
+from tiffinmart.plans.fact import LAYOUT, affected_orders, incremental_fact_changes, merge_stored_fact, single_rows
 from tiffinmart.session import empty_frame, materialized
 from tiffinmart.sources.csv_stage import copy_into, read_stage
 from tiffinmart.sources.ledger import copy_history, read_ledger
@@ -198,7 +198,8 @@ class Warehouse:
             # The three event tables are sliced by order, so the same slices hold an order's rows.
             slices = self.clean_table("orders").touched_slices(ids)
             items, orders, deliveries = (self.clean_table(name).read(slices=slices) for name in EVENTS)
-            rows = incremental_fact_changes(ids, items, orders, deliveries, dims, with_layout=True)
+            # One row per key while they are still together by order, so that the commit need not sort them out.
+            rows = single_rows(incremental_fact_changes(ids, items, orders, deliveries, dims, with_layout=True))
             with materialized(rows, "fact-changes") as changes:
                 # Published before the fact: if the fact's version fails, these orders are only tried twice.
                 late = ids.join(changes.select("order_id").distinct(), "order_id", "left_anti")
@@ -207,12 +208,10 @@ class Warehouse:
                         waiting.commit(left)
                 if consumed == latest and changes.isEmpty():
                     return None
-                if table.exists():
-                    touched = table.touched_slices(changes)
-                    fact = table.read(slices=touched)
-                else:
-                    touched, fact = None, empty_frame(self.spark, changes.schema)
-                return table.commit(merge_fact(fact, changes), latest, touched)
+                if not table.exists():
+                    return table.commit(changes, latest)
+                touched = table.touched_slices(changes)
+                return table.commit(merge_stored_fact(table.read(slices=touched), changes), latest, touched)
 
     def refresh_dimensions(self, batch_ts: datetime | str) -> None:
         """All clean tables, then all dimensions. The tables of a layer do not depend on each

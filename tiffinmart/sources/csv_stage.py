@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tiffinmart import entities
 from tiffinmart.entities import AUDIT, Entity
-from tiffinmart.session import materialized
+from tiffinmart.session import materialized, shuffles_released
 from tiffinmart.sources.files import fingerprints, list_files, readable, relative_name
 from tiffinmart.sources.ledger import pending_files, read_ledger, unseen_files
 
@@ -140,7 +140,8 @@ def _copy_files(spark, e: Entity, path, pending: DataFrame, stage_path: str, led
         if not n_files:
             return 0
         target = f"{stage_path}/load_id={load_id}"
-        load_stage(spark, e, path, batch_ts, root, strict, prints, only=True).write.mode("overwrite").parquet(target)
+        with shuffles_released(spark):
+            load_stage(spark, e, path, batch_ts, root, strict, prints, only=True).write.mode("overwrite").parquet(target)
 
         written = spark.read.parquet(target)
         bad = F.lit(False) if strict else F.col(CORRUPT).isNotNull()
@@ -163,7 +164,8 @@ def _copy_files(spark, e: Entity, path, pending: DataFrame, stage_path: str, led
                 "modified_at",
             )
         )
-        loaded.write.mode("append").parquet(ledger_path)
+        with shuffles_released(spark):
+            loaded.write.mode("append").parquet(ledger_path)
         return n_files
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tiffinmart.session import empty_frame
+from tiffinmart.session import empty_frame, shuffles_released
 
 BUCKET = "_bucket"
 _NULL_VALUE = "__HIVE_DEFAULT_PARTITION__"
@@ -158,14 +158,14 @@ class SnapshotTable:
         before = self.version()
         old = self._entry(before)
         version = 0 if before is None else before + 1
-        (
-            self.with_slices(df)
-            .hint("rebalance", *self.slice_columns)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(*self.slice_columns)
-            .parquet(f"{self.root}/data/_version={version}")
-        )
+        rows = self.with_slices(df).hint("rebalance", *self.slice_columns)
+        with shuffles_released(rows.sparkSession):
+            (
+                rows.write.mode("overwrite")
+                .option("partitionOverwriteMode", "static")
+                .partitionBy(*self.slice_columns)
+                .parquet(f"{self.root}/data/_version={version}")
+            )
         kept = {} if replace is None else {s: v for s, v in old["slices"].items() if s not in set(replace)}
         slices = {**kept, **{s: version for s in self._written_slices(version)}}
         batch = batch_id if batch_id is not None else old["batch_id"]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tiffinmart import entities
 from tiffinmart.entities import AUDIT, Entity
 from tiffinmart.plans.warehouse import Warehouse
-from tiffinmart.session import materialized
+from tiffinmart.session import materialized, shuffles_released
 from tiffinmart.sources.csv_stage import (
     CORRUPT, csv_options, csv_schema, read_stage, with_fingerprints, with_lineage,
 )
@@ -87,11 +87,14 @@ def append_stage_batch(warehouse: Warehouse, entity: Entity | str, rows: DataFra
         # At most `files_per_batch` names, which is what they are there for.
         files = [r["_path"] for r in parsed.select("_path").distinct().collect()]
         if files:
-            parsed = with_fingerprints(parsed, fingerprints(warehouse.spark, files))
+            # As few rows go to every task; the size of an aggregate is not known, and rows would be shuffled for it.
+            parsed = with_fingerprints(parsed, F.broadcast(fingerprints(warehouse.spark, files)))
         else:
             parsed = parsed.withColumn("_stg_file_md5", F.lit(None).cast("string"))
         target = f"{warehouse.stage_path(e)}/load_id={batch_id}"
-        parsed.select(*e.source_columns, *AUDIT, CORRUPT).write.mode("overwrite").parquet(target)
+        staged = parsed.select(*e.source_columns, *AUDIT, CORRUPT)
+        with shuffles_released(staged.sparkSession):
+            staged.write.mode("overwrite").parquet(target)
 
 
 def run_incremental(
