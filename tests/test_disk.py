@@ -75,7 +75,7 @@ def test_merge_of_stored_facts_is_the_merge(spark):
     assert rows(merge_stored_fact(fact, new)) == rows(merge_fact(fact, new))
 
 
-@pytest.mark.parametrize("name", ["stream_merge_fact"])
+@pytest.mark.parametrize("name", ["warehouse_kpis", "stream_merge_fact"])
 def test_landing_files_go_when_they_are_loaded(spark, sf_dir, tmp_path, monkeypatch, name):
     monkeypatch.setattr(queries, "shared_dir", lambda _, purpose: str(tmp_path / purpose))
     assert queries.QUERIES[name](spark, sf_dir).count()
